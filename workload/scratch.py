@@ -1,0 +1,16 @@
+"""Fresh folders for queries that write, on storage all executors share."""
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``; a local one only in local mode."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix=f"{name}-")
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
