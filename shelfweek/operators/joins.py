@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.operators.skew import HOT_ROWS, dimension_join, skew_join
+from shelfweek.operators.skew import HOT_ROWS, dimension_join, hot_cells, skew_join
 from shelfweek.schemas import PAIR, SALE_MEASURES, STOCK
 
 BASE = ["YR_NUM", "WK_NUM", "DAY_OF_WK_NUM", "MNTH_NUM", *PAIR, *SALE_MEASURES, *STOCK]
@@ -44,14 +44,11 @@ def base_join(
     history of its pair. The operators built on top of this join reach the
     same results without materializing it.
     """
-    return skew_join(
-        sales_calendar(sales, calendar, hot_rows=hot_rows),
-        stock_snapshots(inventory),
-        PAIR,
-        left_load=sale_lines(sales),
-        right_load=stock_snapshots(inventory),
-        hot_rows=hot_rows,
-    ).select(BASE)
+    snapshots = stock_snapshots(inventory)
+    sold, held = hot_cells(PAIR, sale_lines(sales), snapshots, hot_rows=hot_rows)
+    dated = sales_calendar(sales, calendar, hot_rows=hot_rows)
+    joined = skew_join(dated, snapshots, PAIR, left_cells=sold, right_cells=held)
+    return joined.select(BASE)
 
 
 def base_join_dated(
@@ -61,9 +58,8 @@ def base_join_dated(
     keys = ["CAL_DT", *PAIR]
     snapshots = inventory.select(*(F.col(c).alias(c) for c in (*keys, *STOCK)))
     lines = sale_lines(sales)
-    matched = skew_join(
-        lines, snapshots, keys, left_load=lines, right_load=snapshots, hot_rows=hot_rows
-    )
+    sold, held = hot_cells(keys, lines, snapshots, hot_rows=hot_rows)
+    matched = skew_join(lines, snapshots, keys, left_cells=sold, right_cells=held)
     return dimension_join(
         matched, calendar_days(calendar), ["CAL_DT"], load=lines, hot_rows=hot_rows
     ).select(BASE)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.operators.skew import HOT_ROWS, checked_broadcast, skew_join
+from shelfweek.operators.skew import HOT_ROWS, dimension_join, hot_cells, skew_join
 from shelfweek.schemas import PAIR
 
 
@@ -20,13 +20,7 @@ def undated_sales(
     """Sales whose date is missing from the calendar."""
     dated = sales.withColumnRenamed("trans_dt", "cal_dt")
     days = calendar.select("cal_dt").distinct()
-    small = checked_broadcast(days)
-    if small is not None:
-        missed = dated.join(small, "cal_dt", "left_anti")
-    else:
-        missed = skew_join(
-            dated, days, ["cal_dt"], "left_anti", left_load=dated, hot_rows=hot_rows
-        )
+    missed = dimension_join(dated, days, ["cal_dt"], "left_anti", hot_rows=hot_rows)
     return missed.withColumnRenamed("cal_dt", "trans_dt").select(sales.columns)
 
 
@@ -36,9 +30,8 @@ def unstocked_sales(
     """Sales of a store and product without any stock snapshot."""
     keys = [k.lower() for k in PAIR]
     pairs = inventory.select(keys).distinct()
-    return skew_join(
-        sales, pairs, keys, "left_anti", left_load=sales, hot_rows=hot_rows
-    ).select(sales.columns)
+    (sold,) = hot_cells(keys, sales, hot_rows=hot_rows)
+    return skew_join(sales, pairs, keys, "left_anti", left_cells=sold).select(sales.columns)
 
 
 def dropped_sales(

@@ -1,5 +1,7 @@
 """Joins that stay balanced when one key holds a large share of the rows."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,21 +32,34 @@ def _bucket(df: DataFrame, keys: list[str]) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
 
 
-def hot_cells(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[int, int]:
-    """Hash buckets of ``keys`` that hold too many rows, and how far to split each.
+def hot_cells(
+    keys: list[str], *frames: DataFrame, hot_rows: int = HOT_ROWS
+) -> list[dict[int, int]]:
+    """Per frame, the hash buckets of ``keys`` with too many rows and how far to cut them.
 
-    The counts are exact and combined map-side. There are at most BUCKETS of
-    them whatever the data, and only the large ones reach the driver.
+    The rows are counted exactly, combined map-side, for all frames in one job.
+    There are at most BUCKETS counts per frame whatever the data, and only the
+    large ones reach the driver. An empty result proves that no key of the
+    frame has more rows than the larger of ``hot_rows`` and HOT_FACTOR means.
     """
-    sizes = df.groupBy(_bucket(df, keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    keyed = [
+        frame.select(F.lit(i).alias("frame"), _bucket(frame, keys).alias("bucket"))
+        for i, frame in enumerate(frames)
+    ]
+    sizes = (
+        reduce(DataFrame.unionAll, keyed)
+        .groupBy("frame", "bucket")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     big = F.when(F.col("n") > hot_rows, F.struct("bucket", "n"))
-    found = sizes.agg(F.sum("n").alias("total"), F.collect_list(big).alias("big")).first()
-    limit = max(hot_rows, HOT_FACTOR * (found["total"] or 0) // BUCKETS)
-    return {
-        row["bucket"]: min(-(-row["n"] // limit), MAX_CELLS)
-        for row in found["big"]
-        if row["n"] > limit
-    }
+    found = sizes.groupBy("frame").agg(F.sum("n").alias("total"), F.collect_list(big).alias("big"))
+    cells = [{} for _ in frames]
+    for row in found.collect():
+        limit = max(hot_rows, HOT_FACTOR * row["total"] // BUCKETS)
+        cells[row["frame"]] = {
+            bucket: min(-(-n // limit), MAX_CELLS) for bucket, n in row["big"] if n > limit
+        }
+    return cells
 
 
 def skew_join(
@@ -53,27 +68,24 @@ def skew_join(
     keys: list[str],
     how: str = "inner",
     *,
-    left_load: DataFrame | None = None,
-    right_load: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    left_cells: dict[int, int] | None = None,
+    right_cells: dict[int, int] | None = None,
 ) -> DataFrame:
     """Equi-join on ``keys`` that cuts hot keys into a grid of smaller joins.
 
-    ``left_load`` / ``right_load`` are the cheapest frames whose rows per key
-    match the load of each side, usually the bare table; None says that the
-    rows per key of that side are bounded. Without hot keys this is a plain
-    join. With them, a hot left row goes to one grid row and is copied to each
-    grid column, a hot right row the other way round, so every pair of rows
-    meets exactly once. Only the left side is cut when ``how`` is not inner.
+    The cells come from ``hot_cells`` of the cheapest frames whose rows per key
+    are those of each side, usually the bare tables; none are needed for a side
+    with few rows per key. Without hot keys this is a plain join. With them, a
+    hot left row goes to one row of the grid and is copied to each column, a hot
+    right row the other way round, so every pair of rows meets exactly once.
+    Joins other than inner can only cut the left side.
 
     A row's place is a hash of the row, so that a recomputed task places its
     rows as before. Exact copies of one row therefore share a cell; AQE's skew
     join can still divide such a cell.
     """
-    cells_l = hot_cells(left_load, keys, hot_rows) if left_load is not None else {}
-    cells_r = {}
-    if right_load is not None and how == "inner":
-        cells_r = hot_cells(right_load, keys, hot_rows)
+    cells_l = left_cells or {}
+    cells_r = (right_cells or {}) if how == "inner" else {}
     if not cells_l and not cells_r:
         return left.join(right, keys, how)
 
@@ -111,10 +123,12 @@ def dimension_join(
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join to a table that is broadcast if its counted size allows, else shuffled."""
+    """Join to a table that is broadcast if its counted size allows, else shuffled.
+
+    ``load`` is a cheaper frame with the rows per key of ``facts``, if there is one.
+    """
     small = checked_broadcast(dim, max_rows)
     if small is not None:
         return facts.join(small, keys, how)
-    return skew_join(
-        facts, dim, keys, how, left_load=facts if load is None else load, hot_rows=hot_rows
-    )
+    (cells,) = hot_cells(keys, facts if load is None else load, hot_rows=hot_rows)
+    return skew_join(facts, dim, keys, how, left_cells=cells)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfweek.functions.measures import low_stock_flag, weekly_metrics
-from shelfweek.operators.joins import calendar_days, sale_lines, sales_calendar
+from shelfweek.operators.joins import calendar_days, sale_lines, sales_calendar, stock_snapshots
 from shelfweek.operators.skew import dimension_join
 from shelfweek.operators.stock import pair_history, stock_states
 from shelfweek.schemas import GRAIN, PAIR, STOCK
@@ -48,7 +48,7 @@ def weekly_totals(sales: DataFrame, calendar: DataFrame, inventory: DataFrame) -
             F.sum("SALES_COST").alias("cost"),
         )
     )
-    joined = weeks.join(pair_history(stock_states(inventory)), PAIR)
+    joined = weeks.join(pair_history(stock_states(stock_snapshots(inventory))), PAIR)
     return joined.select(*GRAIN, *history_metrics())
 
 

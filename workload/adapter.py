@@ -1,12 +1,19 @@
-"""The five retail tables derived from the driver's tables, whole and lazily.
+"""The five retail tables derived whole from the driver's tables.
 
 ``lineitem`` gives the sales, its distinct ship dates the calendar and its
 distinct (date, supplier, part) the inventory; ``supplier`` and ``part`` give
 the store and product dimensions. ``oracle.VIEWS`` states the same in SQL.
+
+The operators take these tables as given inputs, so each is written once per
+application to the shared folder, as Parquet in several files, and read from
+there. The driver's single-file tables would be read by one task.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from workload.scratch import scratch_folder
 
 SALES = """
 SELECT l_orderkey * 10 + l_linenumber AS trans_id,
@@ -104,12 +111,31 @@ DEFINITIONS = {
 INPUTS = ("lineitem", "supplier", "part", "nation", "region")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+_written: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
+def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     query = DEFINITIONS[name]
     used = [i for i in INPUTS if "{" + i + "}" in query]
     return spark.sql(query, **{i: spark.read.parquet(f"{sf_dir}/{i}.parquet") for i in used})
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = scratch_folder(spark, f"input-{name}")
+        rows = derive(spark, sf_dir, name)
+        if name == "sales":
+            cores = spark.sparkContext.defaultParallelism
+            lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+            if lines.rdd.getNumPartitions() < cores:
+                rows = rows.repartition(cores)
+        rows.write.parquet(path)
+        _written[key] = path, rows.schema
+    path, schema = _written[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [table(spark, sf_dir, name) for name in names]
 
