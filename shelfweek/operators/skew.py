@@ -17,9 +17,10 @@ MAX_CELLS = 512
 _CELL_L, _CELL_R, _BUCKET = "__cell_l", "__cell_r", "__bucket"
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     """``df`` marked for broadcast, or None when it has more than ``max_rows`` rows."""
-    return F.broadcast(df) if df.count() <= max_rows else None
+    limit = BROADCAST_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if df.count() <= limit else None
 
 
 def _bucket(df: DataFrame, keys: list[str]) -> Column:
@@ -120,7 +121,7 @@ def dimension_join(
     how: str = "inner",
     *,
     load: DataFrame | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join to a table that is broadcast if its counted size allows, else shuffled.

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfweek.functions.measures import low_stock_flag, weekly_metrics
 from shelfweek.operators.joins import calendar_days, sale_lines, sales_calendar, stock_snapshots
-from shelfweek.operators.skew import dimension_join
+from shelfweek.operators.skew import HOT_ROWS, dimension_join
 from shelfweek.operators.stock import pair_history, stock_states
 from shelfweek.schemas import GRAIN, PAIR, STOCK
 
@@ -136,11 +136,16 @@ def in_stock_pct(weekly: DataFrame) -> DataFrame:
 
 
 def enrich(
-    fact: DataFrame, store: DataFrame, product: DataFrame, *, max_rows: int | None = None
+    fact: DataFrame,
+    store: DataFrame,
+    product: DataFrame,
+    *,
+    max_rows: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Fact rows with the attributes of their store and product, where known."""
-    limit = {} if max_rows is None else {"max_rows": max_rows}
+    limits = {"load": fact, "max_rows": max_rows, "hot_rows": hot_rows}
     stores = store.withColumnRenamed("store_key", "STORE_KEY")
     products = product.withColumnRenamed("prod_key", "PROD_KEY")
-    with_store = dimension_join(fact, stores, ["STORE_KEY"], "left", load=fact, **limit)
-    return dimension_join(with_store, products, ["PROD_KEY"], "left", load=fact, **limit)
+    with_store = dimension_join(fact, stores, ["STORE_KEY"], "left", **limits)
+    return dimension_join(with_store, products, ["PROD_KEY"], "left", **limits)

@@ -22,7 +22,7 @@ def read_csv(
 
     With a schema there is no inference pass, values keep their text form where
     the type is STRING, a header that does not match the schema is an error,
-    and so is a value that does not parse. Without one, Spark infers the types
+    and so is a value that does not parse. Empty text is read as NULL. Without one, Spark infers the types
     from a full read. A gzip file is read by one task, so large tables should
     arrive as many files.
     """

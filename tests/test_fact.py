@@ -1,0 +1,178 @@
+import random
+from datetime import date, timedelta
+
+import pytest
+
+from shelfweek.operators import joins, skew, weekly
+from shelfweek.operators.counted import COPIES, unroll
+from shelfweek.plans import fact
+from shelfweek.schemas import CALENDAR, FACT, GRAIN, INVENTORY, SALES
+from tests.fixtures import bag, cal, micro, rows, sale, stock
+from workload.fan_out import fan_out_base, fan_out_fact, fan_out_week_end
+
+FIRST_WEEK = (2023, 1, 1, 1, 10, 16.0, 32.0, 19.2, 2.0, 28.571, 2)
+EXPECTED_FACT = {
+    (*FIRST_WEEK, 10.0, 0.0, 1, 0): 3,
+    (*FIRST_WEEK, 10.0, 0.0, 1, 1): 1,
+    (*FIRST_WEEK, 4.0, 20.0, 0, 0): 3,
+    (*FIRST_WEEK, 4.0, 20.0, 0, 1): 1,
+    (2023, 1, 1, 3, 11, 2.0, 9.0, 4.0, 4.5, None, None, None, None, None, 0): 1,
+    (2023, 1, 2, 2, 10, 0.0, 0.0, 0.0, None, 14.286, 1, 0.0, 5.0, 1, 0): 1,
+}
+
+# One million rows never make a key hot here; one row makes nearly all hot.
+LAYOUTS = pytest.mark.parametrize("hot_rows", [1_000_000, 1], ids=["by_pair", "hot"])
+
+
+def random_tables(spark, seed):
+    """Small tables with NULLs, repeats, negative and equal quantities, odd calendars."""
+    rng = random.Random(seed)
+    start = date(2023, 1, 20)
+    days = [(start + timedelta(d)) for d in range(24)]
+
+    def pick(*values):
+        return rng.choice(values)
+
+    def quantity():
+        return pick(None, "-3", "0", "1", "1.5", "2", "255.99", "256", "300", "700.25")
+
+    def some_day():
+        return pick(*days).isoformat()
+
+    calendar = [
+        cal(d.isoformat(), d.weekday(), pick(2023, 2023, None), d.isocalendar().week, d.month)
+        for d in days
+    ]
+    calendar.append(cal(some_day(), 6, 2023, 5, 7))
+    sales = [
+        sale(i, pick(1, 2), pick(1, 2, None), pick(None, *[some_day()] * 9), quantity(),
+             quantity(), pick(None, "1.23", "4.56"))
+        for i in range(60)
+    ]
+    inventory = [
+        stock(some_day(), pick(1, 2, 3), pick(1, 2), quantity(), pick("0", "7"), pick(None, 0, 1))
+        for _ in range(25)
+    ]
+    return (
+        rows(spark, SALES, *sales, *sales[:5]),
+        rows(spark, CALENDAR, *calendar),
+        rows(spark, INVENTORY, *inventory, *inventory[:3]),
+    )
+
+
+@LAYOUTS
+def test_micro_fact(spark, hot_rows):
+    result = fact.weekly_fact(*micro(spark), hot_rows=hot_rows)
+    assert result.columns == FACT
+    assert bag(result, FACT) == EXPECTED_FACT
+
+
+def test_micro_dated_totals(spark):
+    result = weekly.weekly_summary(*micro(spark))
+    columns = [*GRAIN, "TOTAL_SALES_QTY", "TOTAL_SALES_AMT", "AVG_SALES_PRICE",
+               "PERCENTAGE_STORE_IN_STOCK", "LOW_STOCK_FLG"]
+    assert bag(result, columns) == {
+        (2023, 1, 1, 10, 8.0, 16.0, 2.0, 14.286, 1): 1,
+        (2023, 1, 1, 11, 4.0, 8.0, 2.0, 0.0, 0): 1,
+        (2023, 1, 3, 11, 2.0, 9.0, 4.5, None, 0): 1,
+        (2023, 2, 2, 10, 0.0, 0.0, None, 14.286, 0): 1,
+    }
+
+
+@LAYOUTS
+@pytest.mark.parametrize("seed", range(4))
+def test_counted_fact_equals_fan_out(spark, seed, hot_rows):
+    tables = random_tables(spark, seed)
+    expected = bag(fan_out_fact(*tables, week_end_day=5), FACT)
+    assert sum(expected.values()) > 100
+    assert bag(fact.weekly_fact(*tables, 5, hot_rows=hot_rows), FACT) == expected
+    counted = fact.weekly_fact_counted(*tables, 5, hot_rows=hot_rows)
+    assert {row[:-1]: row[-1] for row in bag(counted, [*FACT, COPIES])} == expected
+
+
+@LAYOUTS
+def test_stages_equal_fan_out(spark, hot_rows):
+    tables = random_tables(spark, 11)
+    base = joins.base_join(*tables, hot_rows=hot_rows)
+    plain_base = fan_out_base(*tables)
+    assert bag(base) == bag(plain_base)
+    assert bag(weekly.low_stock(base)) == bag(weekly.low_stock(plain_base))
+    assert bag(weekly.weekly_totals(*tables)) == bag(weekly.totals(plain_base))
+    week_end = fact.week_end_stock(*tables, 5, hot_rows=hot_rows)
+    assert bag(week_end) == bag(fan_out_week_end(plain_base, 5).select(week_end.columns))
+    low = fact.low_stock_join(*tables, 5, hot_rows=hot_rows)
+    assert bag(low, FACT) == bag(fan_out_fact(*tables, 5), FACT)
+
+
+@LAYOUTS
+def test_shuffled_calendar_gives_the_same_rows(spark, monkeypatch, hot_rows):
+    tables = random_tables(spark, 12)
+    expected = bag(joins.base_join(*tables))
+    dated = bag(joins.base_join_dated(*tables))
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    assert bag(joins.base_join(*tables, hot_rows=hot_rows)) == expected
+    assert bag(joins.base_join_dated(*tables, hot_rows=hot_rows)) == dated
+
+
+def test_summary_equals_grouped_dated_join(spark):
+    tables = random_tables(spark, 13)
+    grouped = weekly.totals(joins.base_join_dated(*tables))
+    summary = weekly.weekly_summary(*tables)
+    assert bag(summary.select(grouped.columns)) == bag(grouped)
+    assert summary.select(GRAIN).distinct().count() == summary.count()
+
+
+def test_row_count_formula(spark):
+    """S * S6 * I * I rows per week of a pair."""
+    sales, calendar, inventory = random_tables(spark, 14)
+    dated = [r for r in joins.sales_calendar(sales, calendar).collect() if None not in
+             (r.YR_NUM, r.WK_NUM, r.STORE_KEY, r.PROD_KEY)]
+    snapshots = bag(inventory, ["store_key", "prod_key"])
+    expected = 0
+    for key in {(r.YR_NUM, r.WK_NUM, r.STORE_KEY, r.PROD_KEY) for r in dated}:
+        week = [r for r in dated if (r.YR_NUM, r.WK_NUM, r.STORE_KEY, r.PROD_KEY) == key]
+        week_end = sum(r.DAY_OF_WK_NUM == 5 for r in week)
+        expected += len(week) * week_end * snapshots[key[2:]] ** 2
+    assert fact.weekly_fact(sales, calendar, inventory, 5).count() == expected
+
+
+def test_price_does_not_depend_on_repeated_snapshots(spark):
+    sales, calendar, inventory = micro(spark)
+    names = [*GRAIN, "AVG_SALES_PRICE"]
+    once = bag(weekly.weekly_totals(sales, calendar, inventory), names)
+    twice = bag(weekly.weekly_totals(sales, calendar, inventory.union(inventory)), names)
+    assert once == twice
+
+
+@pytest.fixture
+def counted(spark):
+    return spark.createDataFrame(
+        [("a", 1, 1), ("b", 1, 64), ("c", 2, 65), ("d", 2, 1_000_000), ("e", 3, 0),
+         ("f", None, 3)],
+        "k string, week int, ROW_COPIES bigint",
+    )
+
+
+UNROLLED = {"a": 1, "b": 64, "c": 65, "d": 1_000_000, "f": 3}
+
+
+def per_task(df):
+    """Rows and distinct weeks of every task."""
+    return df.rdd.mapPartitions(
+        lambda part: [(len(rows), len({r.week for r in rows})) for rows in [list(part)]]
+    ).collect()
+
+
+def test_unroll_spreads_many_copies(counted):
+    result = unroll(counted)
+    assert result.columns == ["k", "week"]
+    assert {r.k: r["count"] for r in result.groupBy("k").count().collect()} == UNROLLED
+    assert max(n for n, _ in per_task(result)) < 250_000
+
+
+def test_unroll_clustered_splits_large_groups_only(counted):
+    result = unroll(counted, ["week"], file_rows=10_000)
+    assert {r.k: r["count"] for r in result.groupBy("k").count().collect()} == UNROLLED
+    assert max(n for n, _ in per_task(result)) < 300_000
+    whole = unroll(counted, ["week"])
+    assert sorted(n for n, _ in per_task(whole) if n)[-1] >= 1_000_065

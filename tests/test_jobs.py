@@ -1,0 +1,166 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfweek.plans import nightly
+from shelfweek.plans.fact import weekly_fact
+from shelfweek.schemas import FACT, PRODUCT, STORE
+from shelfweek.sinks.catalog import register_outputs
+from shelfweek.sinks.writers import write_fact
+from shelfweek.sources.database import jdbc_options
+from shelfweek.sources.landing import landed_files, landed_tables
+from tests.fixtures import bag, micro, rows
+from tests.test_fact import EXPECTED_FACT
+
+RUN = date(2023, 2, 1)
+
+
+@pytest.fixture(scope="module")
+def five(spark):
+    sales, calendar, inventory = micro(spark)
+    return {
+        "sales": sales,
+        "calendar": calendar,
+        "inventory": inventory,
+        "store": rows(spark, STORE, {"store_key": 1, "store_num": "007", "frnchs_flg": True}),
+        "product": rows(spark, PRODUCT, {"prod_key": 10, "prod_name": "Tea, black"}),
+    }
+
+
+@pytest.fixture(scope="module")
+def landing(spark, five, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("landing"))
+    return folder, nightly.extract_tables(five.__getitem__, folder, RUN)
+
+
+@pytest.mark.parametrize("infer", [False, True], ids=["typed", "inferred"])
+def test_nightly_job(spark, landing, tmp_path, infer):
+    out = str(tmp_path)
+    nightly.run_job(spark, landing[1], out, RUN, infer=infer)
+    fact = spark.read.parquet(f"{out}/sales_inv")
+    assert fact.columns[-2:] == ["YR_NUM", "WK_NUM"]
+    assert bag(fact, FACT) == EXPECTED_FACT
+    files = list((tmp_path / "sales_inv" / "YR_NUM=2023" / "WK_NUM=1").glob("*.parquet"))
+    assert files and all(".gz." in f.name for f in files)
+    for name in ("store", "product", "calendar"):
+        assert len(list((tmp_path / name / "date=2023-02-01").glob("part-*.csv"))) == 1
+    code = "7" if infer else "007"
+    stores = spark.read.option("header", True).csv(f"{out}/store")
+    assert stores.first().store_num == code
+
+
+def test_command_line(spark, landing, tmp_path):
+    paths = [arg for name, path in landing[1].items() for arg in (f"--{name}", path)]
+    nightly.main(["--date", "2023-02-01", "--out", str(tmp_path), *paths])
+    assert spark.read.parquet(f"{tmp_path}/sales_inv").count() == 10
+
+
+def test_registered_outputs(spark, landing, tmp_path, capsys):
+    out = str(tmp_path)
+    nightly.run_job(spark, landing[1], out, RUN)
+    tables = register_outputs(spark, out, "job_")
+    assert spark.table(tables["sales_inv"]).count() == 10
+    pruned = spark.sql("SELECT * FROM job_sales_inv WHERE WK_NUM = 2")
+    assert pruned.count() == 1
+    pruned.explain("formatted")
+    assert "PartitionFilters: [isnotnull(WK_NUM" in capsys.readouterr().out
+    row = spark.sql("SELECT store_num, frnchs_flg, date FROM job_store").first()
+    assert tuple(row) == ("007", True, RUN)
+    assert spark.sql("SELECT prod_name FROM job_product").first()[0] == "Tea, black"
+    assert spark.table("job_calendar").count() == 4
+    # A later day adds a snapshot; registering again finds it.
+    nightly.run_job(spark, landing[1], out, date(2023, 2, 2))
+    register_outputs(spark, out, "job_")
+    assert spark.table("job_store").count() == 2
+
+
+def test_table_is_empty_until_repaired(spark, five, tmp_path):
+    path = write_fact(weekly_fact(five["sales"], five["calendar"], five["inventory"]), str(tmp_path))
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in
+                        spark.read.parquet(path).schema)
+    spark.sql(
+        f"CREATE TABLE unrepaired ({columns}) USING parquet "
+        f"PARTITIONED BY (YR_NUM, WK_NUM) LOCATION '{path}'"
+    )
+    assert spark.table("unrepaired").count() == 0
+    spark.sql("MSCK REPAIR TABLE unrepaired")
+    assert spark.table("unrepaired").count() == 10
+
+
+def test_overwriting_replaces_all_or_the_given_weeks(spark, five, tmp_path):
+    fact = weekly_fact(five["sales"], five["calendar"], five["inventory"])
+    rerun = fact.filter("WK_NUM = 2").withColumn("NO_STOCK_INSTANCE", F.lit(99).cast("bigint"))
+    out = str(tmp_path)
+    write_fact(fact, out)
+    path = write_fact(rerun, out, dynamic=True)
+    back = spark.read.parquet(path)
+    assert back.count() == 10
+    assert back.filter("WK_NUM = 2").first().NO_STOCK_INSTANCE == 99
+    write_fact(rerun, out)
+    assert spark.read.parquet(path).select("WK_NUM").distinct().collect() == [(2,)]
+    write_fact(rerun, out, "append", "snappy")
+    assert spark.read.parquet(path).count() == 2
+
+
+def missing(spark, landing):
+    return sorted(r.table_name for r in nightly.missing_tables(spark, str(landing), RUN).collect())
+
+
+def test_completeness_of_folders(spark, landing):
+    assert missing(spark, landing[0]) == []
+    other_day = nightly.missing_tables(spark, landing[0], date(2023, 2, 2))
+    assert other_day.count() == 5
+
+
+def test_completeness_of_flat_files(spark, tmp_path):
+    every = ["calendar", "inventory", "product", "sales", "store"]
+    assert missing(spark, tmp_path / "absent") == every
+    assert missing(spark, tmp_path) == every
+    for name in every:
+        (tmp_path / f"{name}_2023-02-01.csv.gz").write_text("x")
+    (tmp_path / "sales_2023-02-31.csv.gz").write_text("x")
+    (tmp_path / "notes.txt").write_text("x")
+    assert missing(spark, tmp_path) == []
+    (tmp_path / "sales_2023-02-01.csv.gz").write_text("")
+    assert missing(spark, tmp_path) == ["sales"]
+    (tmp_path / "store_2023-02-01.csv.gz").unlink()
+    assert missing(spark, tmp_path) == ["sales", "store"]
+
+
+def test_landed_tables_maps_names_to_paths(spark, tmp_path):
+    for name in ("sales_2023-02-01.csv.gz", "store_2023-02-13.csv", "price_list_2023-02-01.csv.gz"):
+        (tmp_path / name).write_text("a")
+    tables = landed_tables(landed_files(spark, str(tmp_path))).collect()
+    assert {(t.table_name, str(t.run_date)) for t in tables} == {
+        ("sales", "2023-02-01"),
+        ("store", "2023-02-13"),
+        ("price_list", "2023-02-01"),
+    }
+    assert all(t.path.endswith((".csv", ".csv.gz")) and t.length == 1 for t in tables)
+
+
+def test_database_reads_are_split_by_a_column():
+    whole = jdbc_options("jdbc:x", "store")
+    assert "partitionColumn" not in whole and whole["dbtable"] == "store"
+    split = jdbc_options(
+        "jdbc:x", "sales", column="trans_dt", bounds=(date(2023, 1, 1), RUN), partitions=8,
+        properties={"user": "reader"},
+    )
+    assert split["lowerBound"] == "2023-01-01" and split["upperBound"] == "2023-02-01"
+    assert (split["partitionColumn"], split["numPartitions"]) == ("trans_dt", "8")
+    assert split["user"] == "reader"
+
+
+def test_extract_database_asks_for_every_table(spark, five, tmp_path, monkeypatch):
+    asked = {}
+
+    def read(session, url, name, **options):
+        asked[name] = options
+        return five[name]
+
+    monkeypatch.setattr(nightly, "read_jdbc", read)
+    paths = nightly.extract_database(spark, "jdbc:x", str(tmp_path), RUN, partitions=4)
+    assert asked.keys() == paths.keys() == five.keys()
+    assert {n: o["column"] for n, o in asked.items()} == nightly.SPLIT_COLUMNS
+    assert missing(spark, tmp_path) == []

@@ -1,0 +1,57 @@
+import pytest
+
+from shelfweek.operators import quality, skew, weekly
+from shelfweek.schemas import PRODUCT, STORE
+from tests.fixtures import bag, micro, rows
+
+
+def test_duplicate_keys(spark):
+    _, calendar, inventory = micro(spark)
+    assert quality.duplicate_keys(calendar, ["cal_dt"]).count() == 0
+    repeated = inventory.union(inventory.filter("prod_key = 11 AND store_key = 1"))
+    found = quality.duplicate_keys(repeated, ["cal_dt", "store_key", "prod_key"]).collect()
+    assert [(str(r.cal_dt), r.store_key, r.prod_key, r.n_rows) for r in found] == [
+        ("2023-01-03", 1, 11, 2)
+    ]
+
+
+@pytest.mark.parametrize("max_rows", [None, 0], ids=["broadcast", "shuffled"])
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_dropped_sales(spark, monkeypatch, max_rows, hot_rows):
+    if max_rows is not None:
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", max_rows)
+    dropped = quality.dropped_sales(*micro(spark), hot_rows=hot_rows)
+    assert bag(dropped, ["trans_id", "reason"]) == {
+        (5, "no inventory"): 1,
+        (6, "no calendar day"): 1,
+        (8, "no calendar day"): 1,
+    }
+    assert dropped.columns[:-1] == micro(spark)[0].columns
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}, {"max_rows": 0, "hot_rows": 1}])
+def test_enriched_summary_keeps_every_row(spark, limits):
+    summary = weekly.weekly_summary(*micro(spark))
+    stores = rows(spark, STORE, {"store_key": 1, "region": "north"}, {"store_key": 9})
+    products = rows(spark, PRODUCT, {"prod_key": 10, "brand_name": "b"})
+    result = weekly.enrich(
+        summary,
+        stores.select("store_key", "region"),
+        products.select("prod_key", "brand_name"),
+        **limits,
+    )
+    assert bag(result, ["STORE_KEY", "PROD_KEY", "region", "brand_name"]) == {
+        (1, 10, "north", "b"): 1,
+        (1, 11, "north", None): 1,
+        (3, 11, None, None): 1,
+        (2, 10, None, "b"): 1,
+    }
+
+
+def test_in_stock_share_complements_the_out_of_stock_share(spark):
+    result = weekly.in_stock_pct(weekly.weekly_summary(*micro(spark)))
+    assert bag(result, ["PERCENTAGE_STORE_IN_STOCK", "IN_STOCK_PCT"]) == {
+        (14.286, 85.714): 2,
+        (0.0, 100.0): 1,
+        (None, None): 1,
+    }

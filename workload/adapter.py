@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from workload.scratch import scratch_folder
+from shelfweek.sinks.scratch import scratch_folder
 
 SALES = """
 SELECT l_orderkey * 10 + l_linenumber AS trans_id,

@@ -17,7 +17,7 @@ from shelfweek.sources.files import load_tables, read_csv
 from shelfweek.sources.landing import landed_files, missing_inputs
 from workload.adapter import as_declared, table, tables
 from workload.oracle import RUN_DATE
-from workload.scratch import scratch_folder
+from shelfweek.sinks.scratch import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 THREE = ("sales", "calendar", "inventory")
