@@ -26,6 +26,10 @@ def stock_snapshots(inventory: DataFrame) -> DataFrame:
     return inventory.select(*(F.col(c).alias(c) for c in (*PAIR, *STOCK)))
 
 
+def dated_snapshots(inventory: DataFrame) -> DataFrame:
+    return inventory.select(*(F.col(c).alias(c) for c in ("CAL_DT", *PAIR, *STOCK)))
+
+
 def sales_calendar(
     sales: DataFrame, calendar: DataFrame, *, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -56,8 +60,7 @@ def base_join_dated(
 ) -> DataFrame:
     """Every dated sale with the stock snapshot of the same day, store and product."""
     keys = ["CAL_DT", *PAIR]
-    snapshots = inventory.select(*(F.col(c).alias(c) for c in (*keys, *STOCK)))
-    lines = sale_lines(sales)
+    lines, snapshots = sale_lines(sales), dated_snapshots(inventory)
     sold, held = hot_cells(keys, lines, snapshots, hot_rows=hot_rows)
     matched = skew_join(lines, snapshots, keys, left_cells=sold, right_cells=held)
     return dimension_join(

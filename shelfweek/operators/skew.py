@@ -42,11 +42,16 @@ def hot_cells(
     There are at most BUCKETS counts per frame whatever the data, and only the
     large ones reach the driver. An empty result proves that no key of the
     frame has more rows than the larger of ``hot_rows`` and HOT_FACTOR means.
+    A frame with no more rows than ``hot_rows`` has no such key to look for.
     """
+    cells = [{} for _ in frames]
     keyed = [
         frame.select(F.lit(i).alias("frame"), _bucket(frame, keys).alias("bucket"))
         for i, frame in enumerate(frames)
+        if frame.count() > hot_rows
     ]
+    if not keyed:
+        return cells
     sizes = (
         reduce(DataFrame.unionAll, keyed)
         .groupBy("frame", "bucket")
@@ -54,7 +59,6 @@ def hot_cells(
     )
     big = F.when(F.col("n") > hot_rows, F.struct("bucket", "n"))
     found = sizes.groupBy("frame").agg(F.sum("n").alias("total"), F.collect_list(big).alias("big"))
-    cells = [{} for _ in frames]
     for row in found.collect():
         limit = max(hot_rows, HOT_FACTOR * row["total"] // BUCKETS)
         cells[row["frame"]] = {

@@ -4,9 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfweek.functions.measures import low_stock_flag, weekly_metrics
-from shelfweek.operators.joins import calendar_days, sale_lines, sales_calendar, stock_snapshots
-from shelfweek.operators.skew import HOT_ROWS, dimension_join
-from shelfweek.operators.stock import pair_history, stock_states
+from shelfweek.operators.joins import (
+    calendar_days,
+    dated_snapshots,
+    sale_lines,
+    sales_calendar,
+    stock_snapshots,
+)
+from shelfweek.operators.skew import HOT_ROWS, dimension_join, hot_cells, skew_join
 from shelfweek.schemas import GRAIN, PAIR, STOCK
 
 LOW_STOCK = [*GRAIN, "INVENTORY_ON_HAND_QTY", "SALES_QTY", "LOW_STOCK_FLG"]
@@ -29,7 +34,9 @@ def totals(base: DataFrame) -> DataFrame:
     return sums.select(*GRAIN, *_named_metrics("qty", "amt", "cost", F.col("outs")))
 
 
-def weekly_totals(sales: DataFrame, calendar: DataFrame, inventory: DataFrame) -> DataFrame:
+def weekly_totals(
+    sales: DataFrame, calendar: DataFrame, inventory: DataFrame, *, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """``totals(base_join(...))`` without the joined rows.
 
     Sales are summed per week and snapshots per pair before they meet. Each of
@@ -37,19 +44,26 @@ def weekly_totals(sales: DataFrame, calendar: DataFrame, inventory: DataFrame) -
     over sales grow k-fold and the sums over snapshots n-fold. The join has one
     row per pair on one side and at most one per week on the other, so no key
     is hot in it.
+
+    Without a hot pair the sales are shuffled once, by pair, for the sums and
+    the join. With one they are first combined map-side, per week and pair.
     """
-    weeks = (
-        sales_calendar(sales, calendar)
-        .groupBy(*GRAIN)
-        .agg(
-            F.count(F.lit(1)).alias("n_sales"),
-            F.sum("SALES_QTY").alias("qty"),
-            F.sum("SALES_AMT").alias("amt"),
-            F.sum("SALES_COST").alias("cost"),
-        )
+    dated = sales_calendar(sales, calendar, hot_rows=hot_rows)
+    (sold,) = hot_cells(PAIR, sale_lines(sales), hot_rows=hot_rows)
+    if not sold:
+        dated = dated.repartition(*PAIR)
+    weeks = dated.groupBy(*GRAIN).agg(
+        F.count(F.lit(1)).alias("n_sales"),
+        F.sum("SALES_QTY").alias("qty"),
+        F.sum("SALES_AMT").alias("amt"),
+        F.sum("SALES_COST").alias("cost"),
+    )
+    history = (
+        stock_snapshots(inventory)
+        .groupBy(*PAIR)
+        .agg(F.count(F.lit(1)).alias("n_snapshots"), F.sum("OUT_OF_STOCK_FLG").alias("outs"))
     )
-    joined = weeks.join(pair_history(stock_states(stock_snapshots(inventory))), PAIR)
-    return joined.select(*GRAIN, *history_metrics())
+    return weeks.join(history, PAIR).select(*GRAIN, *history_metrics())
 
 
 def history_metrics() -> list:
@@ -73,52 +87,47 @@ def _named_metrics(qty, amt, cost, outs):
 
 
 def weekly_summary(
-    sales: DataFrame, calendar: DataFrame, inventory: DataFrame, week_end_day: int = 6
+    sales: DataFrame,
+    calendar: DataFrame,
+    inventory: DataFrame,
+    week_end_day: int = 6,
+    *,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per year, week, store and product over same-day stock.
 
-    Equal to grouping ``base_join_dated``, but both tables are first reduced to
-    one row per day, store and product. That combines map-side, leaves no hot
-    key, and the join reuses the partitioning of the two aggregations. A pair
-    of minimum stock and maximum quantity tells whether any sale of the day
-    exceeded any stock of the day.
+    Equal to grouping ``base_join_dated``, but the sales are first reduced to
+    one row per day, store and product, which combines map-side, leaves no hot
+    key on that side and gives the join its partitioning. The largest sale of
+    the day tells whether any of its sales exceeded the stock.
     """
     day = ["CAL_DT", *PAIR]
-    sold = (
-        sale_lines(sales)
-        .groupBy(*day)
-        .agg(
-            F.count(F.lit(1)).alias("n_sales"),
-            F.sum("SALES_QTY").alias("qty"),
-            F.sum("SALES_AMT").alias("amt"),
-            F.sum("SALES_COST").alias("cost"),
-            F.max("SALES_QTY").alias("largest_sale"),
-        )
-    )
-    stocked = (
-        inventory.select(*(F.col(c).alias(c) for c in (*day, *STOCK)))
-        .groupBy(*day)
-        .agg(
-            F.count(F.lit(1)).alias("n_snapshots"),
-            F.sum("OUT_OF_STOCK_FLG").alias("outs"),
-            F.min("INVENTORY_ON_HAND_QTY").alias("least_on_hand"),
-            *(F.max(c).alias(c) for c in STOCK),
-        )
+    lines = sale_lines(sales)
+    sold = lines.groupBy(*day).agg(
+        F.count(F.lit(1)).alias("n_sales"),
+        F.sum("SALES_QTY").alias("qty"),
+        F.sum("SALES_AMT").alias("amt"),
+        F.sum("SALES_COST").alias("cost"),
+        F.max("SALES_QTY").alias("largest_sale"),
     )
+    snapshots = dated_snapshots(inventory)
+    (held,) = hot_cells(day, snapshots, hot_rows=hot_rows)
     days = dimension_join(
-        sold.join(stocked, day), calendar_days(calendar), ["CAL_DT"], load=sale_lines(sales)
+        skew_join(sold, snapshots, day, right_cells=held),
+        calendar_days(calendar),
+        ["CAL_DT"],
+        load=lines,
+        hot_rows=hot_rows,
     )
     week_end = F.col("DAY_OF_WK_NUM") == week_end_day
-    k = F.col("n_snapshots")
+    low = low_stock_flag(F.col("INVENTORY_ON_HAND_QTY"), F.col("largest_sale"))
     weeks = days.groupBy(*GRAIN).agg(
-        F.sum(F.col("qty") * k).alias("qty"),
-        F.sum(F.col("amt") * k).alias("amt"),
-        F.sum(F.col("cost") * k).alias("cost"),
-        F.sum(F.col("n_sales") * F.col("outs")).alias("outs"),
+        F.sum("qty").alias("qty"),
+        F.sum("amt").alias("amt"),
+        F.sum("cost").alias("cost"),
+        F.sum(F.col("n_sales") * F.col("OUT_OF_STOCK_FLG")).alias("outs"),
         *(F.max(F.when(week_end, F.col(c))).alias(c) for c in STOCK),
-        F.max(low_stock_flag(F.col("least_on_hand"), F.col("largest_sale"))).alias(
-            "LOW_STOCK_FLG"
-        ),
+        F.max(low).alias("LOW_STOCK_FLG"),
     )
     return weeks.select(
         *GRAIN,

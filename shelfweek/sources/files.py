@@ -12,13 +12,13 @@ CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType | None = None,
     *,
     header: bool = True,
     multi_line: bool = False,
 ) -> DataFrame:
-    """A CSV file or folder; ``.gz`` files are unpacked by their extension.
+    """CSV files or folders; ``.gz`` files are unpacked by their extension.
 
     With a schema there is no inference pass, values keep their text form where
     the type is STRING, a header that does not match the schema is an error,
@@ -49,7 +49,11 @@ def read_csv(
 
 
 def load_tables(
-    spark: SparkSession, paths: dict[str, str], *, header: bool = True, infer: bool = False
+    spark: SparkSession,
+    paths: dict[str, str | list[str]],
+    *,
+    header: bool = True,
+    infer: bool = False,
 ) -> dict[str, DataFrame]:
     """The source tables by name, each with its published schema."""
     return {

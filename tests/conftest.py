@@ -17,7 +17,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", str(root / "shared"))
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
         .getOrCreate()
     )

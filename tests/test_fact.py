@@ -2,6 +2,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfweek.operators import joins, skew, weekly
 from shelfweek.operators.counted import COPIES, unroll
@@ -97,7 +98,8 @@ def test_stages_equal_fan_out(spark, hot_rows):
     plain_base = fan_out_base(*tables)
     assert bag(base) == bag(plain_base)
     assert bag(weekly.low_stock(base)) == bag(weekly.low_stock(plain_base))
-    assert bag(weekly.weekly_totals(*tables)) == bag(weekly.totals(plain_base))
+    totals = weekly.weekly_totals(*tables, hot_rows=hot_rows)
+    assert bag(totals) == bag(weekly.totals(plain_base))
     week_end = fact.week_end_stock(*tables, 5, hot_rows=hot_rows)
     assert bag(week_end) == bag(fan_out_week_end(plain_base, 5).select(week_end.columns))
     low = fact.low_stock_join(*tables, 5, hot_rows=hot_rows)
@@ -114,11 +116,14 @@ def test_shuffled_calendar_gives_the_same_rows(spark, monkeypatch, hot_rows):
     assert bag(joins.base_join_dated(*tables, hot_rows=hot_rows)) == dated
 
 
-def test_summary_equals_grouped_dated_join(spark):
+@LAYOUTS
+def test_summary_equals_grouped_dated_join(spark, hot_rows):
     tables = random_tables(spark, 13)
-    grouped = weekly.totals(joins.base_join_dated(*tables))
-    summary = weekly.weekly_summary(*tables)
-    assert bag(summary.select(grouped.columns)) == bag(grouped)
+    base = joins.base_join_dated(*tables)
+    summary = weekly.weekly_summary(*tables, 5, hot_rows=hot_rows)
+    assert bag(summary.select(weekly.totals(base).columns)) == bag(weekly.totals(base))
+    low = weekly.low_stock(base).groupBy(*GRAIN).agg(F.max("LOW_STOCK_FLG").alias("LOW_STOCK_FLG"))
+    assert bag(summary.select(low.columns)) == bag(low)
     assert summary.select(GRAIN).distinct().count() == summary.count()
 
 

@@ -1,3 +1,4 @@
+import gzip
 from datetime import date
 
 import pytest
@@ -128,6 +129,31 @@ def test_completeness_of_flat_files(spark, tmp_path):
     assert missing(spark, tmp_path) == ["sales", "store"]
 
 
+def test_job_starts_only_on_complete_landings(spark, landing, tmp_path):
+    out = str(tmp_path / "out")
+    assert nightly.run_if_complete(spark, landing[0], out, date(2023, 2, 2)) == [
+        "calendar", "inventory", "product", "sales", "store",
+    ]
+    assert not (tmp_path / "out").exists()
+    assert nightly.run_if_complete(spark, landing[0], out, RUN) == []
+    assert spark.read.parquet(f"{out}/sales_inv").count() == 10
+    with pytest.raises(SystemExit) as exit_:
+        nightly.main(["--date", "2023-02-02", "--out", out, "--landing", landing[0]])
+    assert exit_.value.code == 1
+
+
+def test_job_reads_flat_files_without_header(spark, five, tmp_path):
+    for name, table in five.items():
+        lines = [
+            ",".join("" if v is None else f'"{v}"' for v in row) + "\n" for row in table.collect()
+        ]
+        with gzip.open(tmp_path / f"{name}_2023-02-01.csv.gz", "wt") as file:
+            file.writelines(lines)
+    out = str(tmp_path / "out")
+    assert nightly.run_if_complete(spark, str(tmp_path), out, RUN, header=False) == []
+    assert bag(spark.read.parquet(f"{out}/sales_inv"), FACT) == EXPECTED_FACT
+
+
 def test_landed_tables_maps_names_to_paths(spark, tmp_path):
     for name in ("sales_2023-02-01.csv.gz", "store_2023-02-13.csv", "price_list_2023-02-01.csv.gz"):
         (tmp_path / name).write_text("a")

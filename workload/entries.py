@@ -14,7 +14,7 @@ from shelfweek.plans import fact, nightly
 from shelfweek.sinks.catalog import register_dimension, register_fact
 from shelfweek.sinks.writers import under, write_csv, write_fact, write_landing, write_snapshot
 from shelfweek.sources.files import load_tables, read_csv
-from shelfweek.sources.landing import landed_files, missing_inputs
+from shelfweek.sources.landing import landed_files, landed_tables, missing_inputs
 from workload.adapter import as_declared, table, tables
 from workload.oracle import RUN_DATE
 from shelfweek.sinks.scratch import scratch_folder
@@ -62,14 +62,18 @@ def fact_enriched(sales, calendar, inventory, store, product):
     )
 
 
-def duplicate_inventory(spark, sf_dir):
-    """Repeated snapshot keys before the adapter removes them."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        F.col("l_shipdate").cast("date").alias("cal_dt"),
-        F.col("l_suppkey").alias("store_key"),
-        F.col("l_partkey").alias("prod_key"),
-    )
-    return plain(quality.duplicate_keys(lines, ["cal_dt", "store_key", "prod_key"]))
+def repeated_in_lines(*keys: str) -> Query:
+    """Keys that repeat in the order lines, from which the adapter takes them once."""
+
+    def query(spark, sf_dir):
+        lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+            F.col("l_shipdate").cast("date").alias("cal_dt"),
+            F.col("l_suppkey").alias("store_key"),
+            F.col("l_partkey").alias("prod_key"),
+        )
+        return plain(quality.duplicate_keys(lines, list(keys)))
+
+    return query
 
 
 def dropped_sales(spark, sf_dir):
@@ -128,20 +132,32 @@ def landing_extract(spark, sf_dir):
     return plain(read_csv(spark, extract(spark, sf_dir)["sales"], schemas.SALES))
 
 
-def missing(spark, sf_dir):
-    """Monthly landings of rare rows: which months of each table never arrived?"""
+def monthly_landing(spark, sf_dir) -> str:
+    """Rows that are rare enough to miss some months, landed in monthly folders."""
     landing = scratch_folder(spark, "gate")
-    sales, calendar, inventory = tables(spark, sf_dir, *THREE)
+    sales, inventory = tables(spark, sf_dir, "sales", "inventory")
     bulk = sales.filter("sales_qty = 50 AND discount = 0.10 AND ship_cost = 0.08")
     empty = inventory.filter("inventory_on_hand_qty = 0 AND inventory_on_order_qty = 0")
     for name, rows, day in (("sales", bulk, "trans_dt"), ("inventory", empty, "cal_dt")):
-        monthly = rows.withColumn("date", F.trunc(day, "month"))
-        monthly.repartition("date").write.partitionBy("date").csv(under(landing, name))
+        monthly = rows.withColumn("date", F.trunc(day, "month")).hint("rebalance", "date")
+        monthly.write.partitionBy("date").csv(under(landing, name))
+    return landing
+
+
+def missing(spark, sf_dir):
+    """Which months of each table never arrived?"""
+    files = landed_files(spark, monthly_landing(spark, sf_dir))
+    calendar = table(spark, sf_dir, "calendar")
     months = calendar.select(F.trunc("cal_dt", "month").alias("run_date")).distinct()
     required = months.select(
         F.explode(F.array(F.lit("sales"), F.lit("inventory"))).alias("table_name"), "run_date"
     )
-    return plain(missing_inputs(required, landed_files(spark, landing)))
+    return plain(missing_inputs(required, files))
+
+
+def landed(spark, sf_dir):
+    files = landed_files(spark, monthly_landing(spark, sf_dir))
+    return plain(landed_tables(files).select("table_name", "run_date").distinct())
 
 
 def fact_roundtrip(spark, sf_dir):
@@ -200,14 +216,15 @@ def queries() -> dict[str, Query]:
         "in_stock_pct": over(in_stock_pct, *THREE),
         "fact_enriched": over(fact_enriched, *THREE, "store", "product"),
         "duplicate_sales": over(lambda t: quality.duplicate_keys(t, ["trans_id"]), "sales"),
-        "duplicate_calendar": over(lambda t: quality.duplicate_keys(t, ["cal_dt"]), "calendar"),
-        "duplicate_inventory": duplicate_inventory,
+        "duplicate_calendar": repeated_in_lines("cal_dt"),
+        "duplicate_inventory": repeated_in_lines("cal_dt", "store_key", "prod_key"),
         "dropped_sales": dropped_sales,
         "csv_scan_typed": csv_scan(infer=False),
         "csv_scan_inferred": csv_scan(infer=True),
         "gzip_csv_scan": gzip_csv_scan,
         "load_tables": load_five,
         "landing_extract": landing_extract,
+        "landed_tables": landed,
         "missing_inputs": missing,
         "fact_parquet_roundtrip": fact_roundtrip,
         "static_overwrite": overwrite(dynamic=False),

@@ -285,10 +285,9 @@ LEFT JOIN product p ON f.PROD_KEY = p.prod_key"""
         "duplicate_sales": _with(
             select="SELECT trans_id, count(*) AS n_rows FROM sales GROUP BY 1 HAVING count(*) > 1"
         ),
-        "duplicate_calendar": _with(
-            select="SELECT CAST(cal_dt AS VARCHAR) AS cal_dt, count(*) AS n_rows FROM calendar "
-            "GROUP BY 1 HAVING count(*) > 1"
-        ),
+        "duplicate_calendar": """
+SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS cal_dt, count(*) AS n_rows
+FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
         "duplicate_inventory": """
 SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS cal_dt, l_suppkey AS store_key,
        l_partkey AS prod_key, count(*) AS n_rows
@@ -311,6 +310,10 @@ SELECT {SALES_ROWS}, 'no inventory' AS reason FROM sales s WHERE NOT EXISTS
         "gzip_csv_scan": _with(select=f"SELECT {INVENTORY_ROWS} FROM inventory"),
         "load_tables": _with(select=loaded),
         "landing_extract": _with(select=f"SELECT {SALES_ROWS} FROM sales"),
+        "landed_tables": _with(
+            months,
+            select="SELECT table_name, CAST(run_date AS VARCHAR) AS run_date FROM landed",
+        ),
         "missing_inputs": _with(
             months,
             select="SELECT table_name, CAST(run_date AS VARCHAR) AS run_date FROM required "
