@@ -10,10 +10,22 @@ BASE = ["YR_NUM", "WK_NUM", "DAY_OF_WK_NUM", "MNTH_NUM", *PAIR, *SALE_MEASURES,
 
 
 def sale_lines(sales: DataFrame) -> DataFrame:
-    """The sales columns the metrics need, dated by ``CAL_DT``."""
+    """The sales columns the metrics need, dated by ``CAL_DT``.
+
+    Measures that were inferred as doubles get their declared two decimals back.
+    Their sums are then exact and the same whatever order they are added in,
+    also when a lost task is run again.
+    """
+    types = {name.upper(): kind for name, kind in sales.dtypes}
+
+    def exact(name):
+        column = F.col(name)
+        return column.cast("decimal(18,2)") if types[name] in ("double", "float") else column
+
     return sales.select(
         F.col("trans_dt").alias("CAL_DT"),
-        *(F.col(c).alias(c) for c in (*PAIR, *SALE_MEASURES)),
+        *(F.col(c).alias(c) for c in PAIR),
+        *(exact(c).alias(c) for c in SALE_MEASURES),
     )
 
 

@@ -1,6 +1,7 @@
 """Joins that stay balanced when one key holds a large share of the rows."""
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,6 @@ BUCKETS = 1 << 16
 # A bucket is hot when it holds this many times the mean, and at least HOT_ROWS.
 HOT_FACTOR = 8
 HOT_ROWS = 1_000_000
-MAX_CELLS = 512
 
 _CELL_L, _CELL_R, _BUCKET = "__cell_l", "__cell_r", "__bucket"
 
@@ -42,7 +42,8 @@ def hot_cells(
     There are at most BUCKETS counts per frame whatever the data, and only the
     large ones reach the driver. An empty result proves that no key of the
     frame has more rows than the larger of ``hot_rows`` and HOT_FACTOR means.
-    A frame with no more rows than ``hot_rows`` has no such key to look for.
+    A frame with no more rows than ``hot_rows`` has no such key to look for. A
+    bucket is cut into BUCKETS / HOT_FACTOR cells at most, if it holds all rows.
     """
     cells = [{} for _ in frames]
     keyed = [
@@ -62,7 +63,7 @@ def hot_cells(
     for row in found.collect():
         limit = max(hot_rows, HOT_FACTOR * row["total"] // BUCKETS)
         cells[row["frame"]] = {
-            bucket: min(-(-n // limit), MAX_CELLS) for bucket, n in row["big"] if n > limit
+            bucket: ceil(n / limit) for bucket, n in row["big"] if n > limit
         }
     return cells
 

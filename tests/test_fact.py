@@ -68,6 +68,15 @@ def test_micro_fact(spark, hot_rows):
     assert bag(result, FACT) == EXPECTED_FACT
 
 
+def test_inferred_doubles_give_the_declared_types(spark):
+    sales, calendar, inventory = micro(spark)
+    names = ("sales_qty", "sales_amt", "sales_cost")
+    doubles = sales.withColumns({n: F.col(n).cast("double") for n in names})
+    result = fact.weekly_fact(doubles, calendar, inventory)
+    assert result.schema == fact.weekly_fact(sales, calendar, inventory).schema
+    assert bag(result, FACT) == EXPECTED_FACT
+
+
 def test_micro_dated_totals(spark):
     result = weekly.weekly_summary(*micro(spark))
     columns = [*GRAIN, "TOTAL_SALES_QTY", "TOTAL_SALES_AMT", "AVG_SALES_PRICE",

@@ -9,7 +9,7 @@ from shelfweek.plans.fact import weekly_fact
 from shelfweek.schemas import FACT, PRODUCT, STORE
 from shelfweek.sinks.catalog import register_outputs
 from shelfweek.sinks.writers import write_fact
-from shelfweek.sources.database import jdbc_options
+from shelfweek.sources.database import jdbc_options, read_jdbc
 from shelfweek.sources.landing import landed_files, landed_tables
 from tests.fixtures import bag, micro, rows
 from tests.test_fact import EXPECTED_FACT
@@ -178,6 +178,45 @@ def test_database_reads_are_split_by_a_column():
     assert split["user"] == "reader"
 
 
+class FakeReader:
+    """Stands for ``spark.read``; records the options and answers the bounds query."""
+
+    def __init__(self, bounds):
+        self.bounds, self.calls = bounds, []
+
+    read = property(lambda self: self)
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.calls.append(options)
+        return self
+
+    def load(self):
+        return self
+
+    def first(self):
+        return self.bounds
+
+
+def test_split_reads_take_their_bounds_from_the_database():
+    reader = FakeReader((1, 900))
+    read_jdbc(reader, "jdbc:x", "store", column="store_key", partitions=4)
+    span, read = reader.calls
+    assert "MIN(store_key)" in span["dbtable"] and "FROM store" in span["dbtable"]
+    assert (read["dbtable"], read["lowerBound"], read["upperBound"]) == ("store", "1", "900")
+    assert read["numPartitions"] == "4"
+
+
+@pytest.mark.parametrize("bounds", [None, (None, None)])
+def test_empty_tables_are_read_whole(bounds):
+    reader = FakeReader(bounds)
+    read_jdbc(reader, "jdbc:x", "store", column="store_key", partitions=4)
+    assert "partitionColumn" not in reader.calls[-1]
+
+
 def test_extract_database_asks_for_every_table(spark, five, tmp_path, monkeypatch):
     asked = {}
 
