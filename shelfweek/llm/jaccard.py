@@ -20,8 +20,9 @@ links: every set is first compared with the best connected set it met, and
 afterwards only pairs whose ends are still in different components are.
 """
 
+from functools import partial
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ SKETCH_BITS = 2048
 UNNAMED = 1 << 62
 # Members of one list compared with each other at a time.
 TILE = 1024
+COMPARED = 1 << 15
 
 
 def _texts(batches, width):
@@ -79,8 +81,8 @@ class Bands:
         self.percent = percent
 
     def top(self, level: int) -> int:
-        """Largest size of a band: its greatest difference stays below half of its segments."""
-        return (1 << level) * (100 + self.percent) // (4 * (100 - self.percent))
+        """Largest size of a band: its greatest difference is two thirds of its segments."""
+        return (1 << level) * (100 + self.percent) // (3 * (100 - self.percent))
 
     def partner(self, size: int) -> int:
         return size * 100 // self.percent
@@ -167,8 +169,8 @@ def _entered(width: int, percent: int, ranges: int):
     return enter
 
 
-def shared_lists(keys: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
-    """The distinct sorted lists of ids, two or more, that share a key."""
+def shared_lists(keys: np.ndarray, ids: np.ndarray) -> dict[bytes, int]:
+    """The distinct sorted lists of ids, two or more, that share a key, and by how many."""
     order = np.argsort(keys)
     keys, ids = keys[order], ids[order]
     again = keys[1:] == keys[:-1]
@@ -179,14 +181,12 @@ def shared_lists(keys: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
     keys, ids = keys[new], ids[new]
-    if not len(keys):
-        return []
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    lists, seen = [], set()
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else []
+    lists: dict[bytes, int] = {}
     for a, b in zip(first, np.append(first[1:], len(keys))):
-        if b - a > 1 and (name := ids[a:b].tobytes()) not in seen:
-            seen.add(name)
-            lists.append(ids[a:b])
+        if b - a > 1:
+            name = ids[a:b].tobytes()
+            lists[name] = lists.get(name, 0) + 1
     return lists
 
 
@@ -195,23 +195,37 @@ def _share(rows: pa.Table) -> pa.Table:
     numbers = np.frombuffer(joined["numbers"], np.uint32)
     ids = np.repeat(np.frombuffer(joined["ids"], np.int64), numbers)
     lists = shared_lists(np.frombuffer(joined["keys"], np.uint64), ids)
-    names = [fingerprint(x.view(np.uint64))[0] for x in lists]
+    members = [np.frombuffer(x, np.int64) for x in lists]
+    names = [fingerprint(x.view(np.uint64))[0] for x in members]
     return pa.table(
         {
             "list": pa.array(names, pa.int64()),
-            "members": pa.array([x.tolist() for x in lists], pa.list_(pa.int64())),
+            "members": pa.array([x.tolist() for x in members], pa.list_(pa.int64())),
+            "keys": pa.array(lists.values(), pa.int64()),
         }
     )
 
 
 def sketch(found: np.ndarray) -> bytes:
-    """Parity of the tokens on each of SKETCH_BITS bits."""
-    bit = (mix(found ^ np.uint64(0xC3C3C3C3)) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    return np.packbits(np.bincount(bit, minlength=SKETCH_BITS) & 1).tobytes()
+    """Parities of the tokens on a number of bits that suits the size, a power of two."""
+    bits = 64
+    while bits < min(SKETCH_BITS, 2 * len(found)):
+        bits *= 2
+    bit = (mix(found ^ np.uint64(0xC3C3C3C3)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits(np.bincount(bit, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of equal length; bits that meet in folding are added, mod 2."""
+    short = min(map(len, sketches)) // 8
+    rows = [np.frombuffer(x, np.uint64) for x in sketches]
+    return np.stack([np.bitwise_xor.reduce(x.reshape(-1, short), axis=0) for x in rows])
 
 
-def _whole_sets(width: int):
-    def whole(batches):
+def _set_values(width: int, value):
+    """Rows (size, set_a, set_b, value) of a task's distinct sets."""
+
+    def values(batches):
         seen = set()
         for _, sets in _texts(batches, width):
             rows = []
@@ -219,15 +233,15 @@ def _whole_sets(width: int):
                 name = (len(found), *fingerprint(found))
                 if name not in seen:
                     seen.add(name)
-                    rows.append((*name, found.tobytes(), sketch(found)))
+                    rows.append((*name, value(found)))
             if rows:
-                kinds = [pa.int64()] * 3 + [pa.binary()] * 2
+                kinds = [pa.int64()] * 3 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                    names=["size", "set_a", "set_b", "tokens", "bits"],
+                    names=["size", "set_a", "set_b", "value"],
                 )
 
-    return whole
+    return values
 
 
 def _verified(percent: int):
@@ -246,38 +260,62 @@ def _verified(percent: int):
     return verify
 
 
+def _near(bits, size, i, j, bands: Bands) -> np.ndarray:
+    """Which pairs (i, j) the sizes and sketches do not refute."""
+    low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+    apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+    total = (low + high) * (100 - bands.percent)
+    return (100 * low >= bands.percent * high) & (apart * (100 + bands.percent) <= total)
+
+
+def _list_pairs(reps, roots, size, sketches, bands: Bands):
+    """Index pairs of one list in different components that may be similar."""
+    bits = folded(sketches)
+    for a in range(0, len(reps), TILE):
+        for b in range(a, len(reps), TILE):
+            s, t = slice(a, a + TILE), slice(b, b + TILE)
+            other = roots[s, None] != roots[None, t]
+            i, j = np.nonzero(np.triu(other, 1) if a == b else other)
+            for at in range(0, len(i), COMPARED):
+                x, y = i[at : at + COMPARED] + a, j[at : at + COMPARED] + b
+                near = _near(bits, size, x, y, bands)
+                yield reps[x[near]], reps[y[near]]
+
+
 def _open_pairs(percent: int):
     bands = Bands(percent)
 
-    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of a list in different components whose sketches are near enough."""
-        reps, roots = rows["rep"].to_numpy(), rows["root"].to_numpy()
-        size = rows["size"].to_numpy()
-        bits = np.stack([np.frombuffer(x, np.uint64) for x in rows["bits"]])
-        limit = 100 - bands.percent, 100 + bands.percent
-        out = []
-        for a in range(0, len(reps), TILE):
-            for b in range(a, len(reps), TILE):
-                s, t = slice(a, a + TILE), slice(b, b + TILE)
-                near = roots[s, None] != roots[None, t]
-                total = size[s, None] + size[None, t]
-                near &= 100 * np.minimum(size[s, None], size[None, t]) >= bands.percent * np.maximum(
-                    size[s, None], size[None, t]
-                )
-                i, j = np.nonzero(np.triu(near, 1) if a == b else near)
-                for at in range(0, len(i), 1 << 16):
-                    x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-                    apart = np.bitwise_count(bits[s][x] ^ bits[t][y]).sum(axis=1, dtype=np.int64)
-                    ok = apart * limit[1] <= total[x, y] * limit[0]
-                    out.append((reps[s][x[ok]], reps[t][y[ok]]))
-        if not out:
-            return pd.DataFrame({"a": [], "b": []})
-        a, b = (np.concatenate(c) for c in zip(*out))
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    def pairs(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("list")
+        lists, reps, roots, size = (
+            rows.column(c).to_numpy() for c in ("list", "rep", "root", "size")
+        )
+        sketches = rows.column("bits").to_pylist()
+        first = np.flatnonzero(np.concatenate(([True], lists[1:] != lists[:-1])))
+        found = [np.empty((0, 2), np.int64)]
+        for a, b in zip(first, np.append(first[1:], len(lists))):
+            for x, y in _list_pairs(reps[a:b], roots[a:b], size[a:b], sketches[a:b], bands):
+                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+        a, b = np.unique(np.concatenate(found), axis=0).T
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return pairs
 
 
+def _sketched(percent: int):
+    bands = Bands(percent)
+
+    def refute(batches):
+        for batch in batches:
+            size = np.stack([batch.column(c).to_numpy() for c in ("size_a", "size_b")])
+            pairs = zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())
+            one, two = np.array([0]), np.array([1])
+            keep = [bool(_near(folded(p), size[:, i], one, two, bands)[0]) for i, p in enumerate(pairs)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return refute
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = 75,
@@ -313,31 +351,42 @@ def near_duplicates(
     entered = texts.select("text").mapInArrow(
         _entered(width, percent, ranges), "range int, keys binary, ids binary, numbers binary"
     )
-    lists = entered.groupBy("range").applyInArrow(_share, "list bigint, members array<bigint>")
-    lists = checkpoint(lists.dropDuplicates(["list"]))
+    lists = entered.groupBy("range").applyInArrow(
+        _share, "list bigint, members array<bigint>, keys bigint"
+    )
+    lists = checkpoint(
+        lists.groupBy("list").agg(F.first("members").alias("members"), F.sum("keys").alias("keys"))
+    )
     named = classes.select(F.col("set_a").alias("member"), "rep")
     met = checkpoint(
-        lists.select("list", F.explode("members").alias("member"))
+        lists.select("list", "keys", F.explode("members").alias("member"))
         .join(named, "member")
-        .select("list", "rep")
+        .select("list", "keys", "rep")
     )
-    live = checkpoint(met.groupBy("rep").agg(F.count("*").alias("lists")))
-    sets = checkpoint(_sets_of(texts, classes, live, width))
+    live = checkpoint(met.groupBy("rep").agg(F.sum("keys").alias("keys")))
+    sketches = checkpoint(
+        _values_of(live, texts, classes, width, sketch).withColumnRenamed("value", "bits")
+    )
+    # Everyone's hub is the best connected set of its lists, by the most keys in common.
     hubs = (
-        met.join(live, "rep")
+        met.select("list", "rep")
+        .join(live, "rep")
         .groupBy("list")
-        .agg(F.max(F.struct("lists", "rep")).alias("hub"))
+        .agg(F.max_by("rep", F.struct("keys", "rep")).alias("hub"))
     )
     first = (
         met.join(hubs, "list")
-        .where("rep <> hub.rep")
+        .where("rep <> hub")
+        .groupBy("rep", "hub")
+        .agg(F.sum("keys").alias("keys"))
         .groupBy("rep")
-        .agg(F.max("hub").alias("hub"))
-        .select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"))
+        .agg(F.max_by("hub", F.struct("keys", "hub")).alias("hub"))
+        .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
         .distinct()
     )
     first = checkpoint(first)
-    links = checkpoint(_compared(first, sets, percent))
+    compare = partial(_compared, texts=texts, classes=classes, width=width, percent=percent)
+    links = checkpoint(compare(_not_refuted(first, sketches, percent)))
     roots = components(links)
     placed = met.join(roots, F.col("rep") == F.col("id"), "left").select(
         "list", "rep", F.coalesce("component", "rep").alias("root")
@@ -349,14 +398,15 @@ def near_duplicates(
         .where("low <> high")
         .select("list")
     )
-    open_rows = placed.join(mixed, "list").join(sets.select("rep", "bits", "size"), "rep")
+    open_rows = placed.join(mixed, "list").join(sketches, "rep")
     more = (
-        open_rows.groupBy("list")
-        .applyInPandas(_open_pairs(percent), "a bigint, b bigint")
+        open_rows.withColumn("range", F.pmod("list", F.lit(ranges)))
+        .groupBy("range")
+        .applyInArrow(_open_pairs(percent), "a bigint, b bigint")
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    joined = components(links.union(_compared(more, sets, percent)))
+    joined = components(links.union(compare(more)))
     named = (
         classes.join(joined, F.col("rep") == F.col("id"), "left")
         .select(*name, F.coalesce("component", "rep").alias("component"))
@@ -368,28 +418,40 @@ def near_duplicates(
     )
 
 
-def _sets_of(texts: DataFrame, classes: DataFrame, live: DataFrame, width: int) -> DataFrame:
-    """(rep, tokens, bits, size) of the classes that met another one."""
-    wanted = checked_broadcast(live.select(F.col("rep").alias("id")), 2_000_000)
-    wanted = live.select(F.col("rep").alias("id")) if wanted is None else wanted
-    found = texts.join(wanted, "id").select("text")
-    if live.where(F.col("rep") >= UNNAMED).limit(1).count():
+def _values_of(reps: DataFrame, texts: DataFrame, classes: DataFrame, width: int, value) -> DataFrame:
+    """(rep, size, value) of the classes in ``reps``, from the text of one member each."""
+    ids = reps.select(F.col("rep").alias("id"))
+    wanted = checked_broadcast(ids, 2_000_000)
+    found = texts.join(ids if wanted is None else wanted, "id").select("text")
+    if reps.where(F.col("rep") >= UNNAMED).limit(1).count():
         found = found.union(texts.where("id IS NULL").select("text"))
     name = ["size", "set_a", "set_b"]
     return (
         found.mapInArrow(
-            _whole_sets(width),
-            "size bigint, set_a bigint, set_b bigint, tokens binary, bits binary",
+            _set_values(width, value), "size bigint, set_a bigint, set_b bigint, value binary"
         )
         .groupBy(*name)
-        .agg(F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
-        .join(classes.join(live, "rep", "left_semi"), name)
-        .select("rep", "tokens", "bits", "size")
+        .agg(F.first("value").alias("value"))
+        .join(classes.join(reps.select("rep"), "rep", "left_semi"), name)
+        .select("rep", "size", "value")
     )
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    tokens = sets.select("rep", "tokens")
+def _not_refuted(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    short = sketches.select("rep", "bits", "size")
+    left, right = short.toDF("a", "bits_a", "size_a"), short.toDF("b", "bits_b", "size_b")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(
+        _sketched(percent), "a bigint, b bigint"
+    )
+
+
+def _compared(pairs: DataFrame, texts, classes, width: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar."""
+    pairs = checkpoint(pairs)
+    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    tokens = checkpoint(
+        _values_of(checkpoint(ends), texts, classes, width, np.ndarray.tobytes).select("rep", "value")
+    )
     left, right = tokens.toDF("a", "tokens_a"), tokens.toDF("b", "tokens_b")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(
         _verified(percent), "a bigint, b bigint"
