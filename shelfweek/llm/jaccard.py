@@ -20,8 +20,6 @@ links: every set is first compared with the best connected set it met, and
 afterwards only pairs whose ends are still in different components are.
 """
 
-from functools import partial
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,8 +32,9 @@ from shelfweek.operators.skew import checked_broadcast
 # Entries aimed at per range of the join, and gathered before they are dealt out.
 RANGE_ENTRIES = 1_500_000
 GATHER = 1_000_000
-# Bits of the short sketch; sketches fold, so larger sets may use the same number.
-SKETCH_BITS = 2048
+# Bits of a sketch at most, and of the short form that is sent to every list of a set.
+SKETCH_BITS = 1 << 18
+SHORT_BITS = 2048
 # Classes without any id are numbered from here on.
 UNNAMED = 1 << 62
 # Members of one list compared with each other at a time.
@@ -215,9 +214,9 @@ def sketch(found: np.ndarray) -> bytes:
     return np.packbits(np.bincount(bit, minlength=bits) & 1, bitorder="little").tobytes()
 
 
-def folded(sketches: list[bytes]) -> np.ndarray:
+def folded(sketches: list[bytes], most: int = SKETCH_BITS) -> np.ndarray:
     """Sketches as rows of equal length; bits that meet in folding are added, mod 2."""
-    short = min(map(len, sketches)) // 8
+    short = min(most // 8, *map(len, sketches)) // 8
     rows = [np.frombuffer(x, np.uint64) for x in sketches]
     return np.stack([np.bitwise_xor.reduce(x.reshape(-1, short), axis=0) for x in rows])
 
@@ -260,6 +259,15 @@ def _verified(percent: int):
     return verify
 
 
+def _shorten(batches):
+    for batch in batches:
+        short = [folded([x], SHORT_BITS).tobytes() for x in batch.column("value").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("rep"), batch.column("size"), pa.array(short, pa.binary())],
+            names=["rep", "size", "bits"],
+        )
+
+
 def _near(bits, size, i, j, bands: Bands) -> np.ndarray:
     """Which pairs (i, j) the sizes and sketches do not refute."""
     low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
@@ -364,9 +372,8 @@ def near_duplicates(
         .select("list", "keys", "rep")
     )
     live = checkpoint(met.groupBy("rep").agg(F.sum("keys").alias("keys")))
-    sketches = checkpoint(
-        _values_of(live, texts, classes, width, sketch).withColumnRenamed("value", "bits")
-    )
+    sketches = checkpoint(_values_of(live, texts, classes, width, sketch))
+    short = checkpoint(sketches.mapInArrow(_shorten, "rep bigint, size bigint, bits binary"))
     # Everyone's hub is the best connected set of its lists, by the most keys in common.
     hubs = (
         met.select("list", "rep")
@@ -385,8 +392,12 @@ def near_duplicates(
         .distinct()
     )
     first = checkpoint(first)
-    compare = partial(_compared, texts=texts, classes=classes, width=width, percent=percent)
-    links = checkpoint(compare(_not_refuted(first, sketches, percent)))
+
+    def compare(pairs):
+        near = _not_refuted(pairs, sketches, percent)
+        return _compared(near, texts, classes, width, percent)
+
+    links = checkpoint(compare(first))
     roots = components(links)
     placed = met.join(roots, F.col("rep") == F.col("id"), "left").select(
         "list", "rep", F.coalesce("component", "rep").alias("root")
@@ -398,7 +409,7 @@ def near_duplicates(
         .where("low <> high")
         .select("list")
     )
-    open_rows = placed.join(mixed, "list").join(sketches, "rep")
+    open_rows = placed.join(mixed, "list").join(short, "rep")
     more = (
         open_rows.withColumn("range", F.pmod("list", F.lit(ranges)))
         .groupBy("range")
@@ -438,8 +449,8 @@ def _values_of(reps: DataFrame, texts: DataFrame, classes: DataFrame, width: int
 
 
 def _not_refuted(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    short = sketches.select("rep", "bits", "size")
-    left, right = short.toDF("a", "bits_a", "size_a"), short.toDF("b", "bits_b", "size_b")
+    left = sketches.select("rep", "value", "size").toDF("a", "bits_a", "size_a")
+    right = sketches.select("rep", "value", "size").toDF("b", "bits_b", "size_b")
     return pairs.join(left, "a").join(right, "b").mapInArrow(
         _sketched(percent), "a bigint, b bigint"
     )

@@ -94,21 +94,29 @@ def shingle_sets(column: pa.Array, width: int):
     A text with fewer words is one shingle of all its words; a null text or one
     without words has none.
     """
-    column = column.cast(pa.large_string())
+    for words, bounds in word_lists(column):
+        yield from _sets(words, bounds, width)
+
+
+def word_lists(column: pa.Array):
+    """Word hashes of some texts after the other, and where each text's words begin and end."""
+    column = column.fill_null("").cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
-    valid = column.is_valid().to_numpy(zero_copy_only=False)
     at = 0
     while at < len(column):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1)
         part = data[offsets[at] : offsets[to]]
         if to == at + 1:
             words = _text_words(part)
-            bounds = np.array([0, len(words)])
+            yield words, np.array([0, len(words)])
         else:
             starts = offsets[at:to] - offsets[at]
             words, places = word_hashes(part, starts)
-            bounds = np.append(np.searchsorted(places, starts), len(words))
-        for i, found in enumerate(_sets(words, bounds, width)):
-            yield found if valid[at + i] else found[:0]
+            yield words, np.append(np.searchsorted(places, starts), len(words))
         at = to
+
+
+def pair_hashes(words: np.ndarray) -> np.ndarray:
+    """Hash of every word with the next one."""
+    return mix(words[:-1] * _SHIFT[0] + words[1:] * _SHIFT[1])
