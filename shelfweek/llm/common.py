@@ -5,6 +5,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfweek.operators.skew import checked_broadcast
+
 # What separates words, everywhere in this package: space and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -29,6 +31,12 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def few(df: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """Marked for broadcast if its rows have been counted as few."""
+    marked = checked_broadcast(df, most)
+    return df if marked is None else marked
+
+
 def uniform(*columns) -> Column:
     """A number in (0, 1) that depends on the columns only, so reruns agree."""
     bits = F.shiftrightunsigned(F.xxhash64(*columns), 11)

@@ -25,9 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import checkpoint, components
+from shelfweek.llm.common import checkpoint, components, few
 from shelfweek.llm.shingles import mix, shingle_sets
-from shelfweek.operators.skew import checked_broadcast
 
 # Entries aimed at per range of the join, and gathered before they are dealt out.
 RANGE_ENTRIES = 1_500_000
@@ -432,8 +431,7 @@ def near_duplicates(
 def _values_of(reps: DataFrame, texts: DataFrame, classes: DataFrame, width: int, value) -> DataFrame:
     """(rep, size, value) of the classes in ``reps``, from the text of one member each."""
     ids = reps.select(F.col("rep").alias("id"))
-    wanted = checked_broadcast(ids, 2_000_000)
-    found = texts.join(ids if wanted is None else wanted, "id").select("text")
+    found = texts.join(few(ids), "id").select("text")
     if reps.where(F.col("rep") >= UNNAMED).limit(1).count():
         found = found.union(texts.where("id IS NULL").select("text"))
     name = ["size", "set_a", "set_b"]

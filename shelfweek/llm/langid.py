@@ -162,7 +162,7 @@ def _predict(names: list[str], vectors: np.ndarray, keep: list[str]):
 
     def predict(batches):
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
+            texts = batch.column("__body").to_pylist()
             best = np.full(len(texts), len(names))
             score = np.zeros(len(texts))
             if names:
@@ -183,7 +183,7 @@ def _predict(names: list[str], vectors: np.ndarray, keep: list[str]):
                     (best[i],), (score[i],) = classify(vector[None], vectors)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(table[best].tolist(), pa.string()), pa.array(score)],
-                names=[*keep, "__lang", "__score"],
+                names=[*keep, "__found", "__cosine"],
             )
 
     return predict
@@ -196,25 +196,27 @@ def identify(
     text_col: str = "text",
     lang_col: str = "lang",
     keep: list[str] | None = None,
+    pred_col: str = "lang_pred",
+    score_col: str = "score",
 ) -> DataFrame:
-    """The columns ``keep`` (all by default) with ``lang_pred`` and ``score`` added.
+    """The columns ``keep`` (all by default) with ``pred_col`` and ``score_col`` added.
 
     Prototypes are learnt from all rows with a language that satisfy
-    ``learn_from``; predictions see the text alone. ``lang_pred`` is ``und``
+    ``learn_from``; predictions see the text alone. The prediction is ``und``
     with score 0 where the text is null or has no letter, or nothing could be
     learnt. Equal cosines go to the first language by code point. The score is
     the cosine of text and prototype, negative ones as 0. Columns of the input
-    named ``lang_pred`` or ``score`` are replaced. A task holds one vector per
+    with the names of the added ones are replaced. A task holds one vector per
     language and the trigrams of one part of the texts.
     """
-    keep = [c for c in (keep or docs.columns) if c not in ("lang_pred", "score")]
+    keep = [c for c in (keep or docs.columns) if c not in (pred_col, score_col)]
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if learn_from is not None:
         labelled = labelled.where(learn_from)
     names, vectors = prototypes(
         labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     )
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__text"))
-    schema = rows.drop("__text").schema.add("__lang", "string").add("__score", "double")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__body"))
+    schema = rows.drop("__body").schema.add("__found", "string").add("__cosine", "double")
     found = rows.mapInArrow(_predict(names, vectors.astype(np.float32), keep), schema)
-    return found.withColumnsRenamed({"__lang": "lang_pred", "__score": "score"})
+    return found.withColumnsRenamed({"__found": pred_col, "__cosine": score_col})

@@ -18,12 +18,13 @@ together.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import WORD, checkpoint, uniform
-from shelfweek.operators.skew import checked_broadcast
+from shelfweek.llm.common import WORD, checkpoint, few, uniform
 
 WEIGHTS = (3, 1, 2)
 SHARDS = 64
 MOST = 2
+# Blocks after the cut that are looked through for documents that fill the gap.
+NEXT_BLOCKS = 8
 
 
 def word_count(text: Column) -> Column:
@@ -43,19 +44,19 @@ def _targets(sizes: DataFrame, weights, share: float) -> DataFrame:
         F.array(*[F.lit(float(w)) for w in weights]),
         (F.pmod(F.col("ord") - 1, F.lit(len(weights))) + 1).cast("int"),
     )
-    by_ratio = Window.orderBy(F.col("cap") / F.col("weight"), "ord")
+    ratio = F.col("cap") / F.col("weight")
+    by_ratio = Window.orderBy(ratio, "ord")
     before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
     onward = by_ratio.rowsBetween(0, Window.unboundedFollowing)
     total = share * F.sum("source_size").over(everything)
     level = (total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(onward)
+    fits = F.col("level") * F.col("weight") <= F.col("cap")
     return (
         sizes.withColumn("ord", F.row_number().over(by_name))
         .withColumn("weight", weight)
         .withColumn("cap", F.col("source_size") * float(MOST))
         .withColumn("level", level)
-        .withColumn(
-            "level", F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(everything)
-        )
+        .withColumn("level", F.min(F.when(fits, F.struct(ratio, "ord", "level"))).over(everything)["level"])
         .withColumn("target", F.coalesce(F.least(F.col("level") * F.col("weight"), "cap"), F.lit(0.0)))
         .drop("weight", "cap", "level")
     )
@@ -104,7 +105,7 @@ def plan(slim: DataFrame, weights=WEIGHTS, share: float = 1.5, shards: int = SHA
     )
     sources = checkpoint(sources)
     block = F.pmod("key", "blocks")
-    rows = slim.join(_few(sources), slim["source"].eqNullSafe(sources["source"])).select(
+    rows = slim.join(few(sources), slim["source"].eqNullSafe(sources["source"])).select(
         "ord", block.alias("block"), "key", "size", "rest"
     )
     in_order = Window.partitionBy("ord").orderBy("block")
@@ -120,18 +121,42 @@ def plan(slim: DataFrame, weights=WEIGHTS, share: float = 1.5, shards: int = SHA
     )
     last = checkpoint(last)
     by_key = Window.partitionBy("ord").orderBy("key")
-    # A document is in if at least half of it lies before the end.
+    # Documents of that block are taken in order of key as long as they fit.
     cuts = (
         rows.drop("rest")
-        .join(_few(last), ["ord", "block"])
-        .groupBy("ord", "key", "left")
+        .join(few(last), ["ord", "block"])
+        .groupBy("ord", "block", "key", "left")
         .agg(F.sum("size").alias("words"))
         .withColumn("upto", F.sum("words").over(by_key))
-        .where(F.col("upto") - F.col("words") / 2 > F.col("left"))
+        .where(F.col("upto") > F.col("left"))
+        .withColumn("left", F.col("left") - F.col("upto") + F.col("words"))
+        .groupBy("ord", F.col("block").alias("last"))
+        .agg(F.min_by(F.struct("key", "left"), "key").alias("cut"))
+        .select("ord", "last", F.col("cut.key").alias("cut"), "cut.left")
+    )
+    cuts = checkpoint(cuts)
+    # Of the next blocks' documents, those that still fit, the largest first.
+    later = (F.col("block") > F.col("last")) & (F.col("block") < F.col("last") + NEXT_BLOCKS)
+    fits = F.aggregate(
+        F.sort_array(F.collect_list(F.struct("size", "key")), asc=False),
+        F.struct(F.first("left").alias("left"), F.array().cast("array<bigint>").alias("keys")),
+        lambda s, x: F.when(
+            x["size"] <= s["left"],
+            F.struct((s["left"] - x["size"]).alias("left"), F.concat(s["keys"], F.array(x["key"])).alias("keys")),
+        ).otherwise(s),
+        lambda s: s["keys"],
+    )
+    fillers = (
+        rows.drop("rest")
+        .join(few(cuts), "ord")
+        .where(later | ((F.col("block") == F.col("last")) & (F.col("key") >= F.col("cut"))))
+        .groupBy("ord", "key", "left")
+        .agg(F.sum("size").alias("size"))
+        .where((F.col("size") > 0) & (F.col("size") <= F.col("left")))
         .groupBy("ord")
-        .agg(F.min("key").alias("cut"))
+        .agg(fits.alias("fillers"))
     )
-    cut = sources.join(last.select("ord", F.col("block").alias("last")), "ord", "left").join(cuts, "ord", "left")
+    cut = sources.join(cuts.drop("left"), "ord", "left").join(fillers, "ord", "left")
     # Blocks of a source: its whole passes, and those begun by the last one.
     begun = F.when(F.col("rest") > 0, F.coalesce(F.col("last") + 1, F.col("blocks"))).otherwise(0)
     cut = checkpoint(cut.withColumn("quota", (F.col("passes") * F.col("blocks") + begun).cast("bigint")))
@@ -151,11 +176,6 @@ def plan(slim: DataFrame, weights=WEIGHTS, share: float = 1.5, shards: int = SHA
     return checkpoint(cut.join(borders, "ord").drop("quota"))
 
 
-def _few(df: DataFrame) -> DataFrame:
-    marked = checked_broadcast(df)
-    return df if marked is None else marked
-
-
 def mixture(
     docs: DataFrame,
     weights=WEIGHTS,
@@ -174,8 +194,9 @@ def mixture(
     ``weights``, repeating, and share ``share`` times all words; a target stops
     at twice its source's size and the excess is shared out again. ``taken`` is
     0, 1 or 2 times the size; ``shards_of`` names the shard of each copy. A
-    source's sum of ``taken`` ends within half a document of its target; rows
-    that repeat id and text are taken together and count as one document there.
+    source's sum of ``taken`` stops before the document that would pass its
+    target, and later ones that still fit fill the gap; rows that repeat id and
+    text are taken together.
     ``shards`` is a power of two. One row per source (with a number per shard)
     is held by a task.
     """
@@ -193,14 +214,18 @@ def mixture(
         | (block < F.col("last"))
         | ((block == F.col("last")) & (F.col("cut").isNull() | (F.col("key") < F.col("cut"))))
     )
+    begins |= F.coalesce(F.array_contains("fillers", F.col("key")), F.lit(False))
     copies = F.col("passes") + F.when(begins, 1).otherwise(0)
     slot = F.transform(
         F.filter(F.sequence(F.lit(0), F.lit(MOST)), lambda i: i < F.col("copies")),
         lambda i: i * F.col("blocks") + block,
     )
-    shard = F.transform(slot, lambda x: F.size(F.filter("ends", lambda end: end <= x)))
+    # A filler's block need not be begun; it goes to the last shard then.
+    shard = F.transform(
+        slot, lambda x: F.least(F.size(F.filter("ends", lambda end: end <= x)), F.lit(shards - 1))
+    )
     return (
-        row.join(_few(sources), F.col("source").eqNullSafe(F.col("name")))
+        row.join(few(sources), F.col("source").eqNullSafe(F.col("name")))
         .withColumn("copies", copies.cast("int"))
         .select(
             "doc", "size", "source_size", "target",

@@ -416,5 +416,5 @@ def find_personal_data(
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__text"))
     schema = rows.drop("__text").schema
     for name in FOUND:
-        schema = schema.add(name, "bigint" if name.startswith("n_") else "string")
+        schema = schema.add(name, "long" if name.startswith("n_") else "string")
     return rows.mapInArrow(_find(trained(docs, text_col), keep), schema)

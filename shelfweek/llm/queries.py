@@ -2,10 +2,29 @@
 
 from pyspark.sql import functions as F
 
-from shelfweek.llm import jaccard, neardup, topk
+from shelfweek.llm import (
+    html_text,
+    jaccard,
+    langid,
+    mixing,
+    neardup,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    topk,
+)
 from shelfweek.llm.common import table
 
 
+def op1_language_id(spark, sf_dir):
+    """Learnt from three of four documents, told by a checksum of the id."""
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold)
+    found = langid.identify(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op2_embedding_neardup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -14,17 +33,68 @@ def op3_topk_inner_product(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op4_quality_resampling(spark, sf_dir):
+    """Target: documents labelled good and not toxic."""
+    good = F.coalesce((F.col("quality") == 1) & ~F.coalesce(F.col("toxic") == 1, F.lit(False)), F.lit(False))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.resample(docs, labels, good)
+
+
+def op5_bestfit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op6_html_text(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages"), keep=["page_id"])
+
+
 def op7_ngram_jaccard(spark, sf_dir):
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_source_mixing(spark, sf_dir):
+    mixed = mixing.mixture(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op9_personal_data(spark, sf_dir):
+    return pii.find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def op10_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_digest(secret_scan.find_secrets(docs))
+
+
+def secret_digest(found):
+    """Counts, digest and written spans from the spans of each document."""
+    base, spans = F.col("found")["base"], F.col("found")["spans"]
+    counts = [
+        F.size(F.filter(base, lambda x, kind=kind: x["kind"] == kind)).cast("bigint").alias(f"n_{name}")
+        for kind, name in enumerate(secret_scan.KINDS[:3])
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+        secret_scan.written(spans).alias("spans"),
+    )
+
+
 def queries():
     return {
         f.__name__: f
         for f in (
+            op1_language_id,
             op2_embedding_neardup,
             op3_topk_inner_product,
+            op4_quality_resampling,
+            op5_bestfit_packing,
+            op6_html_text,
             op7_ngram_jaccard,
+            op8_source_mixing,
+            op9_personal_data,
+            op10_secret_scan,
         )
     }
 

@@ -47,12 +47,12 @@ def spans(text: Column, pattern: str, part: int = 0) -> Column:
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
 
     def step(state, x):
-        start = state["at"] + F.length(x["0"])
-        end = start + F.length(x["1"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["1"].alias("hit"), x["2"].alias("part"))
+        start = state["at"] + F.length(x["gap"])
+        end = start + F.length(x["hit"])
+        span = F.struct(start.alias("start"), end.alias("end"), x["hit"], x["part"])
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    matched = F.filter(found, lambda x: x["1"].isNotNull())
+    matched = F.filter(found, lambda x: x["hit"].isNotNull())
     return F.when(
         text.rlike(pattern), F.aggregate(matched, begin, step, lambda s: s["spans"])
     ).otherwise(F.array().cast(_SPANS))
@@ -78,10 +78,8 @@ def upper_tail(z: Column) -> Column:
 
 def _chi_squared(counts: Column, expected: Column, cells: Column) -> Column:
     """p-value by the cube-root approximation of the chi-squared distribution."""
-    x = F.aggregate(
-        F.arrays_zip(counts, expected), F.lit(0.0),
-        lambda s, c: s + (c["0"] - c["1"]) * (c["0"] - c["1"]) / c["1"],
-    )
+    terms = F.zip_with(counts, expected, lambda c, e: (c - e) * (c - e) / e)
+    x = F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
     df = cells - 1.0
     return upper_tail((F.pow(x / df, F.lit(1 / 3)) - 1 + 2 / (9 * df)) / F.sqrt(2 / (9 * df)))
 

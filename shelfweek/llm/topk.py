@@ -16,8 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import checkpoint
-from shelfweek.operators.skew import checked_broadcast
+from shelfweek.llm.common import checkpoint, few
 
 SAMPLE = 4096
 BLOCK = 8192
@@ -117,12 +116,6 @@ def _block_top(k: int, v: np.ndarray, head: int):
     return top
 
 
-def few(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if its rows have been counted as few."""
-    marked = checked_broadcast(df)
-    return df if marked is None else marked
-
-
 def top_k(
     vectors: DataFrame,
     is_query,
