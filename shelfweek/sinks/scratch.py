@@ -14,7 +14,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.startswith("local["):
         return tempfile.mkdtemp(prefix=f"{name}-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
@@ -27,3 +27,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders made by ``staged``, wherever they are."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        place = hadoop(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
