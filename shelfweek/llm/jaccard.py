@@ -16,8 +16,9 @@ tokens, as in a prefix filter. Sets that share an entry become candidates, a
 short sketch refutes most of the wrong ones, and the rest are compared whole.
 
 Equal sets are one class throughout. The result needs components, not all
-links: every set is first compared with the best connected set it met, and
-afterwards only pairs whose ends are still in different components are.
+links: every set is first compared with the best connected set it met, then the
+closest sets of every two components that met, and last all pairs of components
+that met and are still apart.
 """
 
 import numpy as np
@@ -39,6 +40,8 @@ UNNAMED = 1 << 62
 # Members of one list compared with each other at a time.
 TILE = 1024
 COMPARED = 1 << 15
+# Pairs of two components that are compared before all of them are.
+CLOSEST = 2
 
 
 def _texts(batches, width):
@@ -267,29 +270,45 @@ def _shorten(batches):
         )
 
 
-def _near(bits, size, i, j, bands: Bands) -> np.ndarray:
-    """Which pairs (i, j) the sizes and sketches do not refute."""
+def _near(bits, size, i, j, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs (i, j) the sizes and sketches do not refute, and the sketches' distances."""
     low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
     apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
     total = (low + high) * (100 - bands.percent)
-    return (100 * low >= bands.percent * high) & (apart * (100 + bands.percent) <= total)
+    return (100 * low >= bands.percent * high) & (apart * (100 + bands.percent) <= total), apart
 
 
-def _list_pairs(reps, roots, size, sketches, bands: Bands):
-    """Index pairs of one list in different components that may be similar."""
+def _list_pairs(roots, size, sketches, bands: Bands):
+    """Rows (i, j, distance) of one list in different components that may be similar."""
     bits = folded(sketches)
-    for a in range(0, len(reps), TILE):
-        for b in range(a, len(reps), TILE):
+    for a in range(0, len(roots), TILE):
+        for b in range(a, len(roots), TILE):
             s, t = slice(a, a + TILE), slice(b, b + TILE)
             other = roots[s, None] != roots[None, t]
             i, j = np.nonzero(np.triu(other, 1) if a == b else other)
             for at in range(0, len(i), COMPARED):
                 x, y = i[at : at + COMPARED] + a, j[at : at + COMPARED] + b
-                near = _near(bits, size, x, y, bands)
-                yield reps[x[near]], reps[y[near]]
+                near, apart = _near(bits, size, x, y, bands)
+                yield np.stack([x[near], y[near], apart[near]], axis=1)
 
 
-def _open_pairs(percent: int):
+def _closest(roots: np.ndarray, found: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of every two components the ``most`` closest pairs, and whether there are more."""
+    ends = np.sort(roots[found[:, :2]], axis=1)
+    order = np.lexsort((found[:, 2], ends[:, 1], ends[:, 0]))
+    found, ends = found[order], ends[order]
+    new = np.ones(len(found), bool)
+    new[1:] = (ends[1:] != ends[:-1]).any(axis=1)
+    first = np.flatnonzero(new)
+    number = np.diff(np.append(first, len(found)))
+    rank = np.arange(len(found)) - np.repeat(first, number)
+    return found[rank < most], np.repeat(number > most, number)[rank < most]
+
+
+_OPEN = "a bigint, b bigint, root_a bigint, root_b bigint, more boolean"
+
+
+def _open_pairs(percent: int, most: int | None):
     bands = Bands(percent)
 
     def pairs(rows: pa.Table) -> pa.Table:
@@ -299,12 +318,21 @@ def _open_pairs(percent: int):
         )
         sketches = rows.column("bits").to_pylist()
         first = np.flatnonzero(np.concatenate(([True], lists[1:] != lists[:-1])))
-        found = [np.empty((0, 2), np.int64)]
-        for a, b in zip(first, np.append(first[1:], len(lists))):
-            for x, y in _list_pairs(reps[a:b], roots[a:b], size[a:b], sketches[a:b], bands):
-                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-        a, b = np.unique(np.concatenate(found), axis=0).T
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        out = [np.empty((0, 5), np.int64)]
+        for s, t in zip(first, np.append(first[1:], len(lists))):
+            found = np.concatenate([*_list_pairs(roots[s:t], size[s:t], sketches[s:t], bands), out[0][:, :3]])
+            if not len(found):
+                continue
+            found, more = _closest(roots[s:t], found, most or len(found))
+            i, j = found[:, 0] + s, found[:, 1] + s
+            turned = reps[i] > reps[j]
+            i, j = np.where(turned, j, i), np.where(turned, i, j)
+            out.append(np.stack([reps[i], reps[j], roots[i], roots[j], more], axis=1))
+        columns = np.unique(np.concatenate(out), axis=0).T
+        kinds = [pa.int64()] * 4 + [pa.bool_()]
+        return pa.table(
+            {n: pa.array(c).cast(t) for n, c, t in zip(("a", "b", "root_a", "root_b", "more"), columns, kinds)}
+        )
 
     return pairs
 
@@ -317,7 +345,7 @@ def _sketched(percent: int):
             size = np.stack([batch.column(c).to_numpy() for c in ("size_a", "size_b")])
             pairs = zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())
             one, two = np.array([0]), np.array([1])
-            keep = [bool(_near(folded(p), size[:, i], one, two, bands)[0]) for i, p in enumerate(pairs)]
+            keep = [bool(_near(folded(p), size[:, i], one, two, bands)[0][0]) for i, p in enumerate(pairs)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return refute
@@ -396,27 +424,49 @@ def near_duplicates(
         near = _not_refuted(pairs, sketches, percent)
         return _compared(near, texts, classes, width, percent)
 
+    def opened(rooted, most):
+        """Pairs of a list whose ends are still apart, from rows (list, rep, root)."""
+        mixed = (
+            rooted.groupBy("list")
+            .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            .where("low <> high")
+            .select("list")
+        )
+        members = rooted.join(mixed, "list").join(short, "rep")
+        return (
+            members.withColumn("range", F.pmod("list", F.lit(ranges)))
+            .groupBy("range")
+            .applyInArrow(_open_pairs(percent, most), _OPEN)
+        )
+
     links = checkpoint(compare(first))
-    roots = components(links)
-    placed = met.join(roots, F.col("rep") == F.col("id"), "left").select(
-        "list", "rep", F.coalesce("component", "rep").alias("root")
-    )
-    placed = checkpoint(placed)
-    mixed = (
-        placed.groupBy("list")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low <> high")
-        .select("list")
-    )
-    open_rows = placed.join(mixed, "list").join(short, "rep")
-    more = (
-        open_rows.withColumn("range", F.pmod("list", F.lit(ranges)))
-        .groupBy("range")
-        .applyInArrow(_open_pairs(percent), "a bigint, b bigint")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+    placed = checkpoint(
+        met.join(components(links), F.col("rep") == F.col("id"), "left").select(
+            "list", "rep", F.coalesce("component", "rep").alias("root")
+        )
     )
-    joined = components(links.union(compare(more)))
+    # The closest pairs of every two components are compared; mostly that joins them.
+    closest = checkpoint(opened(placed, CLOSEST))
+    untried = closest.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+    links = checkpoint(links.union(compare(untried)))
+    joined = components(links)
+    # Where it did not, and there were more pairs, all of them are compared.
+    below = joined.select(F.col("id").alias("root"), "component")
+    apart = checkpoint(
+        closest.where("more").select("root_a", "root_b").distinct()
+        .join(below.toDF("root_a", "now_a"), "root_a", "left")
+        .join(below.toDF("root_b", "now_b"), "root_b", "left")
+        .select(F.coalesce("now_a", "root_a").alias("now_a"), F.coalesce("now_b", "root_b").alias("now_b"))
+        .where("now_a <> now_b")
+    )
+    if apart.limit(1).count():
+        still = apart.select(F.col("now_a").alias("root")).union(apart.select("now_b")).distinct()
+        rooted = placed.join(below, "root", "left").select(
+            "list", "rep", F.coalesce("component", "root").alias("root")
+        )
+        rest = opened(rooted.join(still, "root", "left_semi"), None).select("a", "b").distinct()
+        tried = first.union(closest.select("a", "b")).distinct()
+        joined = components(links.union(compare(rest.join(tried, ["a", "b"], "left_anti"))))
     named = (
         classes.join(joined, F.col("rep") == F.col("id"), "left")
         .select(*name, F.coalesce("component", "rep").alias("component"))

@@ -1,0 +1,101 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from shelfweek.llm import packing
+
+SCHEMA = "doc_id bigint, text string, length string, island int, offset int"
+ODD_TEXTS = [
+    "", " ", "  two  blanks ", "tabs\t\tand\n\nlines \n x", "it's we'll I'd don't", "naïve ÉCLAIR ß 日本語 ١٢٣",
+    "á \U0001f468‍\U0001f469 \x00 �", "<|endoftext|> text", "x" * 5000, "1234567890 " * 300,
+    "....!!!??? -- __ ** ", "word " * 4000, "　wide blank",
+]
+
+
+@pytest.fixture(scope="module")
+def reference():
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    coder.encode_special_tokens = True
+    return lambda text: coder.encode(text or "", add_special_tokens=False).ids
+
+
+def checked(rows, found, reference, capacity=1024):
+    """Every piece of every row once, ids as they should be, sequences without gaps."""
+    want = []
+    for doc, text, *_ in rows:
+        ids = np.array([*reference(text), packing.END], "<u4")
+        first = (len(ids) - 1) % capacity + 1
+        cuts = [0, *range(first, len(ids) + 1, capacity)]
+        for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want.append((doc, n, a, b - a, zlib.crc32(ids[a:b].tobytes())))
+    got = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_odd_texts_and_rows(spark, reference):
+    rows = [(i, t, "x", 1, 2) for i, t in enumerate(ODD_TEXTS)]
+    rows += [(100, None, None, None, None), (None, "no id", "x", 1, 2), (100, None, None, None, None)]
+    rows += [(7, ODD_TEXTS[7], "x", 1, 2), (None, "no id", "x", 1, 2)]
+    found = packing.pack(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    checked(rows, found, reference)
+    assert packing.pack(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_near_the_least_number_of_sequences(spark, reference, monkeypatch):
+    monkeypatch.setattr(packing, "ISLAND", 64)
+    chance = random.Random(4)
+    rows = [(i, "word " * chance.randint(0, 150), "x", 1, 2) for i in range(500)]
+    found = packing.pack(spark.createDataFrame(rows, SCHEMA).repartition(4), 100).collect()
+    n = checked(rows, found, reference, 100)
+    least = -(-sum(r.length for r in found) // 100)
+    assert n <= 1.03 * least + 1
+
+
+def test_texts_are_cut_between_tokens_only(monkeypatch, reference):
+    encode = packing.byte_bpe()
+    text = "It's  a test, 12 34\n\n of   blanks .\t and ' s words " * 50
+    whole = packing.token_ids(text, encode)
+    for size in (1, 7, 50):
+        monkeypatch.setattr(packing, "ENCODED", size)
+        assert np.array_equal(packing.token_ids(text, encode), whole)
+    assert whole.tolist() == [*reference(text), packing.END]
+
+
+def test_evolution_beats_or_equals_best_fit():
+    for seed in range(5):
+        chance = random.Random(seed)
+        lengths = [chance.randint(250, 420) for _ in range(300)]
+        plain = packing.Packing(lengths, 1024)
+        plain.best_fit(sorted(range(300), key=lambda i: -lengths[i]))
+        best = packing.evolve(lengths, 1024, seed)
+        assert sorted(i for b in best.bins for i in b) == list(range(300))
+        assert all(r == 1024 - sum(lengths[i] for i in b) >= 0 for b, r in zip(best.bins, best.room))
+        assert len(best.bins) <= len(plain.bins)
+
+
+def test_crossover_keeps_injected_groups_whole():
+    lengths = [600, 424, 500, 300, 224, 700, 100]
+    parent = packing.Packing(lengths, 1024, [[0, 3], [1, 2], [4, 5], [6]])
+    child = packing.injected(parent, [[0, 1], [2, 3, 4]])
+    assert [0, 1] in child.bins and [2, 3, 4] in child.bins
+    assert sorted(i for b in child.bins for i in b) == list(range(7))
+
+
+def test_migrants_use_own_pieces_once():
+    groups = packing.matched([5, 5, 7, 9], [[5, 7], [5, 7], [5, 9], [1]])
+    assert groups == [[1, 2], [0, 3]]

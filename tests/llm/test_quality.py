@@ -1,0 +1,96 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfweek.llm import quality
+
+SCHEMA = "doc_id bigint, text string, key double, target string"
+LABELS = "doc_id bigint, quality int, toxic int"
+GOOD = F.col("quality") == 1
+
+
+def made(n=300, seed=0):
+    chance = random.Random(seed)
+    fine, junk = [f"fine{i}" for i in range(40)], [f"junk{i}" for i in range(40)]
+    rows, labels = [], []
+    for i in range(n):
+        good = i % 4 != 0
+        words = chance.choices(fine if good else junk, k=chance.randint(5, 60))
+        rows.append((i, " ".join(words), 0.5, "t"))
+        if i % 2:
+            labels.append((i, int(good), 0))
+        elif i % 8 == 0:
+            labels.append((i, 0, None))
+    return rows, labels
+
+
+def grams(text):
+    words = text.lower().split()
+    return words + list(zip(words, words[1:]))
+
+
+def test_weights_are_log_ratios_of_the_models(spark):
+    rows, labels = made()
+    found = quality.resample(
+        spark.createDataFrame(rows, SCHEMA).repartition(3), spark.createDataFrame(labels, LABELS), GOOD
+    )
+    got = {r.doc_id: r for r in found.collect()}
+    good = {i for i, q, _ in labels if q}
+    raw, target = Counter(), Counter()
+    for i, text, *_ in rows:
+        raw.update(grams(text))
+        if i in good:
+            target.update(grams(text))
+    n_raw, n_target = raw.total() + quality.BUCKETS, target.total() + quality.BUCKETS
+    off = 0
+    for i, text, *_ in rows:
+        want = sum(
+            math.log((target[g] + 1) / n_target) - math.log((raw[g] + 1) / n_raw) for g in grams(text)
+        )
+        assert got[i].n_grams == len(grams(text))
+        # Buckets hold several grams now and then.
+        off += abs(got[i].log_weight - want) > 0.5 + 0.05 * abs(want)
+    assert off < 0.2 * len(rows)
+    kept = {i for i, r in got.items() if r.kept}
+    assert len(kept) == round(len(rows) * len(good) / len(labels))
+    assert sum(i % 4 != 0 for i in kept) > 0.95 * min(len(kept), 225)
+    order = sorted(got.values(), key=lambda r: -r.key)
+    assert {r.doc_id for r in order[: len(kept)]} == kept
+
+
+def test_gumbel_draws_follow_the_weights(spark):
+    """With equal weights every document is drawn about equally often."""
+    rows = [(i, "same words here", 0.0, "t") for i in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], LABELS)
+    drawn = Counter()
+    for seed in range(12):
+        for r in quality.resample(docs, labels, GOOD, 0.5, seed).collect():
+            drawn[r.doc_id] += r.kept
+    assert drawn.total() == 120 and len([i for i in drawn if drawn[i]]) >= 18
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, None, None), (2, "", 1.0, "t"), (3, "a b", 1.0, "t"), (3, "a b", 1.0, "t"),
+            (None, "c", 1.0, "t"), (4, "word " * 500_000, 1.0, "t")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(3, 1, None), (None, 1, 0), (9, None, 0)], LABELS)
+    got = quality.resample(docs, labels, GOOD, 1.0).collect()
+    assert sorted((r.doc_id or 0, r.kept) for r in got) == [
+        (0, True), (1, False), (2, False), (3, True), (3, True), (4, True)
+    ]
+    assert quality.resample(docs.limit(0), labels, GOOD).collect() == []
+    unlabelled = quality.resample(docs, labels.limit(0), GOOD).collect()
+    assert all(r.log_weight == 0 for r in unlabelled)
+
+
+@pytest.mark.parametrize("k", [1, 2, 999, 1000, 1700, 2000])
+def test_kth_largest(spark, k):
+    chance = random.Random(5)
+    values = [chance.lognormvariate(0, 9) for _ in range(1000)] + [7.25] * 1000
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert quality.kth_largest(df, "x", k) == sorted(values, reverse=True)[k - 1]
+    assert quality.kth_largest(df, "x", 2001) is None
