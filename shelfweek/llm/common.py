@@ -31,9 +31,9 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def few(df: DataFrame, most: int = 2_000_000) -> DataFrame:
-    """Marked for broadcast if its rows have been counted as few."""
-    marked = checked_broadcast(df, most)
+def few(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has been measured and is small enough."""
+    marked = checked_broadcast(df)
     return df if marked is None else marked
 
 

@@ -35,6 +35,8 @@ GATHER = 1_000_000
 # Bits of a sketch at most, and of the short form that is sent to every list of a set.
 SKETCH_BITS = 1 << 18
 SHORT_BITS = 2048
+# Bits per token of a sketch, and how many times shorter the short form is.
+SHARP, SHORTER = 8, 4
 # Classes without any id are numbered from here on.
 UNNAMED = 1 << 62
 # Members of one list compared with each other at a time.
@@ -210,7 +212,7 @@ def _share(rows: pa.Table) -> pa.Table:
 def sketch(found: np.ndarray) -> bytes:
     """Parities of the tokens on a number of bits that suits the size, a power of two."""
     bits = 64
-    while bits < min(SKETCH_BITS, 2 * len(found)):
+    while bits < min(SKETCH_BITS, SHARP * len(found)):
         bits *= 2
     bit = (mix(found ^ np.uint64(0xC3C3C3C3)) % np.uint64(bits)).astype(np.int64)
     return np.packbits(np.bincount(bit, minlength=bits) & 1, bitorder="little").tobytes()
@@ -263,7 +265,8 @@ def _verified(percent: int):
 
 def _shorten(batches):
     for batch in batches:
-        short = [folded([x], SHORT_BITS).tobytes() for x in batch.column("value").to_pylist()]
+        bits = batch.column("value").to_pylist()
+        short = [folded([x], max(64, min(SHORT_BITS, 8 * len(x) // SHORTER))).tobytes() for x in bits]
         yield pa.RecordBatch.from_arrays(
             [batch.column("rep"), batch.column("size"), pa.array(short, pa.binary())],
             names=["rep", "size", "bits"],
@@ -424,7 +427,7 @@ def near_duplicates(
         near = _not_refuted(pairs, sketches, percent)
         return _compared(near, texts, classes, width, percent)
 
-    def opened(rooted, most):
+    def opened(rooted, bits, most):
         """Pairs of a list whose ends are still apart, from rows (list, rep, root)."""
         mixed = (
             rooted.groupBy("list")
@@ -432,7 +435,7 @@ def near_duplicates(
             .where("low <> high")
             .select("list")
         )
-        members = rooted.join(mixed, "list").join(short, "rep")
+        members = rooted.join(mixed, "list").join(bits, "rep")
         return (
             members.withColumn("range", F.pmod("list", F.lit(ranges)))
             .groupBy("range")
@@ -446,7 +449,7 @@ def near_duplicates(
         )
     )
     # The closest pairs of every two components are compared; mostly that joins them.
-    closest = checkpoint(opened(placed, CLOSEST))
+    closest = checkpoint(opened(placed, short, CLOSEST))
     untried = closest.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
     links = checkpoint(links.union(compare(untried)))
     joined = components(links)
@@ -464,7 +467,9 @@ def near_duplicates(
         rooted = placed.join(below, "root", "left").select(
             "list", "rep", F.coalesce("component", "root").alias("root")
         )
-        rest = opened(rooted.join(still, "root", "left_semi"), None).select("a", "b").distinct()
+        sharp = sketches.withColumnRenamed("value", "bits")
+        rest = opened(rooted.join(still, "root", "left_semi"), sharp, None)
+        rest = rest.select("a", "b").distinct()
         tried = first.union(closest.select("a", "b")).distinct()
         joined = components(links.union(compare(rest.join(tried, ["a", "b"], "left_anti"))))
     named = (
