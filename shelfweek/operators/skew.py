@@ -1,26 +1,43 @@
 """Joins that stay balanced when one key holds a large share of the rows."""
 
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a side may have before it is shuffled rather than broadcast.
-BROADCAST_ROWS = 200_000
-# Keys are counted by hash bucket, so a count never returns more rows than this.
+# Bytes a side may have before it is shuffled rather than broadcast.
+BROADCAST_BYTES = 64 << 20
+# Keys are counted by hash bucket first, so that count never returns more rows than this.
 BUCKETS = 1 << 16
-# A bucket is hot when it holds this many times the mean, and at least HOT_ROWS.
-HOT_FACTOR = 8
+# A key is hot when it has more rows than one task should get, or joins to more.
 HOT_ROWS = 1_000_000
+HOT_PRODUCT = 16_000_000
 
 _CELL_L, _CELL_R, _BUCKET = "__cell_l", "__cell_r", "__bucket"
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
-    """``df`` marked for broadcast, or None when it has more than ``max_rows`` rows."""
-    limit = BROADCAST_ROWS if max_rows is None else max_rows
-    return F.broadcast(df) if df.count() <= limit else None
+def _width(df: DataFrame) -> Column:
+    """About the bytes of a row: the length of text, arrays by their elements, else 8."""
+    parts = [F.lit(16)]
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(column), F.lit(0)) + 8)
+        elif kind.startswith(("array", "map")):
+            parts.append(F.greatest(F.size(column), F.lit(0)) * 16 + 16)
+        else:
+            parts.append(F.lit(8 * (1 + kind.count(","))))
+    return reduce(Column.__add__, parts).cast("bigint")
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame | None:
+    """``df`` marked for broadcast, or None when it is larger than ``max_bytes``.
+
+    The rows are read once to be measured.
+    """
+    limit = BROADCAST_BYTES if max_bytes is None else max_bytes
+    size = df.select(_width(df).alias("width")).agg(F.sum("width")).first()[0] or 0
+    return F.broadcast(df) if size <= limit else None
 
 
 def _bucket(df: DataFrame, keys: list[str]) -> Column:
@@ -34,40 +51,83 @@ def _bucket(df: DataFrame, keys: list[str]) -> Column:
 
 
 def hot_cells(
-    keys: list[str], *frames: DataFrame, hot_rows: int = HOT_ROWS
+    keys: list[str],
+    *frames: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    hot_product: int | None = None,
 ) -> list[dict[int, int]]:
-    """Per frame, the hash buckets of ``keys`` with too many rows and how far to cut them.
-
-    The rows are counted exactly, combined map-side, for all frames in one job.
-    There are at most BUCKETS counts per frame whatever the data, and only the
-    large ones reach the driver. An empty result proves that no key of the
-    frame has more rows than the larger of ``hot_rows`` and HOT_FACTOR means.
-    A frame with no more rows than ``hot_rows`` has no such key to look for. A
-    bucket is cut into BUCKETS / HOT_FACTOR cells at most, if it holds all rows.
+    """Per frame, the hash buckets that hold a hot key and into how many cells to cut it.
+
+    A key is hot with more than ``hot_rows`` rows in a frame. With two frames
+    that are joined and a ``hot_product``, it also is when its rows in one times
+    its rows in the other are more than that, and the cells then bound the
+    product that one of them makes.
+
+    Rows are counted exactly and map-side combined, by bucket first: buckets
+    without enough rows for a hot key are done with, and only the others are
+    counted by key. What reaches the driver is a number per bucket with a hot
+    key, whatever the data.
     """
     cells = [{} for _ in frames]
     keyed = [
-        frame.select(F.lit(i).alias("frame"), _bucket(frame, keys).alias("bucket"))
+        frame.select(F.lit(i).alias("frame"), _bucket(frame, keys).alias("bucket"), *_names(frame, keys))
         for i, frame in enumerate(frames)
-        if frame.count() > hot_rows
     ]
-    if not keyed:
+    rows = reduce(DataFrame.unionAll, keyed)
+    names = [f"key_{n}" for n in range(len(keys))]
+    by_frame = [F.sum(F.when(F.col("frame") == i, 1).otherwise(0)).alias(f"n_{i}") for i in range(len(frames))]
+    counts = [F.col(f"n_{i}").cast("double") for i in range(len(frames))]
+    hot = reduce(Column.__or__, [n > hot_rows for n in counts])
+    if hot_product is not None:
+        hot |= counts[0] * counts[1] > hot_product
+    large = rows.groupBy("bucket").agg(*by_frame).where(hot).select("bucket").collect()
+    if not large:
         return cells
-    sizes = (
-        reduce(DataFrame.unionAll, keyed)
-        .groupBy("frame", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
+    some = frames[0].sparkSession.createDataFrame(large, "bucket int")
+    found = (
+        rows.join(F.broadcast(some), "bucket")
+        .groupBy("bucket", *names)
+        .agg(*by_frame)
+        .where(hot)
+        .select("bucket", *_cut(counts, hot_rows, hot_product))
+        .groupBy("bucket")
+        .agg(*[F.max(f"cells_{i}").alias(f"cells_{i}") for i in range(len(frames))])
     )
-    big = F.when(F.col("n") > hot_rows, F.struct("bucket", "n"))
-    found = sizes.groupBy("frame").agg(F.sum("n").alias("total"), F.collect_list(big).alias("big"))
     for row in found.collect():
-        limit = max(hot_rows, HOT_FACTOR * row["total"] // BUCKETS)
-        cells[row["frame"]] = {
-            bucket: ceil(n / limit) for bucket, n in row["big"] if n > limit
-        }
+        for i, own in enumerate(cells):
+            if row[f"cells_{i}"] > 1:
+                own[row["bucket"]] = row[f"cells_{i}"]
     return cells
 
 
+def _names(frame: DataFrame, keys: list[str]) -> list[Column]:
+    return [F.col(k).cast("string").alias(f"key_{n}") for n, k in enumerate(keys)]
+
+
+def _cut(counts: list[Column], hot_rows: int, hot_product: int | None) -> list[Column]:
+    """Cells per frame so that one holds no more than the limits."""
+    cells = [F.ceil(n / hot_rows) for n in counts]
+    if hot_product is not None:
+        # About square pieces copy the fewest rows; a side shorter than that is not cut.
+        side = float(hot_product) ** 0.5
+        left, right = counts
+        cells = [
+            F.greatest(own, F.when(other <= side, F.ceil(n * other / hot_product)).otherwise(F.ceil(n / side)))
+            for own, n, other in ((cells[0], left, right), (cells[1], right, left))
+        ]
+    return [F.greatest(c, F.lit(1)).cast("int").alias(f"cells_{i}") for i, c in enumerate(cells)]
+
+
+def by_bucket(df: DataFrame, keys: list[str], buckets: list[int]) -> tuple[DataFrame, DataFrame]:
+    """The rows outside the given hash buckets of ``keys``, and those inside."""
+    some = df.sparkSession.createDataFrame([(b,) for b in buckets], f"{_BUCKET} int")
+    placed = df.withColumn(_BUCKET, _bucket(df, keys))
+    return (
+        placed.join(F.broadcast(some), _BUCKET, "left_anti").select(df.columns),
+        placed.join(F.broadcast(some), _BUCKET, "left_semi").select(df.columns),
+    )
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -87,8 +147,8 @@ def skew_join(
     Joins other than inner can only cut the left side.
 
     A row's place is a hash of the row, so that a recomputed task places its
-    rows as before. Exact copies of one row therefore share a cell; AQE's skew
-    join can still divide such a cell.
+    rows as before. Exact copies of one row therefore share a cell; where there
+    may be many, count them first and join the counted rows.
     """
     cells_l = left_cells or {}
     cells_r = (right_cells or {}) if how == "inner" else {}
@@ -97,7 +157,7 @@ def skew_join(
 
     grid = left.sparkSession.createDataFrame(
         [(b, cells_l.get(b, 1), cells_r.get(b, 1)) for b in sorted({*cells_l, *cells_r})],
-        f"{_BUCKET} int, n_l int, n_r int",
+        f"{_BUCKET} int, __n_l int, __n_r int",
     )
 
     def place(df, own, n_own, other, n_other):
@@ -113,7 +173,7 @@ def skew_join(
             )
         )
 
-    n_l, n_r = F.col("n_l"), F.col("n_r")
+    n_l, n_r = F.col("__n_l"), F.col("__n_r")
     placed_l = place(left, _CELL_L, n_l, _CELL_R, n_r)
     placed_r = place(right, _CELL_R, n_r, _CELL_L, n_l)
     return placed_l.join(placed_r, [*keys, _CELL_L, _CELL_R], how).drop(_CELL_L, _CELL_R)
@@ -126,14 +186,15 @@ def dimension_join(
     how: str = "inner",
     *,
     load: DataFrame | None = None,
-    max_rows: int | None = None,
+    max_bytes: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join to a table that is broadcast if its counted size allows, else shuffled.
+    """Join to a table that is broadcast if its measured size allows, else shuffled.
 
     ``load`` is a cheaper frame with the rows per key of ``facts``, if there is one.
+    Both are read while the join is being planned.
     """
-    small = checked_broadcast(dim, max_rows)
+    small = checked_broadcast(dim, max_bytes)
     if small is not None:
         return facts.join(small, keys, how)
     (cells,) = hot_cells(keys, facts if load is None else load, hot_rows=hot_rows)

@@ -11,8 +11,15 @@ from shelfweek.operators.joins import (
     sales_calendar,
     stock_snapshots,
 )
-from shelfweek.operators.skew import HOT_ROWS, dimension_join, hot_cells, skew_join
+from shelfweek.operators.skew import (
+    HOT_ROWS,
+    checked_broadcast,
+    dimension_join,
+    hot_cells,
+    skew_join,
+)
 from shelfweek.schemas import GRAIN, PAIR, STOCK
+from shelfweek.sinks.scratch import staged
 
 LOW_STOCK = [*GRAIN, "INVENTORY_ON_HAND_QTY", "SALES_QTY", "LOW_STOCK_FLG"]
 
@@ -96,9 +103,10 @@ def weekly_summary(
 ) -> DataFrame:
     """One row per year, week, store and product over same-day stock.
 
-    Equal to grouping ``base_join_dated``, but the sales are first reduced to
-    one row per day, store and product, which combines map-side, leaves no hot
-    key on that side and gives the join its partitioning. The largest sale of
+    Equal to grouping ``base_join_dated`` where a pair has one snapshot a day;
+    of several, the one that shows the least stock counts. Both sides are first
+    reduced to one row per day, store and product, which combines map-side,
+    leaves no hot key and gives the join its partitioning. The largest sale of
     the day tells whether any of its sales exceeded the stock.
     """
     day = ["CAL_DT", *PAIR]
@@ -110,10 +118,8 @@ def weekly_summary(
         F.sum("SALES_COST").alias("cost"),
         F.max("SALES_QTY").alias("largest_sale"),
     )
-    snapshots = dated_snapshots(inventory)
-    (held,) = hot_cells(day, snapshots, hot_rows=hot_rows)
     days = dimension_join(
-        skew_join(sold, snapshots, day, right_cells=held),
+        sold.join(daily_snapshots(inventory), day),
         calendar_days(calendar),
         ["CAL_DT"],
         load=lines,
@@ -137,10 +143,37 @@ def weekly_summary(
     )
 
 
-def in_stock_pct(weekly: DataFrame) -> DataFrame:
-    """Adds the share of the week in stock, the complement of the out-of-stock share."""
-    return weekly.withColumn(
-        "IN_STOCK_PCT", F.round(F.lit(100) - F.col("PERCENTAGE_STORE_IN_STOCK"), 3)
+def daily_snapshots(inventory: DataFrame) -> DataFrame:
+    """One snapshot per day, store and product: the one that shows the least stock.
+
+    That is one flagged as out of stock if there is any, then the one with the
+    least on hand, then the least on order; NULL counts as no statement.
+    """
+    order = [
+        F.coalesce(-F.col("OUT_OF_STOCK_FLG"), F.lit(1)),
+        *(part for c in STOCK[:2] for part in (F.col(c).isNull(), F.col(c))),
+    ]
+    least = F.min(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *STOCK))
+    days = dated_snapshots(inventory).groupBy("CAL_DT", *PAIR).agg(least.alias("s"))
+    return days.select("CAL_DT", *PAIR, *[F.col(f"s.{c}").alias(c) for c in STOCK])
+
+
+def in_stock_pct(weekly: DataFrame, calendar: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Adds the share of the week's seven days on which the product was not out of stock.
+
+    Days count once, whether or not there was a sale on them; a day without a
+    snapshot is not known to be out of stock.
+    """
+    flagged = dated_snapshots(inventory).filter("OUT_OF_STOCK_FLG = 1").select("CAL_DT", *PAIR)
+    out_days = dimension_join(
+        flagged.distinct(), calendar_days(calendar).distinct(), ["CAL_DT"]
+    ).groupBy(*GRAIN)
+    out_days = out_days.agg(F.count_distinct("CAL_DT").alias("out_days"))
+    share = 100 - F.coalesce("out_days", F.lit(0)) / 7 * 100
+    return (
+        weekly.join(out_days, GRAIN, "left")
+        .withColumn("IN_STOCK_PCT", F.round(F.greatest(share, F.lit(0.0)), 3))
+        .drop("out_days")
     )
 
 
@@ -149,12 +182,26 @@ def enrich(
     store: DataFrame,
     product: DataFrame,
     *,
-    max_rows: int | None = None,
+    max_bytes: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Fact rows with the attributes of their store and product, where known."""
-    limits = {"load": fact, "max_rows": max_rows, "hot_rows": hot_rows}
-    stores = store.withColumnRenamed("store_key", "STORE_KEY")
-    products = product.withColumnRenamed("prod_key", "PROD_KEY")
-    with_store = dimension_join(fact, stores, ["STORE_KEY"], "left", **limits)
-    return dimension_join(with_store, products, ["PROD_KEY"], "left", **limits)
+    """Fact rows with the attributes of their store and product, where known.
+
+    A dimension that is small, as measured, is broadcast. If one is not, the
+    fact is staged first, so that counting its keys does not compute it again.
+    """
+    dims = [
+        (store.withColumnRenamed("store_key", "STORE_KEY"), ["STORE_KEY"]),
+        (product.withColumnRenamed("prod_key", "PROD_KEY"), ["PROD_KEY"]),
+    ]
+    small = [checked_broadcast(dim, max_bytes) for dim, _ in dims]
+    if None in small:
+        fact = staged(fact, "fact")
+    rows = fact
+    for (dim, keys), copy in zip(dims, small):
+        if copy is not None:
+            rows = rows.join(copy, keys, "left")
+        else:
+            (cells,) = hot_cells(keys, fact, hot_rows=hot_rows)
+            rows = skew_join(rows, dim, keys, "left", left_cells=cells)
+    return rows

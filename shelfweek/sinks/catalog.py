@@ -1,10 +1,11 @@
 """Catalog tables over the written outputs."""
 
 from pyspark.sql import SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from shelfweek.schemas import CALENDAR, FACT_PARTITIONS, PRODUCT, STORE
 from shelfweek.sinks.writers import FACT_NAME, under
+from shelfweek.sources.files import NULL_MARK
 
 DIMENSIONS = {"store": STORE, "product": PRODUCT, "calendar": CALENDAR}
 
@@ -13,33 +14,47 @@ def _columns(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
 
-def register_fact(spark: SparkSession, out: str, table: str = FACT_NAME) -> str:
-    """A partitioned table over the fact files, with every folder registered.
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    Repeat after a run that adds weeks: only the repair is done again.
-    """
-    path = under(out, FACT_NAME)
-    columns = _columns(spark.read.parquet(path).schema)
+
+def _registered(spark, table: str, schema: StructType, using: str, partitions: str, path: str) -> str:
+    """The external table, made anew if its columns have changed, with just the folders there are."""
+    if spark.catalog.tableExists(table):
+        now = {f.name.lower(): f.dataType for f in spark.table(table).schema}
+        if now != {f.name.lower(): f.dataType for f in schema}:
+            spark.sql(f"DROP TABLE {table}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY ({', '.join(FACT_PARTITIONS)}) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {table} ({_columns(schema)}) USING {using} "
+        f"PARTITIONED BY ({partitions}) LOCATION {_text(path)}"
     )
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     return table
 
 
+def register_fact(
+    spark: SparkSession, out: str, table: str = FACT_NAME, name: str = FACT_NAME
+) -> str:
+    """A partitioned table over the fact files of ``<out>/<name>``.
+
+    Repeat after every run: folders that have come or gone are synchronised.
+    """
+    path = under(out, name)
+    schema = spark.read.parquet(path).schema
+    return _registered(spark, table, schema, "parquet", ", ".join(FACT_PARTITIONS), path)
+
+
 def register_dimension(
     spark: SparkSession, out: str, name: str, table: str | None = None
 ) -> str:
     """A table over the dated CSV copies of a dimension, one partition per date."""
-    table = table or name
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({_columns(DIMENSIONS[name])}, `date` date) "
-        "USING csv OPTIONS (header 'true', escape '\"') "
-        f"PARTITIONED BY (`date`) LOCATION '{under(out, name)}'"
+    using = (
+        "csv OPTIONS (header 'true', escape '\"', multiLine 'true', emptyValue '', "
+        f"nullValue {_text(NULL_MARK)})"
     )
-    spark.sql(f"MSCK REPAIR TABLE {table}")
-    return table
+    schema = StructType([*DIMENSIONS[name], StructField("date", DateType())])
+    return _registered(spark, table or name, schema, using, "`date`", under(out, name))
 
 
 def register_outputs(spark: SparkSession, out: str, prefix: str = "") -> dict[str, str]:

@@ -2,36 +2,60 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def scratch_name(name: str) -> str:
+    return f"{name}-{uuid.uuid4().hex}"
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``; a local one only in local mode.
 
-    What is written there is left to the clean-up of that folder.
+    What is written there is left to ``removed`` or the clean-up of that folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        return f"{shared.rstrip('/')}/{scratch_name(name)}"
     if spark.sparkContext.master.startswith("local["):
         return tempfile.mkdtemp(prefix=f"{name}-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
     """``df`` written once as Parquet, for plans that read it more than once.
 
     This also cuts the lineage: a lost executor costs no work before this point.
+    The folder's path is appended to ``made``.
     """
     path = scratch_folder(df.sparkSession, name)
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the constructor of its paths."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def removed(spark: SparkSession, *paths: str) -> None:
-    """Deletes folders made by ``staged``, wherever they are."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    """Deletes folders made here, wherever they are."""
     for path in paths:
-        place = hadoop(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        files, place = file_system(spark, path)
+        files.delete(place(path), True)
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[list[str]]:
+    """A list of scratch folders that are deleted at the end, also after an error."""
+    made: list[str] = []
+    try:
+        yield made
+    finally:
+        removed(spark, *made)

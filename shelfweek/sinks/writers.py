@@ -2,14 +2,23 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfweek.schemas import FACT_PARTITIONS
+from shelfweek.sinks.scratch import file_system, scratch_name
 from shelfweek.sources.files import CSV_OPTIONS
 
 FACT_NAME = "sales_inv"
-# A CSV copy is one file up to this many rows and several beyond it.
-SINGLE_FILE_ROWS = 1_000_000
+# A gzip file is read by one task, so extracts are cut into files of this many rows.
+FILE_ROWS = 2_000_000
+# Spark's CSV writer trims text and marks empty text, unless told otherwise.
+CSV_WRITE = {
+    **CSV_OPTIONS,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "",
+    "emptyValue": '""',
+}
 
 
 def under(folder: str, *names: str) -> str:
@@ -24,15 +33,16 @@ def write_fact(
     *,
     dynamic: bool = False,
     clustered: bool = False,
+    name: str = FACT_NAME,
 ) -> str:
-    """Parquet below ``<out>/sales_inv``, in year and week folders.
+    """Parquet below ``<out>/<name>``, in year and week folders.
 
     Rows are gathered by folder first, so that a folder gets few files; a week
     too large for one task is divided, small weeks share one. Set ``clustered``
     where that has been done. Overwriting replaces every folder, or with
     ``dynamic`` only those that ``fact`` has rows for.
     """
-    path = under(out, FACT_NAME)
+    path = under(out, name)
     gathered = fact if clustered else fact.hint("rebalance", *FACT_PARTITIONS)
     (
         gathered.write.mode(mode)
@@ -45,12 +55,15 @@ def write_fact(
 
 
 def write_csv(
-    df: DataFrame, path: str, mode: str = "overwrite", *, single_file_rows: int = SINGLE_FILE_ROWS
+    df: DataFrame, path: str, mode: str = "overwrite", *, single_file: bool = True
 ) -> str:
-    """CSV with a header, in one file if the counted rows allow it."""
-    one = df.count() <= single_file_rows
-    writer = (df.repartition(1) if one else df).write.mode(mode)
-    writer.options(header=True, **CSV_OPTIONS).csv(path)
+    """CSV with a header, written by one task into one file, or by every task of ``df``.
+
+    NULL is an empty field and empty text a quoted one; blanks stay as they are.
+    A single file suits dimensions; give ``single_file=False`` for large tables.
+    """
+    writer = (df.repartition(1) if single_file else df).write.mode(mode)
+    writer.options(header=True, **CSV_WRITE).csv(path)
     return path
 
 
@@ -61,21 +74,55 @@ def write_snapshot(
     run_date: date,
     mode: str = "overwrite",
     *,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    single_file: bool = True,
 ) -> str:
     """Dated CSV copy of a dimension below ``<out>/<name>/date=<run_date>``."""
     path = under(out, name, f"date={run_date:%Y-%m-%d}")
-    return write_csv(df, path, mode, single_file_rows=single_file_rows)
+    return write_csv(df, path, mode, single_file=single_file)
 
 
 def write_landing(
-    df: DataFrame, landing: str, table: str, run_date: date, mode: str = "overwrite"
+    df: DataFrame,
+    landing: str,
+    table: str,
+    run_date: date,
+    mode: str = "overwrite",
+    *,
+    file_rows: int = FILE_ROWS,
 ) -> str:
-    """Gzip CSV extract of a table with a header, one file per task of ``df``."""
+    """Gzip CSV extract of a table with a header, in files of ``file_rows`` at most."""
     path = under(landing, table, f"date={run_date:%Y-%m-%d}")
     (
         df.write.mode(mode)
-        .options(header=True, compression="gzip", **CSV_OPTIONS)
+        .options(header=True, compression="gzip", maxRecordsPerFile=file_rows, **CSV_WRITE)
         .csv(path)
     )
     return path
+
+
+def write_landing_file(df: DataFrame, landing: str, table: str, run_date: date) -> str:
+    """Gzip CSV extract in the one file ``<landing>/<table>_<run_date>.csv.gz``.
+
+    The file appears under its name only once it is whole.
+    """
+    spark = df.sparkSession
+    folder = under(landing, scratch_name(f"_{table}"))
+    options = {"header": True, "compression": "gzip", **CSV_WRITE}
+    df.repartition(1).write.options(**options).csv(folder)
+    path = under(landing, f"{table}_{run_date:%Y-%m-%d}.csv.gz")
+    files, place = file_system(spark, folder)
+    (part,) = files.globStatus(place(under(folder, "part-*")))
+    files.delete(place(path), False)
+    files.rename(part.getPath(), place(path))
+    files.delete(place(folder), True)
+    return path
+
+
+def mark_finished(spark: SparkSession, folders: str) -> None:
+    """Puts a success marker into every folder of a pattern.
+
+    A partitioned write marks its own folder only, not the dated ones below.
+    """
+    files, place = file_system(spark, folders)
+    for folder in files.globStatus(place(folders)):
+        files.create(place(folder.getPath(), "_SUCCESS"), True).close()

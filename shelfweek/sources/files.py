@@ -8,6 +8,9 @@ from shelfweek.schemas import TABLES
 
 # Quotes inside a field are doubled, as common CSV writers do.
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
+# What an empty field is read as. Being no text that occurs, it keeps NULL (an
+# empty field) apart from empty text (a quoted empty field).
+NULL_MARK = "\x01"
 
 
 def read_csv(
@@ -16,17 +19,25 @@ def read_csv(
     schema: StructType | None = None,
     *,
     header: bool = True,
-    multi_line: bool = False,
+    multi_line: bool = True,
+    empty_is_null: bool = False,
 ) -> DataFrame:
     """CSV files or folders; ``.gz`` files are unpacked by their extension.
 
     With a schema there is no inference pass, values keep their text form where
     the type is STRING, a header that does not match the schema is an error,
-    and so is a value that does not parse. Empty text is read as NULL. Without one, Spark infers the types
-    from a full read. A gzip file is read by one task, so large tables should
-    arrive as many files.
+    and so is a value that does not parse. Without one, Spark infers the types
+    from a full read. An empty field is NULL and a quoted empty one empty text,
+    unless ``empty_is_null`` says that both are NULL.
+
+    Fields may hold line breaks. That takes one task per file, as gzip does
+    anyway; large uncompressed files without line breaks inside fields are
+    split with ``multi_line=False``. Large tables should arrive as many files.
     """
-    reader = spark.read.options(header=header, multiLine=multi_line, **CSV_OPTIONS)
+    null = "" if empty_is_null else NULL_MARK
+    reader = spark.read.options(
+        header=header, multiLine=multi_line, nullValue=null, emptyValue="", **CSV_OPTIONS
+    )
     if schema is None:
         return reader.csv(path, inferSchema=True)
     # Flags arrive as 0/1 from some databases and as true/false from others;
@@ -54,9 +65,12 @@ def load_tables(
     *,
     header: bool = True,
     infer: bool = False,
+    multi_line: bool = True,
+    empty_is_null: bool = False,
 ) -> dict[str, DataFrame]:
     """The source tables by name, each with its published schema."""
+    options = {"header": header, "multi_line": multi_line, "empty_is_null": empty_is_null}
     return {
-        name: read_csv(spark, path, None if infer else TABLES[name], header=header)
+        name: read_csv(spark, path, None if infer else TABLES[name], **options)
         for name, path in paths.items()
     }

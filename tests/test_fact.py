@@ -77,6 +77,31 @@ def test_inferred_doubles_give_the_declared_types(spark):
     assert bag(result, FACT) == EXPECTED_FACT
 
 
+def test_inferred_stock_gives_the_declared_types(spark):
+    sales, calendar, inventory = micro(spark)
+    names = ("inventory_on_hand_qty", "inventory_on_order_qty")
+    doubles = inventory.withColumns({n: F.col(n).cast("double") for n in names})
+    result = fact.weekly_fact(sales, calendar, doubles)
+    assert result.schema == fact.weekly_fact(sales, calendar, inventory).schema
+    assert bag(result, FACT) == EXPECTED_FACT
+
+
+def test_one_shuffle_per_table(spark, tmp_path):
+    """Without hot pairs the counted fact deals out sales and snapshots once each."""
+    tables = []
+    for n, table in enumerate(random_tables(spark, 14)):
+        table.write.parquet(f"{tmp_path}/{n}")
+        tables.append(spark.read.parquet(f"{tmp_path}/{n}"))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = fact.weekly_fact_counted(*tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    reused = plan.count("ReusedExchange")
+    assert reused >= 1 and plan.count("Exchange hashpartitioning") - reused == 2
+
+
 def test_micro_dated_totals(spark):
     result = weekly.weekly_summary(*micro(spark))
     columns = [*GRAIN, "TOTAL_SALES_QTY", "TOTAL_SALES_AMT", "AVG_SALES_PRICE",
@@ -120,7 +145,7 @@ def test_shuffled_calendar_gives_the_same_rows(spark, monkeypatch, hot_rows):
     tables = random_tables(spark, 12)
     expected = bag(joins.base_join(*tables))
     dated = bag(joins.base_join_dated(*tables))
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
     assert bag(joins.base_join(*tables, hot_rows=hot_rows)) == expected
     assert bag(joins.base_join_dated(*tables, hot_rows=hot_rows)) == dated
 
@@ -128,7 +153,7 @@ def test_shuffled_calendar_gives_the_same_rows(spark, monkeypatch, hot_rows):
 @LAYOUTS
 def test_summary_equals_grouped_dated_join(spark, hot_rows):
     tables = random_tables(spark, 13)
-    base = joins.base_join_dated(*tables)
+    base = joins.base_join_dated(*tables[:2], weekly.daily_snapshots(tables[2]))
     summary = weekly.weekly_summary(*tables, 5, hot_rows=hot_rows)
     assert bag(summary.select(weekly.totals(base).columns)) == bag(weekly.totals(base))
     low = weekly.low_stock(base).groupBy(*GRAIN).agg(F.max("LOW_STOCK_FLG").alias("LOW_STOCK_FLG"))

@@ -7,6 +7,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 
 from shelfweek.schemas import CALENDAR, INVENTORY, STORE
+from shelfweek.sinks.catalog import register_dimension
 from shelfweek.sinks.writers import write_csv, write_landing, write_snapshot
 from shelfweek.sources.files import load_tables, read_csv
 from tests.fixtures import bag, micro, rows
@@ -101,15 +102,44 @@ def test_load_tables_typed_and_inferred(spark, tmp_path):
     assert dict(load_tables(spark, paths, infer=True)["sales"].dtypes)["sales_qty"] == "double"
 
 
-def test_csv_copy_is_one_file_up_to_a_size(spark, stores, tmp_path):
+def test_csv_copy_is_one_file_or_one_per_task(spark, tmp_path):
     many = spark.range(100).repartition(4)
     write_csv(many, str(tmp_path / "one"))
-    write_csv(many, str(tmp_path / "more"), single_file_rows=99)
+    write_csv(many, str(tmp_path / "more"), single_file=False)
     assert len(data_files(tmp_path / "one")) == 1
     assert len(data_files(tmp_path / "more")) == 4
     assert bag(read_csv(spark, str(tmp_path / "more"))) == bag(many)
 
 
+ODD_TEXTS = ["  007 ", " pad ", "", None, 'say "hi", twice', "two\nlines", "cr\r\nlf", "\\N", "null", ",", '"', "\t"]
+
+
+def test_odd_texts_survive_landing_loading_snapshot_and_catalog(spark, tmp_path):
+    stores = rows(spark, STORE, *[
+        {"store_key": i, "store_desc": t, "addr": t, "frnchs_flg": None} for i, t in enumerate(ODD_TEXTS)
+    ])
+    path = write_landing(stores, str(tmp_path / "landing"), "store", date(2023, 2, 1))
+    loaded = load_tables(spark, {"store": path})["store"]
+    assert bag(loaded) == bag(stores)
+    write_snapshot(loaded, str(tmp_path / "out"), "store", date(2023, 2, 1))
+    register_dimension(spark, str(tmp_path / "out"), "store", "odd_store")
+    assert bag(spark.table("odd_store").drop("date")) == bag(stores)
+
+
+def test_quoted_empty_text_may_stand_for_null(spark, tmp_path):
+    file = tmp_path / "store.csv"
+    file.write_text(",".join(STORE.fieldNames()) + '\n7,"",x' + "," * (len(STORE) - 3) + "\n")
+    assert read_csv(spark, str(file), STORE).first().store_num == ""
+    assert read_csv(spark, str(file), STORE, empty_is_null=True).first().store_num is None
+    assert read_csv(spark, str(file), STORE).first().addr is None
+
+
+def test_landing_files_are_bounded_in_rows(spark, tmp_path):
+    many = spark.range(100).repartition(1)
+    write_landing(many, str(tmp_path), "sales", date(2023, 2, 1), file_rows=30)
+    assert len(data_files(tmp_path / "sales" / "date=2023-02-01")) == 4
+
+
 def test_csv_write_modes(spark, stores, tmp_path):
     path = write_csv(stores, str(tmp_path / "store"))
     write_csv(stores, path, "append")

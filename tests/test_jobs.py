@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from shelfweek.plans import nightly
 from shelfweek.plans.fact import weekly_fact
 from shelfweek.schemas import FACT, PRODUCT, STORE
-from shelfweek.sinks.catalog import register_outputs
-from shelfweek.sinks.writers import write_fact
+from shelfweek.operators.weekly import weekly_summary
+from shelfweek.sinks.catalog import register_fact, register_outputs
+from shelfweek.sinks.writers import mark_finished, write_fact, write_landing_file
 from shelfweek.sources.database import jdbc_options, read_jdbc
 from shelfweek.sources.landing import landed_files, landed_tables
 from tests.fixtures import bag, micro, rows
@@ -51,10 +52,41 @@ def test_nightly_job(spark, landing, tmp_path, infer):
     assert stores.first().store_num == code
 
 
+@pytest.mark.parametrize(
+    ("form", "folder", "n"), [("counted", "sales_inv_counted", None), ("summary", "sales_inv_summary", 4)]
+)
+def test_other_forms_of_the_fact(spark, landing, five, tmp_path, form, folder, n):
+    path = nightly.run_job(spark, landing[1], str(tmp_path), RUN, fact=form)
+    assert path == f"{tmp_path}/{folder}"
+    back = spark.read.parquet(path)
+    if form == "counted":
+        assert back.agg(F.sum("ROW_COPIES")).first()[0] == 10
+    else:
+        assert back.count() == n
+        assert bag(back, ["STORE_KEY", "PROD_KEY"]) == bag(
+            weekly_summary(five["sales"], five["calendar"], five["inventory"]), ["STORE_KEY", "PROD_KEY"]
+        )
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_staged_folders_are_removed(spark, landing, tmp_path, monkeypatch, fails):
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr("shelfweek.sinks.scratch.scratch_folder", lambda _, name: f"{scratch}/{name}")
+    if fails:
+        monkeypatch.setattr(nightly, "write_fact", lambda *a, **b: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            nightly.run_job(spark, landing[1], str(tmp_path / "out"), RUN)
+    else:
+        nightly.run_job(spark, landing[1], str(tmp_path / "out"), RUN)
+    assert scratch.exists() and list(scratch.iterdir()) == []
+
+
 def test_command_line(spark, landing, tmp_path):
     paths = [arg for name, path in landing[1].items() for arg in (f"--{name}", path)]
     nightly.main(["--date", "2023-02-01", "--out", str(tmp_path), *paths])
     assert spark.read.parquet(f"{tmp_path}/sales_inv").count() == 10
+    nightly.main(["--date", "2023-02-01", "--out", str(tmp_path), "--fact", "summary", "--split-files", *paths])
+    assert spark.read.parquet(f"{tmp_path}/sales_inv_summary").count() == 4
 
 
 def test_registered_outputs(spark, landing, tmp_path, capsys):
@@ -76,6 +108,21 @@ def test_registered_outputs(spark, landing, tmp_path, capsys):
     assert spark.table("job_store").count() == 2
 
 
+def test_catalog_follows_the_folders_and_columns(spark, five, tmp_path):
+    fact = weekly_fact(five["sales"], five["calendar"], five["inventory"])
+    out = str(tmp_path / "it's here")
+    write_fact(fact, out)
+    register_fact(spark, out, "followed")
+    assert spark.sql("SHOW PARTITIONS followed").count() == 2
+    write_fact(fact.filter("WK_NUM = 2"), out)
+    register_fact(spark, out, "followed")
+    assert spark.sql("SHOW PARTITIONS followed").count() == 1
+    assert spark.table("followed").count() == 1
+    write_fact(fact.withColumn("MORE", F.lit(1)), out)
+    register_fact(spark, out, "followed")
+    assert "MORE" in spark.table("followed").columns and spark.table("followed").count() == 10
+
+
 def test_table_is_empty_until_repaired(spark, five, tmp_path):
     path = write_fact(weekly_fact(five["sales"], five["calendar"], five["inventory"]), str(tmp_path))
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in
@@ -114,6 +161,34 @@ def test_completeness_of_folders(spark, landing):
     assert other_day.count() == 5
 
 
+def test_unfinished_folders_have_not_landed(spark, five, tmp_path):
+    nightly.extract_tables(five.__getitem__, str(tmp_path), RUN)
+    marker = tmp_path / "store" / "date=2023-02-01" / "_SUCCESS"
+    marker.unlink()
+    assert missing(spark, tmp_path) == ["store"]
+    mark_finished(spark, f"{tmp_path}/store/date=*")
+    assert marker.exists() and missing(spark, tmp_path) == []
+
+
+def test_a_table_that_landed_twice_is_an_error(spark, five, tmp_path):
+    nightly.extract_tables(five.__getitem__, str(tmp_path), RUN)
+    write_landing_file(five["sales"], str(tmp_path), "sales", RUN)
+    assert missing(spark, tmp_path) == []
+    with pytest.raises(ValueError, match="more than once.*sales"):
+        nightly.run_if_complete(spark, str(tmp_path), str(tmp_path / "out"), RUN)
+
+
+def test_extracts_as_single_files(spark, five, tmp_path):
+    for name, table in five.items():
+        write_landing_file(table, str(tmp_path), name, RUN)
+    write_landing_file(five["sales"], str(tmp_path), "sales", RUN)
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == sorted(
+        f"{n}_2023-02-01.csv.gz" for n in five
+    )
+    assert nightly.run_if_complete(spark, str(tmp_path), str(tmp_path / "out"), RUN) == []
+    assert bag(spark.read.parquet(f"{tmp_path}/out/sales_inv"), FACT) == EXPECTED_FACT
+
+
 def test_completeness_of_flat_files(spark, tmp_path):
     every = ["calendar", "inventory", "product", "sales", "store"]
     assert missing(spark, tmp_path / "absent") == every

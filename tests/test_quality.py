@@ -1,8 +1,8 @@
 import pytest
 
 from shelfweek.operators import quality, skew, weekly
-from shelfweek.schemas import PRODUCT, STORE
-from tests.fixtures import bag, micro, rows
+from shelfweek.schemas import CALENDAR, INVENTORY, PRODUCT, SALES, STORE
+from tests.fixtures import bag, cal, micro, rows, sale, stock
 
 
 def test_duplicate_keys(spark):
@@ -15,11 +15,11 @@ def test_duplicate_keys(spark):
     ]
 
 
-@pytest.mark.parametrize("max_rows", [None, 0], ids=["broadcast", "shuffled"])
+@pytest.mark.parametrize("max_bytes", [None, 0], ids=["broadcast", "shuffled"])
 @pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_dropped_sales(spark, monkeypatch, max_rows, hot_rows):
-    if max_rows is not None:
-        monkeypatch.setattr(skew, "BROADCAST_ROWS", max_rows)
+def test_dropped_sales(spark, monkeypatch, max_bytes, hot_rows):
+    if max_bytes is not None:
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", max_bytes)
     dropped = quality.dropped_sales(*micro(spark), hot_rows=hot_rows)
     assert bag(dropped, ["trans_id", "reason"]) == {
         (5, "no inventory"): 1,
@@ -29,7 +29,7 @@ def test_dropped_sales(spark, monkeypatch, max_rows, hot_rows):
     assert dropped.columns[:-1] == micro(spark)[0].columns
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}, {"max_rows": 0, "hot_rows": 1}])
+@pytest.mark.parametrize("limits", [{}, {"max_bytes": 0}, {"max_bytes": 0, "hot_rows": 1}])
 def test_enriched_summary_keeps_every_row(spark, limits):
     summary = weekly.weekly_summary(*micro(spark))
     stores = rows(spark, STORE, {"store_key": 1, "region": "north"}, {"store_key": 9})
@@ -48,10 +48,42 @@ def test_enriched_summary_keeps_every_row(spark, limits):
     }
 
 
-def test_in_stock_share_complements_the_out_of_stock_share(spark):
-    result = weekly.in_stock_pct(weekly.weekly_summary(*micro(spark)))
-    assert bag(result, ["PERCENTAGE_STORE_IN_STOCK", "IN_STOCK_PCT"]) == {
-        (14.286, 85.714): 2,
-        (0.0, 100.0): 1,
-        (None, None): 1,
-    }
+def test_in_stock_share_counts_days(spark):
+    """20 sales on the one day out of stock, and another such day without a sale."""
+    sales = rows(spark, SALES, *[sale(i, 10, 1, "2023-01-02", "1", "2", "1") for i in range(20)])
+    calendar = rows(spark, CALENDAR, *[cal(f"2023-01-0{d}", d - 2, 2023, 1, 1) for d in range(2, 9)])
+    one = [stock("2023-01-02", 1, 10, "0", "0", 1), stock("2023-01-03", 1, 10, "5", "0", 0)]
+    two = [*one, stock("2023-01-04", 1, 10, "0", "0", 1), stock("2023-01-04", 1, 10, "9", "0", 0)]
+    for snapshots, share in ((one, 85.714), (two, 71.429)):
+        inventory = rows(spark, INVENTORY, *snapshots)
+        summary = weekly.weekly_summary(sales, calendar, inventory)
+        result = weekly.in_stock_pct(summary, calendar, inventory).collect()
+        assert [r.IN_STOCK_PCT for r in result] == [share]
+        assert result[0].PERCENTAGE_STORE_IN_STOCK == 285.714  # rows, not days: as defined
+
+
+def test_repeated_snapshots_of_a_day_count_once(spark):
+    sales = rows(spark, SALES, sale(1, 10, 1, "2023-01-08", "1", "2", "1"))
+    calendar = rows(spark, CALENDAR, cal("2023-01-08", 6, 2023, 1, 1))
+    inventory = rows(spark, INVENTORY, stock("2023-01-08", 1, 10, "9", "4", 0), stock("2023-01-08", 1, 10, "0", "3", 1))
+    row = weekly.weekly_summary(sales, calendar, inventory).first()
+    assert (row.TOTAL_SALES_QTY, row.INVENTORY_ON_HAND_QTY, row.INVENTORY_ON_ORDER_QTY) == (1, 0, 3)
+    assert (row.OUT_OF_STOCK_FLG, row.LOW_STOCK_FLG, row.NO_STOCK_INSTANCE) == (1, 1, 1)
+
+
+def test_enriching_with_large_dimensions_computes_the_fact_once(spark, tmp_path):
+    """Counted by the rows its source writes to an accumulator."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    summary = weekly.weekly_summary(*micro(spark))
+    n = summary.count()
+    watched = summary.mapInPandas(count, summary.schema)
+    stores = rows(spark, STORE, {"store_key": 1, "region": "north"}).select("store_key", "region")
+    products = rows(spark, PRODUCT, {"prod_key": 10, "brand_name": "b"}).select("prod_key", "brand_name")
+    assert weekly.enrich(watched, stores, products, max_bytes=0, hot_rows=1).count() == n
+    assert seen.value == n

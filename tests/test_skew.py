@@ -1,8 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfweek.operators.skew import hot_cells, skew_join
-from tests.fixtures import bag
+from shelfweek.operators import joins
+from shelfweek.operators.skew import checked_broadcast, hot_cells, skew_join
+from shelfweek.schemas import CALENDAR, INVENTORY, SALES
+from tests.fixtures import bag, cal, rows, sale, stock
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +55,63 @@ def test_hot_key_is_spread_over_tasks(spark, sides):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(hot) > 100_000
     assert max(hot) < sum(hot) / 3
+
+
+def rows_per_task(spark, frame):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return frame.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def one_pair(spark, n_sales, n_snapshots, distinct):
+    """Many sales and snapshots of one pair, equal or all different."""
+    amount = F.col("id").cast("decimal(18,2)") if distinct else F.lit(3).cast("decimal(18,2)")
+    first = rows(spark, SALES, sale(1, 10, 1, "2023-01-02", "1", "2", "1")).first()
+    sales = spark.range(n_sales).select(
+        *[F.lit(first[f.name]).cast(f.dataType).alias(f.name) if f.name != "sales_amt" else amount.alias("sales_amt")
+          for f in SALES]
+    )
+    held = rows(spark, INVENTORY, stock("2023-01-02", 1, 10, "4", "5", 0)).first()
+    inventory = spark.range(n_snapshots).select(
+        *[F.lit(held[f.name]).cast(f.dataType).alias(f.name) if f.name != "inventory_on_hand_qty" else
+          amount.alias("inventory_on_hand_qty") for f in INVENTORY]
+    )
+    return sales, rows(spark, CALENDAR, cal("2023-01-02", 0, 2023, 1, 1)), inventory
+
+
+@pytest.mark.parametrize("distinct", [False, True], ids=["equal", "distinct"])
+def test_hot_pair_is_spread_even_with_equal_rows(spark, distinct):
+    joined = joins.base_join(*one_pair(spark, 40_000, 5, distinct), hot_rows=1000, hot_product=20_000)
+    tasks = rows_per_task(spark, joined)
+    assert sum(tasks) == 200_000
+    assert max(tasks) <= 2 * sum(tasks) / 8
+
+
+def test_large_product_is_spread_under_default_settings(spark):
+    """Neither side is large, what they join to is."""
+    joined = joins.base_join(*one_pair(spark, 40_000, 500, False))
+    tasks = rows_per_task(spark, joined)
+    assert sum(tasks) == 20_000_000
+    assert max(tasks) <= 2 * sum(tasks) / 8
+
+
+def test_cells_bound_rows_and_products(spark):
+    left = spark.range(1000).select(F.lit(1).alias("k"), "id").union(spark.range(50).select((F.col("id") + 2).cast("int"), "id"))
+    right = spark.range(40).select(F.lit(1).alias("k"), "id")
+    for rows_, product in ((100, None), (10_000, 400), (10_000, 10_000), (30, 900)):
+        cells = hot_cells(["k"], left, right, hot_rows=rows_, hot_product=product)
+        a, b = (next(iter(c.values()), 1) for c in cells)
+        assert 1000 / a <= rows_ and 40 / b <= max(rows_, 40 if product is None else rows_)
+        assert product is None or (1000 / a) * (40 / b) <= product
+    assert hot_cells(["k"], left, right, hot_product=40_000) == [{}, {}]
+
+
+def test_broadcasts_are_measured_in_bytes(spark):
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 10_000).alias("x"))
+    assert checked_broadcast(wide, 900_000) is None
+    assert checked_broadcast(wide, 1_100_000) is not None
+    assert checked_broadcast(wide.limit(0), 0) is not None

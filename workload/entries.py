@@ -12,12 +12,26 @@ from shelfweek import schemas
 from shelfweek.operators import joins, quality, weekly
 from shelfweek.plans import fact, nightly
 from shelfweek.sinks.catalog import register_dimension, register_fact
-from shelfweek.sinks.writers import under, write_csv, write_fact, write_landing, write_snapshot
+from shelfweek.sinks.scratch import scratch_folder
+from shelfweek.sinks.writers import (
+    mark_finished,
+    under,
+    write_csv,
+    write_fact,
+    write_landing,
+    write_landing_file,
+    write_snapshot,
+)
 from shelfweek.sources.files import load_tables, read_csv
-from shelfweek.sources.landing import landed_files, landed_tables, missing_inputs
+from shelfweek.sources.landing import (
+    files_of_day,
+    input_paths,
+    landed_files,
+    landed_tables,
+    missing_inputs,
+)
 from workload.adapter import as_declared, table, tables
-from workload.oracle import RUN_DATE
-from shelfweek.sinks.scratch import scratch_folder
+from workload.oracle import DENSE_PRODUCTS, DENSE_STORES, RUN_DATE
 
 Query = Callable[[SparkSession, str], DataFrame]
 THREE = ("sales", "calendar", "inventory")
@@ -50,7 +64,8 @@ def summary(spark: SparkSession, sf_dir: str, week_end_day: int = 6) -> DataFram
 
 
 def in_stock_pct(sales, calendar, inventory):
-    weeks = weekly.in_stock_pct(weekly.weekly_summary(sales, calendar, inventory))
+    summary = weekly.weekly_summary(sales, calendar, inventory)
+    weeks = weekly.in_stock_pct(summary, calendar, inventory)
     return weeks.select(*schemas.GRAIN, "PERCENTAGE_STORE_IN_STOCK", "IN_STOCK_PCT")
 
 
@@ -132,6 +147,32 @@ def landing_extract(spark, sf_dir):
     return plain(read_csv(spark, extract(spark, sf_dir)["sales"], schemas.SALES))
 
 
+def landing_files(spark, sf_dir):
+    """Five tables landed as single files, found by name and read back; the sales."""
+    landing = scratch_folder(spark, "flat")
+    for name in schemas.TABLES:
+        write_landing_file(exported(spark, sf_dir, name), landing, name, RUN_DAY)
+    paths = input_paths(files_of_day(spark, landing, RUN_DAY), RUN_DAY)
+    loaded = load_tables(spark, paths)
+    assert loaded.keys() == schemas.TABLES.keys()
+    return plain(loaded["sales"])
+
+
+def dense(operator: Callable[..., DataFrame], **options) -> Query:
+    """An operator over the sales and snapshots with their keys folded onto few pairs."""
+
+    def query(spark, sf_dir):
+        sales, calendar, inventory = tables(spark, sf_dir, *THREE)
+        folded = {
+            "store_key": F.col("store_key") % DENSE_STORES,
+            "prod_key": F.col("prod_key") % DENSE_PRODUCTS,
+        }
+        rows = operator(sales.withColumns(folded), calendar, inventory.withColumns(folded), **options)
+        return plain(rows)
+
+    return query
+
+
 def monthly_landing(spark, sf_dir) -> str:
     """Rows that are rare enough to miss some months, landed in monthly folders."""
     landing = scratch_folder(spark, "gate")
@@ -141,6 +182,7 @@ def monthly_landing(spark, sf_dir) -> str:
     for name, rows, day in (("sales", bulk, "trans_dt"), ("inventory", empty, "cal_dt")):
         monthly = rows.withColumn("date", F.trunc(day, "month")).hint("rebalance", "date")
         monthly.write.partitionBy("date").csv(under(landing, name))
+        mark_finished(spark, under(landing, name, "date=*"))
     return landing
 
 
@@ -182,7 +224,8 @@ def catalog_repair(spark, sf_dir):
     out = scratch_folder(spark, "catalog")
     write_fact(summary(spark, sf_dir), out)
     name = register_fact(spark, out, f"sales_inv_{uuid.uuid4().hex}")
-    return plain(spark.table(name).filter("WK_NUM = 2"))
+    write_fact(summary(spark, sf_dir).filter("YR_NUM >= 1996"), out)
+    return plain(spark.table(register_fact(spark, out, name)))
 
 
 def dim_csv_snapshot(spark, sf_dir):
@@ -192,10 +235,24 @@ def dim_csv_snapshot(spark, sf_dir):
     return plain(spark.table(name))
 
 
-def nightly_job(spark, sf_dir):
-    out = scratch_folder(spark, "processed")
-    nightly.run_job(spark, extract(spark, sf_dir), out, RUN_DAY)
-    return plain(spark.read.parquet(under(out, "sales_inv")))
+def nightly_job(fact: str) -> Query:
+    def query(spark, sf_dir):
+        out = scratch_folder(spark, "processed")
+        path = nightly.run_job(spark, extract(spark, sf_dir), out, RUN_DAY, fact=fact)
+        return plain(spark.read.parquet(path))
+
+    return query
+
+
+def nightly_copy(name: str) -> Query:
+    """A dimension copy of the nightly job, read back from its catalog table."""
+
+    def query(spark, sf_dir):
+        out = scratch_folder(spark, "processed")
+        nightly.run_job(spark, extract(spark, sf_dir), out, RUN_DAY, fact="summary")
+        return plain(spark.table(register_dimension(spark, out, name, f"{name}_{uuid.uuid4().hex}")))
+
+    return query
 
 
 def queries() -> dict[str, Query]:
@@ -231,5 +288,16 @@ def queries() -> dict[str, Query]:
         "dynamic_overwrite": overwrite(dynamic=True),
         "catalog_repair": catalog_repair,
         "dim_csv_snapshot": dim_csv_snapshot,
-        "nightly_job": nightly_job,
+        "landing_files": landing_files,
+        "nightly_job": nightly_job("literal"),
+        "nightly_counted": nightly_job("counted"),
+        "nightly_summary": nightly_job("summary"),
+        "nightly_store": nightly_copy("store"),
+        "nightly_product": nightly_copy("product"),
+        "nightly_calendar": nightly_copy("calendar"),
+        "base_join_hot": over(lambda *t: joins.base_join(*t, hot_rows=2, hot_product=2), *THREE),
+        "base_join_dense": dense(joins.base_join, hot_rows=100, hot_product=1000),
+        "weekly_totals_dense": dense(weekly.weekly_totals),
+        "weekly_fact_counted_hot": over(lambda *t: fact.weekly_fact_counted(*t, hot_rows=2), *THREE),
+        "weekly_fact_counted_dense": dense(fact.weekly_fact_counted),
     }

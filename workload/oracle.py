@@ -235,6 +235,44 @@ TEXT_CODES = {"num": "store_num", "cntry": "cntry_cd", "zip": "postal_zip_cd"}
 NUMBER_CODES = {k: f"CAST({v} AS BIGINT)" for k, v in TEXT_CODES.items()}
 
 RUN_DATE = "2001-11-05"
+# The dense queries fold the keys onto this many stores and products.
+DENSE_STORES, DENSE_PRODUCTS = 20, 100
+
+PRODUCT_ROWS = """
+  prod_key, prod_name, CAST(vol AS DOUBLE) AS vol, CAST(wgt AS DOUBLE) AS wgt, brand_name,
+  CAST(status_code AS BIGINT) AS status_code, status_code_name,
+  CAST(category_key AS BIGINT) AS category_key, category_name,
+  CAST(subcategory_key AS BIGINT) AS subcategory_key, subcategory_name
+"""
+
+CALENDAR_ROWS = """
+  CAST(cal_dt AS VARCHAR) AS cal_dt, cal_type_desc, CAST(day_of_wk_num AS BIGINT) AS day_of_wk_num,
+  day_of_wk_desc, CAST(yr_num AS BIGINT) AS yr_num, CAST(wk_num AS BIGINT) AS wk_num,
+  CAST(yr_wk_num AS BIGINT) AS yr_wk_num, CAST(mnth_num AS BIGINT) AS mnth_num,
+  CAST(yr_mnth_num AS BIGINT) AS yr_mnth_num, CAST(qtr_num AS BIGINT) AS qtr_num,
+  CAST(yr_qtr_num AS BIGINT) AS yr_qtr_num
+"""
+
+# Days out of stock, whether or not something was sold on them.
+IN_STOCK = f"""
+SELECT f.YR_NUM, f.WK_NUM, f.STORE_KEY, f.PROD_KEY, f.PERCENTAGE_STORE_IN_STOCK,
+       round(100 - coalesce(d.n, 0) / 7 * 100, 3) AS IN_STOCK_PCT
+FROM summary f LEFT JOIN (
+  SELECT yr_num, wk_num, store_key, prod_key, CAST(count(DISTINCT i.cal_dt) AS DOUBLE) AS n
+  FROM inventory i JOIN calendar c ON i.cal_dt = c.cal_dt
+  WHERE out_of_stock_flg = 1 GROUP BY ALL) d
+ON f.YR_NUM = d.yr_num AND f.WK_NUM = d.wk_num AND f.STORE_KEY = d.store_key
+   AND f.PROD_KEY = d.prod_key"""
+
+
+def _dense(sql: str) -> str:
+    """The same over folded keys: the folded tables take the names of the plain ones."""
+    fold = f"""* REPLACE (store_key % {DENSE_STORES} AS store_key, prod_key % {DENSE_PRODUCTS} AS prod_key)"""
+    folded = VIEWS.replace("sales AS (", "all_sales AS (").replace("inventory AS (", "all_inventory AS (")
+    more = f""",
+sales AS (SELECT {fold} FROM all_sales), inventory AS (SELECT {fold} FROM all_inventory)
+"""
+    return sql.replace(VIEWS, folded + more)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -272,10 +310,7 @@ landed AS (SELECT DISTINCT 'sales' AS table_name,
         "base_join_dated": _base_join(DATED),
         "weekly_totals_dated": _totals(DATED),
         "weekly_summary": _summary(),
-        "in_stock_pct": _summary(
-            f"""SELECT {KEYS.format("")}, PERCENTAGE_STORE_IN_STOCK,
-       round(100 - PERCENTAGE_STORE_IN_STOCK, 3) AS IN_STOCK_PCT FROM summary"""
-        ),
+        "in_stock_pct": _summary(IN_STOCK),
         "fact_enriched": _summary(
             """SELECT f.*, s.store_desc, s.region, s.market_name,
        p.prod_name, p.brand_name, p.category_name
@@ -325,9 +360,25 @@ SELECT {SALES_ROWS}, 'no inventory' AS reason FROM sales s WHERE NOT EXISTS
             """SELECT * FROM summary WHERE YR_NUM <> 1996
 UNION ALL SELECT * FROM sunday WHERE YR_NUM = 1996"""
         ),
-        "catalog_repair": _summary("SELECT * FROM summary WHERE WK_NUM = 2"),
+        "catalog_repair": _summary("SELECT * FROM summary WHERE YR_NUM >= 1996"),
         "dim_csv_snapshot": _with(
             select=f"SELECT {STORE_ROWS.format(**TEXT_CODES)}, '{RUN_DATE}' AS date FROM store"
         ),
+        "landing_files": _with(select=f"SELECT {SALES_ROWS} FROM sales"),
         "nightly_job": _fact("fact", cost="DECIMAL(18,2)"),
+        "nightly_counted": _fact("fact", cost="DECIMAL(18,2)", counted=True),
+        "nightly_summary": _with(
+            _base(DATED, "DECIMAL(18,2)"), f"summary AS ({summary_select()})",
+            select="SELECT * FROM summary",
+        ),
+        "nightly_store": _with(
+            select=f"SELECT {STORE_ROWS.format(**TEXT_CODES)}, '{RUN_DATE}' AS date FROM store"
+        ),
+        "nightly_product": _with(select=f"SELECT {PRODUCT_ROWS}, '{RUN_DATE}' AS date FROM product"),
+        "nightly_calendar": _with(select=f"SELECT {CALENDAR_ROWS}, '{RUN_DATE}' AS date FROM calendar"),
+        "base_join_hot": _base_join(),
+        "base_join_dense": _dense(_base_join()),
+        "weekly_totals_dense": _dense(_totals()),
+        "weekly_fact_counted_hot": _fact("fact", counted=True),
+        "weekly_fact_counted_dense": _dense(_fact("fact", counted=True)),
     }
