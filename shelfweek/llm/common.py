@@ -37,6 +37,11 @@ def few(df: DataFrame) -> DataFrame:
     return df if marked is None else marked
 
 
+def condition(given: Column | str) -> Column:
+    """A condition given as a column or as SQL text; null counts as false."""
+    return F.coalesce(F.expr(given) if isinstance(given, str) else given, F.lit(False))
+
+
 def uniform(*columns) -> Column:
     """A number in (0, 1) that depends on the columns only, so reruns agree."""
     bits = F.shiftrightunsigned(F.xxhash64(*columns), 11)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import checkpoint, uniform
+from shelfweek.llm.common import checkpoint, condition, uniform
 from shelfweek.llm.shingles import pair_hashes, word_lists
 
 BUCKETS = 1 << 14
@@ -78,7 +78,7 @@ def _weigh(ratios: np.ndarray, keep: list[str]):
         for batch in batches:
             weights, sizes = [], []
             for grams, text, n in _buckets(batch.column("__text")):
-                weights.append(np.bincount(text, ratios[grams], n))
+                weights.append(np.bincount(text, ratios[grams], n).astype(float))
                 sizes.append(np.bincount(text, minlength=n))
             if weights:
                 yield pa.RecordBatch.from_arrays(
@@ -117,7 +117,7 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float | None:
 def resample(
     docs: DataFrame,
     labels: DataFrame,
-    good: Column,
+    good: Column | str,
     share: float | None = None,
     seed: int = 0,
     *,
@@ -134,7 +134,7 @@ def resample(
     good labels all weights are 0 and the sample is uniform; without labels and
     ``share`` all documents with words are kept. Other columns are not read.
     """
-    known = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), good.alias("good"))
+    known = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), condition(good).alias("good"))
     total, fine = known.agg(F.count("good"), F.count_if("good")).first()
     if share is None:
         share = fine / total if total else 1.0

@@ -30,14 +30,13 @@ def op2_embedding_neardup(spark, sf_dir):
 
 
 def op3_topk_inner_product(spark, sf_dir):
-    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 
 def op4_quality_resampling(spark, sf_dir):
-    """Target: documents labelled good and not toxic."""
-    good = F.coalesce((F.col("quality") == 1) & ~F.coalesce(F.col("toxic") == 1, F.lit(False)), F.lit(False))
+    """Target: documents labelled good."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return quality.resample(docs, labels, good)
+    return quality.resample(docs, labels, "quality = 1")
 
 
 def op5_bestfit_packing(spark, sf_dir):
@@ -70,8 +69,8 @@ def secret_digest(found):
     """Counts, digest and written spans from the spans of each document."""
     base, spans = F.col("found")["base"], F.col("found")["spans"]
     counts = [
-        F.size(F.filter(base, lambda x, kind=kind: x["kind"] == kind)).cast("bigint").alias(f"n_{name}")
-        for kind, name in enumerate(secret_scan.KINDS[:3])
+        F.size(secret_scan.of_kind(base, name)).cast("bigint").alias(f"n_{name}")
+        for name in secret_scan.KINDS[:3]
     ]
     return found.select(
         "doc_id",

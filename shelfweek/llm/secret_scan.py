@@ -229,6 +229,10 @@ def _decided(scanned: DataFrame, found_col: str, by_length: dict[int, int]) -> D
     )
 
 
+def of_kind(found: Column, kind: str) -> Column:
+    return F.filter(found, lambda x: x["kind"] == KINDS.index(kind))
+
+
 def written(found: Column) -> Column:
     """Spans as kind:start:end, joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])

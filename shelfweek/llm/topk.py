@@ -13,10 +13,10 @@ vectors are searched.
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import checkpoint, few
+from shelfweek.llm.common import checkpoint, condition, few
 
 SAMPLE = 4096
 BLOCK = 8192
@@ -118,7 +118,7 @@ def _block_top(k: int, v: np.ndarray, head: int):
 
 def top_k(
     vectors: DataFrame,
-    is_query,
+    is_query: Column | str,
     k: int = 10,
     scale: int = 1024,
     *,
@@ -149,7 +149,7 @@ def top_k(
         .select(
             F.col(id_col).cast("bigint").alias("id"),
             whole.alias("vector"),
-            F.coalesce(is_query, F.lit(False)).alias("asks"),
+            condition(is_query).alias("asks"),
         )
         .groupBy("id", "vector")
         .agg(F.bool_or("asks").alias("asks"))

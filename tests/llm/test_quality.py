@@ -3,18 +3,17 @@ import random
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from shelfweek.llm import quality
 
 SCHEMA = "doc_id bigint, text string, key double, target string"
 LABELS = "doc_id bigint, quality int, toxic int"
-GOOD = F.col("quality") == 1
+GOOD = "quality = 1"
 
 
 def made(n=300, seed=0):
     chance = random.Random(seed)
-    fine, junk = [f"fine{i}" for i in range(40)], [f"junk{i}" for i in range(40)]
+    fine, junk = [f"fine{i}" for i in range(6)], [f"junk{i}" for i in range(6)]
     rows, labels = [], []
     for i in range(n):
         good = i % 4 != 0
@@ -51,9 +50,9 @@ def test_weights_are_log_ratios_of_the_models(spark):
             math.log((target[g] + 1) / n_target) - math.log((raw[g] + 1) / n_raw) for g in grams(text)
         )
         assert got[i].n_grams == len(grams(text))
-        # Buckets hold several grams now and then.
+        # A bucket may hold several grams.
         off += abs(got[i].log_weight - want) > 0.5 + 0.05 * abs(want)
-    assert off < 0.2 * len(rows)
+    assert off < 0.05 * len(rows)
     kept = {i for i, r in got.items() if r.kept}
     assert len(kept) == round(len(rows) * len(good) / len(labels))
     assert sum(i % 4 != 0 for i in kept) > 0.95 * min(len(kept), 225)

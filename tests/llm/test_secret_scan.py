@@ -51,7 +51,7 @@ def tokens():
     random_ones += ["".join(chance.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=32)) for _ in range(20)]
     random_ones += [chance.randbytes(20).hex().upper() for _ in range(20)]
     ordinary = [f"the_{w}_of_version_{i}_is_here" for i, w in enumerate(["train", "table", "data", "shard"] * 25)]
-    ordinary += [f"{'abc' * 8}{i}" for i in range(40)] + [f"{i:030d}a" for i in range(40)]
+    ordinary += [f"{'xyz' * 8}{i}" for i in range(40)] + [f"{i:030d}z" for i in range(40)]
     return random_ones, ordinary
 
 
