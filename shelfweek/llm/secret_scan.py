@@ -113,19 +113,16 @@ def _battery(text: Column, symbols: str) -> Column:
     in_class = F.array(*[F.length(F.regexp_replace(text, c, "")).cast("double") for c in classes])
     share = F.array(*[n * (len(set(symbols) & _members(c)) / size) for c in classes])
     by_class = _chi_squared(in_class, share, F.lit(float(len(classes)))) if len(classes) > 1 else F.lit(1.0)
-    # Numbers of the symbols, centred.
+    # Numbers of the symbols, centred, and the products of neighbours.
     value = F.transform(
-        F.sequence(F.lit(1), F.length(text)),
-        lambda i: F.instr(F.lit(symbols), F.substring(text, i, F.lit(1))) - (size + 1) / 2,
+        F.split(text, ""), lambda c: F.instr(F.lit(symbols), c) - (size + 1) / 2
     )
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length(text) - 1),
-        lambda i: F.struct(F.element_at(value, i).alias("a"), F.element_at(value, i + 1).alias("b")),
-    )
-    changes = F.aggregate(pairs, F.lit(0.0), lambda s, p: s + F.when(p["a"] * p["b"] < 0, 1.0).otherwise(0.0))
+    rest = F.length(text) - 1
+    products = F.zip_with(F.slice(value, 1, rest), F.slice(value, 2, rest), lambda a, b: a * b)
+    changes = F.size(F.filter(products, lambda x: x < 0))
     runs = 2 * upper_tail(F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4))
     spread = (size * size - 1) / 12
-    serial = F.aggregate(pairs, F.lit(0.0), lambda s, p: s + p["a"] * p["b"]) / spread
+    serial = F.aggregate(products, F.lit(0.0), lambda s, x: s + x) / spread
     correlation = 2 * upper_tail(F.abs(serial) / F.sqrt(n - 1))
     return F.least(F.lit(1.0), 4 * F.least(uniform, by_class, runs, correlation))
 
