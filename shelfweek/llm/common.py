@@ -59,24 +59,25 @@ def components(edges: DataFrame) -> DataFrame:
     pair = edges.select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     ).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    stars, before = checkpoint(pair.distinct()), None
-    while before != (now := _state(stars)):
-        before = now
-        if now[0] == 0:
-            break
+    stars = checkpoint(pair.distinct())
+    while _unfinished(stars):
         stars = checkpoint(_small_star(_large_star(stars)))
     roots = stars.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether a node hangs on two others, or on one while another hangs on it."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("id").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return not nodes.where("hangs + holds > 1 AND hangs > 0").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u"))
     lowest = both.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("low"))
-    return edges.join(lowest, "v").select("u", F.least("v", "low").alias("v")).distinct()
+    return edges.join(lowest, "v").select("u", F.least("v", "low").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -21,6 +21,8 @@ closest sets of every two components that met, and last all pairs of components
 that met and are still apart.
 """
 
+from itertools import product
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,7 +38,7 @@ GATHER = 1_000_000
 SKETCH_BITS = 1 << 18
 SHORT_BITS = 2048
 # Bits per token of a sketch, and how many times shorter the short form is.
-SHARP, SHORTER = 8, 4
+SHARP, SHORTER = 8, 8
 # Classes without any id are numbered from here on.
 UNNAMED = 1 << 62
 # Members of one list compared with each other at a time.
@@ -64,6 +66,11 @@ def fingerprint(found: np.ndarray) -> tuple[int, int]:
     return int(_signed(a)[0]), int(_signed(b)[0])
 
 
+def unnamed(set_b: int) -> int:
+    """The number of a set that no row with an id has, from its second fingerprint."""
+    return UNNAMED + ((set_b & (1 << 64) - 1) >> 2)
+
+
 def _profiles(width: int):
     def profile(batches):
         for batch, sets in _texts(batches, width):
@@ -225,23 +232,23 @@ def folded(sketches: list[bytes], most: int = SKETCH_BITS) -> np.ndarray:
     return np.stack([np.bitwise_xor.reduce(x.reshape(-1, short), axis=0) for x in rows])
 
 
-def _set_values(width: int, value):
-    """Rows (size, set_a, set_b, value) of a task's distinct sets."""
+def _set_values(width: int, value, named: bool):
+    """Rows (rep, size, value) of a task's distinct sets; unnamed ones by their fingerprint."""
 
     def values(batches):
         seen = set()
-        for _, sets in _texts(batches, width):
+        for batch, sets in _texts(batches, width):
             rows = []
-            for found in sets:
-                name = (len(found), *fingerprint(found))
+            for rep, found in zip(batch.column("id").to_pylist(), sets):
+                name = (rep, len(found), *fingerprint(found))
                 if name not in seen:
                     seen.add(name)
-                    rows.append((*name, value(found)))
+                    rep = rep if named else unnamed(name[3])
+                    rows.append((rep, len(found), value(found)))
             if rows:
-                kinds = [pa.int64()] * 3 + [pa.binary()]
+                kinds = (pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                    names=["size", "set_a", "set_b", "value"],
+                    [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["rep", "size", "value"]
                 )
 
     return values
@@ -308,10 +315,10 @@ def _closest(roots: np.ndarray, found: np.ndarray, most: int) -> tuple[np.ndarra
     return found[rank < most], np.repeat(number > most, number)[rank < most]
 
 
-_OPEN = "a bigint, b bigint, root_a bigint, root_b bigint, more boolean"
+_CLOSEST = "a bigint, b bigint, root_a bigint, root_b bigint, more boolean"
 
 
-def _open_pairs(percent: int, most: int | None):
+def _closest_pairs(percent: int):
     bands = Bands(percent)
 
     def pairs(rows: pa.Table) -> pa.Table:
@@ -323,14 +330,13 @@ def _open_pairs(percent: int, most: int | None):
         first = np.flatnonzero(np.concatenate(([True], lists[1:] != lists[:-1])))
         out = [np.empty((0, 5), np.int64)]
         for s, t in zip(first, np.append(first[1:], len(lists))):
-            found = np.concatenate([*_list_pairs(roots[s:t], size[s:t], sketches[s:t], bands), out[0][:, :3]])
-            if not len(found):
-                continue
-            found, more = _closest(roots[s:t], found, most or len(found))
-            i, j = found[:, 0] + s, found[:, 1] + s
-            turned = reps[i] > reps[j]
-            i, j = np.where(turned, j, i), np.where(turned, i, j)
-            out.append(np.stack([reps[i], reps[j], roots[i], roots[j], more], axis=1))
+            parts = [p for p in _list_pairs(roots[s:t], size[s:t], sketches[s:t], bands) if len(p)]
+            if parts:
+                found, more = _closest(roots[s:t], np.concatenate(parts), CLOSEST)
+                i, j = found[:, 0] + s, found[:, 1] + s
+                turned = reps[i] > reps[j]
+                i, j = np.where(turned, j, i), np.where(turned, i, j)
+                out.append(np.stack([reps[i], reps[j], roots[i], roots[j], more], axis=1))
         columns = np.unique(np.concatenate(out), axis=0).T
         kinds = [pa.int64()] * 4 + [pa.bool_()]
         return pa.table(
@@ -340,6 +346,65 @@ def _open_pairs(percent: int, most: int | None):
     return pairs
 
 
+def _tile_pairs(percent: int):
+    bands = Bands(percent)
+
+    def pairs(key: tuple, rows: pa.Table) -> pa.Table:
+        _, a, b = (k.as_py() for k in key)
+        reps, roots, size, block = (
+            rows.column(c).to_numpy() for c in ("rep", "root", "size", "block")
+        )
+        bits = rows.column("bits").to_pylist()
+        length = np.array([len(x) for x in bits])
+        left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
+        out = [np.empty((2, 0), np.int64)]
+        for short, long in product(np.unique(length[left]), np.unique(length[right])):
+            l, r = left[length[left] == short], right[length[right] == long]
+            all_ = np.concatenate((l, r))
+            own = folded([bits[x] for x in all_])
+            other = roots[l, None] != roots[None, r]
+            if a == b:
+                other &= reps[l, None] < reps[None, r]
+            i, j = np.nonzero(other)
+            for at in range(0, len(i), COMPARED):
+                x, y = i[at : at + COMPARED], j[at : at + COMPARED] + len(l)
+                near, _ = _near(own, size[all_], x, y, bands)
+                out.append(np.sort(np.stack([reps[all_[x[near]]], reps[all_[y[near]]]]), axis=0))
+        x, y = np.concatenate(out, axis=1)
+        return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+
+    return pairs
+
+
+def _across(apart: DataFrame, joined: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets in different components that their sketches do not refute.
+
+    ``apart`` are pairs of components. Those that hang together by them are laid
+    out in blocks, and every two blocks meet in a task.
+    """
+    groups = components(apart).toDF("root", "group")
+    own = F.coalesce("component", "rep")
+    members = (
+        sketches.join(joined, F.col("rep") == F.col("id"), "left")
+        .select("rep", own.alias("root"), "size", F.col("value").alias("bits"))
+        .join(few(groups), "root")
+    )
+    blocks = members.groupBy("group").agg(F.ceil(F.count("*") / float(TILE)).cast("int").alias("n"))
+    block = F.pmod(F.xxhash64("rep"), F.col("n")).cast("int")
+    tile = F.explode(
+        F.expr("transform(sequence(0, n - 1), j -> struct(least(block, j) AS i, greatest(block, j) AS j))")
+    )
+    return (
+        members.join(few(blocks), "group")
+        .withColumn("block", block)
+        .withColumn("tile", tile)
+        .select("group", "tile.i", "tile.j", "rep", "root", "size", "bits", "block")
+        .groupBy("group", "i", "j")
+        .applyInArrow(_tile_pairs(percent), "a bigint, b bigint")
+        .distinct()
+    )
+
+
 def _sketched(percent: int):
     bands = Bands(percent)
 
@@ -402,7 +467,7 @@ def near_duplicates(
         .select("list", "keys", "rep")
     )
     live = checkpoint(met.groupBy("rep").agg(F.sum("keys").alias("keys")))
-    sketches = checkpoint(_values_of(live, texts, classes, width, sketch))
+    sketches = checkpoint(_values_of(live, texts, width, sketch))
     short = checkpoint(sketches.mapInArrow(_shorten, "rep bigint, size bigint, bits binary"))
     # Everyone's hub is the best connected set of its lists, by the most keys in common.
     hubs = (
@@ -425,53 +490,43 @@ def near_duplicates(
 
     def compare(pairs):
         near = _not_refuted(pairs, sketches, percent)
-        return _compared(near, texts, classes, width, percent)
-
-    def opened(rooted, bits, most):
-        """Pairs of a list whose ends are still apart, from rows (list, rep, root)."""
-        mixed = (
-            rooted.groupBy("list")
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-            .where("low <> high")
-            .select("list")
-        )
-        members = rooted.join(mixed, "list").join(bits, "rep")
-        return (
-            members.withColumn("range", F.pmod("list", F.lit(ranges)))
-            .groupBy("range")
-            .applyInArrow(_open_pairs(percent, most), _OPEN)
-        )
+        return _compared(near, texts, width, percent)
 
     links = checkpoint(compare(first))
-    placed = checkpoint(
-        met.join(components(links), F.col("rep") == F.col("id"), "left").select(
-            "list", "rep", F.coalesce("component", "rep").alias("root")
-        )
+    roots = components(links)
+    placed = met.join(roots, F.col("rep") == F.col("id"), "left").select(
+        "list", "rep", F.coalesce("component", "rep").alias("root")
+    )
+    placed = checkpoint(placed)
+    mixed = (
+        placed.groupBy("list")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low <> high")
+        .select("list")
+    )
+    # The closest pairs of every two components of a list are compared; mostly that joins them.
+    closest = checkpoint(
+        placed.join(mixed, "list")
+        .join(short, "rep")
+        .withColumn("range", F.pmod("list", F.lit(ranges)))
+        .groupBy("range")
+        .applyInArrow(_closest_pairs(percent), _CLOSEST)
     )
-    # The closest pairs of every two components are compared; mostly that joins them.
-    closest = checkpoint(opened(placed, short, CLOSEST))
     untried = closest.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
     links = checkpoint(links.union(compare(untried)))
     joined = components(links)
-    # Where it did not, and there were more pairs, all of them are compared.
+    # Where it did not, and there were more pairs, the components are compared whole.
+    more = closest.where("more").select("root_a", "root_b").distinct()
     below = joined.select(F.col("id").alias("root"), "component")
     apart = checkpoint(
-        closest.where("more").select("root_a", "root_b").distinct()
-        .join(below.toDF("root_a", "now_a"), "root_a", "left")
+        more.join(below.toDF("root_a", "now_a"), "root_a", "left")
         .join(below.toDF("root_b", "now_b"), "root_b", "left")
-        .select(F.coalesce("now_a", "root_a").alias("now_a"), F.coalesce("now_b", "root_b").alias("now_b"))
-        .where("now_a <> now_b")
-    )
-    if apart.limit(1).count():
-        still = apart.select(F.col("now_a").alias("root")).union(apart.select("now_b")).distinct()
-        rooted = placed.join(below, "root", "left").select(
-            "list", "rep", F.coalesce("component", "root").alias("root")
-        )
-        sharp = sketches.withColumnRenamed("value", "bits")
-        rest = opened(rooted.join(still, "root", "left_semi"), sharp, None)
-        rest = rest.select("a", "b").distinct()
-        tried = first.union(closest.select("a", "b")).distinct()
-        joined = components(links.union(compare(rest.join(tried, ["a", "b"], "left_anti"))))
+        .select(F.coalesce("now_a", "root_a").alias("a"), F.coalesce("now_b", "root_b").alias("b"))
+        .where("a <> b")
+    )
+    if not apart.isEmpty():
+        rest = checkpoint(_across(apart, joined, sketches, percent))
+        joined = components(links.union(_compared(rest, texts, width, percent)))
     named = (
         classes.join(joined, F.col("rep") == F.col("id"), "left")
         .select(*name, F.coalesce("component", "rep").alias("component"))
@@ -483,22 +538,16 @@ def near_duplicates(
     )
 
 
-def _values_of(reps: DataFrame, texts: DataFrame, classes: DataFrame, width: int, value) -> DataFrame:
-    """(rep, size, value) of the classes in ``reps``, from the text of one member each."""
-    ids = reps.select(F.col("rep").alias("id"))
-    found = texts.join(few(ids), "id").select("text")
-    if reps.where(F.col("rep") >= UNNAMED).limit(1).count():
-        found = found.union(texts.where("id IS NULL").select("text"))
-    name = ["size", "set_a", "set_b"]
-    return (
-        found.mapInArrow(
-            _set_values(width, value), "size bigint, set_a bigint, set_b bigint, value binary"
-        )
-        .groupBy(*name)
-        .agg(F.first("value").alias("value"))
-        .join(classes.join(reps.select("rep"), "rep", "left_semi"), name)
-        .select("rep", "size", "value")
-    )
+def _values_of(reps: DataFrame, texts: DataFrame, width: int, value) -> DataFrame:
+    """(rep, size, value) of the sets of ``reps``, from the text of one member each."""
+    kinds = "rep bigint, size bigint, value binary"
+    found = texts.join(few(reps.select(F.col("rep").alias("id"))), "id").select("id", "text")
+    found = found.mapInArrow(_set_values(width, value, True), kinds)
+    nameless = reps.where(F.col("rep") >= UNNAMED)
+    if nameless.isEmpty():
+        return found
+    others = texts.where("id IS NULL").mapInArrow(_set_values(width, value, False), kinds)
+    return found.union(others.join(few(nameless.select("rep")), "rep", "left_semi"))
 
 
 def _not_refuted(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -509,12 +558,12 @@ def _not_refuted(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFra
     )
 
 
-def _compared(pairs: DataFrame, texts, classes, width: int, percent: int) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose whole sets are similar."""
     pairs = checkpoint(pairs)
     ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     tokens = checkpoint(
-        _values_of(checkpoint(ends), texts, classes, width, np.ndarray.tobytes).select("rep", "value")
+        _values_of(checkpoint(ends), texts, width, np.ndarray.tobytes).select("rep", "value")
     )
     left, right = tokens.toDF("a", "tokens_a"), tokens.toDF("b", "tokens_b")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(
