@@ -65,23 +65,38 @@ def _kind(found: Column, kind: str) -> Column:
     )
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def upper_tail(z: Column) -> Column:
     """Chance that a standard normal variable exceeds z (a polynomial good to seven places)."""
-    t = 1 / (1 + 0.2316419 * F.abs(z))
-    # Coefficients of the approximation.
-    poly = F.lit(0.0)
-    for c in (1.330274429, -1.821255978, 1.781477937, -0.356563782, 0.319381530):
-        poly = (poly + c) * t
-    tail = F.exp(-z * z / 2) / 2.5066282746310002 * poly
-    return F.when(z >= 0, tail).otherwise(1 - tail)
 
+    def tail(v, t):
+        # Coefficients of the approximation.
+        poly = F.lit(0.0)
+        for c in (1.330274429, -1.821255978, 1.781477937, -0.356563782, 0.319381530):
+            poly = (poly + c) * t
+        return F.exp(-v * v / 2) / 2.5066282746310002 * poly
+
+    def signed(v):
+        return let(1 / (1 + 0.2316419 * F.abs(v)), lambda t: F.when(v >= 0, tail(v, t)).otherwise(1 - tail(v, t)))
+
+    return let(z, signed)
+
+
+def _chi_squared(cells: Column) -> Column:
+    """p-value of (count, expected) cells by the cube-root approximation; 1 for a single cell."""
 
-def _chi_squared(counts: Column, expected: Column, cells: Column) -> Column:
-    """p-value by the cube-root approximation of the chi-squared distribution."""
-    terms = F.zip_with(counts, expected, lambda c, e: (c - e) * (c - e) / e)
-    x = F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
-    df = cells - 1.0
-    return upper_tail((F.pow(x / df, F.lit(1 / 3)) - 1 + 2 / (9 * df)) / F.sqrt(2 / (9 * df)))
+    def p_value(used):
+        df = F.size(used) - 1.0
+        terms = F.transform(used, lambda c: (c["count"] - c["even"]) * (c["count"] - c["even"]) / c["even"])
+        x = F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
+        z = (F.pow(x / df, F.lit(1 / 3)) - 1 + 2 / (9 * df)) / F.sqrt(2 / (9 * df))
+        return F.when(F.size(used) > 1, upper_tail(z)).otherwise(F.lit(1.0))
+
+    return let(F.filter(cells, lambda c: c["even"] > 0), p_value)
 
 
 def randomness(token: Column) -> Column:
@@ -89,48 +104,54 @@ def randomness(token: Column) -> Column:
 
     Four tests, so the smallest of their p-values counts four times.
     """
-    plain = F.translate(token, "-_", "+/")
-    lower = F.lower(plain)
-    by_form = [
-        (plain.rlike("^[0-9a-f]+$") | plain.rlike("^[0-9A-F]+$"), lower, HEX_SYMBOLS),
-        (plain.rlike("^[A-Z2-7]+$"), plain, BASE32_SYMBOLS),
-        (plain.rlike("^[0-9a-z]+$") | plain.rlike("^[0-9A-Z]+$"), lower, BASE36_SYMBOLS),
-    ]
-    result = _battery(plain, BASE64_SYMBOLS)
-    for fits, text, symbols in reversed(by_form):
-        result = F.when(fits, _battery(text, symbols)).otherwise(result)
-    return result
-
-
-def _battery(text: Column, symbols: str) -> Column:
-    size = float(len(symbols))
-    n = F.length(text).cast("double")
-    each = F.array(*[F.lit(s) for s in symbols])
-    counts = F.transform(each, lambda s: (F.length(text) - F.length(F.replace(text, s, F.lit("")))).cast("double"))
-    even = F.transform(each, lambda s: n / size)
-    uniform = _chi_squared(counts, even, F.lit(size))
-    classes = [c for c in ("[^0-9]", "[^a-z]", "[^A-Z]", "[^+/]") if set(symbols) & _members(c)]
-    in_class = F.array(*[F.length(F.regexp_replace(text, c, "")).cast("double") for c in classes])
-    share = F.array(*[n * (len(set(symbols) & _members(c)) / size) for c in classes])
-    by_class = _chi_squared(in_class, share, F.lit(float(len(classes)))) if len(classes) > 1 else F.lit(1.0)
+
+    def read(plain):
+        hexadecimal = plain.rlike("^([0-9a-f]+|[0-9A-F]+)$")
+        base32 = plain.rlike("^[A-Z2-7]+$")
+        base36 = plain.rlike("^([0-9a-z]+|[0-9A-Z]+)$")
+        return F.struct(
+            F.when(hexadecimal | base36 & ~base32, F.lower(plain)).otherwise(plain).alias("text"),
+            F.when(hexadecimal, HEX_SYMBOLS)
+            .when(base32, BASE32_SYMBOLS)
+            .when(base36, BASE36_SYMBOLS)
+            .otherwise(BASE64_SYMBOLS)
+            .alias("symbols"),
+        )
+
+    form = let(F.translate(token, "-_", "+/"), read)
+    return let(form, lambda f: _battery(f["text"], f["symbols"]))
+
+
+def _battery(text: Column, symbols: Column) -> Column:
+    n, size = F.length(text).cast("double"), F.length(symbols).cast("double")
+
+    def symbol_cell(s):
+        count = F.length(text) - F.length(F.replace(text, s, F.lit("")))
+        return F.struct(count.cast("double").alias("count"), (n / size).alias("even"))
+
+    def class_cell(others):
+        count = F.length(F.regexp_replace(text, others, F.lit("")))
+        share = F.length(F.regexp_replace(symbols, others, F.lit(""))) / size
+        return F.struct(count.cast("double").alias("count"), (n * share).alias("even"))
+
+    uniform = _chi_squared(F.transform(F.split(symbols, ""), symbol_cell))
+    classes = F.array(*[F.lit(c) for c in ("[^0-9]", "[^a-z]", "[^A-Z]", "[^+/]")])
+    by_class = _chi_squared(F.transform(classes, class_cell))
+
     # Numbers of the symbols, centred, and the products of neighbours.
-    value = F.transform(
-        F.split(text, ""), lambda c: F.instr(F.lit(symbols), c) - (size + 1) / 2
-    )
     rest = F.length(text) - 1
-    products = F.zip_with(F.slice(value, 1, rest), F.slice(value, 2, rest), lambda a, b: a * b)
-    changes = F.size(F.filter(products, lambda x: x < 0))
-    runs = 2 * upper_tail(F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4))
-    spread = (size * size - 1) / 12
-    serial = F.aggregate(products, F.lit(0.0), lambda s, x: s + x) / spread
-    correlation = 2 * upper_tail(F.abs(serial) / F.sqrt(n - 1))
-    return F.least(F.lit(1.0), 4 * F.least(uniform, by_class, runs, correlation))
+    value = F.transform(F.split(text, ""), lambda c: F.instr(symbols, c) - (size + 1) / 2)
+    products = let(
+        value, lambda v: F.zip_with(F.slice(v, 1, rest), F.slice(v, 2, rest), lambda a, b: a * b)
+    )
 
+    def neighbours(ps):
+        changes = F.size(F.filter(ps, lambda x: x < 0))
+        runs = 2 * upper_tail(F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4))
+        serial = F.aggregate(ps, F.lit(0.0), lambda s, x: s + x) / ((size * size - 1) / 12)
+        return F.least(runs, 2 * upper_tail(F.abs(serial) / F.sqrt(n - 1)))
 
-def _members(outside: str) -> set[str]:
-    """Symbols that a class of the form [^...] leaves out."""
-    ranges = {"[^0-9]": "0123456789", "[^a-z]": BASE36_SYMBOLS[10:], "[^A-Z]": BASE32_SYMBOLS[:26], "[^+/]": "+/"}
-    return set(ranges[outside])
+    return F.least(F.lit(1.0), 4 * F.least(uniform, by_class, let(products, neighbours)))
 
 
 def scan(docs: DataFrame, text_col: str = "text", found_col: str = "found") -> DataFrame:
@@ -151,23 +172,30 @@ def scan(docs: DataFrame, text_col: str = "text", found_col: str = "found") -> D
         text.rlike("[0-9]"),
         F.filter(spans(text, TOKEN), lambda x: x["hit"].rlike("[0-9]") & x["hit"].rlike("[A-Za-z]")),
     ).otherwise(F.array().cast(_SPANS))
-    rows = docs.withColumn(found_col, F.struct(base.alias("base"), mixed.alias("tokens")))
-    known = F.col(found_col)["base"]
-    outside = F.filter(
-        F.col(found_col)["tokens"],
-        lambda t: ~F.exists(known, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
+    # Exploding one element keeps the matching from being repeated wherever it is used.
+    rows = docs.withColumn(
+        found_col, F.explode(F.array(F.struct(base.alias("base"), mixed.alias("tokens"))))
+    )
+
+    def tested(known, tokens):
+        outside = F.filter(
+            tokens,
+            lambda t: ~F.exists(known, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
+        )
+        p = lambda t: F.greatest(randomness(t["hit"]), F.lit(1e-300))
+        return F.transform(
+            outside,
+            lambda t: F.struct(
+                t["start"].alias("start"), t["end"].alias("end"),
+                F.floor(F.log2(F.length(t["hit"]))).cast("int").alias("stratum"),
+                F.least(F.lit(LAST), F.floor(-F.log10(p(t)) * STEPS)).cast("int").alias("step"),
+            ),
+        )
+
+    found = F.col(found_col)
+    return rows.withColumn(
+        found_col, F.struct(found["base"].alias("base"), tested(found["base"], found["tokens"]).alias("tokens"))
     )
-    tokens = F.transform(
-        outside,
-        lambda t: F.struct(
-            t["start"].alias("start"), t["end"].alias("end"),
-            F.floor(F.log2(F.length(t["hit"]))).cast("int").alias("stratum"),
-            F.least(
-                F.lit(LAST), F.floor(-F.log10(F.greatest(randomness(t["hit"]), F.lit(1e-300))) * STEPS)
-            ).cast("int").alias("step"),
-        ),
-    )
-    return rows.withColumn(found_col, F.struct(known.alias("base"), tokens.alias("tokens")))
 
 
 def thrown_out(scanned: DataFrame, found_col: str = "found", level: float = LEVEL) -> DataFrame:
