@@ -1,8 +1,9 @@
 """Language identification with hyperdimensional profiles.
 
 Every letter has a random vector of +1 and -1. A trigram is the elementwise
-product of its letters' vectors, rotated by their place; a text or language is
-the sum of its trigrams' vectors. A document gets the language whose prototype
+product of its letters' vectors, rotated by their place; a text is the sum
+of its trigrams' vectors, a language the sum of its texts, each divided by its
+number of trigrams. A document gets the language whose prototype
 has the largest cosine with the document's vector, once the sum of all
 prototypes, which holds what the languages share, has been taken out of both.
 
@@ -83,18 +84,20 @@ def _parts(texts: list[str | None]):
         yield np.array(numbers), pieces
 
 
-def bundle(number: np.ndarray, keys: np.ndarray, rows: int) -> np.ndarray:
-    """Sums of the trigram vectors per number below ``rows``."""
+def bundle(number: np.ndarray, keys: np.ndarray, rows: int, weights=None) -> np.ndarray:
+    """Sums of the trigram vectors, weighted if so wished, per number below ``rows``."""
     sums = np.zeros((rows, DIMENSIONS), np.float32)
     code, distinct = pd.factorize(keys)
     order = np.argsort(code, kind="stable") if len(distinct) > TRIGRAMS else None
     if order is not None:
         code, number = code[order], number[order]
+        weights = None if weights is None else weights[order]
     for at in range(0, len(distinct), TRIGRAMS):
         to = min(at + TRIGRAMS, len(distinct))
         a, b = (0, len(code)) if order is None else np.searchsorted(code, [at, to])
         cell = number[a:b] * (to - at) + (code[a:b] - at)
-        counts = np.bincount(cell, minlength=rows * (to - at)).reshape(rows, to - at)
+        own = None if weights is None else weights[a:b]
+        counts = np.bincount(cell, own, rows * (to - at)).reshape(rows, to - at)
         sums += counts.astype(np.float32) @ bind(distinct[at:to])
     return sums
 
@@ -113,7 +116,9 @@ def _learn(batches):
         for own, pieces in _parts(batch.column("text").to_pylist()):
             names, code = np.unique([langs[i] for i in own], return_inverse=True)
             number, keys = trigrams(pieces)
-            for name, vector in zip(names, bundle(code[number], keys, len(names))):
+            # Every text counts alike, so that long ones do not drown the others.
+            weights = (1 / np.maximum(np.bincount(number, minlength=len(own)), 1))[number]
+            for name, vector in zip(names, bundle(code[number], keys, len(names), weights)):
                 sums[str(name)] = sums.get(str(name), 0) + vector.astype(np.float64)
             if len(sums) >= HELD:
                 yield flush()

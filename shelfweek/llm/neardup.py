@@ -43,6 +43,12 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt(np.einsum("ij,ij->i", scaled, scaled))[:, None]
 
 
+def in_range(vectors: np.ndarray) -> np.ndarray:
+    """The vectors, scaled only where their squares would not fit a double."""
+    top = np.abs(vectors).max(axis=1, keepdims=True)
+    return vectors / np.where((top > 1e120) | (top < 1e-120), top, 1.0)
+
+
 def encode(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sign bits, packed, and the inner product of code and vector."""
     rotated = units @ rotation(units.shape[1]).T
@@ -69,6 +75,7 @@ def linked_pairs(left, right, codes, factors, threshold: float, same: bool):
     units = unit(right)
     close = estimates(codes, factors, units) >= lowest_estimate(factors, threshold)[:, None]
     i, j = np.nonzero(np.triu(close, 1) if same else close)
+    left, right = in_range(left), in_range(right)
     norms_l = np.sqrt(np.einsum("ij,ij->i", left, left))
     norms_r = np.sqrt(np.einsum("ij,ij->i", right, right))
     keep = np.zeros(len(i), bool)

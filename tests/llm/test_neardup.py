@@ -85,3 +85,10 @@ def test_estimates_are_unbiased_and_bounded():
     for threshold in (0.9, 0.95):
         linked = true >= threshold
         assert linked.any() and (got >= neardup.lowest_estimate(factors, threshold))[linked].all()
+
+
+def test_extreme_lengths(spark):
+    rows = [(1, [1e300, 0.0], 1), (2, [1e-300, 1e-302], 1), (3, [5.0, 0.01], 1), (4, [0.0, 2e300], 1)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    found = neardup.near_duplicates(vectors).collect()
+    assert sorted(map(tuple, found)) == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True)]

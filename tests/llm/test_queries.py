@@ -5,10 +5,9 @@ from collections import Counter
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfweek.llm import jaccard, langid, mixing, secret_scan
+from shelfweek.llm import mixing
 from shelfweek.llm.queries import oracle_sql, queries
 from tests.llm import test_jaccard, test_packing, test_secret_scan
 
@@ -132,3 +131,31 @@ def test_run_gives_the_last_stage(spark, stages):
 def test_empty_documents(spark, tmp_path):
     spark.read.parquet(f"{SMALL}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_take_odd_rows_and_clashing_columns(spark):
+    """Nulls in every column, empty and long texts, repeated rows, and names the stages use inside."""
+    clash = ["id", "rep", "size", "key", "doc", "found", "taken", "target", "score", "lang_pred", "count", "island"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(
+        f"{c} string" for c in clash
+    )
+    more = ["x"] * len(clash)
+    odd = [
+        (None, None, None, None, None, *[None] * len(clash)), (None, "words of no id", None, "a", 4, *more),
+        (1, "one two three four five six", "en", None, 27, *more), (1, "one two three four five six", "en", None, 27, *more),
+        (2, "one two three four five six", "en", "b", 27, *more), (3, "", "en", "b", 0, *more),
+        (4, None, "en", "b", None, *more), (5, "password=abcdefgh of mine", None, "c", None, *more),
+        (6, "long words " * 100_000, "en", "a", 1_100_000, *more), (7, "!!! 123", "en", "a", 7, *more),
+    ]
+    docs = spark.createDataFrame(odd, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns and out.count() > 0
+        assert stage(spark, docs.limit(0), SMALL).collect() == []
+    kept = corpus_pipeline.identify_language(spark, docs, SMALL)
+    assert rows(kept.select("doc_id")) == Counter([(None,), (1,), (1,), (2,), (5,), (6,)])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    assert rows(kept.select("doc_id")) == Counter([(None,), (None,), (1,), (3,), (4,), (5,), (6,), (7,)])
+    clean = corpus_pipeline.replace_secrets(spark, docs, SMALL)
+    assert {(r.text, r.n_chars) for r in clean.where("doc_id = 5").collect()} == {("[SECRET] of mine", 16)}
+    assert corpus_pipeline.pack_sequences(spark, docs, SMALL).count() > len(odd)
