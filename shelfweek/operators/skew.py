@@ -69,6 +69,10 @@ def hot_cells(
     key, whatever the data.
     """
     cells = [{} for _ in frames]
+    if hot_product is None:
+        # A frame with no more rows than that has no such key; this only counts rows.
+        if all(frame.count() <= hot_rows for frame in frames):
+            return cells
     keyed = [
         frame.select(F.lit(i).alias("frame"), _bucket(frame, keys).alias("bucket"), *_names(frame, keys))
         for i, frame in enumerate(frames)
