@@ -287,12 +287,13 @@ def examples(texts: list[str], limit: int = SAMPLE) -> list[tuple[str, list]]:
             left, right = left[left.find(" ") + 1 :], right[: right.rfind(" ") + 1]
             if base_spans(left) or base_spans(right) or len(windows) >= limit:
                 continue
-            for span in {text[a:b], respelled(text[a:b], k, chance)}:
+            for span in dict.fromkeys((text[a:b], respelled(text[a:b], k, chance))):
                 windows.append((left + span + right, [(len(left), k, len(left) + len(span))]))
             number = str(chance.randrange(10 ** chance.randrange(1, 15)))
             large = " . ".join(str(chance.randrange(256, 3000)) for _ in range(4))
             clock = f"{number[:4]}-{number[4:6]}-{number[6:8]} at {number[8:10]}:{number[10:12]}"
-            plain = chance.choice([number, clock, large, large.replace(" ", ""), f"{number[:3]}.{number[3:6]}", f"at {number}", f"{number[:2]}-{number[2:6]}"])
+            split = f"{number[:3]}.{number[3:6]}", f"at {number}", f"{number[:2]}-{number[2:6]}"
+            plain = chance.choice([number, clock, large, large.replace(" ", ""), *split])
             windows.append((left + plain + right, []))
     return windows
 
