@@ -36,9 +36,9 @@ RANGE_ENTRIES = 1_500_000
 GATHER = 1_000_000
 # Bits of a sketch at most, and of the short form that is sent to every list of a set.
 SKETCH_BITS = 1 << 18
-SHORT_BITS = 2048
+SHORT_BITS = 4096
 # Bits per token of a sketch, and how many times shorter the short form is.
-SHARP, SHORTER = 8, 8
+SHARP, SHORTER = 8, 4
 # Classes without any id are numbered from here on.
 UNNAMED = 1 << 62
 # Members of one list compared with each other at a time.
