@@ -48,6 +48,17 @@ def uniform(*columns) -> Column:
     return (bits + F.lit(0.5)) / F.lit(float(1 << 53))
 
 
+def sampled(df: DataFrame, most: int, *key: str) -> DataFrame:
+    """``most`` rows at most, chosen by the hash of ``key`` alone, so reruns agree.
+
+    The rows are counted first, so that about twice as many reach the last step,
+    however many tasks there are.
+    """
+    n, wanted = df.count(), max(2 * most, 100)
+    some = df.where(uniform(*key) < wanted / n) if n > 2 * wanted else df
+    return some.orderBy(F.xxhash64(*key), *key).limit(most)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Rows (id, component) for every id on an edge (a, b): its smallest reachable id.
 

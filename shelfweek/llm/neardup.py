@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import checkpoint, components
+from shelfweek.llm.common import checkpoint, components, sampled
 
 # Vectors aimed at per cell, cells at most, rows of a block that is compared at once.
 CELL_ROWS = 4096
@@ -205,13 +205,8 @@ def near_duplicates(
     centres = np.zeros((0, 0))
     if largest and largest["count"] > cell_rows:
         n = min(MAX_CELLS, -(-largest["count"] // cell_rows))
-        sample = (
-            classes.where(F.col("dim") == largest["dim"])
-            .orderBy(F.xxhash64("rep", "vector"), "rep")
-            .limit(n)
-            .collect()
-        )
-        centres = np.unique(unit(np.array([r["vector"] for r in sample], float)), axis=0)
+        sample = sampled(classes.where(F.col("dim") == largest["dim"]), n, "rep")
+        centres = np.unique(unit(np.array([r["vector"] for r in sample.collect()], float)), axis=0)
     reach = float(np.sqrt(2 - 2 * threshold)) + 1e-9
     element = dict(classes.dtypes)["vector"]
     group_type = dict(classes.dtypes)["group"]

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfweek.llm.common import sampled
+
 # Kinds in their order, and the known forms.
 KINDS = ("email", "ip", "card", "phone")
 EMAIL_LOCALS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -359,18 +361,14 @@ def _sampled(batches):
 def trained(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
     """Weights fitted on the windows of DOCUMENTS documents with digits or at-signs.
 
-    The documents are those with the smallest hashes of their text; SAMPLE
-    windows at most reach the driver. Without any, no span is ever added.
+    The documents are chosen by a hash of their text; SAMPLE windows at most
+    reach the driver. Without any, no span is ever added.
     """
     text = F.col(text_col).cast("string").alias("text")
-    sample = (
-        docs.select(text)
-        .where(F.col("text").rlike(HINT.pattern))
-        .orderBy(F.xxhash64("text"))
-        .limit(DOCUMENTS)
-    )
+    hinted = docs.select(text).where(F.col("text").rlike(HINT.pattern))
     rows = (
-        sample.mapInArrow(_sampled, "text string, starts array<int>, kinds array<int>, ends array<int>")
+        sampled(hinted, DOCUMENTS, "text")
+        .mapInArrow(_sampled, "text string, starts array<int>, kinds array<int>, ends array<int>")
         .orderBy(F.xxhash64("text"), "text")
         .limit(SAMPLE)
         .collect()

@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import checkpoint, condition, uniform
+from shelfweek.llm.common import checkpoint, condition, sampled, uniform
 from shelfweek.llm.shingles import pair_hashes, word_lists
 
 BUCKETS = 1 << 14
-# Labelled documents that the target model is fitted on, at most: those of smallest hash.
+# Labelled documents that the target model is fitted on, at most.
 TARGET_ROWS = 20_000
 _BINS = 1024
 
@@ -138,9 +138,7 @@ def resample(
     total, fine = known.agg(F.count("good"), F.count_if("good")).first()
     if share is None:
         share = fine / total if total else 1.0
-    chosen = (
-        known.where("good").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(TARGET_ROWS)
-    )
+    chosen = sampled(known.where("good").select("id").distinct(), TARGET_ROWS, "id")
     ratios = log_ratios(docs, checkpoint(chosen), id_col, text_col)
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"),

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import checkpoint, condition, few
+from shelfweek.llm.common import checkpoint, condition, few, sampled
 
 SAMPLE = 4096
 BLOCK = 8192
@@ -161,8 +161,8 @@ def top_k(
     dim = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     v, head = np.eye(1), 1
     if dim and dim["dim"]:
-        sample = rows.where(F.col("dim") == dim["dim"]).orderBy(F.xxhash64("id"), "id")
-        v, head = rotation(np.array([r["vector"] for r in sample.limit(SAMPLE).collect()]))
+        sample = sampled(rows.where(F.col("dim") == dim["dim"]), SAMPLE, "id")
+        v, head = rotation(np.array([r["vector"] for r in sample.collect()]))
     # Band 0 has about the ``block`` longest vectors, each further one twice as many.
     shares = [1 - block * 2.0**i / total for i in range(64) if block * 2.0**i < total]
     cuts = rows.approxQuantile("norm", shares, BAND_ERROR) if shares else []
