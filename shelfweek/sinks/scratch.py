@@ -8,6 +8,12 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and tasks are one process, with one disk; a local cluster is not."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_name(name: str) -> str:
     return f"{name}-{uuid.uuid4().hex}"
 
@@ -20,7 +26,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{scratch_name(name)}"
-    if spark.sparkContext.master.startswith("local["):
+    if is_local(spark):
         return tempfile.mkdtemp(prefix=f"{name}-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
