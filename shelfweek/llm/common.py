@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfweek.operators.skew import checked_broadcast
+from shelfweek.sinks.scratch import is_local
 
 # What separates words, everywhere in this package: space and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,7 +22,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local["):
+        if shared is None and not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
