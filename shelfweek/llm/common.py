@@ -10,12 +10,16 @@ from shelfweek.sinks.scratch import is_local
 
 # What separates words, everywhere in this package: space and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
+# Rows of a checkpoint file, where the number of rows is known.
+ROWS_PER_FILE = 200_000
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
+def checkpoint(df: DataFrame, most: int | None = None) -> DataFrame:
     """``df`` computed once and kept in ``spark.checkpoint.dir``, its lineage cut.
 
-    Where that setting is missing, a local master gets a folder of its own and
+    Where it is known to have ``most`` rows at most, its last stage and what reads
+    it run as few tasks as that takes; that suits small rows fresh from a shuffle,
+    not the work of a scan. Where that setting is missing, a local master gets a folder of its own and
     any other master an error, as executors could not read the driver's disk.
     """
     spark = df.sparkSession
@@ -25,7 +29,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
         if shared is None and not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    return (df if most is None else df.coalesce(most // ROWS_PER_FILE + 1)).checkpoint()
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -60,20 +64,22 @@ def sampled(df: DataFrame, most: int, *key: str) -> DataFrame:
     return some.orderBy(F.xxhash64(*key), *key).limit(most)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, most: int | None = None) -> DataFrame:
     """Rows (id, component) for every id on an edge (a, b): its smallest reachable id.
 
     Alternating large and small stars: each round hangs the larger neighbours
     of a node on the smallest id it knows, until every component is one star.
     Minima combine map-side, so a node with very many neighbours costs no task
     more than its share. Ids are longs; edges with a null end are ignored.
+    ``most`` is a bound on the number of edges, if one is known.
     """
     pair = edges.select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     ).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    stars = checkpoint(pair.distinct())
+    # No round has more edges than the one before.
+    stars = checkpoint(pair.distinct(), most)
     while _unfinished(stars):
-        stars = checkpoint(_small_star(_large_star(stars)))
+        stars = checkpoint(_small_star(_large_star(stars)), most)
     roots = stars.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 

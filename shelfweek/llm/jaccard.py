@@ -376,13 +376,13 @@ def _tile_pairs(percent: int):
     return pairs
 
 
-def _across(apart: DataFrame, joined: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def _across(apart, n_apart: int, joined, sketches, percent: int) -> DataFrame:
     """Pairs (a, b) of sets in different components that their sketches do not refute.
 
     ``apart`` are pairs of components. Those that hang together by them are laid
     out in blocks, and every two blocks meet in a task.
     """
-    groups = components(apart).toDF("root", "group")
+    groups = components(apart, n_apart).toDF("root", "group")
     own = F.coalesce("component", "rep")
     members = (
         sketches.join(joined, F.col("rep") == F.col("id"), "left")
@@ -467,6 +467,8 @@ def near_duplicates(
         .select("list", "keys", "rep")
     )
     live = checkpoint(met.groupBy("rep").agg(F.sum("keys").alias("keys")))
+    n_live = live.count()
+    live = checkpoint(live, n_live)
     sketches = checkpoint(_values_of(live, texts, width, sketch))
     short = checkpoint(sketches.mapInArrow(_shorten, "rep bigint, size bigint, bits binary"))
     # Everyone's hub is the best connected set of its lists, by the most keys in common.
@@ -486,14 +488,14 @@ def near_duplicates(
         .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
         .distinct()
     )
-    first = checkpoint(first)
+    first = checkpoint(first, n_live)
 
-    def compare(pairs):
+    def compare(pairs, most):
         near = _not_refuted(pairs, sketches, percent)
-        return _compared(near, texts, width, percent)
+        return _compared(near, most, texts, width, percent)
 
-    links = checkpoint(compare(first))
-    roots = components(links)
+    links = checkpoint(compare(first, n_live))
+    roots = components(links, n_live)
     placed = met.join(roots, F.col("rep") == F.col("id"), "left").select(
         "list", "rep", F.coalesce("component", "rep").alias("root")
     )
@@ -512,9 +514,10 @@ def near_duplicates(
         .groupBy("range")
         .applyInArrow(_closest_pairs(percent), _CLOSEST)
     )
+    n_closest = closest.count()
     untried = closest.select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    links = checkpoint(links.union(compare(untried)))
-    joined = components(links)
+    links = checkpoint(links.union(compare(untried, n_closest)))
+    joined = components(links, n_live + n_closest)
     # Where it did not, and there were more pairs, the components are compared whole.
     more = closest.where("more").select("root_a", "root_b").distinct()
     below = joined.select(F.col("id").alias("root"), "component")
@@ -522,11 +525,15 @@ def near_duplicates(
         more.join(below.toDF("root_a", "now_a"), "root_a", "left")
         .join(below.toDF("root_b", "now_b"), "root_b", "left")
         .select(F.coalesce("now_a", "root_a").alias("a"), F.coalesce("now_b", "root_b").alias("b"))
-        .where("a <> b")
+        .where("a <> b"),
+        n_closest,
     )
     if not apart.isEmpty():
-        rest = checkpoint(_across(apart, joined, sketches, percent))
-        joined = components(links.union(_compared(rest, texts, width, percent)))
+        rest = checkpoint(_across(apart, n_closest, joined, sketches, percent))
+        n_rest = rest.count()
+        found = checkpoint(_compared(rest, n_rest, texts, width, percent))
+        if not found.isEmpty():
+            joined = components(links.union(found), n_live + n_closest + n_rest)
     named = (
         classes.join(joined, F.col("rep") == F.col("id"), "left")
         .select(*name, F.coalesce("component", "rep").alias("component"))
@@ -558,12 +565,13 @@ def _not_refuted(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFra
     )
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar."""
+def _compared(pairs: DataFrame, most: int, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of ``most`` pairs at most whose whole sets are similar."""
     pairs = checkpoint(pairs)
     ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    ends = checkpoint(ends, 2 * most)
     tokens = checkpoint(
-        _values_of(checkpoint(ends), texts, width, np.ndarray.tobytes).select("rep", "value")
+        _values_of(ends, texts, width, np.ndarray.tobytes).select("rep", "value")
     )
     left, right = tokens.toDF("a", "tokens_a"), tokens.toDF("b", "tokens_b")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(
