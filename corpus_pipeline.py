@@ -3,7 +3,7 @@
 Every stage gets what its predecessor kept, with the columns of documents, and
 is written and read again between stages:
 
-1. language ID drops documents without any letter or unlike every language;
+1. language ID drops documents without any letter or without likeness to any language;
 2. of each group of near-duplicates the document with the smallest id stays;
 3. secrets in the text are replaced by a mark, the documents stay;
 4. sources are mixed to their targets: a document is left out, taken or repeated;
@@ -17,15 +17,15 @@ from shelfweek.llm import jaccard, langid, mixing, packing, secret_scan
 from shelfweek.llm.common import checkpoint, few
 from shelfweek.sinks.scratch import removed, scratch_folder
 
-# Least cosine of a document with its language. Texts in no known language have
-# about 0; one word of a known language is well above.
-LEAST_COSINE = 0.05
-
 
 def identify_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the languages the documents state; a null language is filled in."""
+    """Learns from the languages the documents state; a null language is filled in.
+
+    Rejected are texts without a letter and those whose cosine with the best
+    prototype is not above 0. A short clean text may be just above it.
+    """
     found = langid.identify(docs, pred_col="__lang_pred", score_col="__score")
-    known = (F.col("__lang_pred") != langid.UNKNOWN) & (F.col("__score") >= LEAST_COSINE)
+    known = (F.col("__lang_pred") != langid.UNKNOWN) & (F.col("__score") > 0)
     return (
         found.where(known)
         .withColumn("lang", F.coalesce("lang", "__lang_pred"))
