@@ -44,23 +44,42 @@ ENCODED = 1 << 20
 SLOTS = 1 << 13
 
 
-def byte_bpe(ranks_path: str | None = None):
-    """Encoder of a byte-level BPE vocabulary; special strings are ordinary text.
+def byte_bpe(ranks_path: str | None = None, vocabulary_path: str | None = None):
+    """Encoder of a byte-level BPE vocabulary and its added tokens, as ``tokenizers`` encodes.
 
-    The file holds the ranks of ``byte_bpe_50k.json`` (the default is the copy
-    in ``public_tokenizers``); the ids are those that ``tokenizers`` gives.
+    The first file holds the ranks of the second, ``byte_bpe_50k.json`` (the
+    defaults are the copies in ``public_tokenizers``), which names the added
+    tokens. A text is split at those, leftmost and then longest first, and what
+    lies between is encoded by itself.
     """
     import base64
+    import json
 
     import public_tokenizers
     import tiktoken
 
     with open(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    with open(vocabulary_path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        declared = json.load(file)["added_tokens"]
+    for token in declared:
+        if token["single_word"] or token["lstrip"] or token["rstrip"] or re.search(r"\s", token["content"]):
+            raise ValueError(f"added token {token['content']!r} is not matched as it stands")
+    added = {token["content"]: token["id"] for token in declared}
     coder = tiktoken.Encoding(
         "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )
-    return coder.encode_ordinary
+    if not added:
+        return coder.encode_ordinary
+    split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def encode(text: str) -> list[int]:
+        ids = []
+        for part in split.split(text):
+            ids += [added[part]] if part in added else coder.encode_ordinary(part)
+        return ids
+
+    return encode
 
 
 def token_ids(text: str | None, encode) -> np.ndarray:

@@ -99,3 +99,17 @@ def test_crossover_keeps_injected_groups_whole():
 def test_migrants_use_own_pieces_once():
     groups = packing.matched([5, 5, 7, 9], [[5, 7], [5, 7], [5, 9], [1]])
     assert groups == [[1, 2], [0, 3]]
+
+
+def test_added_tokens_are_those_of_the_vocabulary(spark):
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.byte_bpe()
+    assert encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+    texts = [
+        "<|endoftext|>", "<|endoftext|><|endoftext|>", " <|endoftext|>x", "a  <|endoftext|>  b\n<|endoftext|>\n",
+        "<|endoftext| <|ENDOFTEXT|>", "word " * 2000 + "<|endoftext|> word" * 300,
+    ]
+    want = lambda text: coder.encode(text or "", add_special_tokens=False).ids
+    assert [encode(t) for t in texts] == [want(t) for t in texts]
+    rows = list(enumerate(texts))
+    checked(rows, packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string")).collect(), want)
