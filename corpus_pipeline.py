@@ -21,11 +21,12 @@ from shelfweek.sinks.scratch import removed, scratch_folder
 def identify_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the languages the documents state; a null language is filled in.
 
-    Rejected are texts without a letter and those whose cosine with the best
-    prototype is not above 0. A short clean text may be just above it.
+    Rejected are texts without a letter and those with significantly too few of
+    the common trigrams of the most similar language; the fewer trigrams a text
+    has, the more it takes, so that short clean texts stay.
     """
-    found = langid.identify(docs, pred_col="__lang_pred", score_col="__score")
-    known = (F.col("__lang_pred") != langid.UNKNOWN) & (F.col("__score") > 0)
+    found = langid.identify(docs, pred_col="__lang_pred", score_col="__score", unlike_col="__unlike")
+    known = (F.col("__lang_pred") != langid.UNKNOWN) & ~F.col("__unlike")
     return (
         found.where(known)
         .withColumn("lang", F.coalesce("lang", "__lang_pred"))

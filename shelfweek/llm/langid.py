@@ -8,6 +8,10 @@ has the largest cosine with the document's vector, once the sum of all
 prototypes, which holds what the languages share, has been taken out of both.
 
 Letters are lowered, and every run of other characters is one blank symbol.
+
+A cosine cannot tell a text of no learnt language, as unlike vectors are only
+nearly at right angles. For that the trigrams themselves are counted: see
+``common_trigrams`` and ``Common.unlike``.
 """
 
 from functools import lru_cache
@@ -15,7 +19,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -26,6 +30,15 @@ PART = 1 << 18
 TRIGRAMS = 4096
 # Languages whose sums a task holds before it passes them on.
 HELD = 256
+# Common trigrams of a language: they make up this share of its texts together, are in
+# more than one text, and are this many at most, told apart by so many bits of a hash.
+SHARE = 0.9
+COMMON = 1 << 14
+BITS = 20
+# A text of a language has at least this share of the common trigrams that the language has
+# on the whole; it is unlike if it has so many standard deviations less.
+LEAST = 0.5
+DEVIATIONS = 4.0
 
 
 @lru_cache(maxsize=1)
@@ -162,7 +175,94 @@ def classify(sums: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndar
     return best, np.clip(cosine, 0, 1)
 
 
-def _predict(names: list[str], vectors: np.ndarray, keep: list[str]):
+def hashed(keys: np.ndarray) -> np.ndarray:
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def _counts(batches):
+    for batch in batches:
+        langs = batch.column("lang").to_pylist()
+        cells = times = np.zeros(0, np.int64)
+        for own, pieces in _parts(batch.column("text").to_pylist()):
+            number, keys = trigrams(pieces)
+            cells = np.concatenate([cells, own[number] << BITS | hashed(keys)])
+            cells, at = np.unique(cells, return_inverse=True)
+            times = np.bincount(at, np.append(times, np.ones(len(keys), np.int64)), len(cells)).astype(np.int64)
+            # The last text may go on in the next group.
+            still = cells >> BITS == own[-1]
+            yield from _counted(cells[~still], times[~still], langs)
+            cells, times = cells[still], times[still]
+        yield from _counted(cells, times, langs)
+
+
+def _counted(cells, times, langs):
+    """Per language and hash: texts that hold it, and the sum of its shares in them in units of 2^-30."""
+    if len(cells):
+        text = cells >> BITS
+        shares = np.round(times / np.bincount(text, times)[text] * (1 << 30)).astype(np.int64)
+        names, code = np.unique(langs, return_inverse=True)
+        cell, at = np.unique(code[text] << BITS | cells & (1 << BITS) - 1, return_inverse=True)
+        sums = np.zeros(len(cell), np.int64)
+        np.add.at(sums, at, shares)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(names[cell >> BITS].tolist(), pa.string()), pa.array(cell & (1 << BITS) - 1),
+                pa.array(np.bincount(at)), pa.array(sums),
+            ],
+            names=["lang", "hash", "texts", "share"],
+        )
+
+
+class Common:
+    """The common trigrams of languages, as bits, and the share that they make up."""
+
+    def __init__(self, names: list[str], rows):
+        self.bits = np.zeros((len(names), 1 << BITS - 3), np.uint8)
+        self.share = np.zeros(len(names))
+        for name, hashes, share in rows:
+            code, at = names.index(name), np.array(hashes)
+            np.bitwise_or.at(self.bits[code], at >> 3, (1 << 7 - (at & 7)).astype(np.uint8))
+            self.share[code] = share
+
+    def has(self, code, keys: np.ndarray) -> np.ndarray:
+        at = hashed(keys)
+        return self.bits[code, at >> 3] >> (7 - (at & 7)) & 1
+
+    def unlike(self, code, hits, total, distinct) -> np.ndarray:
+        """Whether so few of a text's trigrams are common ones that chance does not explain it.
+
+        The deviation is that of as many draws as the text has distinct trigrams.
+        """
+        least = LEAST * self.share[code]
+        return hits / total < least - DEVIATIONS * np.sqrt(least * (1 - least) / distinct)
+
+
+def common_trigrams(labelled: DataFrame, names: list[str]) -> Common:
+    """Common trigrams of the languages, from all rows (text, lang); every text counts alike.
+
+    COMMON hashes per language at most reach the driver. A language without a
+    trigram that two texts share has none, and no text is unlike it.
+    """
+    counts = (
+        labelled.mapInArrow(_counts, "lang string, hash long, texts long, share long")
+        .groupBy("lang", "hash")
+        .agg(F.sum("texts").alias("texts"), F.sum(F.col("share").cast("decimal(30,0)")).alias("share"))
+    )
+    own = Window.partitionBy("lang")
+    order = own.orderBy((F.col("texts") > 1).desc(), F.desc("share"), "hash")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    kept = (
+        counts.withColumn("all", F.sum("share").over(own))
+        .withColumn("before", F.coalesce(F.sum("share").over(before), F.lit(0)))
+        .withColumn("place", F.row_number().over(order))
+        .where((F.col("texts") > 1) & (F.col("before") < F.lit(SHARE) * F.col("all")) & (F.col("place") <= COMMON))
+        .groupBy("lang")
+        .agg(F.collect_list("hash").alias("hashes"), F.sum(F.col("share").cast("double") / F.col("all").cast("double")).alias("share"))
+    )
+    return Common(names, [(r["lang"], r["hashes"], r["share"]) for r in kept.collect()])
+
+
+def _predict(names: list[str], vectors: np.ndarray, keep: list[str], common: Common | None = None):
     table = np.array([*names, UNKNOWN], object)
 
     def predict(batches):
@@ -170,8 +270,10 @@ def _predict(names: list[str], vectors: np.ndarray, keep: list[str]):
             texts = batch.column("__body").to_pylist()
             best = np.full(len(texts), len(names))
             score = np.zeros(len(texts))
+            unlike = np.zeros(len(texts), bool)
             if names:
                 long: dict[int, np.ndarray] = {}
+                found: dict[int, tuple] = {}
                 for own, pieces in _parts(texts):
                     number, keys = trigrams(pieces)
                     lettered = np.unique(number)
@@ -184,12 +286,36 @@ def _predict(names: list[str], vectors: np.ndarray, keep: list[str]):
                         best[rows[whole]], score[rows[whole]] = classify(sums[whole], vectors)
                     for i, vector in zip(rows[~whole], sums[~whole]):
                         long[i] = long.get(i, 0) + vector.astype(np.float64)
+                    if common and whole.any():
+                        own_text = np.searchsorted(lettered, number)
+                        mine = whole[own_text]
+                        hits = np.bincount(
+                            own_text[mine], common.has(best[own[number[mine]]], keys[mine]), len(lettered)
+                        )
+                        cells = np.unique(own_text << BITS | hashed(keys)) >> BITS
+                        distinct = np.bincount(cells, minlength=len(lettered))
+                        total = np.bincount(own_text, minlength=len(lettered))
+                        unlike[rows[whole]] = common.unlike(
+                            best[rows[whole]], hits[whole], total[whole], distinct[whole]
+                        )
+                    for n in lettered[~whole] if common else ():
+                        # The language of a long text is known at its end only.
+                        part, times = np.unique(keys[number == n], return_counts=True)
+                        hits = np.array([common.has(code, part) @ times for code in range(len(names))])
+                        sums_before, total, distinct = found.get(own[n], (0, 0, 0))
+                        found[own[n]] = (sums_before + hits, total + times.sum(), max(distinct, len(part)))
                 for i, vector in long.items():
                     (best[i],), (score[i],) = classify(vector[None], vectors)
+                    if common:
+                        hits, total, distinct = found[i]
+                        unlike[i] = common.unlike(best[i], hits[best[i]], total, distinct)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in keep], pa.array(table[best].tolist(), pa.string()), pa.array(score)],
-                names=[*keep, "__found", "__cosine"],
-            )
+                [
+                    *[batch.column(c) for c in keep], pa.array(table[best].tolist(), pa.string()), pa.array(score),
+                    *([pa.array(unlike)] if common else []),
+                ],
+                names=[*keep, "__found", "__cosine", *(["__unlike"] if common else [])],
+            )
 
     return predict
 
@@ -203,6 +329,7 @@ def identify(
     keep: list[str] | None = None,
     pred_col: str = "lang_pred",
     score_col: str = "score",
+    unlike_col: str | None = None,
 ) -> DataFrame:
     """The columns ``keep`` (all by default) with ``pred_col`` and ``score_col`` added.
 
@@ -213,15 +340,22 @@ def identify(
     the cosine of text and prototype, negative ones as 0. Columns of the input
     with the names of the added ones are replaced. A task holds one vector per
     language and the trigrams of one part of the texts.
+
+    ``unlike_col``, if given, is added: true where the text has a letter but too
+    few common trigrams of the predicted language to be a text of it.
     """
-    keep = [c for c in (keep or docs.columns) if c not in (pred_col, score_col)]
+    keep = [c for c in (keep or docs.columns) if c not in (pred_col, score_col, unlike_col)]
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if learn_from is not None:
         labelled = labelled.where(learn_from)
-    names, vectors = prototypes(
-        labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    )
+    labelled = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    names, vectors = prototypes(labelled)
+    common = common_trigrams(labelled, names) if unlike_col and names else None
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__body"))
     schema = rows.drop("__body").schema.add("__found", "string").add("__cosine", "double")
-    found = rows.mapInArrow(_predict(names, vectors.astype(np.float32), keep), schema)
-    return found.withColumnsRenamed({"__found": pred_col, "__cosine": score_col})
+    if common:
+        schema = schema.add("__unlike", "boolean")
+    found = rows.mapInArrow(_predict(names, vectors.astype(np.float32), keep, common), schema)
+    if unlike_col and not common:
+        found = found.withColumn("__unlike", F.lit(False))
+    return found.withColumnsRenamed({"__found": pred_col, "__cosine": score_col, "__unlike": unlike_col or "__unlike"})

@@ -1,5 +1,6 @@
 """The registered queries against their SQL, over whole tables, and the pipeline's stages."""
 
+import random
 import re
 from collections import Counter
 
@@ -82,6 +83,26 @@ def test_language_stage_drops_texts_without_language(stages, spark):
     assert rows(found) == rows(given)
 
 
+def test_language_stage_drops_unlearnt_scripts_and_gibberish(stages, spark):
+    given, _ = stages[0]
+    chance = random.Random(5)
+
+    def words(letters, n):
+        return " ".join("".join(chance.choices(letters, k=chance.randint(2, 9))) for _ in range(n))
+
+    georgian, latin = "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ", "abcdefghijklmnopqrstuvwxyz"
+    odd = [words(letters, n) for letters in (georgian, latin) for n in (15, 100, 1000) for _ in range(10)]
+    odd += [words(latin, 60_000), "zqx " * 100 + words(georgian, 50)]
+    clean = [r.text[:60].rsplit(" ", 1)[0] for r in given.limit(20).collect()] + ["ok", "the end"]
+    texts = [(9000 + i, t, "en" if i % 20 == 0 else None, "s", len(t)) for i, t in enumerate(odd)]
+    short = [(20_000 + i, t, None, "s", len(t)) for i, t in enumerate(clean)]
+    more = spark.createDataFrame(texts + short, given.schema)
+    found = corpus_pipeline.identify_language(spark, given.union(more), SMALL)
+    ids = Counter(r.doc_id for r in given.collect()) + Counter(i for i, *_ in short)
+    got = Counter(r.doc_id for r in found.collect())
+    assert got - ids == Counter() and ids - got == Counter()
+
+
 def test_near_duplicate_stage_keeps_the_smallest_id(stages, spark):
     given, out = stages[1]
     texts = [(r.doc_id, r.text) for r in given.collect()]
