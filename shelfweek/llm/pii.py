@@ -56,6 +56,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def is_number(word: str) -> bool:
+    """ASCII digits only: isdigit() is also true for superscripts and circled digits."""
+    return word.isascii() and word.isdigit()
+
+
 def digits_of(text: str) -> str:
     return re.sub("[^0-9]", "", text)
 
@@ -121,7 +126,7 @@ def features(text: str, tokens: list, i: int, j: int, kind: int) -> list[str]:
     span = text[tokens[i].start() : tokens[j - 1].end()]
     lower = [w.lower() for w in words]
     digits = digits_of(span)
-    numbers = [w for w in words if w.isdigit()]
+    numbers = [w for w in words if is_number(w)]
     k = KINDS[kind]
     found = [f"{k}:bias", f"{k}:size{min(j - i, LONGEST)}"]
     if kind == 0:
@@ -138,7 +143,7 @@ def features(text: str, tokens: list, i: int, j: int, kind: int) -> list[str]:
         found += [f"email:inner{_inner(text, tokens, i, j, at)}"]
     elif kind == 1:
         fits = len(numbers) == 4 and all(len(n) <= 3 and int(n) <= 255 for n in numbers)
-        between = [w for w in lower if not w.isdigit()]
+        between = [w for w in lower if not is_number(w)]
         found += [f"ip:four{fits}", f"ip:joined{len(between) == 3 and set(between) <= JOIN_DOT}"]
     elif kind == 2:
         plain = set(span) <= set("0123456789 -.")
@@ -175,7 +180,7 @@ def segments(text: str, tokens: list, fixed=()) -> list[list[tuple[int, int, lis
     """
     n = len(tokens)
     held = [any(a < t.end() and t.start() < b for a, _, b in fixed) for t in tokens]
-    numeric = [t[0].isdigit() for t in tokens]
+    numeric = [is_number(t[0]) for t in tokens]
     by_end = [[] for _ in range(n + 1)]
     for j in range(1, n + 1):
         by_end[j].append((j - 1, -1, []))

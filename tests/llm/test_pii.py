@@ -88,6 +88,13 @@ def test_ordinary_numbers_are_left_alone(weights, text):
     assert pii.added_spans(text, pii.base_spans(text), weights) == []
 
 
+@pytest.mark.parametrize(
+    "text", ["1² + 2² + 3² + 4²", "① 1 ② 2", "² ² ² ² 1234", "١.٢.٣.٤ 10 dot", "⁴ . ⁴ . ⁴ . ⁴ 12 34"]
+)
+def test_digits_that_are_no_numbers(weights, text):
+    assert pii.added_spans(text, pii.base_spans(text), weights) == []
+
+
 def test_clean_documents_are_left_alone(weights, spark):
     """Rows of the test data without any known form get hardly a span."""
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
