@@ -19,7 +19,9 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
 from collections import defaultdict
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,11 +42,13 @@ LONGEST = 12
 DOCUMENTS = 300
 SAMPLE = 400
 ROUNDS = 15
-# Tokens of a text that belong to one window at most, at ordinary tokens' cost.
-WINDOW = 64
+# Characters on either side of a mark that are read with it, and tokens read at a time.
+ROOM = 48
+BLOCK = 512
 
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
-TRIGGER = re.compile(r"[0-9@]|(?i:\bdot\b|[(\[]at[)\]])")
+TRIGGER = re.compile(r"[0-9@]|(?i:\bdot\b|[(\[]at[)\]]|\bat\s+\w[\w-]*\.\w)")
+BLANK = re.compile(r"\s")
 HINT = re.compile(r"[0-9@]")
 
 
@@ -173,30 +177,42 @@ def _inner(text, tokens, i, j, at) -> bool:
     return bool(at)
 
 
+def _ending(text: str, tokens: list, held: list, j: int) -> list[tuple[int, int, list[str]]]:
+    """The possible segments (start, kind or -1, features) that end before token j."""
+    ends = [(j - 1, -1, [])]
+    for i in range(max(0, j - LONGEST), j):
+        if any(held[i:j]):
+            continue
+        words = [t[0] for t in tokens[i:j]]
+        if JOIN_AT & {w.lower() for w in words} and j - i >= 5:
+            found = features(text, tokens, i, j, 0)
+            if "email:shapedTrue" in found:
+                ends.append((i, 0, found))
+        count = sum(len(w) for w in words if is_number(w))
+        if count >= 4 and not any(w.isalpha() and w.lower() != "dot" for w in words):
+            for kind in (1, 2, 3):
+                ends.append((i, kind, features(text, tokens, i, j, kind)))
+    return ends
+
+
+def _held(tokens: list, fixed) -> list[bool]:
+    """Whether a token touches one of the spans, which are in order of their starts."""
+    held, at, reach = [], 0, -1
+    for t in tokens:
+        while at < len(fixed) and fixed[at][0] < t.end():
+            reach = max(reach, fixed[at][2])
+            at += 1
+        held.append(t.start() < reach)
+    return held
+
+
 def segments(text: str, tokens: list, fixed=()) -> list[list[tuple[int, int, list[str]]]]:
     """For every end, the possible segments (start, kind or -1, features) of a window.
 
     Segments that would touch a base span are left out; its tokens are outside.
     """
-    n = len(tokens)
-    held = [any(a < t.end() and t.start() < b for a, _, b in fixed) for t in tokens]
-    numeric = [is_number(t[0]) for t in tokens]
-    by_end = [[] for _ in range(n + 1)]
-    for j in range(1, n + 1):
-        by_end[j].append((j - 1, -1, []))
-        for i in range(max(0, j - LONGEST), j):
-            if any(held[i:j]):
-                continue
-            lower = {t[0].lower() for t in tokens[i:j]}
-            if lower & JOIN_AT and j - i >= 5:
-                found = features(text, tokens, i, j, 0)
-                if "email:shapedTrue" in found:
-                    by_end[j].append((i, 0, found))
-            count = sum(len(t[0]) for t, d in zip(tokens[i:j], numeric[i:j]) if d)
-            if count >= 4 and not any(t[0].isalpha() and t[0].lower() != "dot" for t in tokens[i:j]):
-                for kind in (1, 2, 3):
-                    by_end[j].append((i, kind, features(text, tokens, i, j, kind)))
-    return by_end
+    held = _held(tokens, fixed)
+    return [[], *(_ending(text, tokens, held, j) for j in range(1, len(tokens) + 1))]
 
 
 def _scores(by_end, weights):
@@ -219,6 +235,53 @@ def decode(by_end, weights) -> list[tuple[int, int, int]]:
     return found[::-1]
 
 
+def decode_run(text: str, start: int, end: int, fixed, weights) -> list[tuple[int, int, int]]:
+    """(start, kind, end) in the text of the best segmentation of all tokens from start to end.
+
+    What ``decode`` gives for the whole run, but tokens are read in blocks, and
+    those before the last boundary that all best segmentations share are let go.
+    """
+    unread = TOKEN.finditer(text, start, end)
+    tokens, held, best, back, found = [], [], [0.0], [None], []
+    first = at = 0
+    while True:
+        block = list(islice(unread, BLOCK))
+        # The spans that reach into the block; fixed is in order of starts.
+        if block:
+            while at < len(fixed) and fixed[at][2] <= block[0].start():
+                at += 1
+            held += _held(block, fixed[at : bisect_left(fixed, (block[-1].end(),), at)])
+        tokens += block
+        last = len(block) < BLOCK
+        # A segment's features look at the token behind it.
+        for j in range(len(best), len(tokens) + last):
+            scored = _scores([_ending(text, tokens, held, j)], weights)[0]
+            score, i, k = max((best[i] + s, i, k) for i, k, _, s in scored if i >= first)
+            best.append(score)
+            back.append((i, k))
+        ends = {len(best) - 1} if last else set(range(max(first, len(best) - LONGEST), len(best)))
+        while len(ends) > 1:
+            latest = max(ends)
+            ends.remove(latest)
+            ends.add(back[latest][0])
+        (common,) = ends
+        own, j = [], common
+        while j > first:
+            i, k = back[j]
+            if k >= 0:
+                own.append((tokens[i].start(), k, tokens[j - 1].end()))
+            j = i
+        found += own[::-1]
+        if last:
+            return found
+        # One token stays, as the features look at the token before a segment.
+        drop = max(common - 1, 0)
+        first = common - drop
+        tokens, held = tokens[drop:], held[drop:]
+        best = best[drop:]
+        back = [b and (b[0] - drop, b[1]) for b in back[drop:]]
+
+
 def _log_sum(values):
     top = max(values)
     return top + math.log(sum(math.exp(v - top) for v in values))
@@ -307,44 +370,44 @@ def examples(texts: list[str], limit: int = SAMPLE) -> list[tuple[str, list]]:
 
 def added_spans(text: str, base: list, weights: dict) -> list[tuple[int, int, int]]:
     """Segments of the windows around digits and at-signs that no base span covers."""
-    marks = [
-        m.start() for m in TRIGGER.finditer(text)
-        if not any(a <= m.start() < b for a, _, b in base)
-    ]
-    if not marks:
-        return []
-    found, done = [], 0
-    for start, end in _windows(text, marks):
-        start = max(start, done)
-        tokens = list(TOKEN.finditer(text, start, end))
-        if tokens:
-            near = [s for s in base if s[0] < end and start < s[2]]
-            by_end = segments(text, tokens, near)
-            found += [
-                (tokens[i].start(), k, tokens[j - 1].end()) for i, k, j in decode(by_end, weights)
-            ]
-        done = end
+    found, at = [], 0
+    for start, end in _windows(text, _marks(text, base)):
+        while at < len(base) and base[at][2] <= start:
+            at += 1
+        near = base[at : bisect_left(base, (end,), at)]
+        found += decode_run(text, start, end, near, weights)
     return found
 
 
-def _windows(text: str, marks: list[int]):
-    """Spans of text with some words on either side of marks, joined where they meet."""
-    room = 48
-    start, end = max(0, marks[0] - room), marks[0] + room
-    for mark in marks[1:]:
-        if mark - room > end or end - start > 40 * WINDOW:
-            yield _whole_words(text, start, end)
-            start = max(end, mark - room)
-        end = mark + room
-    yield _whole_words(text, start, end)
-
-
-def _whole_words(text: str, start: int, end: int) -> tuple[int, int]:
-    while 0 < start and not text[start - 1].isspace() and end - start < 80 * WINDOW:
-        start -= 1
-    while end < len(text) and not text[end].isspace() and end - start < 80 * WINDOW:
-        end += 1
-    return start, min(end, len(text))
+def _marks(text: str, base: list):
+    """Starts of what may belong to a span and lies in no base span."""
+    at, reach = 0, -1
+    for m in TRIGGER.finditer(text):
+        while at < len(base) and base[at][0] <= m.start():
+            reach = max(reach, base[at][2])
+            at += 1
+        if m.start() >= reach:
+            yield m.start()
+
+
+def _windows(text: str, marks):
+    """Runs of whole words on either side of marks, joined where they meet."""
+    start = end = None
+    for mark in marks:
+        if end is None or mark - ROOM > end:
+            left, least = max(0, mark - ROOM), end or 0
+            while left > least and not text[left - 1].isspace():
+                left -= 1
+            if end is None:
+                start = left
+            elif left > end:
+                yield start, end
+                start = left
+        if end is None or mark + ROOM > end:
+            blank = BLANK.search(text, min(mark + ROOM, len(text)))
+            end = blank.start() if blank else len(text)
+    if end is not None:
+        yield start, end
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:

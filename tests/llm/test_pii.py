@@ -95,6 +95,41 @@ def test_digits_that_are_no_numbers(weights, text):
     assert pii.added_spans(text, pii.base_spans(text), weights) == []
 
 
+def test_an_at_before_a_host_opens_a_window(weights):
+    text = "write to john at example.com today"
+    assert [(k, text[a:b]) for a, k, b in pii.added_spans(text, [], weights)] == [(0, "john at example.com")]
+
+
+def test_spans_of_long_runs_are_whole(weights):
+    """A directory of numbers is one run, wherever an entry lies in it."""
+    forms = ["(555) 123-4567", "10 dot 0 dot 0 dot 1", "4111.1111.1111.1111"]
+    for shift in range(3):
+        want, text = [], "x" * 7 * shift
+        for n in range(900):
+            text += " entry " if n % 3 else " the entry of "
+            want.append(text + forms[n % 3])
+            text = want[-1]
+        want = [(len(t) - len(forms[n % 3]), len(t)) for n, t in enumerate(want)]
+        assert [(a, b) for a, _, b in pii.added_spans(text, pii.base_spans(text), weights)] == want
+
+
+def test_blocks_give_the_best_segmentation_of_the_whole(monkeypatch):
+    chance = random.Random(8)
+    parts = ["555", "1234", "4111", "-", ".", " ", " dot ", " at ", "mail", "@", "(", ")", "x", "10.0.0.1", "²"]
+    weights = {}
+    for n in range(60):
+        text = "".join(chance.choices(parts, k=150))
+        base = pii.base_spans(text) if n % 2 else []
+        tokens = list(pii.TOKEN.finditer(text))
+        by_end = pii.segments(text, tokens, base)
+        for x in sorted({x for ends in by_end for _, _, f in ends for x in f}):
+            weights.setdefault(x, chance.uniform(-1, 1))
+        want = [(tokens[i].start(), k, tokens[j - 1].end()) for i, k, j in pii.decode(by_end, weights)]
+        for block in (1, 5, 40, 1000):
+            monkeypatch.setattr(pii, "BLOCK", block)
+            assert pii.decode_run(text, 0, len(text), base, weights) == want
+
+
 def test_clean_documents_are_left_alone(weights, spark):
     """Rows of the test data without any known form get hardly a span."""
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
