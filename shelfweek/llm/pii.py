@@ -9,13 +9,14 @@ segmentations of a window finds the best boundaries and kinds together; windows
 in which the base forms lie are segmented around them, so those always stay.
 
 The weights maximise the likelihood of segmentations of windows whose spans are
-known: base matches of a bounded sample of documents, as found and respelled
+known: a bounded sample of the base matches of each kind, as found and respelled
 ("name at host dot org", blanks or dots for dashes), beside windows of ordinary
 numbers. They are fitted once, in the driver, with the gradient from the
 forward and backward sums over all segmentations.
 """
 
 import hashlib
+import heapq
 import math
 import random
 import re
@@ -24,11 +25,9 @@ from collections import defaultdict
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import sampled
-
 # Kinds in their order, and the known forms.
 KINDS = ("email", "ip", "card", "phone")
 EMAIL_LOCALS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -38,9 +37,11 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 LONGEST = 12
-# Sampled documents, windows taken from them at most, and rounds of the fit.
-DOCUMENTS = 300
-SAMPLE = 400
+# Base matches of a kind to learn from, of one document at most, and the longest of them.
+MATCHES = 34
+OWN_MATCHES = 4
+LONGEST_MATCH = 256
+# Rounds of the fit.
 ROUNDS = 15
 # Characters on either side of a mark that are read with it, and tokens read at a time.
 ROOM = 48
@@ -348,23 +349,32 @@ def respelled(span: str, kind: int, chance: random.Random) -> str:
     return shape.format(digits[-10:-7], digits[-7:-4], digits[-4:])
 
 
-def examples(texts: list[str], limit: int = SAMPLE) -> list[tuple[str, list]]:
-    """Windows around base matches, as they are and respelled, and ordinary ones."""
+def matches(text: str):
+    """(draw, kind, left, span, right) of the base matches with nothing known beside them.
+
+    The draw is a hash of the rest, so that it does not depend on where a row is read.
+    """
+    for a, k, b in base_spans(text):
+        left, right = text[max(0, a - 30) : a], text[b : b + 30]
+        left, right = left[left.find(" ") + 1 :], right[: right.rfind(" ") + 1]
+        if b - a <= LONGEST_MATCH and not base_spans(left) and not base_spans(right):
+            own = f"{k}\0{left}\0{text[a:b]}\0{right}".encode("utf-8", "surrogatepass")
+            draw = int.from_bytes(hashlib.blake2b(own, digest_size=7).digest())
+            yield draw, k, left, text[a:b], right
+
+
+def examples(found: list[tuple[int, str, str, str]]) -> list[tuple[str, list]]:
+    """Windows of matches (kind, left, span, right), as they are and respelled, and ordinary ones."""
     chance, windows = random.Random(9), []
-    for text in texts:
-        for a, k, b in base_spans(text):
-            left, right = text[max(0, a - 30) : a], text[b : b + 30]
-            left, right = left[left.find(" ") + 1 :], right[: right.rfind(" ") + 1]
-            if base_spans(left) or base_spans(right) or len(windows) >= limit:
-                continue
-            for span in dict.fromkeys((text[a:b], respelled(text[a:b], k, chance))):
-                windows.append((left + span + right, [(len(left), k, len(left) + len(span))]))
-            number = str(chance.randrange(10 ** chance.randrange(1, 15)))
-            large = " . ".join(str(chance.randrange(256, 3000)) for _ in range(4))
-            clock = f"{number[:4]}-{number[4:6]}-{number[6:8]} at {number[8:10]}:{number[10:12]}"
-            split = f"{number[:3]}.{number[3:6]}", f"at {number}", f"{number[:2]}-{number[2:6]}"
-            plain = chance.choice([number, clock, large, large.replace(" ", ""), *split])
-            windows.append((left + plain + right, []))
+    for k, left, match, right in found:
+        for span in dict.fromkeys((match, respelled(match, k, chance))):
+            windows.append((left + span + right, [(len(left), k, len(left) + len(span))]))
+        number = str(chance.randrange(10 ** chance.randrange(1, 15)))
+        large = " . ".join(str(chance.randrange(256, 3000)) for _ in range(4))
+        clock = f"{number[:4]}-{number[4:6]}-{number[6:8]} at {number[8:10]}:{number[10:12]}"
+        split = f"{number[:3]}.{number[3:6]}", f"at {number}", f"{number[:2]}-{number[2:6]}"
+        plain = chance.choice([number, clock, large, large.replace(" ", ""), *split])
+        windows.append((left + plain + right, []))
     return windows
 
 
@@ -414,34 +424,45 @@ def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
-def _sampled(batches):
+def _lowest(batches):
+    """Of every kind the MATCHES lowest draws of a task."""
+    kept: list[set] = [set() for _ in KINDS]
     for batch in batches:
-        windows = examples([t for t in batch.column("text").to_pylist() if t])
-        if windows:
-            text, spans = zip(*windows)
-            starts, kinds, ends = ([[s[n] for s in own] for own in spans] for n in range(3))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(text, pa.string()), *(pa.array(c, pa.list_(pa.int32())) for c in (starts, kinds, ends))],
-                names=["text", "starts", "kinds", "ends"],
-            )
+        for text in batch.column("text").to_pylist():
+            own: list[set] = [set() for _ in KINDS]
+            for match in matches(text):
+                own[match[1]].add(match)
+            for kind, some in enumerate(own):
+                if some:
+                    kept[kind] = set(heapq.nsmallest(MATCHES, kept[kind].union(heapq.nsmallest(OWN_MATCHES, some))))
+    rows = [m for some in kept for m in some]
+    if rows:
+        types = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["draw", "kind", "left", "span", "right"]
+        )
 
 
 def trained(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
-    """Weights fitted on the windows of DOCUMENTS documents with digits or at-signs.
+    """Weights fitted on the windows of MATCHES known forms of each kind.
 
-    The documents are chosen by a hash of their text; SAMPLE windows at most
-    reach the driver. Without any, no span is ever added.
+    All rows are searched for them; those of the lowest hashes are taken, however
+    rare a kind is, OWN_MATCHES of a document at most. A task passes on MATCHES
+    of a kind, and as many reach the driver. Without any match no span is ever added.
     """
     text = F.col(text_col).cast("string").alias("text")
-    hinted = docs.select(text).where(F.col("text").rlike(HINT.pattern))
+    own = Window.partitionBy("kind").orderBy("draw", "left", "span", "right")
     rows = (
-        sampled(hinted, DOCUMENTS, "text")
-        .mapInArrow(_sampled, "text string, starts array<int>, kinds array<int>, ends array<int>")
-        .orderBy(F.xxhash64("text"), "text")
-        .limit(SAMPLE)
+        docs.select(text)
+        .where(F.col("text").rlike(HINT.pattern))
+        .mapInArrow(_lowest, "draw long, kind int, left string, span string, right string")
+        .distinct()
+        .withColumn("place", F.row_number().over(own))
+        .where(F.col("place") <= MATCHES)
+        .orderBy("draw", "kind")
         .collect()
     )
-    return fit([(r["text"], list(zip(r["starts"], r["kinds"], r["ends"]))) for r in rows])
+    return fit(examples([(r["kind"], r["left"], r["span"], r["right"]) for r in rows]))
 
 
 def _find(weights: dict, keep: list[str]):

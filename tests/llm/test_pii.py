@@ -95,6 +95,29 @@ def test_digits_that_are_no_numbers(weights, text):
     assert pii.added_spans(text, pii.base_spans(text), weights) == []
 
 
+def test_rare_kinds_are_learnt(spark):
+    """A few documents of each kind among thousands that only hold numbers."""
+    chance, own = random.Random(3), lambda n: str(chance.randrange(10 ** (n - 1), 10**n))
+    texts = [f"in the year {own(4)} there were {own(chance.randint(1, 7))} of them" for _ in range(6000)]
+    for n in range(8):
+        card = next(c for c in (own(16) for _ in range(1000)) if pii.luhn(c))
+        texts += [
+            f"write to name{n}.last@host{n}.example.org about it", f"the host at {n}.20.3{n}.4 answers",
+            f"paid by {card} in time", f"please call +1 (555) {own(3)}-{own(4)} soon",
+        ]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    weights = pii.trained(docs.repartition(3))
+    assert pii.trained(docs.repartition(7)) == weights
+    for text, kind, span in [
+        ("write to john dot doe at mail dot example dot com today", 0, "john dot doe at mail dot example dot com"),
+        ("host 10 dot 0 dot 0 dot 1 yes", 1, "10 dot 0 dot 0 dot 1"),
+        ("card 4111.1111.1111.1111 ok", 2, "4111.1111.1111.1111"),
+        ("call (555) 123-4567 now", 3, "(555) 123-4567"),
+    ]:
+        assert [(k, text[a:b]) for a, k, b in pii.added_spans(text, [], weights)] == [(kind, span)]
+    assert pii.added_spans("in 1999 and 2000, 300 at 25", [], weights) == []
+
+
 def test_an_at_before_a_host_opens_a_window(weights):
     text = "write to john at example.com today"
     assert [(k, text[a:b]) for a, k, b in pii.added_spans(text, [], weights)] == [(0, "john at example.com")]
