@@ -1,16 +1,21 @@
 """The registered queries of the operators, and SQL for those that SQL can express."""
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from shelfweek.llm import (
+    clustering,
     html_text,
     jaccard,
     langid,
     mixing,
+    multi_index,
     neardup,
     packing,
     pii,
     quality,
+    runs,
     secret_scan,
     topk,
 )
@@ -80,6 +85,50 @@ def secret_digest(found):
     )
 
 
+def op11_inverted_multi_index(spark, sf_dir):
+    return multi_index.nearest_neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
+def op12_ns_bounds_clustering(spark, sf_dir):
+    found = clustering.cluster(table(spark, sf_dir, "embeddings"))
+    written = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.withColumn("centroid_sha256", F.sha2(written, 256)).drop("centroid")
+
+
+def op13_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return run_digest(runs.find_runs(docs, rewrite=with_repeats))
+
+
+def with_repeats(doc_id, words):
+    """One document of ten, told by a checksum of its id, repeats a part of itself to its end."""
+    checksum = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or checksum % 10 or not words:
+        return words
+    n, g = len(words), checksum // 10
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % period] for i in range(n - a)]
+
+
+def run_digest(found):
+    """Number and digests of the runs, and the one that repeats its period most often."""
+    best = F.col("best")
+    line = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", runs.strongest(F.col("runs"))).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries():
     return {
         f.__name__: f
@@ -94,6 +143,9 @@ def queries():
             op8_source_mixing,
             op9_personal_data,
             op10_secret_scan,
+            op11_inverted_multi_index,
+            op12_ns_bounds_clustering,
+            op13_periodic_runs,
         )
     }
 
@@ -165,9 +217,116 @@ FROM documents LEFT JOIN sizes USING (doc_id) JOIN lowest ON a = doc_id
 """
 
 
+# Tables of up to multi_index.LEAST vectors are searched whole; beyond that the search is approximate.
+OP11_SQL = """
+WITH usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, row_number() OVER () AS row
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ranked AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_distance(q.v, c.v) AS score,
+           CAST(row_number() OVER (PARTITION BY q.row ORDER BY list_distance(q.v, c.v), c.vec_id)
+                AS INTEGER) AS rank
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.row <> c.row AND len(q.v) = len(c.v))
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+# Sums of whole numbers in doubles are exact here; a vector's centroid is the first of its nearest.
+OP12_START = """
+WITH kept AS (
+    SELECT vec_id, row_number() OVER () AS row,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+centroids0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)), v) - 1 AS k, v
+    FROM kept QUALIFY k < 40)"""
+OP12_ASSIGN = """,
+assigned{n} AS (
+    SELECT kept.row, kept.vec_id, kept.v, k,
+           list_dot_product(kept.v, kept.v) - 2 * list_dot_product(kept.v, c.v)
+           + list_dot_product(c.v, c.v) AS distance
+    FROM kept CROSS JOIN centroids{n} c
+    QUALIFY row_number() OVER (PARTITION BY kept.row ORDER BY distance, k) = 1)"""
+OP12_MOVE = """,
+sums{n} AS (
+    SELECT k, i, floor(sum(x) / count(*)) AS x
+    FROM (SELECT k, unnest(v) AS x, unnest(range(64)) AS i FROM assigned{n}) GROUP BY k, i),
+centroids{next} AS (
+    SELECT k, coalesce(m.v, c.v) AS v
+    FROM centroids{n} c LEFT JOIN (SELECT k, list(x ORDER BY i) AS v FROM sums{n} GROUP BY k) m USING (k))"""
+OP12_END = """
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(CAST(c.v AS BIGINT[]), ',')) AS centroid_sha256
+FROM assigned5 JOIN centroids5 c USING (k)
+"""
+OP12_SQL = OP12_START + "".join(
+    OP12_ASSIGN.format(n=n) + (OP12_MOVE.format(n=n, next=n + 1) if n < 5 else "") for n in range(6)
+) + OP12_END
+
+# A run of period q is a stretch of positions whose windows of 16 words repeat q words on.
+OP13_SQL = r"""
+WITH checked AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(
+                   string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(unicode(c) AS BIGINT))),
+               lambda crc, byte: list_reduce(
+                   [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+               ))) AS h
+    FROM documents),
+starts AS (
+    SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a
+    FROM checked),
+periods AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM starts),
+texts AS (
+    SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(
+        range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w
+    FROM periods),
+windows AS (
+    SELECT doc_id, n, i, array_to_string(w[i + 1:i + 16], ' ') AS s
+    FROM (SELECT *, unnest(range(greatest(n - 15, 0))) AS i FROM texts)),
+pairs AS (
+    SELECT a.doc_id, b.i - a.i AS q, a.i
+    FROM windows a JOIN windows b
+      ON a.doc_id = b.doc_id AND a.s = b.s AND a.i < b.i AND 3 * (b.i - a.i) <= a.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+stretches AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + 15 + q AS length FROM islands GROUP BY doc_id, q, island),
+runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM stretches
+    WHERE length >= greatest(24, 3 * q) GROUP BY doc_id, start, length),
+found AS (
+    SELECT doc_id, count(*) AS n_runs,
+           list(struct_pack(start, length, period)
+                ORDER BY CAST(length AS DOUBLE) / period DESC, start, period)[1] AS best,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id),
+dropped AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+words AS (SELECT doc_id, unnest(range(n)) AS i, unnest(w) AS word FROM texts),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text
+    FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length,
+       best.period AS period, 1000 * best.length // best.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM texts LEFT JOIN found USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql():
     return {
         "op2_embedding_neardup": OP2_SQL,
         "op3_topk_inner_product": OP3_SQL,
         "op7_ngram_jaccard": OP7_SQL,
+        "op11_inverted_multi_index": OP11_SQL,
+        "op12_ns_bounds_clustering": OP12_SQL,
+        "op13_periodic_runs": OP13_SQL,
     }
