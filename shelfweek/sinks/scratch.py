@@ -50,6 +50,31 @@ def file_system(spark: SparkSession, path: str):
     return place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
+def moved(spark: SparkSession, source: str, target: str, *, replace: bool = False) -> None:
+    """Renames a file in one step; without ``replace`` a target that is there is an error."""
+    jvm = spark.sparkContext._jvm
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE if replace else kind.NONE
+    place = jvm.org.apache.hadoop.fs.Path
+    files, _ = file_system(spark, target)
+    full = [files.makeQualified(place(path)) for path in (source, target)]
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        full[1].toUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    context.rename(*full, how)
+
+
+def written_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with that text."""
+    files, place = file_system(spark, path)
+    stream = files.create(place(path), True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def removed(spark: SparkSession, *paths: str) -> None:
     """Deletes folders made here, wherever they are."""
     for path in paths:

@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfweek.schemas import FACT_PARTITIONS
-from shelfweek.sinks.scratch import file_system, scratch_name
+from shelfweek.sinks.scratch import file_system, moved, scratch_name
 from shelfweek.sources.files import CSV_OPTIONS
 
 FACT_NAME = "sales_inv"
@@ -40,7 +40,8 @@ def write_fact(
     Rows are gathered by folder first, so that a folder gets few files; a week
     too large for one task is divided, small weeks share one. Set ``clustered``
     where that has been done. Overwriting replaces every folder, or with
-    ``dynamic`` only those that ``fact`` has rows for.
+    ``dynamic`` only those that ``fact`` has rows for; readers have neither the
+    old nor the new rows until it is done (``publish_table`` is for that).
     """
     path = under(out, name)
     gathered = fact if clustered else fact.hint("rebalance", *FACT_PARTITIONS)
@@ -103,7 +104,8 @@ def write_landing(
 def write_landing_file(df: DataFrame, landing: str, table: str, run_date: date) -> str:
     """Gzip CSV extract in the one file ``<landing>/<table>_<run_date>.csv.gz``.
 
-    The file appears under its name only once it is whole.
+    The file appears under its name only once it is whole, and takes the place
+    of an earlier one in one step.
     """
     spark = df.sparkSession
     folder = under(landing, scratch_name(f"_{table}"))
@@ -112,8 +114,7 @@ def write_landing_file(df: DataFrame, landing: str, table: str, run_date: date)
     path = under(landing, f"{table}_{run_date:%Y-%m-%d}.csv.gz")
     files, place = file_system(spark, folder)
     (part,) = files.globStatus(place(under(folder, "part-*")))
-    files.delete(place(path), False)
-    files.rename(part.getPath(), place(path))
+    moved(spark, part.getPath().toString(), path, replace=True)
     files.delete(place(folder), True)
     return path
 

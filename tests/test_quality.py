@@ -29,6 +29,22 @@ def test_dropped_sales(spark, monkeypatch, max_bytes, hot_rows):
     assert dropped.columns[:-1] == micro(spark)[0].columns
 
 
+def test_dropped_sales_with_copies_and_nulls_in_one_scan(spark, tmp_path):
+    sales, calendar, inventory = micro(spark)
+    odd = rows(spark, SALES, sale(20, None, 1, "2023-01-02", "1", "1", "1"), sale(21, 10, None, None, "1", "1", "1"))
+    sales.union(sales).union(odd).write.parquet(str(tmp_path / "sales"))
+    stored = spark.read.parquet(str(tmp_path / "sales"))
+    twice = calendar.union(calendar), inventory.union(inventory)
+    dropped = quality.dropped_sales(stored, *twice)
+    assert bag(dropped, ["trans_id", "reason"]) == {
+        (5, "no inventory"): 2, (6, "no calendar day"): 2, (8, "no calendar day"): 2,
+        (20, "no inventory"): 1, (21, "no inventory"): 1, (21, "no calendar day"): 1,
+    }
+    marked = quality.marked_sales(stored, *twice)
+    assert marked.count() == stored.count()
+    assert dropped._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
 @pytest.mark.parametrize("limits", [{}, {"max_bytes": 0}, {"max_bytes": 0, "hot_rows": 1}])
 def test_enriched_summary_keeps_every_row(spark, limits):
     summary = weekly.weekly_summary(*micro(spark))

@@ -3,6 +3,7 @@
 import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,10 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType
 
 from shelfweek import schemas
 from shelfweek.operators import joins, quality, weekly
-from shelfweek.plans import fact, nightly
-from shelfweek.sinks.catalog import register_dimension, register_fact
-from shelfweek.sinks.scratch import scratch_folder
+from shelfweek.plans import fact, incremental, nightly
+from shelfweek.sinks.catalog import register_dimension, register_fact, register_published
+from shelfweek.sinks.publish import publish_table, read_published
+from shelfweek.sinks.scratch import file_system, scratch_folder
 from shelfweek.sinks.writers import (
     mark_finished,
     under,
@@ -30,6 +32,8 @@ from shelfweek.sources.landing import (
     landed_tables,
     missing_inputs,
 )
+from shelfweek.sources.manifest import manifest_of, manifest_problems
+from shelfweek.sources.quarantine import load_checked, rejected_records
 from workload.adapter import as_declared, table, tables
 from workload.oracle import DENSE_PRODUCTS, DENSE_STORES, RUN_DATE
 
@@ -92,10 +96,10 @@ def repeated_in_lines(*keys: str) -> Query:
 
 
 def dropped_sales(spark, sf_dir):
-    """The adapter's calendar and stock are complete, so both are cut at 2001."""
+    """Every sale moved on by 30 days and to the next product, which not all days and pairs bear."""
     sales, calendar, inventory = tables(spark, sf_dir, *THREE)
-    before = F.col("cal_dt") < "2001-01-01"
-    dropped = quality.dropped_sales(sales, calendar.filter(before), inventory.filter(before))
+    moved = {"trans_dt": F.date_add("trans_dt", 30), "prod_key": F.col("prod_key") + 1}
+    dropped = quality.dropped_sales(sales.withColumns(moved), calendar, inventory)
     cents = {c: F.col(c).cast("decimal(18,2)") for c in ("sales_cost", "sales_mgrn")}
     return plain(dropped.withColumns(cents))
 
@@ -174,12 +178,10 @@ def dense(operator: Callable[..., DataFrame], **options) -> Query:
 
 
 def monthly_landing(spark, sf_dir) -> str:
-    """Rows that are rare enough to miss some months, landed in monthly folders."""
+    """All sales and inventory rows, landed in monthly folders."""
     landing = scratch_folder(spark, "gate")
     sales, inventory = tables(spark, sf_dir, "sales", "inventory")
-    bulk = sales.filter("sales_qty = 50 AND discount = 0.10 AND ship_cost = 0.08")
-    empty = inventory.filter("inventory_on_hand_qty = 0 AND inventory_on_order_qty = 0")
-    for name, rows, day in (("sales", bulk, "trans_dt"), ("inventory", empty, "cal_dt")):
+    for name, rows, day in (("sales", sales, "trans_dt"), ("inventory", inventory, "cal_dt")):
         monthly = rows.withColumn("date", F.trunc(day, "month")).hint("rebalance", "date")
         monthly.write.partitionBy("date").csv(under(landing, name))
         mark_finished(spark, under(landing, name, "date=*"))
@@ -187,10 +189,12 @@ def monthly_landing(spark, sf_dir) -> str:
 
 
 def missing(spark, sf_dir):
-    """Which months of each table never arrived?"""
+    """Which months never arrived, of those that some day or the 60 days after it fall into?"""
     files = landed_files(spark, monthly_landing(spark, sf_dir))
     calendar = table(spark, sf_dir, "calendar")
-    months = calendar.select(F.trunc("cal_dt", "month").alias("run_date")).distinct()
+    days = F.array("cal_dt", F.date_add("cal_dt", 30), F.date_add("cal_dt", 60))
+    reached = calendar.select(F.explode(days).alias("day"))
+    months = reached.select(F.trunc("day", "month").alias("run_date")).distinct()
     required = months.select(
         F.explode(F.array(F.lit("sales"), F.lit("inventory"))).alias("table_name"), "run_date"
     )
@@ -244,6 +248,126 @@ def nightly_job(fact: str) -> Query:
     return query
 
 
+def published_versions(spark, sf_dir):
+    """Two published versions of the fact; the second replaces the years from 1996 on."""
+    root = scratch_folder(spark, "published")
+    publish_table(summary(spark, sf_dir, week_end_day=0), root)
+    publish_table(summary(spark, sf_dir).filter("YR_NUM >= 1996"), root, only_written=True)
+    versions = [
+        read_published(spark, root, n).withColumn("VERSION", F.lit(n).cast("bigint")) for n in (1, 2)
+    ]
+    return plain(versions[0].unionByName(versions[1]))
+
+
+def catalog_published(spark, sf_dir):
+    """A table that followed two versions: weeks were added, replaced and dropped."""
+    root = scratch_folder(spark, "published")
+    name = f"published_{uuid.uuid4().hex}"
+    publish_table(summary(spark, sf_dir, week_end_day=0).filter("YR_NUM <= 1996"), root)
+    register_published(spark, root, name)
+    publish_table(summary(spark, sf_dir).filter("YR_NUM >= 1996"), root)
+    return plain(spark.table(register_published(spark, root, name)))
+
+
+def earlier_extract(spark, sf_dir) -> dict[str, str]:
+    """The five tables as they were before one month's sales were corrected and one's stock came in."""
+
+    def read(name):
+        rows = exported(spark, sf_dir, name)
+        if name == "sales":
+            late = F.trunc("trans_dt", "month") == "1996-03-01"
+            other = F.when(late, F.col("sales_qty") + 1).otherwise(F.col("sales_qty"))
+            return rows.withColumn("sales_qty", other.cast("decimal(18,2)"))
+        return rows.filter("trunc(cal_dt, 'month') <> '1997-07-01'") if name == "inventory" else rows
+
+    return nightly.extract_tables(read, scratch_folder(spark, "landing"), RUN_DAY)
+
+
+def nightly_incremental(fact: str) -> Query:
+    """Two nights; the second builds the weeks that the corrections touch."""
+
+    def query(spark, sf_dir):
+        out = scratch_folder(spark, "processed")
+        for paths in (earlier_extract(spark, sf_dir), extract(spark, sf_dir)):
+            incremental.run_incremental(spark, paths, out, RUN_DAY, fact=fact)
+        return plain(incremental.published_fact(spark, out, fact))
+
+    return query
+
+
+def damaged_landing(spark, sf_dir) -> str:
+    """Five extracts with manifests; files were cut off, copied, taken for each other and lost."""
+    landing = scratch_folder(spark, "manifests")
+    nightly.extract_tables(
+        lambda name: exported(spark, sf_dir, name), landing, RUN_DAY, manifest=True
+    )
+    files, place = file_system(spark, landing)
+    jvm = spark.sparkContext._jvm
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def first(name):
+        found = files.globStatus(place(under(landing, name, f"date={RUN_DATE}", "part-*")))
+        return min((f.getPath() for f in found), key=lambda path: path.getName())
+
+    def copied(source, target):
+        jvm.org.apache.hadoop.fs.FileUtil.copy(files, source, files, target, False, hadoop)
+
+    whole, half = first("sales"), place(landing, "half")
+    source, target = files.open(whole), files.create(half)
+    n_bytes = files.getFileStatus(whole).getLen() // 2
+    jvm.org.apache.commons.io.IOUtils.copyLarge(source, target, 0, n_bytes)
+    source.close()
+    target.close()
+    files.delete(whole, False)
+    files.rename(half, whole)
+    again = first("inventory")
+    copied(again, place(again.getParent(), f"copy-of-{again.getName()}"))
+    store, product, aside = first("store"), first("product"), place(landing, "aside")
+    for old, new in ((store, aside), (product, store), (aside, product)):
+        files.rename(old, new)
+    files.delete(first("calendar"), False)
+    return landing
+
+
+def manifest_gate(spark, sf_dir):
+    """What the gate finds wrong, with the rows of the table it concerns."""
+    landing = damaged_landing(spark, sf_dir)
+    problems = manifest_problems(spark, landing, RUN_DAY)
+    sizes = [manifest_of(spark, landing, name, RUN_DAY) for name in schemas.TABLES]
+    rows = reduce(DataFrame.unionByName, sizes).groupBy("table_name").agg(F.sum("n_rows").alias("n_rows"))
+    return problems.join(rows, "table_name").select(
+        "table_name", "problem", F.split("same_as", "/")[0].alias("rows_of"), "n_rows"
+    )
+
+
+def spoilt_sales(spark, sf_dir) -> str:
+    """The sales as CSV lines, some with a value that does not parse or with a field too few."""
+    sales = exported(spark, sf_dir, "sales")
+    told = F.col("trans_id") % 1000
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sales.columns}
+    text["sales_qty"] = F.when(told.isin(13, 45), "x12").otherwise(text["sales_qty"])
+    text["trans_dt"] = F.when(told.isin(21, 45), "2001-13-45").otherwise(text["trans_dt"])
+    whole, short = (F.concat_ws(",", *[text[c] for c in names]) for names in (sales.columns, sales.columns[:-1]))
+    path = scratch_folder(spark, "spoilt")
+    sales.select(F.when(told == 37, short).otherwise(whole)).write.text(path)
+    return path
+
+
+def quarantined_sales(spark, sf_dir):
+    """What became of every sale: kept, or set aside and why."""
+    folder = scratch_folder(spark, "quarantine")
+    tables, counts = load_checked(
+        spark, {"sales": spoilt_sales(spark, sf_dir)}, folder, header=False, most_rejected=0.1
+    )
+    (n,) = counts.collect()
+    assert n.n_read == n.n_good + n.n_rejected
+    kept = tables["sales"].select(F.col("trans_id").cast("bigint"), F.lit("kept").alias("outcome"))
+    rejected = rejected_records(spark, folder, ["sales"]).select(
+        F.split("record", ",")[0].cast("bigint").alias("trans_id"), F.array_join("reasons", ",").alias("outcome")
+    )
+    return kept.unionByName(rejected)
+
+
 def nightly_copy(name: str) -> Query:
     """A dimension copy of the nightly job, read back from its catalog table."""
 
@@ -295,6 +419,12 @@ def queries() -> dict[str, Query]:
         "nightly_store": nightly_copy("store"),
         "nightly_product": nightly_copy("product"),
         "nightly_calendar": nightly_copy("calendar"),
+        "published_versions": published_versions,
+        "catalog_published": catalog_published,
+        "nightly_incremental": nightly_incremental("counted"),
+        "nightly_incremental_summary": nightly_incremental("summary"),
+        "manifest_gate": manifest_gate,
+        "quarantined_sales": quarantined_sales,
         "base_join_hot": over(lambda *t: joins.base_join(*t, hot_rows=2, hot_product=2), *THREE),
         "base_join_dense": dense(joins.base_join, hot_rows=100, hot_product=1000),
         "weekly_totals_dense": dense(weekly.weekly_totals),

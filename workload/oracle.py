@@ -277,16 +277,15 @@ sales AS (SELECT {fold} FROM all_sales), inventory AS (SELECT {fold} FROM all_in
 
 def oracle_sql() -> dict[str, str]:
     months = """
-months AS (SELECT DISTINCT CAST(date_trunc('month', cal_dt) AS DATE) AS run_date FROM calendar),
+months AS (SELECT DISTINCT CAST(date_trunc('month', cal_dt + later) AS DATE) AS run_date
+           FROM calendar, (VALUES (0), (30), (60)) AS t(later)),
 required AS (SELECT 'sales' AS table_name, run_date FROM months
              UNION ALL SELECT 'inventory', run_date FROM months),
 landed AS (SELECT DISTINCT 'sales' AS table_name,
-                  CAST(date_trunc('month', trans_dt) AS DATE) AS run_date
-           FROM sales WHERE sales_qty = 50 AND discount = 0.10 AND ship_cost = 0.08
+                  CAST(date_trunc('month', trans_dt) AS DATE) AS run_date FROM sales
            UNION ALL SELECT DISTINCT 'inventory', CAST(date_trunc('month', cal_dt) AS DATE)
-           FROM inventory WHERE inventory_on_hand_qty = 0 AND inventory_on_order_qty = 0)
+           FROM inventory)
 """
-    cut = "DATE '2001-01-01'"
     loaded = " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS n_rows, "
         f"CAST({total} AS DOUBLE) AS total FROM {name}"
@@ -328,13 +327,14 @@ SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS cal_dt, l_suppkey AS store_k
        l_partkey AS prod_key, count(*) AS n_rows
 FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
         "dropped_sales": _with(
+            "moved AS (SELECT * REPLACE (CAST(trans_dt + 30 AS DATE) AS trans_dt, "
+            "prod_key + 1 AS prod_key) FROM sales)",
             select=f"""
-SELECT {SALES_ROWS}, 'no calendar day' AS reason FROM sales s WHERE NOT EXISTS
-  (SELECT 1 FROM calendar c WHERE c.cal_dt = s.trans_dt AND c.cal_dt < {cut})
+SELECT {SALES_ROWS}, 'no calendar day' AS reason FROM moved s WHERE NOT EXISTS
+  (SELECT 1 FROM calendar c WHERE c.cal_dt = s.trans_dt)
 UNION ALL
-SELECT {SALES_ROWS}, 'no inventory' AS reason FROM sales s WHERE NOT EXISTS
-  (SELECT 1 FROM inventory i WHERE i.store_key = s.store_key AND i.prod_key = s.prod_key
-     AND i.cal_dt < {cut})"""
+SELECT {SALES_ROWS}, 'no inventory' AS reason FROM moved s WHERE NOT EXISTS
+  (SELECT 1 FROM inventory i WHERE i.store_key = s.store_key AND i.prod_key = s.prod_key)"""
         ),
         "csv_scan_typed": _with(
             select=f"SELECT {STORE_ROWS.format(**TEXT_CODES)} FROM store"
@@ -376,6 +376,32 @@ UNION ALL SELECT * FROM sunday WHERE YR_NUM = 1996"""
         ),
         "nightly_product": _with(select=f"SELECT {PRODUCT_ROWS}, '{RUN_DATE}' AS date FROM product"),
         "nightly_calendar": _with(select=f"SELECT {CALENDAR_ROWS}, '{RUN_DATE}' AS date FROM calendar"),
+        "published_versions": _summary(
+            """SELECT *, CAST(1 AS BIGINT) AS VERSION FROM sunday
+UNION ALL SELECT *, 2 FROM sunday WHERE YR_NUM < 1996
+UNION ALL SELECT *, 2 FROM summary WHERE YR_NUM >= 1996"""
+        ),
+        "catalog_published": _summary("SELECT * FROM summary WHERE YR_NUM >= 1996"),
+        "nightly_incremental": _fact("fact", cost="DECIMAL(18,2)", counted=True),
+        "nightly_incremental_summary": _with(
+            _base(DATED, "DECIMAL(18,2)"), f"summary AS ({summary_select()})",
+            select="SELECT * FROM summary",
+        ),
+        "manifest_gate": _with(
+            select="""
+SELECT 'sales' AS table_name, 'truncated' AS problem, NULL AS rows_of, count(*) AS n_rows FROM sales
+UNION ALL SELECT 'inventory', 'copy', 'inventory', count(*) FROM inventory
+UNION ALL SELECT 'store', 'swapped', 'product', count(*) FROM store
+UNION ALL SELECT 'product', 'swapped', 'store', count(*) FROM product
+UNION ALL SELECT 'calendar', 'missing', NULL, count(*) FROM calendar"""
+        ),
+        "quarantined_sales": _with(
+            select="""
+SELECT CAST(trans_id AS BIGINT) AS trans_id, CASE trans_id % 1000
+         WHEN 13 THEN 'sales_qty' WHEN 21 THEN 'trans_dt' WHEN 45 THEN 'trans_dt,sales_qty'
+         WHEN 37 THEN 'wrong number of fields' ELSE 'kept' END AS outcome
+FROM sales"""
+        ),
         "base_join_hot": _base_join(),
         "base_join_dense": _dense(_base_join()),
         "weekly_totals_dense": _dense(_totals()),
