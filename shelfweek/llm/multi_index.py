@@ -37,7 +37,7 @@ RECALL = 0.95
 # Entries that a walk passes at least.
 LEAST = 1024
 # Entries of a block, queries that meet one at a time.
-BLOCK = 8192
+BLOCK = 1024
 QUERY_BLOCK = 512
 # Components that only choose a cell are cut to this, so that squares fit a double.
 FAR = 1e150

@@ -1,0 +1,126 @@
+import random
+
+import pytest
+
+from shelfweek.llm import runs
+from shelfweek.llm.queries import run_digest, with_repeats
+
+SCHEMA = "doc_id bigint, text string, runs string, id bigint, words string, collapsed string"
+
+
+def lyndon(w):
+    """Longest Lyndon words by definition: smaller than all of their proper suffixes."""
+    return [
+        max(l for l in range(1, len(w) - i + 1) if all(w[i : i + l] < w[i + k : i + l] for k in range(1, l)))
+        for i in range(len(w))
+    ]
+
+
+def brute(w, least, exponent):
+    """Maximal stretches that match themselves q on, of each q the first with their extent."""
+    found = {}
+    for q in range(1, len(w) // exponent + 1):
+        j = 0
+        while j + q < len(w):
+            start = j
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j + q - start >= max(least, exponent * q) and j > start:
+                found.setdefault((start, j + q - start), q)
+            j = max(j, start + 1)
+    return sorted(((s, l, q) for (s, l), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def periodic(chance, length, letters):
+    w = [chance.randrange(letters) for _ in range(chance.randint(0, length))]
+    for _ in range(chance.randint(0, 2)):
+        period = [chance.randrange(letters) for _ in range(chance.randint(1, 9))]
+        w += period * chance.randint(1, 5) + period[: chance.randrange(len(period))]
+        w += [chance.randrange(letters) for _ in range(chance.randint(0, 4))]
+    return w
+
+
+def numbers(w):
+    return runs.numbered([b"%d" % x for x in w])
+
+
+def test_lyndon_lengths_by_definition():
+    chance = random.Random(1)
+    for _ in range(600):
+        w = numbers([chance.randrange(chance.randint(1, 3)) for _ in range(chance.randint(0, 16))]).tolist()
+        assert runs.lyndon_lengths(w) == lyndon(w)
+        other = [max(w, default=0) - x for x in w]
+        assert runs.lyndon_lengths(other) == lyndon(other)
+
+
+@pytest.mark.parametrize("least, exponent", [(24, 3), (1, 2), (6, 2), (4, 3), (10, 4)])
+def test_all_runs(least, exponent):
+    chance = random.Random(least)
+    for _ in range(500):
+        w = numbers(periodic(chance, 30, chance.randint(1, 4)))
+        assert runs.runs_of(w, least, exponent) == brute(w.tolist(), least, exponent)
+
+
+def test_a_long_text_of_one_period_and_of_one_word():
+    assert runs.runs_of(numbers([i % 977 for i in range(100_000)]), 24, 3) == [(0, 100_000, 977)]
+    assert runs.runs_of(numbers([7] * 50_000), 24, 3) == [(0, 50_000, 1)]
+    assert runs.runs_of(numbers(range(50_000)), 24, 3) == []
+
+
+def result(spark, rows, **options):
+    return runs.find_runs(spark.createDataFrame(rows, SCHEMA), **options)
+
+
+def test_documents(spark):
+    chance, texts = random.Random(5), []
+    for _ in range(150):
+        w = [f"w{x}" for x in periodic(chance, 60, 5)]
+        texts.append("".join(x + chance.choice([" ", "\n", "\t ", "\x0b", "  "]) for x in w))
+    rows = [(i, t, "x", 1, "y", "z") for i, t in enumerate(texts)]
+    got = result(spark, rows).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        words = texts[r.doc_id].split()
+        want = brute(numbers([int(x[1:]) for x in words]).tolist(), 24, 3)
+        assert [tuple(x) for x in r.runs] == want
+        gone = {i for s, l, q in want for i in range(s + q, s + l)}
+        assert r.collapsed == " ".join(x for i, x in enumerate(words) if i not in gone)
+
+
+def test_odd_rows(spark):
+    stretch = "a b c " * 8
+    rows = [
+        (1, None, None, None, None, None), (2, "", None, 2, "x", "y"), (3, " \t\r\n", None, 3, "x", "y"),
+        (None, stretch, None, None, "x", "y"), (None, stretch, None, None, "x", "y"), (4, None, None, 4, None, None),
+        # Only the blank and \x09-\x0D separate words.
+        (5, "a b\x1cc " * 24, None, 5, "x", "y"),
+    ]
+    got = {(r.doc_id, tuple(map(tuple, r.runs)), r.collapsed) for r in result(spark, rows).collect()}
+    assert got == {
+        (1, (), ""), (2, (), ""), (3, (), ""), (4, (), ""), (None, ((0, 24, 3),), "a b c"),
+        (5, ((0, 24, 1),), "a b\x1cc"),
+    }
+    assert result(spark, rows).count() == len(rows)
+    assert result(spark, []).collect() == []
+    named = spark.createDataFrame([(1, stretch)], "`my.id` bigint, `my.text` string")
+    assert runs.find_runs(named, id_col="my.id", text_col="my.text").first()["my.id"] == 1
+
+
+def test_digest(spark):
+    """The strongest run: greatest exponent, then the first."""
+    text = "a b c " * 8 + "x " + "d e f " * 8 + "y " + "g " * 24 + "z " + "h " * 24
+    row = run_digest(result(spark, [(1, text, None, None, None, None)])).first()
+    assert row.n_runs == 4 and (row.start, row.length, row.period, row.exponent_milli) == (50, 24, 1, 24000)
+    none = run_digest(result(spark, [(1, None, None, None, None, None)])).first()
+    empty = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+    assert tuple(none) == (1, 0, None, None, None, None, empty, empty)
+
+
+def test_repeats_are_planted_by_the_id():
+    words = [b"%d" % i for i in range(100)]
+    changed = [i for i in range(2000) if with_repeats(i, words) != words]
+    assert 150 < len(changed) < 250
+    for i in changed:
+        found = runs.runs_of(runs.numbered(with_repeats(i, words)), 2, 2)
+        assert len(found) == 1 and found[0][0] + found[0][1] == 100
+    assert with_repeats(None, words) == words and with_repeats(changed[0], []) == []
