@@ -10,6 +10,8 @@ from shelfweek.sinks.scratch import is_local
 
 # What separates words, everywhere in this package: space and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
+# Texts reach a Python task in batches of about this size.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 # Rows of a checkpoint file, where the number of rows is known.
 ROWS_PER_FILE = 200_000
 
@@ -32,6 +34,35 @@ def checkpoint(df: DataFrame, most: int | None = None) -> DataFrame:
     return (df if most is None else df.coalesce(most // ROWS_PER_FILE + 1)).checkpoint()
 
 
+def small_batches(spark) -> None:
+    """Lets texts reach Python tasks in small batches, unless the session says how large.
+
+    Spark's own batches are of 10,000 rows, whatever their length; executor and
+    Python worker each hold several of them.
+    """
+    for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
+def quoted(name: str) -> str:
+    """A column name as it is, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def named(columns) -> list[Column]:
+    return [F.col(quoted(c)) for c in columns]
+
+
+def fresh(name: str, columns) -> str:
+    """``name``, lengthened until it is none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfweek.llm.common import fresh, named, quoted
+
 # Element names of HTML by how they are parsed and shown.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -349,10 +351,10 @@ def page_text(page: str | None) -> str:
     return render(parse(page)) if page else ""
 
 
-def _extract(keep: list[str]):
+def _extract(keep: list[str], body: str):
     def extract(batches):
         for batch in batches:
-            texts = [page_text(p) for p in batch.column("__html").to_pylist()]
+            texts = [page_text(p) for p in batch.column(body).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(texts, pa.string())], names=[*keep, "text"]
             )
@@ -366,8 +368,10 @@ def extract_text(pages: DataFrame, *, html_col: str = "html", keep: list[str] |
     Whole pages are read, one at a time. A null or empty page and one without
     visible text give an empty text; repeated rows give the same one. A column
     of the input named ``text`` is replaced. Broken markup is put right as far
-    as its open tags tell; nothing is refused.
+    as its open tags tell; nothing is refused. An empty table gives no rows.
     """
     keep = [c for c in (keep or pages.columns) if c not in (html_col, "text")]
-    rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(html_col).cast("string").alias("__html"))
-    return rows.mapInArrow(_extract(keep), rows.drop("__html").schema.add("text", "string"))
+    body = fresh("body", keep)
+    rows = pages.select(*named(keep), F.col(quoted(html_col)).cast("string").alias(body))
+    schema = pages.select(named(keep)).schema.add("text", "string")
+    return rows.mapInArrow(_extract(keep, body), schema)

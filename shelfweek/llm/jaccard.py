@@ -28,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import checkpoint, components, few
+from shelfweek.llm.common import checkpoint, components, few, quoted, small_batches
 from shelfweek.llm.shingles import mix, shingle_sets
 
 # Entries aimed at per range of the join, and gathered before they are dealt out.
-RANGE_ENTRIES = 1_500_000
-GATHER = 1_000_000
+RANGE_ENTRIES = 500_000
+GATHER = 250_000
+# Sets that a task remembers, so as not to enter their copies again.
+REMEMBERED = 1 << 16
 # Bits of a sketch at most, and of the short form that is sent to every list of a set.
 SKETCH_BITS = 1 << 18
 SHORT_BITS = 4096
@@ -163,6 +165,8 @@ def _entered(width: int, percent: int, ranges: int):
                 name = fingerprint(found)
                 if not len(found) or name in seen:
                     continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()  # a copy that is entered again is left out later
                 seen.add(name)
                 own = entries(found, bands)
                 if not len(own):
@@ -435,11 +439,12 @@ def near_duplicates(
     A row with a null id is returned with its size; its text may connect others,
     and its component is the smallest id among them, null if there is none.
     Different texts under one id are one node: a link of any of them counts.
-    Ids lie below 2^62, ``percent`` between 1 and 99. Other columns are not read.
+    Ids lie below 2^62, ``percent`` between 1 and 99. An empty table gives no
+    rows. Other columns are not read.
     """
-    texts = docs.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")
-    )
+    small_batches(docs.sparkSession)
+    id_, text = (F.col(quoted(c)) for c in (id_col, text_col))
+    texts = docs.select(id_.cast("bigint").alias("id"), text.cast("string").alias("text"))
     profile = checkpoint(
         texts.mapInArrow(_profiles(width), "id bigint, size bigint, set_a bigint, set_b bigint")
     )

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfweek.llm.common import fresh, named, quoted, small_batches
+
 UNKNOWN = "und"
 DIMENSIONS = 1024
 # Characters handled at a time: a longer text is a sum over its parts.
@@ -30,6 +32,7 @@ PART = 1 << 18
 TRIGRAMS = 4096
 # Languages whose sums a task holds before it passes them on.
 HELD = 256
+MOST_LANGUAGES = 10_000
 # Common trigrams of a language: they make up this share of its texts together, are in
 # more than one text, and are this many at most, told apart by so many bits of a hash.
 SHARE = 0.9
@@ -80,19 +83,26 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _parts(texts: list[str | None]):
-    """Groups of (text number, lowered piece); pieces of a long text overlap by two characters."""
+    """Groups of (text number, lowered piece).
+
+    The pieces of a text longer than PART are groups of their own, which overlap
+    by two characters.
+    """
     numbers, pieces, size = [], [], 0
     for i, text in enumerate(texts):
         if not text:
             continue
+        if pieces and size + len(text) > PART:
+            yield np.array(numbers), pieces
+            numbers, pieces, size = [], [], 0
         for at in range(0, len(text), PART):
             piece = text[max(0, at - 2) : at + PART].lower()
+            if len(text) > PART:
+                yield np.array([i]), [piece]
+                continue
             numbers.append(i)
             pieces.append(piece)
             size += len(piece)
-            if size >= PART:
-                yield np.array(numbers), pieces
-                numbers, pieces, size = [], [], 0
     if pieces:
         yield np.array(numbers), pieces
 
@@ -125,16 +135,26 @@ def _learn(batches):
         return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), vectors], names=["lang", "vector"])
 
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        for own, pieces in _parts(batch.column("text").to_pylist()):
-            names, code = np.unique([langs[i] for i in own], return_inverse=True)
+        langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
+        # Sums and numbers of trigrams of the texts that come in several pieces.
+        long: dict[int, np.ndarray] = {}
+        total: dict[int, int] = {}
+        for own, pieces in _parts(texts):
             number, keys = trigrams(pieces)
+            if len(texts[own[-1]]) > PART and len(own) == 1:
+                vector = bundle(number, keys, 1)[0].astype(np.float64)
+                long[own[0]] = long.get(own[0], 0) + vector
+                total[own[0]] = total.get(own[0], 0) + len(keys)
+                continue
+            names, code = np.unique([langs[i] for i in own], return_inverse=True)
             # Every text counts alike, so that long ones do not drown the others.
             weights = (1 / np.maximum(np.bincount(number, minlength=len(own)), 1))[number]
             for name, vector in zip(names, bundle(code[number], keys, len(names), weights)):
                 sums[str(name)] = sums.get(str(name), 0) + vector.astype(np.float64)
             if len(sums) >= HELD:
                 yield flush()
+        for i, vector in long.items():
+            sums[langs[i]] = sums.get(langs[i], 0) + vector / max(total[i], 1)
     if sums:
         yield flush()
 
@@ -142,8 +162,11 @@ def _learn(batches):
 def prototypes(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages in order and their unit vectors, from all rows (text, lang).
 
-    One vector of DIMENSIONS numbers per distinct language reaches the driver.
+    One vector of DIMENSIONS numbers per distinct language reaches the driver, so
+    more than MOST_LANGUAGES values, which no column of languages has, are an error.
     """
+    if labelled.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"the language column has more than {MOST_LANGUAGES} values")
     sums = (
         labelled.mapInArrow(_learn, "lang string, vector array<double>")
         .select("lang", F.posexplode("vector").alias("at", "x"))
@@ -262,12 +285,16 @@ def common_trigrams(labelled: DataFrame, names: list[str]) -> Common:
     return Common(names, [(r["lang"], r["hashes"], r["share"]) for r in kept.collect()])
 
 
-def _predict(names: list[str], vectors: np.ndarray, keep: list[str], common: Common | None = None):
+def _predict(
+    names: list[str], vectors: np.ndarray, keep: list[str], body: str, added: list[str],
+    common: Common | None = None,
+):
+    """Adds the columns ``added``: language, cosine and, with ``common``, unlike."""
     table = np.array([*names, UNKNOWN], object)
 
     def predict(batches):
         for batch in batches:
-            texts = batch.column("__body").to_pylist()
+            texts = batch.column(body).to_pylist()
             best = np.full(len(texts), len(names))
             score = np.zeros(len(texts))
             unlike = np.zeros(len(texts), bool)
@@ -314,7 +341,7 @@ def _predict(names: list[str], vectors: np.ndarray, keep: list[str], common: Com
                     *[batch.column(c) for c in keep], pa.array(table[best].tolist(), pa.string()), pa.array(score),
                     *([pa.array(unlike)] if common else []),
                 ],
-                names=[*keep, "__found", "__cosine", *(["__unlike"] if common else [])],
+                names=[*keep, *added],
             )
 
     return predict
@@ -339,23 +366,36 @@ def identify(
     learnt. Equal cosines go to the first language by code point. The score is
     the cosine of text and prototype, negative ones as 0. Columns of the input
     with the names of the added ones are replaced. A task holds one vector per
-    language and the trigrams of one part of the texts.
+    language and the trigrams of one part of the texts; a text of any length
+    weighs as much as any other. Repeated rows are learnt from, and predicted,
+    like all others. An empty table gives no rows.
 
     ``unlike_col``, if given, is added: true where the text has a letter but too
     few common trigrams of the predicted language to be a text of it.
     """
+    small_batches(docs.sparkSession)
     keep = [c for c in (keep or docs.columns) if c not in (pred_col, score_col, unlike_col)]
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    text, lang = (F.col(quoted(c)) for c in (text_col, lang_col))
+    labelled = docs.where(lang.isNotNull() & text.isNotNull())
     if learn_from is not None:
         labelled = labelled.where(learn_from)
-    labelled = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    labelled = labelled.select(text.cast("string").alias("text"), lang.cast("string").alias("lang"))
     names, vectors = prototypes(labelled)
     common = common_trigrams(labelled, names) if unlike_col and names else None
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__body"))
-    schema = rows.drop("__body").schema.add("__found", "string").add("__cosine", "double")
+    # The text goes to the Python tasks once, also where it is kept.
+    body = text_col
+    rows = docs.select(named(keep))
+    if text_col not in keep or dict(docs.dtypes)[text_col] != "string":
+        body = fresh("body", keep)
+        rows = docs.select(*named(keep), text.cast("string").alias(body))
+    added = [fresh(name, [*keep, body]) for name in ("found", "cosine", "unlike")]
+    schema = docs.select(named(keep)).schema.add(added[0], "string").add(added[1], "double")
     if common:
-        schema = schema.add("__unlike", "boolean")
-    found = rows.mapInArrow(_predict(names, vectors.astype(np.float32), keep, common), schema)
+        schema = schema.add(added[2], "boolean")
+    work = _predict(
+        names, vectors.astype(np.float32), keep, body, added if common else added[:2], common
+    )
+    found = rows.mapInArrow(work, schema)
     if unlike_col and not common:
-        found = found.withColumn("__unlike", F.lit(False))
-    return found.withColumnsRenamed({"__found": pred_col, "__cosine": score_col, "__unlike": unlike_col or "__unlike"})
+        found = found.withColumn(added[2], F.lit(False))
+    return found.withColumnsRenamed(dict(zip(added, (pred_col, score_col, unlike_col or added[2]))))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import checkpoint
+from shelfweek.llm.common import checkpoint, quoted, small_batches
 
 CAPACITY = 1024
 END = 2
@@ -318,11 +318,11 @@ def pack(
     A sequence's pieces lie without gaps from offset 0, longest first. Other
     columns are not read. ``encoder`` is called once per task and returns the
     function from text to ids. An island is bounded in pieces and a task holds
-    the ids of one document at a time.
+    the ids of one document at a time. An empty table gives no rows.
     """
-    rows = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    )
+    small_batches(docs.sparkSession)
+    id_, text = (F.col(quoted(c)) for c in (id_col, text_col))
+    rows = docs.select(id_.cast("bigint").alias("doc_id"), text.cast("string").alias("text"))
     pieces = checkpoint(
         rows.mapInArrow(
             _cut(encoder, capacity),
