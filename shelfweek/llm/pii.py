@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfweek.llm.common import fresh, named, quoted
+
 # Kinds in their order, and the known forms.
 KINDS = ("email", "ip", "card", "phone")
 EMAIL_LOCALS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -41,6 +43,9 @@ LONGEST = 12
 MATCHES = 34
 OWN_MATCHES = 4
 LONGEST_MATCH = 256
+# Windows without a base match that are learnt as ordinary text, and the longest of them.
+ORDINARY = 136
+LONGEST_WINDOW = 400
 # Rounds of the fit.
 ROUNDS = 15
 # Characters on either side of a mark that are read with it, and tokens read at a time.
@@ -133,32 +138,38 @@ def features(text: str, tokens: list, i: int, j: int, kind: int) -> list[str]:
     digits = digits_of(span)
     numbers = [w for w in words if is_number(w)]
     k = KINDS[kind]
-    found = [f"{k}:bias", f"{k}:size{min(j - i, LONGEST)}"]
+    found = [f"{k}:bias"]
     if kind == 0:
         at = [n for n, w in enumerate(lower) if w in JOIN_AT]
         dots = [n for n, w in enumerate(lower) if w in JOIN_DOT]
         shaped = (
             len(at) == 1 and 0 < at[0] < len(words) - 3 and any(n > at[0] + 1 for n in dots)
             and re.search("[A-Za-z]{2}", words[-1]) and re.search("[^0-9]", words[0]) and words[0][0].isalnum()
-            and re.search("[^0-9]", words[at[0] + 1])
+            and re.search("[^0-9]", words[at[0] + 1]) and lower[0] not in JOIN_DOT and lower[-1] not in JOIN_DOT
         )
+        signs = any(w in "@[(" for w in words)
+        found += [f"email:whole{(signs or words[-1].islower()) and _whole(text, tokens, i, j)}"]
         spelled = shaped and not any(words[n] == "@" for n in at)
         found += [f"email:shaped{bool(shaped)}", f"email:at{len(at)}"]
         found += [f"email:dotword{spelled and any(lower[n] == 'dot' for n in dots)}"] if spelled else []
         found += [f"email:inner{_inner(text, tokens, i, j, at)}"]
+        found += [f"email:signs{signs}"]
     elif kind == 1:
         fits = len(numbers) == 4 and all(len(n) <= 3 and int(n) <= 255 for n in numbers)
         between = [w for w in lower if not is_number(w)]
         found += [f"ip:four{fits}", f"ip:joined{len(between) == 3 and set(between) <= JOIN_DOT}"]
+        found += [f"ip:even{_even(text, tokens, i, j)}"]
     elif kind == 2:
         plain = set(span) <= set("0123456789 -.")
         found += [f"card:length{12 <= len(digits) <= 19}", f"card:plain{plain}"]
         found += [f"card:luhn{plain and 12 <= len(digits) <= 19 and luhn(digits)}"]
+        found += [f"card:groups{_groups(text, tokens, i, j)}"]
     else:
         plain = set(span) <= set("0123456789 +-().")
         long = 10 <= len(digits) <= 15
         found += [f"phone:length{long}", f"phone:plain{plain}", f"phone:first{words[0] in ('+', '(')}"]
         found += [f"phone:grouped{plain and long and [len(n) for n in numbers][-2:] == [3, 4]}"]
+        found += [f"phone:apart{_apart(text, tokens, i, j)}"]
     edge = words[0].isalnum() or words[0] in "+("
     found += [f"{k}:edges{edge and words[-1].isalnum()}"]
     glued = (i > 0 and tokens[i - 1].end() == tokens[i].start() and tokens[i - 1][0] not in "([<\"',;:=") or (
@@ -168,16 +179,79 @@ def features(text: str, tokens: list, i: int, j: int, kind: int) -> list[str]:
     return found
 
 
+def _even(text, tokens, i, j) -> bool:
+    """Joining signs have a blank on both sides or on neither."""
+    gaps = [text[tokens[n].end() : tokens[n + 1].start()] for n in range(i, j - 1)]
+    return len(set(gaps)) == 1 and gaps[0] in ("", " ")
+
+
+def _apart(text, tokens, i, j) -> bool:
+    """An area code in brackets or groups joined alike, in neither case part of a longer number.
+
+    Groups with blanks between them are of three, three and four digits, and no
+    number stands beside them.
+    """
+    start = tokens[i].start()
+    if text[start - 1 : start] in (".", ",") and text[max(start - 2, 0) : start - 1].isdigit():
+        return False
+    if tokens[i][0] in "+(":
+        return True
+    spans = [t.span() for t in tokens[i:j] if is_number(t[0])]
+    joints = {text[a[1] : b[0]] for a, b in zip(spans, spans[1:])}
+    if joints != {" "}:
+        return len(joints) == 1
+    around = [*tokens[max(i - 1, 0) : i], *tokens[j : j + 1]]
+    shape = [b - a for a, b in spans] == [3, 3, 4] and text[spans[0][0]] > "1"
+    return shape and not any(is_number(t[0]) for t in around)
+
+
+def _groups(text, tokens, i, j) -> bool:
+    """One number, or numbers of four digits (the last of any) joined alike by more than a blank or hyphen.
+
+    Those with a blank or hyphen are of the known form, or part of a row of numbers.
+    """
+    spans = [t.span() for t in tokens[i:j] if is_number(t[0])]
+    joints = {text[a[1] : b[0]] for a, b in zip(spans, spans[1:])}
+    if not joints:
+        return True
+    return len(joints) == 1 and not joints & {" ", "-"} and all(b - a == 4 for a, b in spans[:-1])
+
+
+def _whole(text, tokens, i, j) -> bool:
+    """Neither the token before nor the one behind goes on with a dotted name."""
+    if i:
+        t = tokens[i - 1]
+        if t[0].lower() == "dot" or t[0] in ".-_+%" and t.end() == tokens[i].start():
+            return False
+    if j < len(tokens):
+        t = tokens[j]
+        tight = t[0] in ".-" and t.start() == tokens[j - 1].end()
+        if t[0].lower() == "dot" or tight and text[t.end() : t.end() + 1].isalnum():
+            return False
+    return True
+
+
 def _inner(text, tokens, i, j, at) -> bool:
-    """Blanks stand only beside joining words and signs."""
+    """Single blanks stand only beside joining words and signs."""
     for n in range(i, j - 1):
         if tokens[n].end() != tokens[n + 1].start():
+            if text[tokens[n].end() : tokens[n + 1].start()] != " ":
+                return False
             pair = {tokens[n][0].lower(), tokens[n + 1][0].lower()}
             if not pair & {"at", "dot", "(", ")", "[", "]"}:
                 return False
     return bool(at)
 
 
+# Without these a span is no candidate of its kind: prose and plain numbers have none.
+NEEDED = (
+    {"email:shapedTrue", "email:innerTrue", "email:wholeTrue"},
+    {"ip:fourTrue", "ip:joinedTrue", "ip:evenTrue"},
+    {"card:luhnTrue", "card:groupsTrue"},
+    {"phone:groupedTrue", "phone:apartTrue"},
+)
+
+
 def _ending(text: str, tokens: list, held: list, j: int) -> list[tuple[int, int, list[str]]]:
     """The possible segments (start, kind or -1, features) that end before token j."""
     ends = [(j - 1, -1, [])]
@@ -187,12 +261,14 @@ def _ending(text: str, tokens: list, held: list, j: int) -> list[tuple[int, int,
         words = [t[0] for t in tokens[i:j]]
         if JOIN_AT & {w.lower() for w in words} and j - i >= 5:
             found = features(text, tokens, i, j, 0)
-            if "email:shapedTrue" in found:
+            if NEEDED[0].issubset(found):
                 ends.append((i, 0, found))
         count = sum(len(w) for w in words if is_number(w))
         if count >= 4 and not any(w.isalpha() and w.lower() != "dot" for w in words):
             for kind in (1, 2, 3):
-                ends.append((i, kind, features(text, tokens, i, j, kind)))
+                found = features(text, tokens, i, j, kind)
+                if NEEDED[kind].issubset(found):
+                    ends.append((i, kind, found))
     return ends
 
 
@@ -363,10 +439,34 @@ def matches(text: str):
             yield draw, k, left, text[a:b], right
 
 
+def ordinary(text: str):
+    """Windows around digits, at-signs and joining words without a base match, as ``matches`` gives those.
+
+    Nor do they hold a match that was dropped for its digits: there may be
+    personal data inside it.
+    """
+    base = base_spans(text)
+    for a, b in _windows(text, _marks(text, base)):
+        if b - a > LONGEST_WINDOW or PHONE.search(text, a, b):
+            continue
+        if any(len(digits_of(m[0])) >= 12 for m in CARD.finditer(text, a, b)):
+            continue
+        if not any(s < b and a < e for s, _, e in base):
+            own = f"ordinary\0{text[a:b]}".encode("utf-8", "surrogatepass")
+            draw = int.from_bytes(hashlib.blake2b(own, digest_size=7).digest())
+            yield draw, len(KINDS), text[a:b], "", ""
+
+
 def examples(found: list[tuple[int, str, str, str]]) -> list[tuple[str, list]]:
-    """Windows of matches (kind, left, span, right), as they are and respelled, and ordinary ones."""
+    """Windows of matches (kind, left, span, right), as they are and respelled, and ordinary ones.
+
+    A kind beyond KINDS is that of the corpus' own ordinary windows.
+    """
     chance, windows = random.Random(9), []
     for k, left, match, right in found:
+        if k == len(KINDS):
+            windows.append((left, []))
+            continue
         for span in dict.fromkeys((match, respelled(match, k, chance))):
             windows.append((left + span + right, [(len(left), k, len(left) + len(span))]))
         number = str(chance.randrange(10 ** chance.randrange(1, 15)))
@@ -425,16 +525,17 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 
 def _lowest(batches):
-    """Of every kind the MATCHES lowest draws of a task."""
-    kept: list[set] = [set() for _ in KINDS]
+    """Of every kind the MATCHES lowest draws of a task, and of ordinary windows the ORDINARY lowest."""
+    most = [*[MATCHES] * len(KINDS), ORDINARY]
+    kept: list[set] = [set() for _ in most]
     for batch in batches:
         for text in batch.column("text").to_pylist():
-            own: list[set] = [set() for _ in KINDS]
-            for match in matches(text):
+            own: list[set] = [set() for _ in most]
+            for match in (*matches(text), *ordinary(text)):
                 own[match[1]].add(match)
             for kind, some in enumerate(own):
                 if some:
-                    kept[kind] = set(heapq.nsmallest(MATCHES, kept[kind].union(heapq.nsmallest(OWN_MATCHES, some))))
+                    kept[kind] = set(heapq.nsmallest(most[kind], kept[kind].union(heapq.nsmallest(OWN_MATCHES, some))))
     rows = [m for some in kept for m in some]
     if rows:
         types = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
@@ -444,13 +545,15 @@ def _lowest(batches):
 
 
 def trained(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
-    """Weights fitted on the windows of MATCHES known forms of each kind.
+    """Weights fitted on the windows of MATCHES known forms of each kind and ORDINARY others.
 
-    All rows are searched for them; those of the lowest hashes are taken, however
-    rare a kind is, OWN_MATCHES of a document at most. A task passes on MATCHES
-    of a kind, and as many reach the driver. Without any match no span is ever added.
+    All rows with a digit or at-sign are searched for them; those of the lowest
+    hashes are taken, however rare a kind is, OWN_MATCHES of a document at most.
+    A task passes on as many of a kind, and as many reach the driver. Without any
+    match no span is ever added.
     """
-    text = F.col(text_col).cast("string").alias("text")
+    text = F.col(quoted(text_col)).cast("string").alias("text")
+    most = F.when(F.col("kind") == len(KINDS), ORDINARY).otherwise(MATCHES)
     own = Window.partitionBy("kind").orderBy("draw", "left", "span", "right")
     rows = (
         docs.select(text)
@@ -458,18 +561,20 @@ def trained(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
         .mapInArrow(_lowest, "draw long, kind int, left string, span string, right string")
         .distinct()
         .withColumn("place", F.row_number().over(own))
-        .where(F.col("place") <= MATCHES)
+        .where((F.col("place") <= ORDINARY) & (F.col("place") <= most))
         .orderBy("draw", "kind")
         .collect()
     )
+    if all(r["kind"] == len(KINDS) for r in rows):
+        return {}
     return fit(examples([(r["kind"], r["left"], r["span"], r["right"]) for r in rows]))
 
 
-def _find(weights: dict, keep: list[str]):
+def _find(weights: dict, keep: list[str], body: str):
     def find(batches):
         for batch in batches:
             rows = []
-            for text in batch.column("__text").to_pylist():
+            for text in batch.column(body).to_pylist():
                 base = base_spans(text or "")
                 extra = added_spans(text, base, weights) if text and weights else []
                 counts = [sum(1 for s in base if s[1] == k) for k in range(len(KINDS))]
@@ -498,11 +603,12 @@ def find_personal_data(
     points, by start and kind, the end exclusive. A null text is an empty one;
     repeated rows get the same spans; added spans never touch known ones.
     Columns of the input with one of these names are replaced. Texts are read
-    whole, one document at a time.
+    whole, one document at a time. An empty table gives no rows.
     """
     keep = [c for c in (keep or docs.columns) if c not in FOUND]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__text"))
-    schema = rows.drop("__text").schema
+    body = fresh("body", keep)
+    rows = docs.select(*named(keep), F.col(quoted(text_col)).cast("string").alias(body))
+    schema = docs.select(named(keep)).schema
     for name in FOUND:
         schema = schema.add(name, "long" if name.startswith("n_") else "string")
-    return rows.mapInArrow(_find(trained(docs, text_col), keep), schema)
+    return rows.mapInArrow(_find(trained(docs, text_col), keep, body), schema)

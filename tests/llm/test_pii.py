@@ -216,3 +216,59 @@ def test_table(spark):
         assert all(b <= c or d <= a for a, b in known for c, d in set(own) - set(known))
     assert pii.find_personal_data(docs.limit(0)).collect() == []
     assert "spans" in pii.find_personal_data(docs).columns
+
+
+PROSE = [
+    "We met 12 people at the old stone bridge. Then we left",
+    "In 1999 the company opened at Main Street. Sales grew",
+    "Version 10.2 was shipped at night. Users complained",
+    "Table: 100 200 300 400 500", "2021 2022 2023 2024 2025", "The 3 houses at home.The others",
+    "1. 2. 3. 4. and so on", "pages 1967 231 4310 and 47.46 550 1907", "at\n10.\nThen dot",
+]
+
+
+@pytest.mark.parametrize("text", PROSE)
+def test_prose_is_left_alone(weights, text):
+    assert pii.added_spans(text, pii.base_spans(text), weights) == []
+
+
+def test_ordinary_sentences_hold_no_spans(weights):
+    """At most one of a thousand sentences with numbers, 'at' and full stops gets a span."""
+    chance = random.Random(4)
+    nouns = "people trains houses rooms pages cars books days miles stations lines users".split()
+    verbs = "met opened sold counted moved shipped closed built found left".split()
+    places = "the old bridge,Main Street,night,the station,noon,the end,level 3,the office,home,port 8080".split(",")
+
+    def number():
+        n = chance.randrange(10 ** chance.randint(1, 6))
+        return chance.choice([f"{n}", f"{n % 100}.{n % 97}", f"{n % 998 + 1},{chance.randrange(100, 999)}", f"{1900 + n % 130}"])
+
+    hits = []
+    for _ in range(4000):
+        a, b, c, d, e = (number() for _ in range(5))
+        noun, other, verb, place = chance.choice(nouns), chance.choice(nouns), chance.choice(verbs), chance.choice(places)
+        text = chance.choice([
+            f"In {a} they {verb} {b} {noun} at {place}. Then {c} {other} {verb}.",
+            f"The {noun} of {a} {verb} at {place}.The {other} too, {b} - {c}.",
+            f"See section {a}, page {b}: {c} {d} {e} at {place}. {a} dot points.",
+            f"Scores were {a} {b} {c} {d}; open at {chance.randrange(24)}:{chance.randrange(60):02d}. Call later.",
+        ])
+        hits += pii.added_spans(text, pii.base_spans(text), weights)
+    assert len(hits) <= 4
+
+
+def test_respelled_forms_are_found_whole(weights):
+    chance, missed, n = random.Random(6), [], 0
+    for i in range(300):
+        digits = "".join(chance.choices("0123456789", k=15))
+        card = "4" + digits[:14]
+        card += next(d for d in "0123456789" if pii.luhn(card + d))
+        forms = [f"dean{i}.{i}@mail{i}.example.com", f"10.{i % 256}.{i % 199}.{i % 77 + 1}", card, f"+1 (2{digits[:2]}) 555-{digits[2:6]}"]
+        for kind, form in enumerate(forms):
+            span = pii.respelled(form, kind, chance)
+            text = f"please use {span} from now on"
+            if not pii.base_spans(text):
+                n += 1
+                got = pii.added_spans(text, [], weights)
+                missed += [] if (11, kind, 11 + len(span)) in got else [span]
+    assert len(missed) <= 0.1 * n, missed[:20]
