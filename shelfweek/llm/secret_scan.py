@@ -1,10 +1,12 @@
 """Secret scan: known forms, and tokens that pass a battery of randomness tests.
 
-The known forms are regular expressions. Beyond them, long tokens of letters and
-digits are read as numbers of the smallest alphabet that holds them (hexadecimal,
-base 32, base 36, base 64) and tested for being drawn from it at random:
-chi-squared tests of the symbols and of their classes, a runs test above and
-below the middle, and the serial correlation. The hypothesis of each token is
+The known forms are regular expressions. Beyond them, every long token of letters,
+digits and the signs of base 64 is read as a number of the smallest alphabet that
+holds it (digits, letters of one or both cases, hexadecimal, base 32, base 36, base
+64) and tested for being drawn from it at random: chi-squared tests of the symbols
+and of their classes, a runs test above and below the middle, and the serial
+correlation. Classes of letters are those that words use much, less and rarely, and
+for letters the runs of vowels and consonants are tested too. The hypothesis of each token is
 that it is random, that is a secret; the Benjamini-Hochberg rule over all tokens
 of a length class bounds the share of true secrets among those that are thrown
 out, so a corpus with very many ordinary tokens of one length keeps the level
@@ -30,7 +32,13 @@ LEVEL = 0.05
 HEX_SYMBOLS = "0123456789abcdef"
 BASE32_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE36_SYMBOLS = "0123456789abcdefghijklmnopqrstuvwxyz"
+DIGITS, LETTERS = BASE36_SYMBOLS[:10], BASE36_SYMBOLS[10:]
+BOTH_CASES = LETTERS.upper() + LETTERS
 BASE64_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+# Classes: kinds of symbols, and for letters alone how much European languages use them.
+KIND_CLASSES = ("[^0-9]", "[^a-z]", "[^A-Z]", "[^+/]")
+USE_CLASSES = ("(?i)[^eainrtoslh]", "(?i)[^cdfgmpub]", "(?i)[^jkqvwxyz]")
+VOWELS = "aeiouAEIOU"
 # p-values are counted by their logarithm, this many steps per factor of ten.
 STEPS, LAST = 20, 400
 
@@ -102,27 +110,38 @@ def _chi_squared(cells: Column) -> Column:
 def randomness(token: Column) -> Column:
     """p-value of the hypothesis that the token's symbols are drawn at random.
 
-    Four tests, so the smallest of their p-values counts four times.
+    Four tests, so the smallest of their p-values counts four times. For letters
+    the test of the classes is joined with that of the vowels by the product of
+    their p-values (Fisher).
     """
 
     def read(plain):
+        digits = plain.rlike("^[0-9]+$")
+        letters = plain.rlike("^[A-Za-z]+$")
+        # A capital at the start is that of a word, not of an alphabet of both cases.
+        one_case = plain.rlike("^([A-Z]?[a-z]+|[A-Z]+)$")
         hexadecimal = plain.rlike("^([0-9a-f]+|[0-9A-F]+)$")
         base32 = plain.rlike("^[A-Z2-7]+$")
         base36 = plain.rlike("^([0-9a-z]+|[0-9A-Z]+)$")
+        lowered = one_case | hexadecimal | base36 & ~base32
         return F.struct(
-            F.when(hexadecimal | base36 & ~base32, F.lower(plain)).otherwise(plain).alias("text"),
-            F.when(hexadecimal, HEX_SYMBOLS)
+            F.when(lowered, F.lower(plain)).otherwise(plain).alias("text"),
+            F.when(digits, DIGITS)
+            .when(one_case, LETTERS)
+            .when(letters, BOTH_CASES)
+            .when(hexadecimal, HEX_SYMBOLS)
             .when(base32, BASE32_SYMBOLS)
             .when(base36, BASE36_SYMBOLS)
             .otherwise(BASE64_SYMBOLS)
             .alias("symbols"),
+            letters.alias("letters"),
         )
 
     form = let(F.translate(token, "-_", "+/"), read)
-    return let(form, lambda f: _battery(f["text"], f["symbols"]))
+    return let(form, lambda f: _battery(f["text"], f["symbols"], f["letters"]))
 
 
-def _battery(text: Column, symbols: Column) -> Column:
+def _battery(text: Column, symbols: Column, letters: Column) -> Column:
     n, size = F.length(text).cast("double"), F.length(symbols).cast("double")
 
     def symbol_cell(s):
@@ -135,8 +154,10 @@ def _battery(text: Column, symbols: Column) -> Column:
         return F.struct(count.cast("double").alias("count"), (n * share).alias("even"))
 
     uniform = _chi_squared(F.transform(F.split(symbols, ""), symbol_cell))
-    classes = F.array(*[F.lit(c) for c in ("[^0-9]", "[^a-z]", "[^A-Z]", "[^+/]")])
-    by_class = _chi_squared(F.transform(classes, class_cell))
+    kinds, uses = (
+        F.array(*[F.lit(c) for c in classes]) for classes in (KIND_CLASSES, USE_CLASSES)
+    )
+    by_class = _chi_squared(F.transform(F.when(letters, uses).otherwise(kinds), class_cell))
 
     # Numbers of the symbols, centred, and the products of neighbours.
     rest = F.length(text) - 1
@@ -151,7 +172,19 @@ def _battery(text: Column, symbols: Column) -> Column:
         serial = F.aggregate(ps, F.lit(0.0), lambda s, x: s + x) / ((size * size - 1) / 12)
         return F.least(runs, 2 * upper_tail(F.abs(serial) / F.sqrt(n - 1)))
 
-    return F.least(F.lit(1.0), 4 * F.least(uniform, by_class, let(products, neighbours)))
+    # Neighbours of which one is a vowel: their number's mean and variance for random letters.
+    vowel = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(VOWELS), c) > 0)
+    share = (len(VOWELS) / 52) * (1 - len(VOWELS) / 52)
+    mean, variance = 2 * share * (n - 1), 2 * share * ((n - 1) * (1 - 2 * share) + (n - 2) * (1 - 4 * share))
+    changes = let(
+        vowel,
+        lambda v: F.size(F.filter(F.zip_with(F.slice(v, 1, rest), F.slice(v, 2, rest), lambda a, b: a != b), lambda x: x)),
+    )
+    syllables = 2 * upper_tail(F.abs(changes - mean) / F.sqrt(variance))
+
+    joined = let(F.greatest(by_class * syllables, F.lit(1e-300)), lambda x: x * (1 - F.log(x)))
+    kinds_p = F.when(letters, joined).otherwise(by_class)
+    return F.least(F.lit(1.0), 4 * F.least(uniform, kinds_p, let(products, neighbours)))
 
 
 def scan(docs: DataFrame, text_col: str = "text", found_col: str = "found") -> DataFrame:
@@ -168,13 +201,9 @@ def scan(docs: DataFrame, text_col: str = "text", found_col: str = "found") -> D
             _kind(assign, "assign"), _kind(spans(text, ACCESS), "access"), _kind(spans(text, HEX), "hex")
         )
     )
-    mixed = F.when(
-        text.rlike("[0-9]"),
-        F.filter(spans(text, TOKEN), lambda x: x["hit"].rlike("[0-9]") & x["hit"].rlike("[A-Za-z]")),
-    ).otherwise(F.array().cast(_SPANS))
     # Exploding one element keeps the matching from being repeated wherever it is used.
     rows = docs.withColumn(
-        found_col, F.explode(F.array(F.struct(base.alias("base"), mixed.alias("tokens"))))
+        found_col, F.explode(F.array(F.struct(base.alias("base"), spans(text, TOKEN).alias("tokens"))))
     )
 
     def tested(known, tokens):
