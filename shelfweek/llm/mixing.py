@@ -8,7 +8,8 @@ all passes are dealt to the output shards by a binary tree: every node draws,
 without replacement and down to the exact count, how many blocks of each source
 go to its left half. Those counts are multivariate hypergeometric, as if all
 blocks had been shuffled and cut into shards. A shard then reads its own,
-disjoint ranges of each source's blocks and shuffles their documents.
+disjoint ranges of each source's blocks and shuffles their documents: a document
+is taken as often as its block lies in the ranges of the shards.
 
 All draws are hashes of seed and place, so reruns agree. What is decided per
 source fits one small row per source; documents are only read, never sorted
@@ -18,12 +19,14 @@ together.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import WORD, checkpoint, few, uniform
+from shelfweek.llm.common import WORD, checkpoint, few, named, quoted, uniform
 
 WEIGHTS = (3, 1, 2)
+# Shards at least, and words that one is aimed to have beyond that; both powers of two.
 SHARDS = 64
+SHARD_WORDS = 1 << 29
 MOST = 2
-# Blocks after the cut that are looked through for documents that fill the gap.
+# Blocks after the cut whose documents may fill the gap, which is smaller than a document.
 NEXT_BLOCKS = 8
 
 
@@ -89,6 +92,14 @@ def split(nodes: DataFrame, level: int, seed: int) -> DataFrame:
     )
 
 
+def shard_number(words: int, share: float = 1.5) -> int:
+    """Shards of a mix of so many words: SHARDS, doubled while one has more than SHARD_WORDS."""
+    shards = SHARDS
+    while shards * SHARD_WORDS < words * share:
+        shards *= 2
+    return shards
+
+
 def plan(slim: DataFrame, weights=WEIGHTS, share: float = 1.5, shards: int = SHARDS, seed: int = 0) -> DataFrame:
     """One row per source from rows (source, key, size): passes, cut and shard borders."""
     sizes = slim.groupBy("source").agg(
@@ -180,7 +191,7 @@ def mixture(
     docs: DataFrame,
     weights=WEIGHTS,
     share: float = 1.5,
-    shards: int = SHARDS,
+    shards: int | None = None,
     seed: int = 0,
     *,
     id_col: str = "doc_id",
@@ -192,61 +203,83 @@ def mixture(
     ``doc`` is the whole input row. Size is the number of words (null text: 0).
     Sources in order of code point, null as one source and last, weigh
     ``weights``, repeating, and share ``share`` times all words; a target stops
-    at twice its source's size and the excess is shared out again. ``taken`` is
-    0, 1 or 2 times the size; ``shards_of`` names the shard of each copy. A
-    source's sum of ``taken`` stops before the document that would pass its
-    target, and later ones that still fit fill the gap; rows that repeat id and
-    text are taken together.
-    ``shards`` is a power of two. One row per source (with a number per shard)
-    is held by a task.
+    at twice its source's size and the excess is shared out again. ``shards_of``
+    names the shard of each draw of the row, ``taken`` is its size times their
+    number (0, 1 or 2). A source's sum of ``taken`` stops before the document that
+    would pass its target, and documents of the next NEXT_BLOCKS blocks that still
+    fit fill the gap; rows that repeat id and text are taken together.
+
+    ``shards`` is a power of two, by default ``shard_number`` of all words. One row
+    per source (with a number per shard) is held by a task. Texts of any length
+    are counted whole. An empty table gives no rows.
     """
+    names = id_col, text_col, source_col
+    return _mixed(docs, weights, share, shards, seed, *names)[0]
+
+
+def _mixed(docs, weights, share, shards, seed, id_col, text_col, source_col) -> tuple[DataFrame, int]:
+    """``mixture`` and its number of shards."""
+    id_, text, source = (F.col(quoted(c)) for c in (id_col, text_col, source_col))
     row = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-        F.col(source_col).cast("string").alias("source"),
-        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("key"),
-        word_count(F.col(text_col)).alias("size"),
+        F.struct(*named(docs.columns)).alias("doc"),
+        source.cast("string").alias("source"),
+        F.xxhash64(F.lit(seed), id_, text).alias("key"),
+        word_count(text).alias("size"),
     )
     slim = checkpoint(row.select("source", "key", "size"))
+    if shards is None:
+        shards = shard_number(slim.agg(F.sum("size")).first()[0] or 0, share)
     sources = plan(slim, weights, share, shards, seed).withColumnRenamed("source", "name")
     block = F.pmod("key", "blocks")
-    begins = (F.col("rest") > 0) & (
-        F.col("last").isNull()
-        | (block < F.col("last"))
-        | ((block == F.col("last")) & (F.col("cut").isNull() | (F.col("key") < F.col("cut"))))
-    )
-    begins |= F.coalesce(F.array_contains("fillers", F.col("key")), F.lit(False))
-    copies = F.col("passes") + F.when(begins, 1).otherwise(0)
-    slot = F.transform(
-        F.filter(F.sequence(F.lit(0), F.lit(MOST)), lambda i: i < F.col("copies")),
-        lambda i: i * F.col("blocks") + block,
-    )
-    # A filler's block need not be begun; it goes to the last shard then.
+    # What the shards draw: the places of a document's block in each pass, up to their last end.
+    place = lambda i: i * F.col("blocks") + block
+    drawn = F.col("ends")[F.size("ends") - 1]
+    before_cut = F.coalesce((block < F.col("last")) | (F.col("key") < F.col("cut")), F.lit(True))
+    fills = F.coalesce(F.array_contains("fillers", F.col("key")), F.lit(False))
+    passes = F.sequence(F.lit(0), F.lit(MOST))
+    read = F.filter(
+        passes,
+        lambda i: (i < F.col("passes")) & (place(i) < drawn)
+        | (i == F.col("passes")) & ((place(i) < drawn) & before_cut | fills),
+    )
+    # A filler's block need not be in a range; it goes to the last shard then.
     shard = F.transform(
-        slot, lambda x: F.least(F.size(F.filter("ends", lambda end: end <= x)), F.lit(shards - 1))
+        read,
+        lambda i: F.least(F.size(F.filter("ends", lambda end: end <= place(i))), F.size("ends") - 1),
     )
-    return (
+    mixed = (
         row.join(few(sources), F.col("source").eqNullSafe(F.col("name")))
-        .withColumn("copies", copies.cast("int"))
+        .withColumn("shards_of", shard)
         .select(
             "doc", "size", "source_size", "target",
-            (F.col("size") * F.col("copies")).alias("taken"),
-            shard.alias("shards_of"), "key",
+            (F.col("size") * F.size("shards_of")).alias("taken"), "shards_of", "key",
         )
     )
+    return mixed, shards
 
 
-def draw(docs: DataFrame, *, seed: int = 0, shards: int = SHARDS, **options) -> DataFrame:
+def draw(
+    docs: DataFrame,
+    weights=WEIGHTS,
+    share: float = 1.5,
+    shards: int | None = None,
+    seed: int = 0,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
     """The mixed rows themselves, as often as they are taken, one shard after the other.
 
-    Each shard lies in one partition, its rows in a random order that depends on
-    ``seed`` only.
+    Options are those of ``mixture``. Each shard is a partition, its rows in a
+    random order that depends on ``seed`` only.
     """
-    mixed = mixture(docs, seed=seed, shards=shards, **options)
+    mixed, number = _mixed(docs, weights, share, shards, seed, id_col, text_col, source_col)
     copies = mixed.select("doc", "key", F.posexplode("shards_of").alias("copy", "shard"))
     place = uniform(F.lit(seed), F.col("key"), F.col("copy"))
     return (
         copies.withColumn("place", place)
-        .repartition(shards, "shard")
+        .repartitionById(number, "shard")
         .sortWithinPartitions("shard", "place")
         .select("doc.*")
     )

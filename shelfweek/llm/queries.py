@@ -58,7 +58,9 @@ def op7_ngram_jaccard(spark, sf_dir):
 
 def op8_source_mixing(spark, sf_dir):
     mixed = mixing.mixture(table(spark, sf_dir, "documents"))
-    return mixed.select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return mixed.select(
+        F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "shards_of"
+    )
 
 
 def op9_personal_data(spark, sf_dir):

@@ -104,6 +104,29 @@ def test_draw_repeats_rows_and_shuffles_within_shards(spark):
         parts[r.part].append(r.doc_id)
     assert any(p != sorted(p) for p in parts.values())
     assert set(shards) == {0, 1, 2, 3}
+    # A partition is a shard.
+    assert {p: Counter(ids) for p, ids in parts.items()} == {
+        s: Counter({d: n for d, n in Counter(r[0] for r in own.elements()).items()}) for s, own in shards.items()
+    }
+
+
+def test_taken_words_are_those_that_the_shards_draw(spark):
+    """The tree's borders decide the result: the optimizer keeps them, and without them nothing is taken."""
+    docs = spark.createDataFrame(made(), SCHEMA)
+    mixed = mixing.mixture(docs, shards=8)
+    plan = mixed.select("taken")._jdf.queryExecution().optimizedPlan().toString()
+    assert "ends" in plan
+    drawn, taken = Counter(), Counter()
+    for r in mixed.collect():
+        taken[r.doc.source] += r.taken
+        for _ in r.shards_of:
+            drawn[r.doc.source] += r["size"]
+    assert drawn == taken
+
+
+def test_number_of_shards_grows_with_the_words():
+    assert mixing.shard_number(0) == mixing.shard_number(10**6) == 64
+    assert mixing.shard_number(2 * 10**13) == 65536
 
 
 def test_odd_rows(spark):
