@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfweek.llm import jaccard, langid, mixing, packing, secret_scan
-from shelfweek.llm.common import checkpoint, few
+from shelfweek.llm.common import checkpoint, few, fresh, named
 from shelfweek.sinks.scratch import removed, scratch_folder
 
 
@@ -25,12 +25,13 @@ def identify_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     the common trigrams of the most similar language; the fewer trigrams a text
     has, the more it takes, so that short clean texts stay.
     """
-    found = langid.identify(docs, pred_col="__lang_pred", score_col="__score", unlike_col="__unlike")
-    known = (F.col("__lang_pred") != langid.UNKNOWN) & ~F.col("__unlike")
+    pred, score, unlike = (fresh(c, docs.columns) for c in ("lang_pred", "score", "unlike"))
+    found = langid.identify(docs, pred_col=pred, score_col=score, unlike_col=unlike)
+    known = (F.col(pred) != langid.UNKNOWN) & ~F.col(unlike)
     return (
         found.where(known)
-        .withColumn("lang", F.coalesce("lang", "__lang_pred"))
-        .select(docs.columns)
+        .withColumn("lang", F.coalesce("lang", pred))
+        .select(named(docs.columns))
     )
 
 
@@ -46,16 +47,17 @@ def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     if again.limit(1).count():
         once = kept.join(few(again), "doc_id", "left_semi").dropDuplicates(["doc_id"])
         kept = kept.join(few(again), "doc_id", "left_anti").unionByName(once)
-    return kept.select(docs.columns)
+    return kept.select(named(docs.columns))
 
 
 def replace_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secret_scan.find_secrets(docs, found_col="__found")
-    text = secret_scan.redacted(F.col("text"), F.col("__found")["spans"])
+    spans = fresh("found", docs.columns)
+    found = secret_scan.find_secrets(docs, found_col=spans)
+    text = secret_scan.redacted(F.col("text"), F.col(spans)["spans"])
     return (
         found.withColumn("text", text)
         .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-        .select(docs.columns)
+        .select(named(docs.columns))
     )
 
 
