@@ -7,6 +7,7 @@ are laid out. All visible text is kept, navigation and footers included.
 
 import html
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,16 +52,48 @@ SCOPE = frozenset("table td th caption button object template".split())
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTES = re.compile(r"""(?:[^>"'=]|=\s*"[^"]*"|=\s*'[^']*'|[="'])*?>""")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
-_TOLD = re.compile(r"hidden|style|open|type|value|colspan|start|reversed", re.I)
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_TOLD = re.compile(r"hidden|style|open|type|value|colspan|rowspan|start|reversed", re.I)
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_SPAN = re.compile(r"[0-9]{1,5}")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Element:
-    __slots__ = ("name", "attributes", "children")
+    __slots__ = ("name", "attributes", "children", "seen")
 
     def __init__(self, name: str, attributes: dict):
-        self.name, self.attributes, self.children = name, attributes, []
+        self.name, self.attributes, self.children, self.seen = name, attributes, [], True
+
+
+class Open:
+    """The open elements, with the places of each name, so that none is searched for one by one."""
+
+    def __init__(self, root: Element):
+        self.elements, self.places = [root], defaultdict(list)
+
+    @property
+    def top(self) -> Element:
+        return self.elements[-1]
+
+    def push(self, element: Element):
+        self.places[element.name].append(len(self.elements))
+        self.elements.append(element)
+
+    def last(self, names) -> int:
+        """Place of the innermost open element of these names, 0 if there is none."""
+        return max((self.places[x][-1] for x in names if self.places.get(x)), default=0)
+
+    def end(self, place: int):
+        """Ends the element at a place and all inside it."""
+        while len(self.elements) > place:
+            self.places[self.elements.pop().name].pop()
+
+    def end_one(self, names, limits):
+        """Ends the innermost of the names, unless one of the limits is open inside it."""
+        place = self.last(names)
+        if place and place >= self.last(limits):
+            self.end(place)
 
 
 def _attributes(text: str) -> dict:
@@ -89,20 +122,12 @@ def _tag_end(page: str, at: int) -> int:
 def parse(page: str) -> Element:
     """The tree of a page. Unclosed and misplaced tags are put right, nothing is refused."""
     root = Element("#root", {})
-    stack = [root]
+    opened = Open(root)
     lower = None
 
     def text(part: str):
         if part:
-            stack[-1].children.append(html.unescape(part))
-
-    def end_open(names, limits):
-        for n in range(len(stack) - 1, 0, -1):
-            if stack[n].name in names:
-                del stack[n:]
-                return
-            if stack[n].name in limits:
-                return
+            opened.top.children.append(html.unescape(part))
 
     at, size = 0, len(page)
     while at < size:
@@ -123,7 +148,7 @@ def parse(page: str) -> Element:
             end = page.find(">", tag)
             at = size if end < 0 else end + 1
             if name:
-                _close(stack, name[0].lower())
+                _close(opened, name[0].lower())
         elif name := _NAME.match(page, tag + 1):
             end = _tag_end(page, name.end())
             if end < 0:
@@ -131,7 +156,7 @@ def parse(page: str) -> Element:
             at = end
             kind = name[0].lower()
             element = Element(kind, _attributes(page[name.end() : end - 1]))
-            _open(stack, element, end_open)
+            _open(opened, element)
             if kind in RAW:
                 if lower is None:
                     lower = page.lower() if len(page.lower()) == size else page
@@ -140,51 +165,50 @@ def parse(page: str) -> Element:
                 element.children.append(html.unescape(body) if kind in ("textarea", "title") else body)
                 at = size if close < 0 else close
                 if close < 0:
-                    stack.pop()
+                    opened.end(len(opened.elements) - 1)
         else:
             text("<")
             at = tag + 1
     return root
 
 
-def _open(stack: list[Element], element: Element, end_open) -> None:
+def _open(opened: Open, element: Element) -> None:
     kind = element.name
-    if kind not in HEAD_ONLY and stack[-1].name == "head":
-        stack.pop()
-    if kind in ("html", "body") and any(e.name == kind for e in stack):
+    if kind not in HEAD_ONLY and opened.top.name == "head":
+        opened.end(len(opened.elements) - 1)
+    if kind in ("html", "body") and opened.last((kind,)):
         return
     if kind in IMPLIED_END:
-        end_open(*IMPLIED_END[kind])
+        opened.end_one(*IMPLIED_END[kind])
     if kind in ENDS_PARAGRAPH:
-        end_open({"p"}, SCOPE)
-    if kind in ("td", "th") and stack[-1].name in ("table", "thead", "tbody", "tfoot"):
+        opened.end_one(("p",), SCOPE)
+    if kind in ("td", "th") and opened.top.name in ("table", "thead", "tbody", "tfoot"):
         row = Element("tr", {})
-        stack[-1].children.append(row)
-        stack.append(row)
-    stack[-1].children.append(element)
+        opened.top.children.append(row)
+        opened.push(row)
+    opened.top.children.append(element)
     if kind not in VOID:
-        stack.append(element)
+        opened.push(element)
 
 
-def _close(stack: list[Element], kind: str) -> None:
+def _close(opened: Open, kind: str) -> None:
     if kind in ("html", "body"):
         return
     if kind == "br":
-        stack[-1].children.append(Element("br", {}))
+        opened.top.children.append(Element("br", {}))
         return
-    for n in range(len(stack) - 1, 0, -1):
-        if stack[n].name == kind:
-            del stack[n:]
-            return
-        if stack[n].name in SCOPE and kind not in ("table", "tr", "tbody", "thead", "tfoot"):
-            break
-    if kind == "p":
-        stack[-1].children.append(Element("p", {}))
+    place = opened.last((kind,))
+    limit = 0 if kind in ("table", "tr", "tbody", "thead", "tfoot") else opened.last(SCOPE)
+    if place and place >= limit:
+        opened.end(place)
+    elif kind == "p":
+        opened.top.children.append(Element("p", {}))
 
 
-def visible(element: Element, parent: Element) -> bool:
+def rendered(element: Element, parent: Element) -> bool:
+    """Whether the element and what is in it has a place on the page."""
     own = element.attributes
-    if element.name in HIDDEN or "hidden" in own or _UNSEEN.search(own.get("style", "")):
+    if element.name in HIDDEN or "hidden" in own or _NO_DISPLAY.search(own.get("style", "")):
         return False
     if element.name == "dialog":
         return "open" in own
@@ -193,12 +217,18 @@ def visible(element: Element, parent: Element) -> bool:
     return True
 
 
+def seen(element: Element, parent: Element) -> bool:
+    """Whether its own text is visible: as its style says, else as its parent's is."""
+    told = _VISIBILITY.findall(element.attributes.get("style", ""))
+    return told[-1].lower() == "visible" if told else parent.seen
+
+
 class Flow:
     """Lines of running text; spacing between blocks is written when text follows."""
 
-    def __init__(self, indent: str = ""):
+    def __init__(self):
         self.parts, self.breaks, self.blank, self.begun = [], 0, False, False
-        self.indent, self.marker = indent, ""
+        self.indent, self.marker = 0, ""
 
     def gap(self, lines: int):
         if not lines:
@@ -215,7 +245,7 @@ class Flow:
             self.parts.append("\n" * self.breaks)
         if not self.begun or self.breaks:
             marker = self.marker
-            self.parts.append(self.indent[: len(self.indent) - len(marker)] + marker if marker else self.indent)
+            self.parts.append(" " * (self.indent - len(marker)) + marker)
             self.marker = ""
         elif self.blank:
             self.parts.append(" ")
@@ -245,10 +275,27 @@ class Flow:
 
 
 class Grid:
-    """Rows of cells, and the rows' captions."""
+    """Rows of cells. A cell that spans rows keeps its columns free in those below."""
 
     def __init__(self):
         self.rows: list[list[str]] = []
+        self.spanned: dict[int, int] = {}
+        self.taken: set[int] = set()
+
+    def row(self):
+        self.rows.append([])
+        self.taken = set(self.spanned)
+        self.spanned = {column: left - 1 for column, left in self.spanned.items() if left > 1}
+
+    def cell(self, text: str, columns: int, rows: int):
+        if not self.rows:
+            self.row()
+        own = self.rows[-1]
+        while len(own) in self.taken:
+            own.append("")
+        if rows > 1:
+            self.spanned |= dict.fromkeys(range(len(own), len(own) + columns), rows - 1)
+        own += [text] + [""] * (columns - 1)
 
     def aligned(self) -> list[str]:
         rows = [r for r in self.rows if any(r)]
@@ -272,7 +319,7 @@ def render(root: Element) -> str:
     while todo:
         what, node, parent = todo.pop()
         if isinstance(node, str):
-            if parent.name == "details" and "open" not in parent.attributes:
+            if not parent.seen or parent.name == "details" and "open" not in parent.attributes:
                 continue
             if keep:
                 flows[-1].lines(node.removeprefix("\n").split("\n"))
@@ -287,11 +334,9 @@ def render(root: Element) -> str:
             if kind in ("td", "th"):
                 if grids:
                     flows.pop()
-                    span = node.attributes.get("colspan", "1")
-                    extra = min(int(span), 100) - 1 if span.isdecimal() else 0
-                    if not grids[-1].rows:
-                        grids[-1].rows.append([])
-                    grids[-1].rows[-1] += [flow.done()] + [""] * extra
+                    spans = (node.attributes.get(name, "1") for name in ("colspan", "rowspan"))
+                    columns, rows = (max(1, int(x)) if _SPAN.fullmatch(x) else 1 for x in spans)
+                    grids[-1].cell(flow.done(), min(columns, 100), rows)
                 continue
             if kind == "table":
                 lines = grids.pop().aligned()
@@ -301,13 +346,15 @@ def render(root: Element) -> str:
                 continue
             if kind in ("ul", "ol", "menu", "dir"):
                 lists.pop()
-                flow.indent = flow.indent[:-4]
+                flow.indent -= 4
             if kind in ("blockquote", "dd"):
-                flow.indent = flow.indent[:-4]
+                flow.indent -= 4
             flow.gap(2 if kind in SPACED and not (kind in ("ul", "ol") and lists) else 1 if kind in BLOCK else 0)
             continue
-        if node is not root and not visible(node, parent):
-            continue
+        if node is not root:
+            if not rendered(node, parent):
+                continue
+            node.seen = seen(node, parent)
         if kind == "br":
             flow.line_break()
             continue
@@ -317,7 +364,7 @@ def render(root: Element) -> str:
         if kind == "wbr" or kind == "img":
             continue
         if kind == "input":
-            if node.attributes.get("type", "").lower() in ("submit", "button", "reset"):
+            if node.seen and node.attributes.get("type", "").lower() in ("submit", "button", "reset"):
                 flow.text(node.attributes.get("value", ""))
             continue
         flow.gap(2 if kind in SPACED and not (kind in ("ul", "ol") and lists) else 1 if kind in BLOCK else 0)
@@ -326,20 +373,22 @@ def render(root: Element) -> str:
         elif kind == "table":
             grids.append(Grid())
         elif kind == "tr" and grids:
-            grids[-1].rows.append([])
+            grids[-1].row()
         elif kind in ("ul", "ol", "menu", "dir"):
             first = node.attributes.get("start", "1")
             lists.append([kind, int(first) if re.fullmatch(r"-?[0-9]{1,9}", first) else 1])
-            flow.indent += "    "
+            flow.indent += 4
         elif kind == "li":
             if lists and lists[-1][0] == "ol":
                 flow.marker = f"{lists[-1][1]}. "
                 lists[-1][1] += 1
             else:
                 flow.marker = "- "
-            flow.marker = flow.marker.rjust(min(4, len(flow.indent)))
+            if not node.seen:
+                flow.marker = ""
+            flow.marker = flow.marker.rjust(min(4, flow.indent))
         elif kind in ("blockquote", "dd"):
-            flow.indent += "    "
+            flow.indent += 4
         elif kind in ("pre", "xmp"):
             keep += 1
         todo.append(("leave", node, parent))
@@ -368,7 +417,8 @@ def extract_text(pages: DataFrame, *, html_col: str = "html", keep: list[str] |
     Whole pages are read, one at a time. A null or empty page and one without
     visible text give an empty text; repeated rows give the same one. A column
     of the input named ``text`` is replaced. Broken markup is put right as far
-    as its open tags tell; nothing is refused. An empty table gives no rows.
+    as its open tags tell; nothing is refused. Of styles those in the tags count,
+    not style sheets. An empty table gives no rows.
     """
     keep = [c for c in (keep or pages.columns) if c not in (html_col, "text")]
     body = fresh("body", keep)

@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from shelfweek.llm import html_text
@@ -29,6 +32,12 @@ CASES = [
     ("<select><option>a<option>b</select>", "a\nb"),
     ("<textarea>a <b> &amp;</textarea>", "a <b> &"),
     ("a<wbr>b<img alt=no>c", "abc"),
+    ("<table><tr><td rowspan=2>A<td>B<tr><td>C<tr><td>D<td>E</table>", "A  B\n   C\nD  E"),
+    ("<table><tr><td>a<td rowspan=3 colspan=2>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "a  b    c\nd       e\nf       g"),
+    ("<table><tr><td rowspan=0>a<td rowspan=x>b<tr><td>c</table>", "a  b\nc"),
+    ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes<i>too</i></b>no</div>", "yestoo"),
+    ("<ul><li style='visibility:hidden'>no<li>yes</ul>", "  - yes"),
+    ("<div style='display:none'>no<b style='visibility:visible'>no</b></div>yes", "yes"),
     (None, ""), ("", ""), ("<", "<"), ("<b", ""), ("<!--", ""), ("<script>x", ""), ("<p", ""),
 ]
 
@@ -46,6 +55,57 @@ def test_any_depth_and_length():
     assert page_text("<" * 100_000) == "<" * 100_000
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 100_000 + "deep", "<p><table><tr><td>" + "<div>" * 100_000 + "deep", "<p>" + "<b>" * 100_000 + "deep",
+     "<body>" * 100_000 + "deep", "<ul><li>" * 50_000 + "deep", "<div>" * 50_000 + "deep" + "</div>" * 50_000,
+     "<i>" * 60_000 + "</b>" * 60_000 + "deep", "<table><tr>" + "<td rowspan=9>" * 3_000 + "deep"],
+)
+def test_work_grows_with_the_page(page):
+    """A hundred thousand nested elements take seconds, whatever is open around them."""
+    began = time.perf_counter()
+    assert page_text(page).strip().endswith("deep")
+    assert time.perf_counter() - began < 5
+
+
+def brute_grid(cells):
+    """Text of a table by placing every cell on a board of squares."""
+    board, texts = {}, {}
+    for y, row in enumerate(cells):
+        x = 0
+        for text, columns, rows in row:
+            while (y, x) in board:
+                x += 1
+            for dy in range(rows):
+                for dx in range(columns):
+                    board[y + dy, x + dx] = True
+            texts[y, x] = text
+            x += columns
+    width = {}
+    used = [y for y in range(len(cells)) if any(texts.get((y, x), "") for _, x in board)]
+    for (y, x), text in texts.items():
+        width[x] = max(width.get(x, 0), len(text))
+    lines = []
+    for y in used:
+        last = max(x for a, x in board if a == y)
+        lines.append("  ".join(texts.get((y, x), "").ljust(width.get(x, 0)) for x in range(last + 1)).rstrip())
+    return "\n".join(lines).strip("\n")
+
+
+def test_tables_against_a_board_of_squares():
+    """Row and column spans at random; spans that do not overlap."""
+    chance = random.Random(5)
+    for _ in range(300):
+        cells = [
+            [("w" * chance.randint(1, 6), chance.choice([1, 1, 2]), 1 if x or y == 4 else chance.choice([1, 2, 3])) for x in range(chance.randint(1, 4))]
+            for y in range(5)
+        ]
+        page = "<table>" + "".join(
+            "<tr>" + "".join(f"<td colspan={c} rowspan={r}>{t}" for t, c, r in row) for row in cells
+        ) + "</table>"
+        assert page_text(page).strip("\n") == brute_grid(cells), page
+
+
 def test_table_of_pages(spark):
     schema = "page_id bigint, url string, html string, text string"
     rows = [(1, "u", "<p>a", "old"), (1, "u", "<p>a", "old"), (2, None, None, None), (None, "v", "", "x")]
