@@ -188,16 +188,18 @@ def top_k(
 
     def searched(queries: DataFrame, wanted: DataFrame) -> DataFrame:
         reach = F.col("norm") * F.col("longest") * (1 + 1e-9) + 1
+        reached = queries.join(few(wanted), "dim").where(
+            F.col("floor").isNull() | (reach >= F.col("floor"))
+        )
+        # Only the parts of the queries that reach a band get copies of its vectors.
+        visited = few(checkpoint(reached.select("dim", "band", "part").distinct()))
         visits = (
-            queries.join(few(wanted), "dim")
-            .where(F.col("floor").isNull() | (reach >= F.col("floor")))
-            .withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+            reached.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
             .withColumn("asks", F.lit(True))
             .select(columns)
         )
         copies = (
-            held.join(few(wanted.select("dim", "band")), ["dim", "band"])
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+            held.join(visited, ["dim", "band"])
             .withColumn("asks", F.lit(False))
             .withColumn("floor", F.lit(None).cast("double"))
             .select(columns)

@@ -60,6 +60,34 @@ def test_numbers_beyond_doubles(spark):
     assert sorted(map(tuple, found)) == brute(rows)
 
 
+def test_vectors_are_copied_to_the_queries_that_reach_them(spark, monkeypatch):
+    """Short vectors that no query reaches are not copied, however many queries there are."""
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    chance = np.random.default_rng(3)
+    long = [(i, (100 * chance.normal(size=6)).tolist(), 1, 0.0, 1) for i in range(200)]
+    short = [(1001 + 10 * i, (0.01 * chance.normal(size=6)).tolist(), 1, 0.0, 1) for i in range(600)]
+    given = []
+    block_top = topk._block_top
+
+    def counting(*args):
+        work = block_top(*args)
+        seen = spark.sparkContext.accumulator(0)
+        given.append(seen)
+
+        def top(key, rows):
+            seen.add(int((~rows["asks"]).sum()))
+            return work(key, rows)
+
+        return top
+
+    monkeypatch.setattr(topk, "_block_top", counting)
+    frame = spark.createDataFrame(long + short, SCHEMA)
+    found = topk.top_k(frame, ASKS, block=50).collect()
+    assert sorted(map(tuple, found)) == brute(long + short)
+    # Every part of the queries meets the longest block; of the rest only what some query reaches.
+    assert given[1].value < 6 * 200
+
+
 def test_few_rows(spark):
     assert topk.top_k(spark.createDataFrame([], SCHEMA), ASKS).collect() == []
     two = spark.createDataFrame([(0, [1.0], 1, 0.0, 1), (1, [2.0], 1, 0.0, 1)], SCHEMA)
