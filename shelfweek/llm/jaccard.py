@@ -43,8 +43,10 @@ SHORT_BITS = 4096
 SHARP, SHORTER = 8, 4
 # Classes without any id are numbered from here on.
 UNNAMED = 1 << 62
-# Members of one list compared with each other at a time.
+# Members of a block of a long list, or of components that stay apart: two blocks meet in a task.
 TILE = 1024
+# Blocks of fewer members where there are no more than so many: more tasks share them.
+SMALL_TILE, MANY = 256, 1 << 14
 COMPARED = 1 << 15
 # Pairs of two components that are compared before all of them are.
 CLOSEST = 2
@@ -292,13 +294,20 @@ def _near(bits, size, i, j, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     return (100 * low >= bands.percent * high) & (apart * (100 + bands.percent) <= total), apart
 
 
-def _list_pairs(roots, size, sketches, bands: Bands):
-    """Rows (i, j, distance) of one list in different components that may be similar."""
+def _list_pairs(roots, size, sketches, block, bands: Bands):
+    """Rows (i, j, distance) of one list in different components that may be similar.
+
+    Of a list's two blocks only the pairs between them: those inside a block meet
+    in another task.
+    """
     bits = folded(sketches)
+    between = block.min() != block.max()
     for a in range(0, len(roots), TILE):
         for b in range(a, len(roots), TILE):
             s, t = slice(a, a + TILE), slice(b, b + TILE)
             other = roots[s, None] != roots[None, t]
+            if between:
+                other &= block[s, None] != block[None, t]
             i, j = np.nonzero(np.triu(other, 1) if a == b else other)
             for at in range(0, len(i), COMPARED):
                 x, y = i[at : at + COMPARED] + a, j[at : at + COMPARED] + b
@@ -327,14 +336,15 @@ def _closest_pairs(percent: int):
 
     def pairs(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("list")
-        lists, reps, roots, size = (
-            rows.column(c).to_numpy() for c in ("list", "rep", "root", "size")
+        lists, reps, roots, size, block = (
+            rows.column(c).to_numpy() for c in ("list", "rep", "root", "size", "block")
         )
         sketches = rows.column("bits").to_pylist()
         first = np.flatnonzero(np.concatenate(([True], lists[1:] != lists[:-1])))
         out = [np.empty((0, 5), np.int64)]
         for s, t in zip(first, np.append(first[1:], len(lists))):
-            parts = [p for p in _list_pairs(roots[s:t], size[s:t], sketches[s:t], bands) if len(p)]
+            own = _list_pairs(roots[s:t], size[s:t], sketches[s:t], block[s:t], bands)
+            parts = [p for p in own if len(p)]
             if parts:
                 found, more = _closest(roots[s:t], np.concatenate(parts), CLOSEST)
                 i, j = found[:, 0] + s, found[:, 1] + s
@@ -380,6 +390,13 @@ def _tile_pairs(percent: int):
     return pairs
 
 
+def _tiled(rows: DataFrame) -> DataFrame:
+    """Rows with one of n blocks by their rep, copied to every pair of blocks (tile) with theirs."""
+    block = F.pmod(F.xxhash64("rep"), F.col("n")).cast("int")
+    tiles = "transform(sequence(0, n - 1), j -> struct(least(block, j) AS i, greatest(block, j) AS j))"
+    return rows.withColumn("block", block).withColumn("tile", F.explode(F.expr(tiles)))
+
+
 def _across(apart, n_apart: int, joined, sketches, percent: int) -> DataFrame:
     """Pairs (a, b) of sets in different components that their sketches do not refute.
 
@@ -393,15 +410,10 @@ def _across(apart, n_apart: int, joined, sketches, percent: int) -> DataFrame:
         .select("rep", own.alias("root"), "size", F.col("value").alias("bits"))
         .join(few(groups), "root")
     )
-    blocks = members.groupBy("group").agg(F.ceil(F.count("*") / float(TILE)).cast("int").alias("n"))
-    block = F.pmod(F.xxhash64("rep"), F.col("n")).cast("int")
-    tile = F.explode(
-        F.expr("transform(sequence(0, n - 1), j -> struct(least(block, j) AS i, greatest(block, j) AS j))")
-    )
+    tile = F.when(F.count("*") <= MANY, float(SMALL_TILE)).otherwise(float(TILE))
+    blocks = members.groupBy("group").agg(F.ceil(F.count("*") / tile).cast("int").alias("n"))
     return (
-        members.join(few(blocks), "group")
-        .withColumn("block", block)
-        .withColumn("tile", tile)
+        _tiled(members.join(few(blocks), "group"))
         .select("group", "tile.i", "tile.j", "rep", "root", "size", "bits", "block")
         .groupBy("group", "i", "j")
         .applyInArrow(_tile_pairs(percent), "a bigint, b bigint")
@@ -512,11 +524,16 @@ def near_duplicates(
         .select("list")
     )
     # The closest pairs of every two components of a list are compared; mostly that joins them.
+    # Short lists share a task by range, long ones are cut into blocks of which two meet in a task.
+    undecided = checkpoint(placed.join(mixed, "list"))
+    long = undecided.groupBy("list").agg(F.ceil(F.count("*") / float(TILE)).cast("int").alias("n"))
+    long = few(checkpoint(long.where("n > 1")))
     closest = checkpoint(
-        placed.join(mixed, "list")
+        _tiled(undecided.join(long, "list", "left").withColumn("n", F.coalesce("n", F.lit(1))))
         .join(short, "rep")
-        .withColumn("range", F.pmod("list", F.lit(ranges)))
-        .groupBy("range")
+        .withColumn("range", F.when(F.col("n") > 1, F.col("list")).otherwise(F.pmod("list", F.lit(ranges))))
+        .select("range", "n", "tile.i", "tile.j", "list", "rep", "root", "size", "bits", "block")
+        .groupBy("range", "n", "i", "j")
         .applyInArrow(_closest_pairs(percent), _CLOSEST)
     )
     n_closest = closest.count()

@@ -131,3 +131,46 @@ def test_words_do_not_depend_on_the_cut(monkeypatch):
     assert np.array_equal(whole, next(shingle_sets(pa.array([text]), 5)))
     data = np.frombuffer(b"abc def", np.uint8)
     assert word_hashes(data, np.array([0]))[0].size == 2
+
+
+def family(seed, n=70, apart=22):
+    """Texts that share a part but mostly not enough of it, so that their lists are long and undecided."""
+    chance = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    common = [chance.choice(vocabulary) for _ in range(120)]
+    texts = []
+    for _ in range(n):
+        own = [chance.choice(vocabulary) for _ in range(chance.choice([apart, apart, 8]))]
+        texts.append(common + own)
+    return [(i, " ".join(t), 1, "x") for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("tile", [3, 16])
+def test_long_lists_are_compared_in_blocks(spark, monkeypatch, tile):
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "SMALL_TILE", tile)
+    rows = family(tile) + [(1000 + i, t, s, r) for i, t, s, r in corpus(tile, 60)]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert sorted(map(tuple, found.collect()), key=str) == brute(rows)
+
+
+def test_tiles_hold_every_pair_of_a_list_once():
+    """Over the tiles of a list the pairs are those of the whole list."""
+    chance = np.random.default_rng(1)
+    n, bands = 60, jaccard.Bands(75)
+    base = chance.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.sort(np.concatenate((base, chance.integers(0, 1 << 63, int(k), dtype=np.uint64)))) for k in chance.integers(1, 60, n)]
+    sketches, size = [jaccard.sketch(s) for s in sets], np.array([len(s) for s in sets])
+    roots, block = np.arange(n), chance.integers(0, 4, n)
+
+    def pairs(rows, blocks):
+        found = jaccard._list_pairs(roots[rows], size[rows], [sketches[r] for r in rows], blocks, bands)
+        return sorted(tuple(sorted((int(rows[i]), int(rows[j])))) for part in found for i, j, _ in part)
+
+    whole = pairs(np.arange(n), np.zeros(n, int))
+    tiled = []
+    for a in range(4):
+        for b in range(a, 4):
+            rows = np.flatnonzero((block == a) | (block == b))
+            tiled += pairs(rows, block[rows])
+    assert len(whole) > 100 and sorted(tiled) == whole
