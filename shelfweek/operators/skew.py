@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 # Bytes a side may have before it is shuffled rather than broadcast.
 BROADCAST_BYTES = 64 << 20
-# Keys are counted by hash bucket first, so that count never returns more rows than this.
-BUCKETS = 1 << 16
+# Keys are counted by hash bucket first, so that count never returns more rows than this,
+# and fewer where the frames are small: one per so many bytes, at least LEAST_BUCKETS.
+BUCKETS, LEAST_BUCKETS = 1 << 16, 1 << 10
+BUCKET_BYTES = 8 << 10
 # A key is hot when it has more rows than one task should get, or joins to more.
 HOT_ROWS = 1_000_000
 HOT_PRODUCT = 16_000_000
@@ -50,6 +52,20 @@ def _bucket(df: DataFrame, keys: list[str]) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
 
 
+def _coarse_buckets(frames) -> int:
+    """Groups of hash buckets to begin with, by the planner's estimate of the frames' sizes.
+
+    Whatever it is, counts are exact and no hot key is missed: coarser groups
+    are only passed on to the count by key more often.
+    """
+    plans = (frame._jdf.queryExecution().optimizedPlan() for frame in frames)
+    size = max(int(str(plan.stats().sizeInBytes())) for plan in plans)
+    groups = LEAST_BUCKETS
+    while groups < BUCKETS and groups * BUCKET_BYTES < size:
+        groups *= 2
+    return groups
+
+
 def hot_cells(
     keys: list[str],
     *frames: DataFrame,
@@ -63,9 +79,10 @@ def hot_cells(
     its rows in the other are more than that, and the cells then bound the
     product that one of them makes.
 
-    Rows are counted exactly and map-side combined, by bucket first: buckets
-    without enough rows for a hot key are done with, and only the others are
-    counted by key. What reaches the driver is a number per bucket with a hot
+    Rows are counted exactly and map-side combined, by groups of buckets first:
+    a group bounds the rows of all of its keys, so those without enough rows for
+    a hot key are done with, and only the others are counted by key. Groups of
+    parts of a frame add up. What reaches the driver is a number per bucket with a hot
     key, whatever the data.
     """
     cells = [{} for _ in frames]
@@ -77,19 +94,20 @@ def hot_cells(
         frame.select(F.lit(i).alias("frame"), _bucket(frame, keys).alias("bucket"), *_names(frame, keys))
         for i, frame in enumerate(frames)
     ]
-    rows = reduce(DataFrame.unionAll, keyed)
+    coarse = F.col("bucket") % _coarse_buckets(frames)
+    rows = reduce(DataFrame.unionAll, keyed).withColumn("group", coarse)
     names = [f"key_{n}" for n in range(len(keys))]
     by_frame = [F.sum(F.when(F.col("frame") == i, 1).otherwise(0)).alias(f"n_{i}") for i in range(len(frames))]
     counts = [F.col(f"n_{i}").cast("double") for i in range(len(frames))]
     hot = reduce(Column.__or__, [n > hot_rows for n in counts])
     if hot_product is not None:
         hot |= counts[0] * counts[1] > hot_product
-    large = rows.groupBy("bucket").agg(*by_frame).where(hot).select("bucket").collect()
+    large = rows.groupBy("group").agg(*by_frame).where(hot).select("group").collect()
     if not large:
         return cells
-    some = frames[0].sparkSession.createDataFrame(large, "bucket int")
+    some = frames[0].sparkSession.createDataFrame(large, "group int")
     found = (
-        rows.join(F.broadcast(some), "bucket")
+        rows.join(F.broadcast(some), "group")
         .groupBy("bucket", *names)
         .agg(*by_frame)
         .where(hot)
