@@ -14,7 +14,7 @@ from shelfweek.operators import joins, quality, weekly
 from shelfweek.plans import fact, incremental, nightly
 from shelfweek.sinks.catalog import register_dimension, register_fact, register_published
 from shelfweek.sinks.publish import publish_table, read_published
-from shelfweek.sinks.scratch import file_system, scratch_folder
+from shelfweek.sinks.scratch import file_system, scratch_folder, staged
 from shelfweek.sinks.writers import (
     mark_finished,
     under,
@@ -211,6 +211,13 @@ def fact_roundtrip(spark, sf_dir):
     return plain(spark.read.parquet(write_fact(summary(spark, sf_dir), out)))
 
 
+def fact_sorted(spark, sf_dir):
+    """The fact with every week's rows in the order of store and product, read back."""
+    rows = staged(summary(spark, sf_dir), "fact")
+    path = write_fact(rows, scratch_folder(spark, "fact"), sorted_by=schemas.PAIR)
+    return plain(spark.read.parquet(path))
+
+
 def overwrite(dynamic: bool) -> Query:
     """A full load, then a second load that holds one year only."""
 
@@ -408,6 +415,7 @@ def queries() -> dict[str, Query]:
         "landed_tables": landed,
         "missing_inputs": missing,
         "fact_parquet_roundtrip": fact_roundtrip,
+        "fact_sorted": fact_sorted,
         "static_overwrite": overwrite(dynamic=False),
         "dynamic_overwrite": overwrite(dynamic=True),
         "catalog_repair": catalog_repair,

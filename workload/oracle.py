@@ -355,6 +355,7 @@ SELECT {SALES_ROWS}, 'no inventory' AS reason FROM moved s WHERE NOT EXISTS
             "EXCEPT SELECT table_name, CAST(run_date AS VARCHAR) FROM landed",
         ),
         "fact_parquet_roundtrip": _summary(),
+        "fact_sorted": _summary(),
         "static_overwrite": _summary("SELECT * FROM sunday WHERE YR_NUM = 1996"),
         "dynamic_overwrite": _summary(
             """SELECT * FROM summary WHERE YR_NUM <> 1996
