@@ -1,6 +1,9 @@
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,7 +83,78 @@ def test_held_out_accuracy(spark):
 
 @pytest.mark.parametrize("held_out", [2])
 def test_fold_is_the_checksum_of_the_id(spark, held_out):
-    import zlib
-
     found = queries.op1_language_id(spark, "/root/testdata/sf0.001").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == held_out) for r in found)
+
+
+def plain_vector(text):
+    """The sum of a text's trigram vectors, and their number, letter by letter."""
+    symbols = [0]
+    for c in (text or "").lower():
+        if c.isalpha():
+            symbols.append(ord(c))
+        elif symbols[-1]:
+            symbols.append(0)
+    symbols += [0] if symbols[-1] else []
+    times = Counter(t for t in zip(symbols, symbols[1:], symbols[2:]) if t[1])
+    total = np.zeros(langid.DIMENSIONS)
+    for (a, b, c), n in times.items():
+        first, second, third = (langid.symbol(x).astype(int) for x in (a, b, c))
+        total += n * np.roll(first, 2) * np.roll(second, 1) * third
+    return total, sum(times.values())
+
+
+def plain_languages(rows, learn):
+    """(language, cosine) per text, from prototypes that add up texts of one weight each."""
+    vectors = [plain_vector(text) for text, _ in rows]
+    sums = {}
+    for (vector, n), (_, lang), use in zip(vectors, rows, learn):
+        if use and lang is not None and n:
+            sums[lang] = sums.get(lang, 0) + vector / n
+    names = sorted(sums, key=lambda s: s.encode())
+    unit = np.array([sums[n] / np.linalg.norm(sums[n]) for n in names])
+    shared = unit.mean(axis=0)
+    shared /= np.linalg.norm(shared)
+    own = [u - (u @ shared) * shared for u in unit]
+    found = []
+    for vector, n in vectors:
+        if not n:
+            found.append(("und", 0.0))
+            continue
+        rest = vector - (vector @ shared) * shared
+        best = max(range(len(names)), key=lambda k: rest @ own[k] / np.linalg.norm(own[k]))
+        found.append((names[best], max(0.0, vector @ unit[best] / np.linalg.norm(vector))))
+    return found
+
+
+def test_query_against_plain_vectors(spark):
+    """Every row of the query, worked out letter by letter."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    learn = [zlib.crc32(str(d.doc_id).encode()) % 4 != 2 for d in docs]
+    want = dict(zip((d.doc_id for d in docs), plain_languages([(d.text, d.lang) for d in docs], learn)))
+    got = {r.doc_id: r for r in queries.op1_language_id(spark, folder).collect()}
+    assert got.keys() == want.keys()
+    for doc, (lang, cosine) in want.items():
+        assert got[doc].lang_pred == lang and got[doc].score == pytest.approx(cosine, abs=1e-5)
+
+
+def test_a_long_text_weighs_as_much_as_a_short_one(monkeypatch):
+    """Whatever the number of its pieces."""
+    chance = random.Random(5)
+    texts = [spoken("a", 4000, chance), spoken("b", 20, chance), spoken("a", 30, chance)]
+    monkeypatch.setattr(langid, "PART", 1000)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["l"] * 3)], names=["text", "lang"])
+    (learnt,) = langid._learn([batch])
+    want = sum(vector / n for vector, n in map(plain_vector, texts))
+    got = np.array(learnt.column("vector").to_pylist()[0])
+    # Pieces cut words, so a few trigrams at the cuts differ.
+    assert np.linalg.norm(got - want) < 0.02 * np.linalg.norm(want)
+
+
+def test_a_column_of_very_many_languages_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 5)
+    docs = spark.createDataFrame([(i, "ka lo", f"l{i}", "s", 1) for i in range(6)], SCHEMA)
+    with pytest.raises(ValueError, match="more than 5"):
+        langid.identify(docs)
+    assert langid.identify(docs.limit(5)).count() == 5
