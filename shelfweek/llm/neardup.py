@@ -21,12 +21,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import checkpoint, components, sampled
+from shelfweek.llm.common import checkpoint, components, few, sampled
 
 # Vectors aimed at per cell, cells at most, rows of a block that is compared at once.
 CELL_ROWS = 4096
-MAX_CELLS = 1024
+MAX_CELLS = 1 << 14
 BLOCK = 2048
+# Vectors held against all centres at once.
+PLACED = 256
+# Copies of a vector that one task may get where results are joined back to the rows.
+HOT_COPIES = 1_000_000
 # Pairs recomputed at a time, and room for the rounding of 32-bit estimates.
 EXACT_PAIRS = 1 << 15
 ROUNDING = 1e-4
@@ -132,9 +136,17 @@ def _compare(threshold: float):
 
 def _place(centres: np.ndarray, reach: float):
     """Codes of the vectors, one row per cell they live in or visit."""
-    if len(centres):
-        borders = np.linalg.norm(centres[:, None, :] - centres[None, :, :], axis=2)
-        np.fill_diagonal(borders, 1.0)
+
+    def cells(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Own cell of each vector, and (vector, cell) for the visits."""
+        close = units @ centres.T
+        own = close.argmax(axis=1)
+        margin = close[np.arange(len(own)), own][:, None] - close
+        # Centres have length 1; a centre's border with itself is not asked for.
+        apart = np.sqrt(np.maximum(2 - 2 * (centres[own] @ centres.T), 1e-12))
+        # A pair is compared in the lower of its two cells.
+        visits = (margin / apart <= reach) & (np.arange(len(centres)) < own[:, None])
+        return own, *np.nonzero(visits)
 
     def place(batches):
         for rows in batches:
@@ -145,17 +157,12 @@ def _place(centres: np.ndarray, reach: float):
                 if not len(centres) or dim != centres.shape[1]:
                     yield part.assign(cell=-1, home=True)
                     continue
-                close = units @ centres.T
-                own = close.argmax(axis=1)
-                margin = close[np.arange(len(own)), own][:, None] - close
-                # A pair is compared in the lower of its two cells.
-                visits = (margin / borders[own] <= reach) & (
-                    np.arange(len(centres)) < own[:, None]
-                )
-                at, cell = np.nonzero(visits)
-                yield part.assign(cell=own, home=True)
-                if len(at):
-                    yield part.iloc[at].assign(cell=cell, home=False)
+                for at in range(0, len(part), PLACED):
+                    some = part.iloc[at : at + PLACED]
+                    own, visitor, cell = cells(units[at : at + PLACED])
+                    yield some.assign(cell=own, home=True)
+                    if len(visitor):
+                        yield some.iloc[visitor].assign(cell=cell, home=False)
 
     return place
 
@@ -169,6 +176,21 @@ def _usable(vector: str, group: str):
     )
 
 
+def _joined_back(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """Rows with the result of their vector; copies of the commonest ones are not shuffled.
+
+    Vectors with more than HOT_COPIES copies are as few as the rows allow.
+    """
+    key = ["group", "vector"]
+    hot = checkpoint(reps.where(F.col("copies") > HOT_COPIES))
+    if hot.isEmpty():
+        return rows.join(reps, key)
+    hot = few(hot)
+    return rows.join(hot, key).unionByName(
+        rows.join(hot.select(key), key, "left_anti").join(reps, key)
+    )
+
+
 def near_duplicates(
     vectors: DataFrame,
     threshold: float = 0.98,
@@ -186,8 +208,9 @@ def near_duplicates(
     with its id counts as a vector of its own; different vectors under one id
     are counted together where that id stands for its copies. ``threshold`` lies in (0, 1].
     Identical vectors of a group are compared once and counted with their
-    number, so a group of copies costs no more than one vector. Other columns
-    are not read.
+    number, so a group of copies costs no more than one vector. An empty table
+    gives no rows. Other columns are not read. Up to MAX_CELLS * ``cell_rows``
+    vectors of a group the work grows in proportion, beyond that cells grow.
     """
     rows = vectors.select(
         F.col(id_col).cast("bigint").alias("id"),
@@ -253,12 +276,12 @@ def near_duplicates(
         .join(links, "rep", "left")
         .join(joined, F.col("rep") == F.col("id"), "left")
         .select(
-            "group", "vector",
+            "group", "vector", "copies",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
             F.coalesce("component", "rep").alias("component"),
         )
     )
     alone = rows.where(~usable).select("id", F.lit(0).cast("bigint"), "id")
-    grouped = valid.join(reps, ["group", "vector"]).select("id", "links", "component")
+    grouped = _joined_back(valid, reps).select("id", "links", "component")
     result = grouped.union(alone).toDF(id_col, "n_links", "component_id")
     return result.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))

@@ -92,3 +92,24 @@ def test_extreme_lengths(spark):
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
     found = neardup.near_duplicates(vectors).collect()
     assert sorted(map(tuple, found)) == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True)]
+
+
+def test_copies_of_common_vectors_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "HOT_COPIES", 20)
+    rows = [(i, [1.0, 0.5] if i % 3 else [0.0, float(i)], 1, "x", 1) for i in range(120)]
+    rows += [(500 + i, [1.0, 0.51], 1, "x", 1) for i in range(3)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    want = [(a, n, c, k) for a, n, c, k in brute(rows)]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    valid = spark.createDataFrame([(i, 1, [1.0]) for i in range(50)], "id bigint, group int, vector array<double>")
+    reps = spark.createDataFrame([(1, [1.0], 50, 49, 0)], "group int, vector array<double>, copies bigint, links bigint, component bigint")
+    plan = neardup._joined_back(valid, reps)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+
+
+def test_many_cells(spark):
+    """More centres than a slice of vectors is wide; nothing is lost at the borders."""
+    rows = made(900, 4)
+    found = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA), cell_rows=2)
+    want = [(a, n, c, k) for a, n, c, k in brute(rows)]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
