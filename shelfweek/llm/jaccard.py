@@ -408,12 +408,13 @@ def _across(apart, n_apart: int, joined, sketches, percent: int) -> DataFrame:
     members = (
         sketches.join(joined, F.col("rep") == F.col("id"), "left")
         .select("rep", own.alias("root"), "size", F.col("value").alias("bits"))
-        .join(few(groups), "root")
+        .join(few(checkpoint(groups)), "root")
     )
+    members = checkpoint(members)
     tile = F.when(F.count("*") <= MANY, float(SMALL_TILE)).otherwise(float(TILE))
     blocks = members.groupBy("group").agg(F.ceil(F.count("*") / tile).cast("int").alias("n"))
     return (
-        _tiled(members.join(few(blocks), "group"))
+        _tiled(members.join(few(checkpoint(blocks)), "group"))
         .select("group", "tile.i", "tile.j", "rep", "root", "size", "bits", "block")
         .groupBy("group", "i", "j")
         .applyInArrow(_tile_pairs(percent), "a bigint, b bigint")

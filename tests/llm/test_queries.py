@@ -157,8 +157,9 @@ def test_empty_documents(spark, tmp_path):
 def test_stages_take_odd_rows_and_clashing_columns(spark):
     """Nulls in every column, empty and long texts, repeated rows, and names the stages use inside."""
     clash = ["id", "rep", "size", "key", "doc", "found", "taken", "target", "score", "lang_pred", "count", "island"]
+    clash += ["body", "cosine", "unlike", "__body", "__found", "__cosine", "__text", "__lang_pred", "a.b", "ends", "shards_of"]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(
-        f"{c} string" for c in clash
+        f"`{c}` string" for c in clash
     )
     more = ["x"] * len(clash)
     odd = [

@@ -3,7 +3,9 @@ import hashlib
 import math
 import random
 import re
+import string
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfweek.llm import secret_scan
@@ -67,6 +69,23 @@ def test_random_tokens_are_told_from_ordinary_ones(spark):
     assert all(a == 4 for a, _ in spans)
 
 
+def test_tokens_of_letters_or_digits_only(spark):
+    """Nine of ten random ones are found; words, paths and plain numbers are thrown out."""
+    chance = random.Random(12)
+    some = lambda symbols, n: ["".join(chance.choices(symbols, k=chance.randint(20, 64))) for _ in range(n)]
+    random_ones = [t for s in (string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters, string.digits) for t in some(s, 150)]
+    words = "state of the art well known part time long term user defined high level not so easy to find out".split()
+    ordinary = ["-".join(chance.choices(words, k=8)) for _ in range(100)] + ["/".join(chance.choices(words, k=8)) for _ in range(100)]
+    ordinary += ["_".join(chance.choices(words, k=8)).upper() for _ in range(50)]
+    numbers = [str(d) + "0" * 21 for d in range(1, 10)] + ["01234567890123456789"] * 5 + ["12" * 11, "20240131" * 2 + "2024"] * 3
+    rows = [(i, f"see {t} here", "", 0) for i, t in enumerate(random_ones + ordinary + numbers)]
+    got = {r.doc_id: len(r.found.spans) > 0 for r in secret_scan.find_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    a, b = len(random_ones), len(random_ones) + len(ordinary)
+    assert sum(got[i] for i in range(a)) >= 0.9 * a
+    assert sum(got[i] for i in range(a, b)) <= 0.02 * (b - a)
+    assert sum(got[i] for i in range(b, len(rows))) <= 0.1 * len(numbers)
+
+
 def test_p_values_are_level_for_random_tokens(spark):
     chance = random.Random(7)
     alphabet = secret_scan.BASE64_SYMBOLS
@@ -76,6 +95,15 @@ def test_p_values_are_level_for_random_tokens(spark):
         assert sum(r.p <= level for r in p) / len(p) <= level + 0.03
 
 
+@pytest.mark.parametrize("symbols", [string.ascii_lowercase, string.ascii_letters, string.digits])
+def test_p_values_are_level_for_letters_and_digits(spark, symbols):
+    chance = random.Random(8)
+    rows = [("".join(chance.choices(symbols, k=chance.choice([24, 40, 100]))),) for _ in range(600)]
+    p = spark.createDataFrame(rows, "t string").select(secret_scan.randomness(F.col("t")).alias("p")).collect()
+    for level in (0.05, 0.2):
+        assert sum(r.p <= level for r in p) / len(p) <= level + 0.03
+
+
 def test_thrown_out_is_benjamini_hochberg(spark):
     """The limit is that of the rule applied to the upper ends of the steps."""
     chance = random.Random(3)
