@@ -124,6 +124,7 @@ def write_landing(
 def write_landing_file(df: DataFrame, landing: str, table: str, run_date: date) -> str:
     """Gzip CSV extract in the one file ``<landing>/<table>_<run_date>.csv.gz``.
 
+    One task writes it, so this is for dimensions; ``write_landing`` is for the rest.
     The file appears under its name only once it is whole, and takes the place
     of an earlier one in one step.
     """

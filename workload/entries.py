@@ -152,10 +152,11 @@ def landing_extract(spark, sf_dir):
 
 
 def landing_files(spark, sf_dir):
-    """Five tables landed as single files, found by name and read back; the sales."""
+    """Dimensions landed as single files and the large tables in folders, found by name; the sales."""
     landing = scratch_folder(spark, "flat")
     for name in schemas.TABLES:
-        write_landing_file(exported(spark, sf_dir, name), landing, name, RUN_DAY)
+        write = write_landing if name in ("sales", "inventory") else write_landing_file
+        write(exported(spark, sf_dir, name), landing, name, RUN_DAY)
     paths = input_paths(files_of_day(spark, landing, RUN_DAY), RUN_DAY)
     loaded = load_tables(spark, paths)
     assert loaded.keys() == schemas.TABLES.keys()
