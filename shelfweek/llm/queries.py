@@ -64,7 +64,13 @@ def op8_source_mixing(spark, sf_dir):
 
 
 def op9_personal_data(spark, sf_dir):
-    return pii.find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.withColumn("n_spans", written_spans(F.col("spans")))
+
+
+def written_spans(spans):
+    """The number of spans, of all kinds, in a list joined by commas."""
+    return F.when(spans == "", 0).otherwise(F.size(F.split(spans, ","))).cast("bigint")
 
 
 def op10_secret_scan(spark, sf_dir):
@@ -84,6 +90,7 @@ def secret_digest(found):
         *counts,
         F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
         secret_scan.written(spans).alias("spans"),
+        F.size(spans).cast("bigint").alias("n_spans"),
     )
 
 
