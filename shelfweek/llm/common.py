@@ -55,6 +55,17 @@ def named(columns) -> list[Column]:
     return [F.col(quoted(c)) for c in columns]
 
 
+def plainly(columns) -> tuple[list[str], list[Column]]:
+    """Names without dots for the columns, which Python stages need, and the columns so named."""
+    names = [f"c{n}" for n in range(len(columns))]
+    return names, [c.alias(n) for c, n in zip(named(columns), names)]
+
+
+def renamed(names, columns) -> list[Column]:
+    """The columns back under their own names."""
+    return [F.col(n).alias(c) for n, c in zip(names, columns)]
+
+
 def fresh(name: str, columns) -> str:
     """``name``, lengthened until it is none of the columns."""
     taken = {c.lower() for c in columns}

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import fresh, named, quoted
+from shelfweek.llm.common import plainly, quoted, renamed
 
 # Element names of HTML by how they are parsed and shown.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -400,10 +400,10 @@ def page_text(page: str | None) -> str:
     return render(parse(page)) if page else ""
 
 
-def _extract(keep: list[str], body: str):
+def _extract(keep: list[str]):
     def extract(batches):
         for batch in batches:
-            texts = [page_text(p) for p in batch.column(body).to_pylist()]
+            texts = [page_text(p) for p in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(texts, pa.string())], names=[*keep, "text"]
             )
@@ -421,7 +421,7 @@ def extract_text(pages: DataFrame, *, html_col: str = "html", keep: list[str] |
     not style sheets. An empty table gives no rows.
     """
     keep = [c for c in (keep or pages.columns) if c not in (html_col, "text")]
-    body = fresh("body", keep)
-    rows = pages.select(*named(keep), F.col(quoted(html_col)).cast("string").alias(body))
-    schema = pages.select(named(keep)).schema.add("text", "string")
-    return rows.mapInArrow(_extract(keep, body), schema)
+    plain, columns = plainly(keep)
+    schema = pages.select(columns).schema.add("text", "string")
+    rows = pages.select(*columns, F.col(quoted(html_col)).cast("string").alias("body"))
+    return rows.mapInArrow(_extract(plain), schema).select(*renamed(plain, keep), "text")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import fresh, named, quoted, small_batches
+from shelfweek.llm.common import plainly, quoted, renamed, small_batches
 
 UNKNOWN = "und"
 DIMENSIONS = 1024
@@ -383,19 +383,20 @@ def identify(
     names, vectors = prototypes(labelled)
     common = common_trigrams(labelled, names) if unlike_col and names else None
     # The text goes to the Python tasks once, also where it is kept.
-    body = text_col
-    rows = docs.select(named(keep))
-    if text_col not in keep or dict(docs.dtypes)[text_col] != "string":
-        body = fresh("body", keep)
-        rows = docs.select(*named(keep), text.cast("string").alias(body))
-    added = [fresh(name, [*keep, body]) for name in ("found", "cosine", "unlike")]
-    schema = docs.select(named(keep)).schema.add(added[0], "string").add(added[1], "double")
+    plain, columns = plainly(keep)
+    schema = docs.select(columns).schema.add("found", "string").add("cosine", "double")
+    body = "body"
+    if text_col in keep and dict(docs.dtypes)[text_col] == "string":
+        body = plain[keep.index(text_col)]
+    else:
+        columns.append(text.cast("string").alias(body))
+    added = ["found", "cosine"]
     if common:
-        schema = schema.add(added[2], "boolean")
-    work = _predict(
-        names, vectors.astype(np.float32), keep, body, added if common else added[:2], common
-    )
-    found = rows.mapInArrow(work, schema)
-    if unlike_col and not common:
-        found = found.withColumn(added[2], F.lit(False))
-    return found.withColumnsRenamed(dict(zip(added, (pred_col, score_col, unlike_col or added[2]))))
+        added.append("unlike")
+        schema = schema.add("unlike", "boolean")
+    work = _predict(names, vectors.astype(np.float32), plain, body, added, common)
+    found = docs.select(columns).mapInArrow(work, schema)
+    result = [*renamed(plain, keep), F.col("found").alias(pred_col), F.col("cosine").alias(score_col)]
+    if unlike_col:
+        result.append((F.col("unlike") if common else F.lit(False)).alias(unlike_col))
+    return found.select(result)

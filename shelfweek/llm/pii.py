@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfweek.llm.common import fresh, named, quoted
+from shelfweek.llm.common import plainly, quoted, renamed
 
 # Kinds in their order, and the known forms.
 KINDS = ("email", "ip", "card", "phone")
@@ -570,11 +570,11 @@ def trained(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
     return fit(examples([(r["kind"], r["left"], r["span"], r["right"]) for r in rows]))
 
 
-def _find(weights: dict, keep: list[str], body: str):
+def _find(weights: dict, keep: list[str]):
     def find(batches):
         for batch in batches:
             rows = []
-            for text in batch.column(body).to_pylist():
+            for text in batch.column("body").to_pylist():
                 base = base_spans(text or "")
                 extra = added_spans(text, base, weights) if text and weights else []
                 counts = [sum(1 for s in base if s[1] == k) for k in range(len(KINDS))]
@@ -606,9 +606,10 @@ def find_personal_data(
     whole, one document at a time. An empty table gives no rows.
     """
     keep = [c for c in (keep or docs.columns) if c not in FOUND]
-    body = fresh("body", keep)
-    rows = docs.select(*named(keep), F.col(quoted(text_col)).cast("string").alias(body))
-    schema = docs.select(named(keep)).schema
+    plain, columns = plainly(keep)
+    schema = docs.select(columns).schema
     for name in FOUND:
         schema = schema.add(name, "long" if name.startswith("n_") else "string")
-    return rows.mapInArrow(_find(trained(docs, text_col), keep, body), schema)
+    rows = docs.select(*columns, F.col(quoted(text_col)).cast("string").alias("body"))
+    found = rows.mapInArrow(_find(trained(docs, text_col), plain), schema)
+    return found.select(*renamed(plain, keep), *FOUND)

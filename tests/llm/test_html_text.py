@@ -129,3 +129,9 @@ def test_all_visible_words_of_real_pages_are_kept(spark):
         words = html.unescape(re.sub(r"<[^>]*>", " ", unseen.sub("", r.html))).split()
         got = [w for w in rows[r.page_id].split() if w != "-"]
         assert "".join(got) == "".join(w for w in words if w != "-")
+
+
+def test_dotted_and_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "<p>t", "x", "y")], "page_id bigint, html string, `a.b` string, body string")
+    assert [tuple(r) for r in html_text.extract_text(rows).collect()] == [(1, "x", "y", "t")]
+    assert html_text.extract_text(rows).columns == ["page_id", "a.b", "body", "text"]

@@ -272,3 +272,9 @@ def test_respelled_forms_are_found_whole(weights):
                 got = pii.added_spans(text, [], weights)
                 missed += [] if (11, kind, 11 + len(span)) in got else [span]
     assert len(missed) <= 0.1 * n, missed[:20]
+
+
+def test_dotted_and_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "a@b.cd", "x", "y")], "doc_id bigint, text string, `a.b` string, body string")
+    found = pii.find_personal_data(rows)
+    assert found.columns[:4] == rows.columns and found.first().n_email == 1
