@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfweek.operators import joins
+from shelfweek.operators import counted, joins
 from shelfweek.operators.skew import checked_broadcast, hot_cells, skew_join
 from shelfweek.schemas import CALENDAR, INVENTORY, SALES
 from tests.fixtures import bag, cal, rows, sale, stock
@@ -115,3 +115,29 @@ def test_broadcasts_are_measured_in_bytes(spark):
     assert checked_broadcast(wide, 900_000) is None
     assert checked_broadcast(wide, 1_100_000) is not None
     assert checked_broadcast(wide.limit(0), 0) is not None
+
+
+def test_cells_are_no_smaller_than_a_part_of_a_tasks_share(spark):
+    """Limits far below what a task gets anyway would only copy rows more often."""
+    left = spark.range(40_000).select((F.col("id") % 4).alias("k"), "id")
+    for rows_, product in ((10, None), (10, 100)):
+        cells = hot_cells(["k"], left, left, hot_rows=rows_, hot_product=product)
+        for side in cells:
+            assert len(side) == 4
+            assert all(1 < n <= 10_000 * 32 * 8 / 40_000 + 1 for n in side.values())
+
+
+def test_joined_rows_with_few_copies_are_not_shuffled(spark, monkeypatch):
+    shuffled, unroll = [], counted.unroll
+    monkeypatch.setattr(counted, "unroll", lambda rows: shuffled.append(rows) or unroll(rows))
+    joined = joins.base_join(*one_pair(spark, 2_000, 500, True), hot_rows=100, hot_product=1000)
+    assert joined.distinct().count() == joined.count() == 1_000_000
+    assert shuffled[0].count() == 0
+
+
+def test_hot_keys_are_counted_if_a_share_holds_them(spark):
+    """A thousand pairs above both limits, each far below a task's share of them all."""
+    left = spark.range(100_000).select((F.col("id") % 1000).alias("k"), "id")
+    cells = hot_cells(["k"], left, left, hot_rows=50, hot_product=5_000)
+    assert len({*cells[0], *cells[1]}) > 900
+    assert max(*cells[0].values(), *cells[1].values(), 0) <= 2
