@@ -215,3 +215,10 @@ def test_unroll_clustered_splits_large_groups_only(counted):
     assert max(n for n, _ in per_task(result)) < 300_000
     whole = unroll(counted, ["week"])
     assert sorted(n for n, _ in per_task(whole) if n)[-1] >= 1_000_065
+
+
+def test_history_of_pairs_comes_without_a_join(spark):
+    counted_rows = fact.weekly_fact_counted(*micro(spark))
+    plan = counted_rows._jdf.queryExecution().optimizedPlan().toString()
+    # The calendar and the states.
+    assert sum(line.lstrip(" :+-").startswith("Join ") for line in plan.splitlines()) == 2
