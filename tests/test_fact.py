@@ -217,6 +217,30 @@ def test_unroll_clustered_splits_large_groups_only(counted):
     assert sorted(n for n, _ in per_task(whole) if n)[-1] >= 1_000_065
 
 
+def exchanges(frame):
+    """Shuffles of rows in the plan, those that read another's result not counted."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange hashpartitioning" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_summary_shuffles_sales_and_stock_once(spark, seed):
+    """The days and weeks of a pair are grouped where they are; the rows are those of a hot pair's plan."""
+    sales, calendar, inventory = random_tables(spark, seed)
+    summary = weekly.weekly_summary(sales, calendar, inventory)
+    hot = weekly.weekly_summary(sales, calendar, inventory, hot_rows=1)
+    assert exchanges(summary) == 1 < exchanges(hot)
+    assert summary.schema == hot.schema
+    assert bag(summary) == bag(hot) and summary.count() > 0
+
+
+def test_summary_keeps_the_key_types_of_the_sales(spark):
+    sales, calendar, inventory = micro(spark)
+    wide = inventory.withColumn("prod_key", F.col("prod_key").cast("bigint"))
+    before, after = (weekly.weekly_summary(sales, calendar, t) for t in (inventory, wide))
+    assert after.schema == before.schema and bag(after) == bag(before)
+
+
 def test_history_of_pairs_comes_without_a_join(spark):
     counted_rows = fact.weekly_fact_counted(*micro(spark))
     plan = counted_rows._jdf.queryExecution().optimizedPlan().toString()
