@@ -246,3 +246,50 @@ def test_history_of_pairs_comes_without_a_join(spark):
     plan = counted_rows._jdf.queryExecution().optimizedPlan().toString()
     # The calendar and the states.
     assert sum(line.lstrip(" :+-").startswith("Join ") for line in plan.splitlines()) == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_only_hot_pairs_take_the_plan_for_hot_pairs(spark, monkeypatch, seed):
+    """Large pairs and others give the rows of plain joins, each by its own plan."""
+    taken, low_by_part = [], fact.low_by_part
+    monkeypatch.setattr(
+        fact, "low_by_part", lambda profile, *rest: taken.append(profile) or low_by_part(profile, *rest)
+    )
+    sales, calendar, inventory = random_tables(spark, seed)
+    few = [sale(100 + i, 1, 3, on, "2", "3", "1") for i, on in enumerate(["2023-01-21", "2023-01-28", "2023-02-04"])]
+    tables = (
+        sales.union(rows(spark, SALES, *few)),
+        calendar,
+        inventory.union(rows(spark, INVENTORY, stock("2023-01-21", 3, 1, "1", "0", 0))),
+    )
+    found = fact.weekly_fact_counted(*tables, 5, hot_rows=10)
+    hot = {tuple(r) for r in taken[0].select("STORE_KEY", "PROD_KEY").distinct().collect()}
+    every = {(r.STORE_KEY, r.PROD_KEY) for r in found.select("STORE_KEY", "PROD_KEY").collect()}
+    assert hot and every - hot
+    expected = bag(fan_out_fact(*tables, week_end_day=5), FACT)
+    assert {row[:-1]: row[-1] for row in bag(found, [*FACT, COPIES])} == expected
+    assert found.schema == fact.weekly_fact_counted(*tables, 5).schema
+
+
+def test_hot_plan_shuffles_rows_and_parts_only(spark):
+    """Bands and the history of a pair are added where its parts meet, without a join: 18 shuffles before."""
+    counted_rows = fact.weekly_fact_counted(*random_tables(spark, 14), hot_rows=1)
+    assert exchanges(counted_rows) <= 11
+
+
+def test_stock_of_many_bands_is_counted_in_order(spark):
+    """Sales and stock in bands of their own, some of them sold or held only."""
+    quantities = ["-700", "-1", "0.5", "255.99", "256", "513", "5000", "90000.25", None]
+    sales = [sale(i, 1, 1, "2023-01-07", q, "1", "1") for i, q in enumerate(quantities)]
+    inventory = [stock("2023-01-02", 1, 1, q, "0", 0) for q in ["-600", "0.5", "300", "300", "6000", None]]
+    tables = (
+        rows(spark, SALES, *sales),
+        rows(spark, CALENDAR, cal("2023-01-07", 6, 2023, 1, 1)),
+        rows(spark, INVENTORY, *inventory),
+    )
+    got = fact.weekly_fact_counted(*tables, hot_rows=1)
+    flagged = got.filter("LOW_STOCK_FLG = 1 AND INVENTORY_ON_HAND_QTY = 6000").first()
+    # Per week-end sale, of the 9 sales: 0, 1, 1, 2, 2, 4, 4, 5 and none for NULL.
+    assert flagged[COPIES] == 9 * 19
+    expected = bag(fan_out_fact(*tables), FACT)
+    assert {row[:-1]: row[-1] for row in bag(got, [*FACT, COPIES])} == expected

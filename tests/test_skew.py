@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfweek.operators import counted, joins
-from shelfweek.operators.skew import checked_broadcast, hot_cells, skew_join
+from shelfweek.operators import counted, joins, skew
+from shelfweek.operators.skew import _bucket, checked_broadcast, hot_cells, skew_join
 from shelfweek.schemas import CALENDAR, INVENTORY, SALES
 from tests.fixtures import bag, cal, rows, sale, stock
 
@@ -141,3 +141,29 @@ def test_hot_keys_are_counted_if_a_share_holds_them(spark):
     cells = hot_cells(["k"], left, left, hot_rows=50, hot_product=5_000)
     assert len({*cells[0], *cells[1]}) > 900
     assert max(*cells[0].values(), *cells[1].values(), 0) <= 2
+
+
+def test_a_grid_of_one_cell_is_a_plain_join(spark, sides):
+    left, right = sides
+    whole = skew_join(left, right, ["k"], left_cells={1: 1}, right_cells={2: 1})
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    assert bag(whole) == bag(left.join(right, "k"))
+
+
+def test_keys_are_counted_as_numbers(spark, sides):
+    """Of another width too; other types are counted as text."""
+    left, right = sides
+    for a, b in ((left, right), (left.withColumn("k", F.col("k").cast("string")),) * 2):
+        (large, *_), _ = hot_cells(["k"], a, b, hot_rows=50)
+        assert large in {r[0] for r in a.filter("k = 7").select(_bucket(a, ["k"])).distinct().collect()}
+
+
+def test_crowded_groups_are_not_counted_first(spark, monkeypatch):
+    """More rows than a hot key's in every group: the same cells, without the first count."""
+    left = spark.range(40_000).select((F.col("id") % 9_000).alias("k"), "id")
+    found = hot_cells(["k"], left, left.limit(9_500), hot_rows=4)
+    assert found[0] and not found[1]
+    monkeypatch.setattr(skew, "LEAST_BUCKETS", 1 << 14)
+    monkeypatch.setattr(skew, "BUCKETS", 1 << 16)
+    assert hot_cells(["k"], left, left.limit(9_500), hot_rows=4) == found
