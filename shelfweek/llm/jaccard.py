@@ -25,6 +25,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ from shelfweek.llm.shingles import mix, shingle_sets
 # Entries aimed at per range of the join, and gathered before they are dealt out.
 RANGE_ENTRIES = 1_500_000
 GATHER = 250_000
+# Entries of a range that are compared at a time.
+SHARED = 1 << 17
 # Sets that a task remembers, so as not to enter their copies again.
 REMEMBERED = 1 << 16
 # Bits of a sketch at most, and of the short form that is sent to every list of a set.
@@ -47,7 +50,8 @@ UNNAMED = 1 << 62
 TILE = 1024
 # Blocks of fewer members where there are no more than so many: more tasks share them.
 SMALL_TILE, MANY = 256, 1 << 14
-COMPARED = 1 << 15
+# Pairs that are compared at a time, and bytes of their sketches on either side at most.
+COMPARED, COMPARED_BYTES = 1 << 15, 4 << 20
 # Pairs of two components that are compared before all of them are.
 CLOSEST = 2
 
@@ -206,17 +210,34 @@ def shared_lists(keys: np.ndarray, ids: np.ndarray) -> dict[bytes, int]:
     return lists
 
 
+def _parts_of(rows: pa.Table, parts: int):
+    """Keys and ids of a range, a part of the keys at a time: all entries of a key are in one part."""
+    for part in range(parts):
+        keys, ids = [], []
+        for batch in rows.select(["keys", "ids", "numbers"]).to_batches(max_chunksize=64):
+            for k, i, n in zip(*(batch.column(c) for c in range(3))):
+                k, i, n = (np.frombuffer(x.as_buffer(), t) for x, t in ((k, np.uint64), (i, np.int64), (n, np.uint32)))
+                own = k % np.uint64(parts) == part
+                keys.append(k[own])
+                ids.append(np.repeat(i, n)[own])
+        if keys:
+            yield np.concatenate(keys), np.concatenate(ids)
+
+
 def _share(rows: pa.Table) -> pa.Table:
-    joined = {c: b"".join(rows.column(c).to_pylist()) for c in ("keys", "ids", "numbers")}
-    numbers = np.frombuffer(joined["numbers"], np.uint32)
-    ids = np.repeat(np.frombuffer(joined["ids"], np.int64), numbers)
-    lists = shared_lists(np.frombuffer(joined["keys"], np.uint64), ids)
+    size = pc.sum(pc.binary_length(rows.column("keys"))).as_py() or 0
+    lists: dict[bytes, int] = {}
+    for keys, ids in _parts_of(rows, size // (8 * SHARED) + 1):
+        for name, number in shared_lists(keys, ids).items():
+            lists[name] = lists.get(name, 0) + number
     members = [np.frombuffer(x, np.int64) for x in lists]
     names = [fingerprint(x.view(np.uint64))[0] for x in members]
+    starts = np.cumsum([0, *map(len, members)])
+    flat = pa.array(np.concatenate(members) if members else [], pa.int64())
     return pa.table(
         {
             "list": pa.array(names, pa.int64()),
-            "members": pa.array([x.tolist() for x in members], pa.list_(pa.int64())),
+            "members": pa.LargeListArray.from_arrays(pa.array(starts, pa.int64()), flat).cast(pa.list_(pa.int64())),
             "keys": pa.array(lists.values(), pa.int64()),
         }
     )
@@ -286,6 +307,11 @@ def _shorten(batches):
         )
 
 
+def _at_once(bits: np.ndarray) -> int:
+    """Pairs of rows of ``bits`` that are compared at a time."""
+    return max(1, min(COMPARED, COMPARED_BYTES // (8 * bits.shape[1])))
+
+
 def _near(bits, size, i, j, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     """Which pairs (i, j) the sizes and sketches do not refute, and the sketches' distances."""
     low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
@@ -301,6 +327,7 @@ def _list_pairs(roots, size, sketches, block, bands: Bands):
     in another task.
     """
     bits = folded(sketches)
+    most = _at_once(bits)
     between = block.min() != block.max()
     for a in range(0, len(roots), TILE):
         for b in range(a, len(roots), TILE):
@@ -309,8 +336,8 @@ def _list_pairs(roots, size, sketches, block, bands: Bands):
             if between:
                 other &= block[s, None] != block[None, t]
             i, j = np.nonzero(np.triu(other, 1) if a == b else other)
-            for at in range(0, len(i), COMPARED):
-                x, y = i[at : at + COMPARED] + a, j[at : at + COMPARED] + b
+            for at in range(0, len(i), most):
+                x, y = i[at : at + most] + a, j[at : at + most] + b
                 near, apart = _near(bits, size, x, y, bands)
                 yield np.stack([x[near], y[near], apart[near]], axis=1)
 
@@ -380,8 +407,9 @@ def _tile_pairs(percent: int):
             if a == b:
                 other &= reps[l, None] < reps[None, r]
             i, j = np.nonzero(other)
-            for at in range(0, len(i), COMPARED):
-                x, y = i[at : at + COMPARED], j[at : at + COMPARED] + len(l)
+            most = _at_once(own)
+            for at in range(0, len(i), most):
+                x, y = i[at : at + most], j[at : at + most] + len(l)
                 near, _ = _near(own, size[all_], x, y, bands)
                 out.append(np.sort(np.stack([reps[all_[x[near]]], reps[all_[y[near]]]]), axis=0))
         x, y = np.concatenate(out, axis=1)

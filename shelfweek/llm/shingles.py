@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes hashed at a time; a longer word is hashed whole.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _random = np.random.default_rng(5)
 _VALUE = _random.integers(1, 1 << 63, 256, dtype=np.uint64)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -174,3 +175,67 @@ def test_tiles_hold_every_pair_of_a_list_once():
             rows = np.flatnonzero((block == a) | (block == b))
             tiled += pairs(rows, block[rows])
     assert len(whole) > 100 and sorted(tiled) == whole
+
+
+def peak(work):
+    """What ``work`` returns, and the most MB that it held at a time beyond what there was."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_range_is_compared_in_parts():
+    """A task does not hold several copies of all entries of its range; keys keep all their ids."""
+    chance = np.random.default_rng(5)
+    common = chance.integers(0, 1 << 62, 40, dtype=np.uint64)
+    rows = []
+    for at in range(300):
+        keys = np.concatenate([chance.integers(0, 1 << 62, 3960, dtype=np.uint64), common[at % 4 :: 4]])
+        numbers = np.array([20] * 198 + [10], np.uint32)
+        rows.append((keys.tobytes(), np.arange(at * 199, at * 199 + 199).tobytes(), numbers.tobytes()))
+    table = pa.table({n: pa.array(c, pa.binary()) for n, c in zip(("keys", "ids", "numbers"), zip(*rows))})
+    found, mb = peak(lambda: jaccard._share(table))
+    want = {tuple(at * 199 + 198 for at in range(first, 300, 4)): 10 for first in range(4)}
+    assert {tuple(m): n for m, n in zip(found["members"].to_pylist(), found["keys"].to_pylist())} == want
+    assert len(set(found["list"].to_pylist())) == 4
+    assert mb < 16
+
+
+def test_range_without_a_shared_key():
+    row = np.arange(6, dtype=np.uint64), np.arange(3), np.full(3, 2, np.uint32)
+    table = pa.table({n: pa.array([x.tobytes()], pa.binary()) for n, x in zip(("keys", "ids", "numbers"), row)})
+    assert jaccard._share(table).num_rows == 0
+
+
+def test_long_sketches_are_compared_few_at_a_time():
+    chance = np.random.default_rng(6)
+    bands = jaccard.Bands(75)
+    sets = [np.unique(chance.integers(0, 1 << 63, 8000, dtype=np.uint64)) for _ in range(40)]
+    sets += [np.append(s[1:], np.uint64(n)) for n, s in enumerate(sets)]
+    sets = [np.sort(s) for s in sets for _ in range(4)]
+    rows = len(sets)
+    sketches = [jaccard.sketch(s) for s in sets]
+    table = pa.table(
+        {
+            "rep": np.arange(rows), "root": np.arange(rows), "size": np.array([len(s) for s in sets]),
+            "bits": pa.array(sketches, pa.binary()), "block": np.zeros(rows, np.int32),
+        }
+    )
+    key = tuple(pa.scalar(0) for _ in range(3))
+    found, mb = peak(lambda: jaccard._tile_pairs(75)(key, table))
+    got = set(zip(found["a"].to_pylist(), found["b"].to_pylist()))
+    origin = [n // 4 % 40 for n in range(rows)]
+    assert got == {(a, b) for a in range(rows) for b in range(a + 1, rows) if origin[a] == origin[b]}
+    assert mb < 40
+    roots, size, block = np.arange(rows), np.array([len(s) for s in sets]), np.zeros(rows, int)
+    parts, mb = peak(lambda: list(jaccard._list_pairs(roots, size, sketches, block, bands)))
+    assert {(int(a), int(b)) for p in parts for a, b, _ in p} == got
+    assert mb < 40
+
+
+def test_shingles_take_little_beside_the_texts():
+    texts = pa.array([f"{n} {n + 1} {n + 2} some words of a text that has a few more " * 4 for n in range(4000)] * 2)
+    _, mb = peak(lambda: sum(len(s) for s in shingle_sets(texts, 5)))
+    assert mb < 16
