@@ -6,7 +6,8 @@ holds it (digits, letters of one or both cases, hexadecimal, base 32, base 36, b
 64) and tested for being drawn from it at random: chi-squared tests of the symbols
 and of their classes, a runs test above and below the middle, and the serial
 correlation. Classes of letters are those that words use much, less and rarely, and
-for letters the runs of vowels and consonants are tested too. The hypothesis of each token is
+for letters the runs of vowels and consonants are tested too; for digits, which have no
+classes, the steps from each to the next. The hypothesis of each token is
 that it is random, that is a secret; the Benjamini-Hochberg rule over all tokens
 of a length class bounds the share of true secrets among those that are thrown
 out, so a corpus with very many ordinary tokens of one length keeps the level
@@ -112,7 +113,7 @@ def randomness(token: Column) -> Column:
 
     Four tests, so the smallest of their p-values counts four times. For letters
     the test of the classes is joined with that of the vowels by the product of
-    their p-values (Fisher).
+    their p-values (Fisher); for digits that of the steps takes its place.
     """
 
     def read(plain):
@@ -182,8 +183,23 @@ def _battery(text: Column, symbols: Column, letters: Column) -> Column:
     )
     syllables = 2 * upper_tail(F.abs(changes - mean) / F.sqrt(variance))
 
+    # Digits are one class; tested instead are the steps from each to the next, around the end.
+    place = F.transform(F.split(text, ""), lambda c: F.instr(symbols, c))
+    turns = let(
+        place, lambda v: F.zip_with(F.slice(v, 1, rest), F.slice(v, 2, rest), lambda a, b: F.pmod(b - a, F.lit(len(DIGITS))))
+    )
+
+    def step_cells(found):
+        def cell(s):
+            count = F.size(F.filter(found, lambda x: x == s)).cast("double")
+            return F.struct(count.alias("count"), ((n - 1) / len(DIGITS)).alias("even"))
+
+        return F.transform(F.sequence(F.lit(0), F.lit(len(DIGITS) - 1)), cell)
+
+    by_step = let(turns, lambda found: _chi_squared(step_cells(found)))
+
     joined = let(F.greatest(by_class * syllables, F.lit(1e-300)), lambda x: x * (1 - F.log(x)))
-    kinds_p = F.when(letters, joined).otherwise(by_class)
+    kinds_p = F.when(letters, joined).when(symbols == DIGITS, by_step).otherwise(by_class)
     return F.least(F.lit(1.0), 4 * F.least(uniform, kinds_p, let(products, neighbours)))
 
 

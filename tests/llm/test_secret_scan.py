@@ -133,3 +133,9 @@ def test_no_python_on_the_main_path(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = secret_scan.find_secrets(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_digits_in_equal_steps_are_not_random(spark):
+    rows = [(t,) for t in ("01234567890123456789", "98765432109876543210", "13579135791357913579", "27272727272727272727")]
+    p = spark.createDataFrame(rows, "t string").select(secret_scan.randomness(F.col("t")).alias("p")).collect()
+    assert all(r.p < 1e-4 for r in p)
