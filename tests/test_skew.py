@@ -135,6 +135,36 @@ def test_joined_rows_with_few_copies_are_not_shuffled(spark, monkeypatch):
     assert shuffled[0].count() == 0
 
 
+def test_joined_rows_with_some_hundred_copies_are_not_shuffled(spark, monkeypatch):
+    sales, calendar, inventory = one_pair(spark, 200, 50, True)
+    sales, inventory = (t.crossJoin(spark.range(10).select()) for t in (sales, inventory))
+    shuffled, unroll = [], counted.unroll
+    monkeypatch.setattr(counted, "unroll", lambda rows: shuffled.append(rows) or unroll(rows))
+    joined = joins.base_join(sales, calendar, inventory, hot_rows=100, hot_product=1000)
+    assert set(bag(joined).values()) == {100} and joined.count() == 1_000_000
+    assert shuffled[0].count() == 0
+
+
+def test_rows_are_shaped_before_they_are_repeated(spark):
+    """Also those of cold pairs, and with rows that are cut into pieces."""
+    sales, calendar, inventory = one_pair(spark, 300, 70, False)
+    cold = rows(spark, SALES, sale(2, 11, 1, "2023-01-02", "2", "3", "1"))
+    held = rows(spark, INVENTORY, stock("2023-01-02", 1, 11, "5", "0", 0))
+    three = sales.union(cold), calendar, inventory.union(held)
+
+    seen, limits = [], {"hot_rows": 100, "hot_product": 1000}
+
+    def shape(frame):
+        seen.append(frame)
+        return frame.withColumn("SALES_AMT", F.col("SALES_AMT").cast("double"))
+
+    shaped = joins.base_join(*three, **limits, shape=shape)
+    assert dict(shaped.dtypes)["SALES_AMT"] == "double"
+    assert sorted(bag(shaped).values()) == [1, 21_000]
+    assert bag(shaped) == bag(joins.base_join(*three, **limits))
+    assert sum(frame.count() for frame in seen) == 2
+
+
 def test_hot_keys_are_counted_if_a_share_holds_them(spark):
     """A thousand pairs above both limits, each far below a task's share of them all."""
     left = spark.range(100_000).select((F.col("id") % 1000).alias("k"), "id")
